@@ -1,0 +1 @@
+"""Empty: the engine works on closed periods in batch and has no streaming operator."""
