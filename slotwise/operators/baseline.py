@@ -8,7 +8,10 @@ the length of the period and never by the number of readings.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from slotwise.functions import int_range, number_or_null, quoted, slot_hour, slot_number, slot_position, slot_time
 from slotwise.operators.quality import Audit
@@ -18,20 +21,36 @@ from slotwise.spec import Period, SeriesSpec
 HOURS = 24
 WORD = 64
 
-# A profile table is broadcast only below this estimated size.
-BROADCAST_BYTES = 32 << 20
+# Rows looked at when searching for entities that hold very many readings.
+SAMPLE_ROWS = 10_000_000
+
 
-# In a shuffle join, an entity with more readings than this is spread over
-# several tasks. At least rows / MAX_HOT, so at most MAX_HOT entities are hot.
-HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
+@dataclass(frozen=True)
+class JoinLimits:
+    """Bounds that choose how readings meet their baseline.
+
+    Profiles estimated above ``broadcast_bytes`` are joined by a shuffle. In
+    that shuffle one task takes about ``task_rows`` readings of one entity at
+    most, or an even share of all readings if that is more.
+    """
+
+    broadcast_bytes: int = 128 << 20
+    task_rows: int = 1_000_000
+    build_bytes: int = 64 << 20
 
 
 def typed_readings(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Only the series' columns, with wall-clock times and double metrics."""
+    """Only the series' columns, with wall-clock times and double metrics.
+
+    A time that needs no cast is passed on as it is: an alias for the same
+    column would keep Spark from seeing that two uses of a frame are equal.
+    """
+    ts = F.col(spec.ts)
+    if not isinstance(readings.schema[spec.ts].dataType, TimestampNTZType):
+        ts = ts.cast("timestamp_ntz").alias(spec.ts)
     return readings.select(
         *spec.entity,
-        F.col(spec.ts).cast("timestamp_ntz").alias(spec.ts),
+        ts,
         *[number_or_null(m).alias(m) for m in spec.metrics],
     ).where(_has_entity(spec))
 
@@ -49,7 +68,13 @@ def entity_profiles(
     Readings are combined per (entity, hour) before they are shuffled, so an
     entity of any size arrives as a few rows per map task.
     """
-    rows = typed_readings(readings, spec)
+    return profiles_of(typed_readings(readings, spec), spec, period, entities)
+
+
+def profiles_of(
+    rows: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
+) -> DataFrame:
+    """``entity_profiles`` of readings that are typed already."""
     if entities is not None:
         silent = entities.select(*spec.entity).where(_has_entity(spec))
         rows = rows.unionByName(silent, allowMissingColumns=True)
@@ -63,7 +88,7 @@ def entity_profiles(
         )
         .groupBy(*spec.entity, "_hour")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count("_position").alias("n"),
             *[F.avg(m).alias(f"{m}_mean") for m in spec.metrics],
             *[F.stddev_samp(m).alias(f"{m}_stddev") for m in spec.metrics],
             _seen_words(spec, period).alias("seen"),
@@ -118,34 +143,72 @@ def unseen_slots(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataF
     )
 
 
+def fits_broadcast(spec: SeriesSpec, size: Audit, limits: JoinLimits) -> bool:
+    return _profile_bytes(spec, size) <= limits.broadcast_bytes
+
+
+def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame) -> DataFrame:
+    """Typed readings hashed by entity, the only shuffle of whole readings.
+
+    Both the baseline and the join to it start from here, and Spark reuses the
+    exchange. ``parts`` lists the entities to spread over several tasks; their
+    rows are dealt by the map task they come from, which no repetition of equal
+    rows can defeat.
+    """
+    partitions = _partitions(readings)
+    return (
+        typed_readings(readings, spec)
+        .join(F.broadcast(parts), list(spec.entity), "left")
+        .withColumn("_part", F.expr("coalesce(spark_partition_id() % _parts, 0)"))
+        .drop("_parts")
+        .repartition(partitions, *spec.entity, "_part")
+    )
+
+
+def heavy_entities(readings: DataFrame, spec: SeriesSpec, size: Audit, limits: JoinLimits) -> DataFrame:
+    """``(entity..., _parts)`` for entities too large for one task.
+
+    Sizes are estimated from a sample, which only decides where rows go. The
+    list has at most one entry per shuffle partition and is fixed on the
+    driver, because both sides of the join must see the same one.
+    """
+    task_rows = max(limits.task_rows, size.rows // _partitions(readings))
+    fraction = min(1.0, SAMPLE_ROWS / max(size.rows, 1))
+    keys = typed_readings(readings, spec).select(*spec.entity)
+    if fraction < 1.0:
+        keys = keys.sample(fraction, seed=1)
+    parts = F.expr(f"cast(ceil(count(1) / {fraction} / {task_rows}) as int)")
+    heavy = keys.groupBy(*spec.entity).agg(parts.alias("_parts")).where("_parts > 1")
+    return readings.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+
+
 def with_stats(
-    readings: DataFrame, profiles: DataFrame, spec: SeriesSpec, period: Period, size: Audit
+    rows: DataFrame,
+    profiles: DataFrame,
+    spec: SeriesSpec,
+    period: Period,
+    size: Audit,
+    limits: JoinLimits,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
     """Readings on the slot grid with their hour and its ``_stats``.
 
-    Profiles of a checked size are broadcast, so the readings stay where they
-    were read. Beyond that both sides are shuffled by entity, and an entity
-    with very many readings is spread over several tasks.
+    Without ``parts`` the profiles are broadcast and the readings stay where
+    they were read. With ``parts``, rows come from ``gathered`` and meet a copy
+    of their entity's profile in each task that has some of its rows.
     """
     keys = list(spec.entity)
-    rows = typed_readings(readings, spec)
-    stats = profiles.select(*keys, F.col("seasons.stats").alias("_by_hour"))
-    if profile_bytes(spec, size) <= BROADCAST_BYTES:
+    stats = profiles.where("readings > 0").select(*keys, F.col("seasons.stats").alias("_by_hour"))
+    if parts is None:
         joined = rows.join(F.broadcast(stats), keys, "left")
     else:
-        limit = max(HOT_ROWS, size.rows // MAX_HOT)
-        splits = F.expr(f"cast(ceil(readings / {limit}) as int)").alias("_splits")
-        hot = profiles.where(F.col("readings") > limit).select(*keys, splits)
-        rows = (
-            rows.join(F.broadcast(hot), keys, "left")
-            .withColumn("_part", F.expr("coalesce(spark_partition_id() % _splits, 0)"))
-            .drop("_splits")
-        )
-        copies = profiles.select(
-            *keys,
-            F.col("seasons.stats").alias("_by_hour"),
-            F.explode(F.expr(f"sequence(0, greatest(cast(ceil(readings / {limit}) as int), 1) - 1)")).alias("_part"),
+        copies = (
+            stats.join(F.broadcast(parts), keys, "left")
+            .withColumn("_part", F.explode(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
+            .drop("_parts")
         )
+        if _profile_bytes(spec, size) // _partitions(rows) <= limits.build_bytes:
+            copies = copies.hint("shuffle_hash")
         joined = rows.join(copies, [*keys, "_part"], "left")
     return (
         joined.withColumn("_number", slot_number(spec.ts, spec, period))
@@ -156,11 +219,15 @@ def with_stats(
     )
 
 
-def profile_bytes(spec: SeriesSpec, size: Audit) -> int:
-    """Upper estimate of a broadcast profile table, from the counted entities
-    and the widest key."""
+def _profile_bytes(spec: SeriesSpec, size: Audit) -> int:
+    """Estimated size of the profiles' statistics, from the counted entities
+    (with a margin for the error of the count) and the widest key."""
     season = 32 + 16 * len(spec.metrics)
-    return size.entities * (64 + size.entity_bytes + HOURS * season)
+    return int(size.entities * 1.5) * (64 + size.entity_bytes + HOURS * season)
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _has_entity(spec: SeriesSpec) -> str:

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from slotwise.functions import quoted, slot_hour, slot_number, zscore
 from slotwise.operators.baseline import (
+    JoinLimits,
     baseline_columns,
     entity_profiles,
+    fits_broadcast,
+    gathered,
+    heavy_entities,
+    profiles_of,
     typed_readings,
     unseen_slots,
     with_stats,
@@ -45,16 +50,26 @@ def fill_gaps(
     period: Period,
     entities: DataFrame | None = None,
     size: Audit | None = None,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """The full grid with each missing cell set to the mean of its entity and
     hour of day, and with those means and deviations as columns.
 
     A cell stays NULL where its entity never reported at that hour. ``size``
     is the audit of the same readings; without it one is made.
+
+    With few entities the readings are not shuffled at all; with many they are
+    shuffled once.
     """
     size = size or measure(readings, spec, period)
-    profiles = entity_profiles(readings, spec, period, entities)
-    observed = with_stats(readings, profiles, spec, period, size).select(
+    parts = None
+    if fits_broadcast(spec, size, limits):
+        rows = typed_readings(readings, spec)
+    else:
+        parts = heavy_entities(readings, spec, size, limits)
+        rows = gathered(readings, spec, parts)
+    profiles = profiles_of(rows, spec, period, entities)
+    observed = with_stats(rows, profiles, spec, period, size, limits, parts).select(
         *spec.entity,
         "hour",
         spec.ts,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from slotwise.operators.baseline import JoinLimits
 from slotwise.operators.quality import Audit, require_complete
 from slotwise.operators.repair import fill_gaps, mask_outliers
 from slotwise.spec import Period, SeriesSpec
@@ -15,6 +16,7 @@ def clean(
     period: Period,
     entities: DataFrame | None = None,
     size: Audit | None = None,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """Cleaned readings on the full grid of the period.
 
@@ -23,4 +25,4 @@ def clean(
     have been audited already.
     """
     size = size or require_complete(readings, spec, period)
-    return mask_outliers(fill_gaps(readings, spec, period, entities, size), spec)
+    return mask_outliers(fill_gaps(readings, spec, period, entities, size, limits), spec)

@@ -7,6 +7,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame
 
+from slotwise.operators.baseline import JoinLimits
 from slotwise.operators.quality import Audit, require_complete
 from slotwise.operators.summary import anomalies, daily_summary
 from slotwise.operators.upsert import upsert_table
@@ -76,6 +77,7 @@ def run(
     anomalies_path: str,
     entities: DataFrame | None = None,
     closed_end: bool = False,
+    limits: JoinLimits = JoinLimits(),
 ) -> Audit:
     """Clean a period and write its daily summary, cleaned rows and anomalies.
 
@@ -87,8 +89,8 @@ def run(
     )
     source = in_period(readings, spec, period, closed_end)
     folder = run_folder(readings.sparkSession)
-    cleaned = stage(clean(source, spec, period, entities, found), folder, "cleaned")
+    cleaned = stage(clean(source, spec, period, entities, found, limits), folder, "cleaned")
     store.write_daily(daily_summary(cleaned, spec), spec)
     store.write_cleaned(cleaned, spec)
-    write_csv(anomalies(cleaned, spec), anomalies_path)
+    write_csv(anomalies(cleaned, spec).hint("rebalance"), anomalies_path)
     return found

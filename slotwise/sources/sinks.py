@@ -55,14 +55,8 @@ def read_json(
 
 
 def write_csv(df: DataFrame, path: str, time_format: str = TIME_FORMAT) -> None:
-    """CSV with a header. Few rows out of many tasks are first brought into
-    few files."""
-    (
-        df.hint("rebalance")
-        .write.mode("overwrite")
-        .options(header=True, timestampNTZFormat=time_format)
-        .csv(path)
-    )
+    """CSV with a header."""
+    df.write.mode("overwrite").options(header=True, timestampNTZFormat=time_format).csv(path)
 
 
 @dataclass(frozen=True)

@@ -38,6 +38,9 @@ class SeriesSpec:
             object.__setattr__(self, field, (value,) if isinstance(value, str) else tuple(value))
         if not self.entity:
             raise ValueError("a series needs at least one entity column")
+        for name in (*self.entity, self.ts, *self.metrics):
+            if "." in name or "`" in name:
+                raise ValueError(f"column names must not contain dots or backticks: {name}")
         if self.slot <= timedelta(0) or self.slot.microseconds or _DAY % self.slot:
             raise ValueError(f"slot must be whole seconds and divide a day, not {self.slot}")
         if not self.summary_metrics:
