@@ -143,14 +143,14 @@ def upserted(
     spark: SparkSession, rows: DataFrame, keys: list[str], day_column: str, marked: str
 ) -> DataFrame:
     """A target table up to 01-20 with one column set to -1, then an upsert of
-    everything from 01-11 on."""
+    everything from 01-11 on. Both updates are parts of one staged table."""
     folder = sources.run_folder(spark)
     rows = sources.stage(rows, folder, "rows")
     day = F.to_date(day_column)
     old = rows.where(day < F.lit("2024-01-21").cast("date")).withColumn(marked, F.lit(-1.0))
     new = rows.where(day >= F.lit("2024-01-11").cast("date"))
-    for part, updates in (("old", old), ("new", new)):
-        op.upsert_table(updates, f"{folder}/target", keys, day_column, f"{folder}/{part}")
+    for updates in (old, new):
+        op.merge_staged(updates, f"{folder}/target", keys, day_column)
     target_schema = sources.with_day_parts(rows, day_column).schema
     return rounded(op.read_target(spark, f"{folder}/target", target_schema).select(*rows.columns))
 

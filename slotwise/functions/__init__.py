@@ -1,26 +1,28 @@
-from slotwise.functions.stats import number_or_null, zscore
 from slotwise.functions.time import (
+    day_of,
     day_parts,
-    int_range,
     ntz,
     quoted,
     slot_floor,
     slot_hour,
     slot_number,
+    slot_of,
     slot_position,
-    slot_time,
+    with_slots,
 )
+from slotwise.functions.stats import number_or_null, zscore
 
 __all__ = [
+    "day_of",
     "day_parts",
-    "int_range",
     "ntz",
     "number_or_null",
     "quoted",
     "slot_floor",
     "slot_hour",
     "slot_number",
+    "slot_of",
     "slot_position",
-    "slot_time",
+    "with_slots",
     "zscore",
 ]

@@ -7,9 +7,9 @@ much cheaper per row than the calendar functions.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slotwise.spec import Period, SeriesSpec
 
@@ -24,41 +24,55 @@ def ntz(value: datetime) -> Column:
     return F.expr(_literal(value))
 
 
-def int_range(n: int) -> Column:
-    """Array ``0 .. n-1``, empty for n = 0 (``sequence`` would count down)."""
-    return F.expr(f"sequence(0, {n - 1})" if n > 0 else "cast(array() as array<int>)")
-
-
 def slot_number(ts: str, spec: SeriesSpec, period: Period) -> Column:
     """Index of the slot at ``ts``, NULL unless ts lies exactly on a slot of
     the period."""
-    number = _number(ts, spec, period)
-    inside = f"{quoted(ts)} >= {_literal(period.start)} and {quoted(ts)} < {_literal(period.slots_end)}"
-    return F.expr(f"if({inside} and {_time(number, spec, period)} = {quoted(ts)}, {number}, null)")
-
-
-def slot_time(number: str, spec: SeriesSpec, period: Period) -> Column:
-    """Timestamp of a slot from its index."""
-    return F.expr(_time(quoted(number), spec, period))
+    t, elapsed = quoted(ts), _elapsed(ts, period)
+    inside = f"{t} >= {_literal(period.start)} and {t} < {_literal(period.slots_end)}"
+    on_slot = f"{elapsed} % {_seconds(spec)} = 0 and extract(second from {t}) = second({t})"
+    return F.expr(f"if({inside} and {on_slot}, cast({elapsed} div {_seconds(spec)} as int), null)")
 
 
 def slot_floor(ts: str, spec: SeriesSpec, period: Period) -> Column:
     """Timestamp of the slot that ``ts`` falls into, for ts >= period.start."""
-    return F.expr(_time(_number(ts, spec, period), spec, period))
+    number = f"({_elapsed(ts, period)} div {_seconds(spec)})"
+    return F.expr(f"{_literal(period.start)} + interval '{_seconds(spec)}' second * {number}")
+
+
+def with_slots(df: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+    """Each row with every slot of the period: adds the timestamp and the
+    integers ``_day`` (of the period) and ``_slot`` (of the day)."""
+    if period.days == 0:
+        days = "cast(array() as array<timestamp_ntz>)"
+    else:
+        last = period.slots_end - timedelta(days=1)
+        days = f"sequence({_literal(period.start)}, {_literal(last)}, interval '1' day)"
+    rest = 86400 - _seconds(spec)
+    slots = f"sequence(_first, _first + interval '{rest}' second, interval '{_seconds(spec)}' second)"
+    columns = df.columns
+    daily = df.select(*columns, F.posexplode(F.expr(days)).alias("_day", "_first"))
+    return daily.select(*columns, "_day", F.posexplode(F.expr(slots)).alias("_slot", spec.ts))
 
 
-def slot_hour(number: str, spec: SeriesSpec, period: Period) -> Column:
-    """Hour of day of a slot from its index."""
-    return F.expr(f"cast({_second_of_day(number, spec, period)} div 3600 as int)")
+def day_of(number: str, spec: SeriesSpec) -> Column:
+    return F.expr(f"cast({quoted(number)} div {spec.slots_per_day} as int)")
 
 
-def slot_position(number: str, spec: SeriesSpec, period: Period) -> Column:
+def slot_of(number: str, spec: SeriesSpec) -> Column:
+    return F.expr(f"{quoted(number)} % {spec.slots_per_day}")
+
+
+def slot_hour(slot: str, spec: SeriesSpec, period: Period) -> Column:
+    """Hour of day of a slot from its place in the day."""
+    return F.expr(f"cast({_second_of_day(slot, spec, period)} div 3600 as int)")
+
+
+def slot_position(day: str, slot: str, spec: SeriesSpec, period: Period) -> Column:
     """Place of a slot among all slots of its hour of day in the period."""
-    day = f"{quoted(number)} div {spec.slots_per_day}"
     if spec.slots_per_hour == 1:
-        return F.expr(f"cast({day} as int)")
-    place = f"({_second_of_day(number, spec, period)} % 3600) div {_seconds(spec)}"
-    return F.expr(f"cast(({day}) * {spec.slots_per_hour} + {place} as int)")
+        return F.col(day)
+    place = f"({_second_of_day(slot, spec, period)} % 3600) div {_seconds(spec)}"
+    return F.expr(f"cast({quoted(day)} * {spec.slots_per_hour} + {place} as int)")
 
 
 def day_parts(value: str) -> dict[str, Column]:
@@ -74,16 +88,13 @@ def _seconds(spec: SeriesSpec) -> int:
     return int(spec.slot.total_seconds())
 
 
-def _number(ts: str, spec: SeriesSpec, period: Period) -> str:
-    elapsed = f"cast(cast({quoted(ts)} - {_literal(period.start)} as interval second) as bigint)"
-    return f"cast({elapsed} div {_seconds(spec)} as int)"
-
-
-def _time(number: str, spec: SeriesSpec, period: Period) -> str:
-    return f"({_literal(period.start)} + interval '{_seconds(spec)}' second * {number})"
+def _elapsed(ts: str, period: Period) -> str:
+    """Whole seconds since the start of the period. The function reads a
+    wall-clock time as if it were UTC, whatever the session zone."""
+    start = int((period.start - datetime(1970, 1, 1)).total_seconds())
+    return f"(to_unix_timestamp({quoted(ts)}) - {start})"
 
 
-def _second_of_day(number: str, spec: SeriesSpec, period: Period) -> str:
+def _second_of_day(slot: str, spec: SeriesSpec, period: Period) -> str:
     start = (period.start.hour * 60 + period.start.minute) * 60 + period.start.second
-    offset = f"({quoted(number)} % {spec.slots_per_day}) * {_seconds(spec)}"
-    return f"(({start} + {offset}) % 86400)"
+    return f"(({start} + {quoted(slot)} * {_seconds(spec)}) % 86400)"

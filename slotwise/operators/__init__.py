@@ -18,7 +18,7 @@ from slotwise.operators.spine import (
     slot_spine,
 )
 from slotwise.operators.summary import anomalies, daily_summary
-from slotwise.operators.upsert import read_target, upsert, upsert_table
+from slotwise.operators.upsert import merge_staged, read_target, upsert, upsert_table
 
 __all__ = [
     "Audit",
@@ -36,6 +36,7 @@ __all__ = [
     "hourly_baseline",
     "mask_outliers",
     "measure",
+    "merge_staged",
     "missing_slots",
     "observed_period",
     "read_target",

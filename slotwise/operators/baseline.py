@@ -13,7 +13,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from slotwise.functions import int_range, number_or_null, quoted, slot_hour, slot_number, slot_position, slot_time
+from slotwise.functions import (
+    day_of,
+    number_or_null,
+    quoted,
+    slot_hour,
+    slot_number,
+    slot_of,
+    slot_position,
+    with_slots,
+)
 from slotwise.operators.quality import Audit
 from slotwise.operators.spine import spread
 from slotwise.spec import Period, SeriesSpec
@@ -80,11 +89,12 @@ def profiles_of(
         rows = rows.unionByName(silent, allowMissingColumns=True)
     by_hour = (
         rows.select(*spec.entity, *spec.metrics, slot_number(spec.ts, spec, period).alias("_number"))
+        .withColumns({"_day": day_of("_number", spec), "_slot": slot_of("_number", spec)})
         .select(
             *spec.entity,
             *spec.metrics,
-            slot_hour("_number", spec, period).alias("_hour"),
-            slot_position("_number", spec, period).alias("_position"),
+            slot_hour("_slot", spec, period).alias("_hour"),
+            slot_position("_day", "_slot", spec, period).alias("_position"),
         )
         .groupBy(*spec.entity, "_hour")
         .agg(
@@ -127,15 +137,14 @@ def baseline_columns(spec: SeriesSpec) -> list[Column]:
 
 def unseen_slots(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """``(entity..., ts, hour, _stats)`` for each slot without a reading."""
-    slots = int_range(period.days * spec.slots_per_day)
     return (
-        profiles.select(*spec.entity, "seasons", F.explode(slots).alias("_number"))
+        with_slots(profiles.select(*spec.entity, "seasons"), spec, period)
         .select(
             *spec.entity,
             "seasons",
-            slot_time("_number", spec, period).alias(spec.ts),
-            slot_hour("_number", spec, period).alias("hour"),
-            slot_position("_number", spec, period).alias("_position"),
+            spec.ts,
+            slot_hour("_slot", spec, period).alias("hour"),
+            slot_position("_day", "_slot", spec, period).alias("_position"),
         )
         .withColumn("_season", F.expr("get(seasons, hour)"))
         .where(f"coalesce(getbit(get(_season.seen, cast(_position div {WORD} as int)), _position % {WORD}), 0) = 0")
@@ -198,6 +207,7 @@ def with_stats(
     of their entity's profile in each task that has some of its rows.
     """
     keys = list(spec.entity)
+    rows = _with_hour(rows, spec, period)
     stats = profiles.where("readings > 0").select(*keys, F.col("seasons.stats").alias("_by_hour"))
     if parts is None:
         joined = rows.join(F.broadcast(stats), keys, "left")
@@ -211,14 +221,23 @@ def with_stats(
             copies = copies.hint("shuffle_hash")
         joined = rows.join(copies, [*keys, "_part"], "left")
     return (
-        joined.withColumn("_number", slot_number(spec.ts, spec, period))
-        .withColumn("hour", slot_hour("_number", spec, period))
-        .withColumn("_stats", F.expr("get(_by_hour, hour)"))
+        joined.withColumn("_stats", F.expr("get(_by_hour, hour)"))
         .where("_stats is not null")
         .select(*keys, "hour", spec.ts, *spec.metrics, "_stats")
     )
 
 
+def _with_hour(rows: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+    """Add the hour of the slot at the time column; -1, which no profile has,
+    off the slots.
+
+    With a NULL there instead, Spark would move the test for it below the
+    shuffle or rollup that the profiles start from, and run that twice.
+    """
+    hour = F.coalesce(slot_hour("_slot", spec, period), F.lit(-1))
+    return rows.withColumn("_slot", slot_of_time(spec, period)).withColumn("hour", hour).drop("_slot")
+
+
 def _profile_bytes(spec: SeriesSpec, size: Audit) -> int:
     """Estimated size of the profiles' statistics, from the counted entities
     (with a margin for the error of the count) and the widest key."""
@@ -230,6 +249,11 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slot_of_time(spec: SeriesSpec, period: Period) -> Column:
+    """Place in its day of the slot at the time column, NULL off the slots."""
+    return slot_number(spec.ts, spec, period) % spec.slots_per_day
+
+
 def _has_entity(spec: SeriesSpec) -> str:
     return " and ".join(f"{quoted(c)} is not null" for c in spec.entity)
 

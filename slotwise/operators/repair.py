@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotwise.functions import quoted, slot_hour, slot_number, zscore
+from slotwise.functions import quoted, slot_hour, zscore
 from slotwise.operators.baseline import (
     JoinLimits,
     baseline_columns,
@@ -13,6 +13,7 @@ from slotwise.operators.baseline import (
     gathered,
     heavy_entities,
     profiles_of,
+    slot_of_time,
     typed_readings,
     unseen_slots,
     with_stats,
@@ -36,9 +37,9 @@ def expand_gaps(
     slot without one. Repeated readings are all kept."""
     observed = (
         typed_readings(readings, spec)
-        .withColumn("_number", slot_number(spec.ts, spec, period))
-        .where("_number is not null")
-        .select(*spec.entity, spec.ts, slot_hour("_number", spec, period).alias("hour"), *spec.metrics)
+        .withColumn("_slot", slot_of_time(spec, period))
+        .where("_slot is not null")
+        .select(*spec.entity, spec.ts, slot_hour("_slot", spec, period).alias("hour"), *spec.metrics)
     )
     gaps = missing_slots(readings, spec, period, entities)
     return observed.unionByName(gaps, allowMissingColumns=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.functions import int_range, ntz, slot_hour, slot_time
+from slotwise.functions import ntz, slot_hour, with_slots
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -56,13 +56,6 @@ def spread(entities: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def expected_grid(entities: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """Every entity with every slot; generated row by row, so no join."""
-    slots = int_range(period.days * spec.slots_per_day)
-    return (
-        spread(entities, spec)
-        .select(*spec.entity, F.explode(slots).alias("_number"))
-        .select(
-            *spec.entity,
-            slot_time("_number", spec, period).alias(spec.ts),
-            slot_hour("_number", spec, period).alias("hour"),
-        )
+    return with_slots(spread(entities, spec).select(*spec.entity), spec, period).select(
+        *spec.entity, spec.ts, slot_hour("_slot", spec, period).alias("hour")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,30 +37,42 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 def upsert_table(
     updates: DataFrame, path: str, keys: Sequence[str], day_column: str, work: str | None = None
 ) -> None:
-    """Upsert into a Parquet table partitioned by year, month and day.
+    """Stage the updates under a name of their own, then ``merge_staged``."""
+    folder = work or run_folder(updates.sparkSession)
+    merge_staged(stage(updates, folder, "upsert-staging"), path, keys, day_column)
 
-    The updates are staged under a name of their own first. Only the days they
-    touch are read and rewritten, and a rerun with the same updates leaves the
-    same table. ``day_column`` must be one of the keys, so that a key never
-    moves to another partition. A target file is removed only when the rewrite
-    commits, after all tasks have read it; lost tasks are simply run again.
+
+def merge_staged(staged: DataFrame, path: str, keys: Sequence[str], day_column: str) -> None:
+    """Upsert staged rows into a Parquet table partitioned by year, month and
+    day, which is made if there is none.
+
+    Only the days that the rows fall on are read and rewritten, and a rerun
+    with the same rows leaves the same table. ``day_column`` must be one of the
+    keys, so that a key never moves to another partition. Repeated keys are an
+    error. A target file is removed only when the rewrite commits, after all
+    tasks have read it; lost tasks are simply run again.
     """
     if day_column not in keys:
         raise ValueError(f"{day_column} must be part of the key {tuple(keys)}")
-    spark = updates.sparkSession
-    staged = stage(with_day_parts(updates, day_column), work or run_folder(spark), "upsert-staging")
-    require_unique(staged, keys)
-    target = read_target(spark, path, staged.schema)
-    write_partitions(upsert(touched(target, staged), staged, keys), path, "parquet")
+    day = F.to_date(day_column)
+    found = (
+        staged.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.max("copies").alias("copies"), F.min(day).alias("first"), F.max(day).alias("last"))
+        .first()
+    )
+    if found["copies"] is None:
+        return
+    if found["copies"] > 1:
+        require_unique(staged, keys)
+    staged = with_day_parts(staged, day_column)
+    target = touched(read_target(staged.sparkSession, path, staged.schema), staged, found["first"], found["last"])
+    write_partitions(upsert(target, staged, keys), path, "parquet")
 
 
-def touched(target: DataFrame, staged: DataFrame) -> DataFrame:
-    """Target rows in the partitions that staged rows fall into.
-
-    The range of days is brought to the driver, as two dates, because as
-    literals they prune the listing of the target's partitions.
-    """
+def touched(target: DataFrame, staged: DataFrame, first: date, last: date) -> DataFrame:
+    """Target rows in the partitions that staged rows fall into. The range of
+    days, as literals, prunes the listing of the target's partitions."""
     day = F.make_date(*[F.col(part) for part in PARTITIONS])
-    first, last = staged.agg(F.min(day), F.max(day)).first()
     days = staged.select(*PARTITIONS).distinct()
     return target.where(day.between(F.lit(first), F.lit(last))).join(days, list(PARTITIONS), "left_semi")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from slotwise.operators.baseline import JoinLimits
 from slotwise.operators.quality import Audit, require_complete
 from slotwise.operators.summary import anomalies, daily_summary
-from slotwise.operators.upsert import upsert_table
+from slotwise.operators.upsert import merge_staged, upsert_table
 from slotwise.plans.clean import clean
 from slotwise.sources.files import in_period
 from slotwise.sources.sinks import JdbcTarget, write_csv, write_jdbc, write_json
@@ -42,7 +42,10 @@ class JsonStore:
 
 @dataclass(frozen=True)
 class TableStore:
-    """Partitioned Parquet tables with one row per key; a rerun upserts."""
+    """Partitioned Parquet tables with one row per key; a rerun upserts.
+
+    The cleaned rows of a run are staged already, the summary is not.
+    """
 
     daily_path: str
     cleaned_path: str
@@ -51,7 +54,7 @@ class TableStore:
         upsert_table(daily, self.daily_path, ["date", *spec.entity], "date")
 
     def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> None:
-        upsert_table(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts)
+        merge_staged(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts)
 
 
 @dataclass(frozen=True)
