@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotwise import Period, SeriesSpec
 
-TURBINES = SeriesSpec(
-    entity="turbine_id", ts="timestamp", metrics=("wind_speed", "wind_direction", "power_output")
+DEVICES = SeriesSpec(
+    entity="device_id", ts="timestamp", metrics=("speed", "direction", "power")
 )
 ONE = SeriesSpec(entity="id", ts="ts", metrics="x")
 ONE_SCHEMA = "id int, ts timestamp_ntz, x double"

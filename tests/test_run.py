@@ -4,7 +4,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql.types import BooleanType, DoubleType
 
-from helpers import TURBINES, assert_frames, at, brute_fill, brute_mask, daily_at_midnight, one_metric
+from helpers import DEVICES, assert_frames, at, brute_fill, brute_mask, daily_at_midnight, one_metric
 from slotwise import JsonStore, Period, SeriesSpec, TableStore, run
 from slotwise.__main__ import main, parser, series, store
 from slotwise.operators import IncompleteReadings, daily_summary, read_target
@@ -12,10 +12,10 @@ from slotwise.plans import JdbcStore
 from slotwise.sources import read_json, scan_csv, with_day_parts
 
 PERIOD = Period.of("2022-03-01", "2022-03-15")
-COLUMNS = ["timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output"]
+COLUMNS = ["timestamp", "device_id", "speed", "direction", "power"]
 
 
-def turbine_rows():
+def device_rows():
     """Two devices with gaps, one extreme value and one moderate one."""
     rows = []
     for i in range(14 * 24):
@@ -34,13 +34,13 @@ def turbine_rows():
 
 @pytest.fixture(scope="module")
 def expected():
-    return brute_mask(brute_fill(turbine_rows()[:-1], TURBINES, PERIOD), TURBINES)
+    return brute_mask(brute_fill(device_rows()[:-1], DEVICES, PERIOD), DEVICES)
 
 
 @pytest.fixture(scope="module")
 def csv_folder(tmp_path_factory):
     folder = tmp_path_factory.mktemp("readings")
-    rows = turbine_rows()
+    rows = device_rows()
     for part in range(3):
         lines = [f"{t},{d},{w!r},{v!r},{p!r}" for d, t, w, v, p in rows[part::3]]
         (folder / f"part{part}.csv").write_text("\n".join([",".join(COLUMNS), *lines]) + "\n")
@@ -48,36 +48,36 @@ def csv_folder(tmp_path_factory):
 
 
 def readings(spark):
-    rows = [(t, d, w, v, p) for d, t, w, v, p in turbine_rows()]
+    rows = [(t, d, w, v, p) for d, t, w, v, p in device_rows()]
     return spark.createDataFrame(
         rows,
-        "timestamp timestamp_ntz, turbine_id int, wind_speed double, wind_direction double, power_output double",
+        "timestamp timestamp_ntz, device_id int, speed double, direction double, power double",
     )
 
 
 def cleaned_schema(spark):
-    doubles = ", ".join(f"{c} double" for c in TURBINES.cleaned_columns[3:])
-    return spark.createDataFrame([], f"turbine_id int, hour int, timestamp timestamp_ntz, {doubles}").schema
+    doubles = ", ".join(f"{c} double" for c in DEVICES.cleaned_columns[3:])
+    return spark.createDataFrame([], f"device_id int, hour int, timestamp timestamp_ntz, {doubles}").schema
 
 
 def check_anomalies(spark, path, expected):
-    z = ((expected.power_output - expected.power_output_mean) / expected.power_output_stddev).abs()
+    z = ((expected.power - expected.power_mean) / expected.power_stddev).abs()
     wanted = expected[z > 2]
     assert 0 < len(wanted) < 40
-    schema = cleaned_schema(spark).add("zscore_power_output", DoubleType()).add("outlier", BooleanType())
+    schema = cleaned_schema(spark).add("zscore_power", DoubleType()).add("outlier", BooleanType())
     found = scan_csv(spark, path, schema)
-    assert_frames(found, wanted, TURBINES)
-    assert all(r.outlier and r.zscore_power_output > 2 for r in found.collect())
+    assert_frames(found, wanted, DEVICES)
+    assert all(r.outlier and r.zscore_power > 2 for r in found.collect())
 
 
 def test_json_store(spark, tmp_path, expected):
     kept = JsonStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
     for _ in range(2):
-        found = run(readings(spark), TURBINES, PERIOD, kept, str(tmp_path / "anomalies"))
+        found = run(readings(spark), DEVICES, PERIOD, kept, str(tmp_path / "anomalies"))
         cleaned = read_json(spark, kept.cleaned_path, cleaned_schema(spark))
-        assert_frames(cleaned, expected, TURBINES)
-    assert found.rows == len(turbine_rows()) - 1
-    summary = daily_summary(cleaned, TURBINES)
+        assert_frames(cleaned, expected, DEVICES)
+    assert found.rows == len(device_rows()) - 1
+    summary = daily_summary(cleaned, DEVICES)
     stored = read_json(spark, kept.daily_path, summary.schema).select(summary.columns)
     assert stored.count() == 28
     for ours, again in zip(sorted(map(tuple, stored.collect())), sorted(map(tuple, summary.collect()))):
@@ -89,27 +89,27 @@ def test_json_store(spark, tmp_path, expected):
 def test_table_store_reruns_and_extends(spark, tmp_path, expected):
     kept = TableStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
     for _ in range(2):
-        run(readings(spark), TURBINES, PERIOD, kept, str(tmp_path / "anomalies"))
+        run(readings(spark), DEVICES, PERIOD, kept, str(tmp_path / "anomalies"))
     empty = with_day_parts(spark.createDataFrame([], cleaned_schema(spark)), "timestamp")
     cleaned = read_target(spark, kept.cleaned_path, empty.schema)
-    assert_frames(cleaned, expected, TURBINES)
+    assert_frames(cleaned, expected, DEVICES)
     check_anomalies(spark, str(tmp_path / "anomalies"), expected)
 
     more = Period.of("2022-03-15", "2022-03-16")
-    run(readings(spark), TURBINES, more, kept, str(tmp_path / "more"))
+    run(readings(spark), DEVICES, more, kept, str(tmp_path / "more"))
     cleaned = read_target(spark, kept.cleaned_path, empty.schema)
     assert cleaned.count() == len(expected) + 24
-    daily = daily_summary(cleaned, TURBINES)
+    daily = daily_summary(cleaned, DEVICES)
     stored = read_target(spark, kept.daily_path, with_day_parts(daily, "date").schema)
     assert stored.count() == 29
 
 
 def test_the_closed_end_adds_a_device_without_slots(spark, tmp_path):
     kept = JsonStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
-    run(readings(spark), TURBINES, PERIOD, kept, str(tmp_path / "anomalies"), closed_end=True)
-    late = read_json(spark, kept.cleaned_path, cleaned_schema(spark)).where("turbine_id = 9")
+    run(readings(spark), DEVICES, PERIOD, kept, str(tmp_path / "anomalies"), closed_end=True)
+    late = read_json(spark, kept.cleaned_path, cleaned_schema(spark)).where("device_id = 9")
     assert late.count() == 14 * 24
-    assert late.where("power_output is not null").count() == 0
+    assert late.where("power is not null").count() == 0
 
 
 def test_untimed_readings_stop_the_run_before_anything_is_written(spark, tmp_path):
@@ -124,7 +124,7 @@ def test_untimed_readings_stop_the_run_before_anything_is_written(spark, tmp_pat
 def arguments(csv_folder, out, *more):
     return [
         "--input", f"{csv_folder}/*.csv", "--start", "2022-03-01", "--end", "2022-03-15",
-        "--entity", "turbine_id", "--metrics", "wind_speed", "wind_direction", "power_output",
+        "--entity", "device_id", "--metrics", "speed", "direction", "power",
         "--daily", f"{out}/daily", "--cleaned", f"{out}/cleaned", "--anomalies", f"{out}/anomalies", *more,
     ]
 
@@ -132,7 +132,7 @@ def arguments(csv_folder, out, *more):
 def test_command_line(spark, tmp_path, csv_folder, expected, capsys):
     main(arguments(csv_folder, tmp_path))
     assert "readings of" in capsys.readouterr().out
-    assert_frames(read_json(spark, str(tmp_path / "cleaned"), cleaned_schema(spark)), expected, TURBINES)
+    assert_frames(read_json(spark, str(tmp_path / "cleaned"), cleaned_schema(spark)), expected, DEVICES)
     check_anomalies(spark, str(tmp_path / "anomalies"), expected)
 
 
@@ -157,5 +157,5 @@ def test_command_line_choices(tmp_path):
 
 
 def test_expected_fixture_masks_the_extreme_value(expected):
-    row = expected[(expected.turbine_id == 1) & (expected.timestamp == at("2022-03-04T07:00:00"))]
-    assert float(row.power_output.iloc[0]) == float(row.power_output_mean.iloc[0])
+    row = expected[(expected.device_id == 1) & (expected.timestamp == at("2022-03-04T07:00:00"))]
+    assert float(row.power.iloc[0]) == float(row.power_mean.iloc[0])

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-from helpers import ONE, ONE_SCHEMA, TURBINES, at, one_metric
+from helpers import ONE, ONE_SCHEMA, DEVICES, at, one_metric
 from slotwise import Period, SeriesSpec
 from slotwise.operators import IncompleteReadings, require_complete
 from slotwise.sources import (
@@ -21,7 +21,7 @@ from slotwise.sources import (
 )
 
 DAY = Period.of("2022-03-01", "2022-03-02")
-HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
+HEADER = "timestamp,device_id,speed,direction,power\n"
 
 
 def csv(folder: Path, name: str, text: str) -> None:
@@ -33,7 +33,7 @@ def test_csv_files_by_glob_with_a_declared_schema(spark, tmp_path):
     csv(tmp_path, "a.csv", HEADER + "2022-03-01 00:00:00,1,10.5,123,1.5\n")
     csv(tmp_path, "b.csv", HEADER + "2022-03-01 01:00:00,2,11,90,2.5\n")
     csv(tmp_path, "c.txt", "not a reading\n")
-    df = scan_csv(spark, f"{tmp_path}/*.csv", reading_schema(TURBINES))
+    df = scan_csv(spark, f"{tmp_path}/*.csv", reading_schema(DEVICES))
     assert [f.dataType.simpleString() for f in df.schema] == ["timestamp_ntz", "int", "double", "double", "double"]
     assert sorted(tuple(r) for r in df.collect()) == [
         (at("2022-03-01T00:00:00"), 1, 10.5, 123.0, 1.5),
@@ -42,16 +42,16 @@ def test_csv_files_by_glob_with_a_declared_schema(spark, tmp_path):
 
 
 def test_a_csv_header_in_another_order_is_an_error(spark, tmp_path):
-    csv(tmp_path, "a.csv", "turbine_id,timestamp,wind_speed,wind_direction,power_output\n1,2022-03-01 00:00:00,1,2,3\n")
+    csv(tmp_path, "a.csv", "device_id,timestamp,speed,direction,power\n1,2022-03-01 00:00:00,1,2,3\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
-        scan_csv(spark, str(tmp_path), reading_schema(TURBINES)).collect()
+        scan_csv(spark, str(tmp_path), reading_schema(DEVICES)).collect()
 
 
 def test_a_csv_cell_that_does_not_parse_reaches_the_audit(spark, tmp_path):
     csv(tmp_path, "a.csv", HEADER + "2022-03-01 00:00:00,1,n/a,90,3\n2022-03-01 01:00:00,1,1,90,\n")
-    df = scan_csv(spark, str(tmp_path), reading_schema(TURBINES))
-    with pytest.raises(IncompleteReadings, match="wind_speed: 1, power_output: 1"):
-        require_complete(df, TURBINES, DAY)
+    df = scan_csv(spark, str(tmp_path), reading_schema(DEVICES))
+    with pytest.raises(IncompleteReadings, match="speed: 1, power: 1"):
+        require_complete(df, DEVICES, DAY)
 
 
 def test_entity_types_can_be_declared():

@@ -2,11 +2,11 @@ from datetime import date
 
 import pytest
 
-from helpers import ONE, TURBINES, at
+from helpers import ONE, DEVICES, at
 from slotwise import SeriesSpec
 from slotwise.operators import daily_summary
 
-POWER = SeriesSpec(entity="turbine_id", ts="timestamp", metrics="power_output")
+POWER = SeriesSpec(entity="device_id", ts="timestamp", metrics="power")
 
 
 def test_daily_statistics(spark):
@@ -20,14 +20,14 @@ def test_daily_statistics(spark):
             (at("2022-03-01T00:00:00"), 2, 150.0),
             (at("2022-03-01T01:00:00"), 2, 250.0),
         ],
-        "timestamp timestamp_ntz, turbine_id int, power_output double",
+        "timestamp timestamp_ntz, device_id int, power double",
     )
     result = daily_summary(df, POWER)
     assert result.columns == [
-        "date", "turbine_id",
-        "power_output_mean", "power_output_min", "power_output_max", "power_output_stddev",
+        "date", "device_id",
+        "power_mean", "power_min", "power_max", "power_stddev",
     ]
-    found = {(r.date, r.turbine_id): tuple(r)[2:] for r in result.collect()}
+    found = {(r.date, r.device_id): tuple(r)[2:] for r in result.collect()}
     assert found == {
         (date(2022, 3, 1), 1): (200.0, 100.0, 300.0, 100.0),
         (date(2022, 3, 2), 1): (450.0, 400.0, 500.0, pytest.approx(70.71067811865476)),
@@ -45,7 +45,7 @@ def test_empty_cells_are_skipped_and_single_rows_have_no_deviation(spark):
 
 
 def test_the_last_metric_is_summarised_unless_others_are_named(spark):
-    assert TURBINES.summary_metrics == ("power_output",)
+    assert DEVICES.summary_metrics == ("power",)
     both = SeriesSpec(entity="id", ts="ts", metrics=("x", "y"), summary_metrics=("x", "y"))
     df = spark.createDataFrame([(1, at("2022-03-01"), 5.0, 6.0)], "id int, ts timestamp_ntz, x double, y double")
     row = daily_summary(df, both).first()
