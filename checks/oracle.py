@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.queries import digits
+
 METRICS = ("v", "mx", "n")
 
 RANGE_SCAN = """
@@ -75,7 +77,7 @@ CAST(day({day}) AS INTEGER) AS day"""
 
 
 def _round(*columns: str) -> str:
-    return ", ".join(f"round({c}, 9) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, {digits(c)}) AS {c}" for c in columns)
 
 
 MEANS = [f"{m}_mean" for m in METRICS]
