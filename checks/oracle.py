@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import digits
+from checks.queries import OTHER_SLOTS, PER_SLOT, digits
 
 METRICS = ("v", "mx", "n")
 
@@ -25,13 +25,13 @@ SELECT slot_ts, CAST(hour(slot_ts) AS INTEGER) AS hour FROM slots
 
 STEPS = """
 WITH readings AS (
-  SELECT {e}, date_trunc('hour', ts) AS slot_ts,
+  SELECT {e}, time_bucket(INTERVAL '{minutes} minutes', ts) AS slot_ts,
          avg(value) AS v, max(value) AS mx, CAST(count(*) AS DOUBLE) AS n
   FROM events
   WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'
   GROUP BY 1, 2
 ), slots AS (
-  SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS slot_ts
+  SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL '{minutes} minutes')) AS slot_ts
 ), entities AS (
   SELECT DISTINCT {e} FROM readings
 ), grid AS (
@@ -94,6 +94,13 @@ SELECT count(*) AS rows,
        count(*) - count({e}) AS null_{e}, count(*) - count(slot_ts) AS null_slot_ts,
        count(*) - count(v) AS null_v, count(*) - count(mx) AS null_mx, count(*) - count(n) AS null_n
 FROM expanded""",
+    "readings_audit": """
+SELECT count(*) AS rows,
+       count(*) - count({e}) AS null_{e}, count(*) - count(ts) AS null_ts, count(*) - count(value) AS null_value,
+       count(*) FILTER (WHERE ts <> date_trunc('hour', ts)
+                        OR ts < TIMESTAMP '2024-01-01' OR ts >= TIMESTAMP '2024-01-31') AS off_slot
+FROM events""",
+    "repeated_slots": "SELECT {e}, slot_ts, CAST(n AS BIGINT) AS copies FROM readings WHERE n > 1",
     "distinct_entities": "SELECT {e} FROM entities",
     "expected_grid": "SELECT {e}, slot_ts, hour FROM grid",
     "gap_expand": f"SELECT {{e}}, slot_ts, hour, {_round(*METRICS)} FROM expanded",
@@ -102,6 +109,7 @@ FROM expanded""",
     "impute_gaps": f"SELECT {CLEANED} FROM filled",
     "zscores": "SELECT {e}, hour, slot_ts, " + _round("zscore_v", "zscore_mx", "zscore_n") + " FROM scored",
     "mask_outliers": f"SELECT {CLEANED} FROM cleaned",
+    "mask_outliers_one_shuffle": f"SELECT {CLEANED} FROM cleaned",
     "anomalies": f"SELECT {ANOMALIES} FROM anomalies",
     "date_partition_cols": f"SELECT {CLEANED}, {PARTS.format(day='slot_ts')} FROM cleaned",
     "upsert_daily": """
@@ -123,6 +131,10 @@ SELECT {e}, hour, slot_ts,
 def all_oracles() -> dict[str, str]:
     found = {"range_scan": RANGE_SCAN, "csv_scan": RANGE_SCAN, "hourly_slots": HOURLY_SLOTS}
     for name, tail in TAILS.items():
-        found[name] = (STEPS + tail).format(e="event_type")
-        found[f"{name}_by_user"] = (STEPS + tail).format(e="user_id")
+        found[name] = (STEPS + tail).format(e="event_type", minutes=60)
+        found[f"{name}_by_user"] = (STEPS + tail).format(e="user_id", minutes=60)
+    for name in PER_SLOT:
+        for label, slot in OTHER_SLOTS.items():
+            sql = (STEPS + TAILS[name]).format(e="event_type", minutes=int(slot.total_seconds()) // 60)
+            found[f"{name}_{label}"] = sql
     return found

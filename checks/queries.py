@@ -3,12 +3,14 @@
 Events are irregular, so hourly readings are rolled up first: per entity and
 hour the mean value ``v``, the largest value ``mx`` and the count ``n``. The
 entity is ``event_type`` (dense series) or ``user_id`` (sparse series, queries
-named ``*_by_user``).
+named ``*_by_user``). Some queries repeat the work with slots of 15 minutes or
+two hours, or with the join that large numbers of entities lead to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +20,7 @@ from slotwise import Period, SeriesSpec, clean
 from slotwise import operators as op
 from slotwise import sources
 from slotwise.functions import slot_floor
+from slotwise.operators.baseline import JoinLimits
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 PERIOD = Period.of("2024-01-01", "2024-01-31")
@@ -27,9 +30,20 @@ MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def series(entity: str) -> SeriesSpec:
+HOUR = timedelta(hours=1)
+
+# Every join by shuffle, and entities spread over tasks from 500 readings on.
+SHUFFLED = JoinLimits(broadcast_bytes=0, task_rows=500)
+
+
+def series(entity: str, slot: timedelta = HOUR) -> SeriesSpec:
     return SeriesSpec(
-        entity=entity, ts="slot_ts", metrics=("v", "mx", "n"), summary_metrics="v", anomaly_metric="v"
+        entity=entity,
+        ts="slot_ts",
+        metrics=("v", "mx", "n"),
+        slot=slot,
+        summary_metrics="v",
+        anomaly_metric="v",
     )
 
 
@@ -41,8 +55,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_parquet(spark, f"{sf_dir}/events.parquet")
 
 
-def readings_hourly(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec = series(entity)
+def readings_hourly(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
+    spec = series(entity, slot)
     in_range = sources.in_period(events(spark, sf_dir), event_series(entity), PERIOD)
     return in_range.groupBy(entity, slot_floor("ts", spec, PERIOD).alias(spec.ts)).agg(
         F.avg("value").alias("v"),
@@ -51,14 +65,21 @@ def readings_hourly(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     )
 
 
-def cleaned(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return clean(readings_hourly(spark, sf_dir, entity), series(entity), PERIOD)
+def cleaned(
+    spark: SparkSession,
+    sf_dir: str,
+    entity: str,
+    slot: timedelta = HOUR,
+    limits: JoinLimits = JoinLimits(),
+) -> DataFrame:
+    readings = readings_hourly(spark, sf_dir, entity, slot)
+    return clean(readings, series(entity, slot), PERIOD, limits=limits)
 
 
-def daily(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def daily(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
     """The daily summary looks at ``v`` only, so only ``v`` is cleaned."""
-    spec = series(entity).only("v")
-    return op.daily_summary(clean(readings_hourly(spark, sf_dir, entity), spec, PERIOD), spec)
+    spec = series(entity, slot).only("v")
+    return op.daily_summary(clean(readings_hourly(spark, sf_dir, entity, slot), spec, PERIOD), spec)
 
 
 def digits(column: str) -> int:
@@ -101,6 +122,21 @@ def null_audit(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return op.audit(grid, spec, PERIOD).select("rows", *[f"null_{c}" for c in spec.reading_columns])
 
 
+def readings_audit(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The audit of the raw events, nearly all of which lie off the slots."""
+    spec = event_series(entity)
+    found = op.audit(events(spark, sf_dir), spec, PERIOD)
+    return found.select("rows", *[f"null_{c}" for c in spec.reading_columns], "off_slot")
+
+
+def repeated_slots(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Slots of an entity that hold more than one event."""
+    spec = series(entity)
+    in_range = sources.in_period(events(spark, sf_dir), event_series(entity), PERIOD)
+    slotted = in_range.select(entity, slot_floor("ts", spec, PERIOD).alias(spec.ts))
+    return op.repeated_keys(slotted, [entity, spec.ts])
+
+
 def distinct_entities(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     spec = event_series(entity)
     return op.distinct_entities(sources.in_period(events(spark, sf_dir), spec, PERIOD), spec)
@@ -120,8 +156,8 @@ def gap_expand(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return rounded(op.expand_gaps(readings_hourly(spark, sf_dir, entity), series(entity), PERIOD))
 
 
-def missing_slots(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return op.missing_slots(readings_hourly(spark, sf_dir, entity), series(entity), PERIOD)
+def missing_slots(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
+    return op.missing_slots(readings_hourly(spark, sf_dir, entity, slot), series(entity, slot), PERIOD)
 
 
 def hourly_baseline(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -208,6 +244,8 @@ PER_ENTITY: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "daily_summary": lambda *args: rounded(daily(*args)),
     "readings_hourly": lambda *args: rounded(readings_hourly(*args)),
     "null_audit": null_audit,
+    "readings_audit": readings_audit,
+    "repeated_slots": repeated_slots,
     "distinct_entities": distinct_entities,
     "expected_grid": expected_grid,
     "gap_expand": gap_expand,
@@ -224,16 +262,28 @@ PER_ENTITY: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "json_cleaned_roundtrip": json_cleaned_roundtrip,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "stage_roundtrip": stage_roundtrip,
+    "mask_outliers_one_shuffle": lambda *args: rounded(cleaned(*args, limits=SHUFFLED)),
+}
+
+OTHER_SLOTS = {"quarter_hourly": timedelta(minutes=15), "two_hourly": timedelta(hours=2)}
+
+PER_SLOT: dict[str, Callable[[SparkSession, str, str, timedelta], DataFrame]] = {
+    "missing_slots": missing_slots,
+    "mask_outliers": lambda *args: rounded(cleaned(*args)),
+    "daily_summary": lambda *args: rounded(daily(*args)),
 }
 
 
 def all_queries() -> dict[str, Query]:
     found = dict(SINGLE)
     for name, query in PER_ENTITY.items():
-        found[name] = partial(_with_entity, query, "event_type")
-        found[f"{name}_by_user"] = partial(_with_entity, query, "user_id")
+        found[name] = partial(_applied, query, ("event_type",))
+        found[f"{name}_by_user"] = partial(_applied, query, ("user_id",))
+    for name, query in PER_SLOT.items():
+        for label, slot in OTHER_SLOTS.items():
+            found[f"{name}_{label}"] = partial(_applied, query, ("event_type", slot))
     return found
 
 
-def _with_entity(query, entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query(spark, sf_dir, entity)
+def _applied(query, arguments: tuple, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query(spark, sf_dir, *arguments)

@@ -96,6 +96,12 @@ def profiles_of(
             slot_hour("_slot", spec, period).alias("_hour"),
             slot_position("_day", "_slot", spec, period).alias("_position"),
         )
+        .withColumns(
+            {
+                "_word": F.expr(f"cast(_position div {WORD} as int)"),
+                "_bit": F.expr(f"shiftleft(1L, _position % {WORD})"),
+            }
+        )
         .groupBy(*spec.entity, "_hour")
         .agg(
             F.count("_position").alias("n"),
@@ -260,9 +266,8 @@ def _has_entity(spec: SeriesSpec) -> str:
 
 def _seen_words(spec: SeriesSpec, period: Period) -> Column:
     """Bit set of the positions seen, as an array of 64-bit words."""
-    bit = f"shiftleft(1L, _position % {WORD})"
     words = max(1, -(-period.days * spec.slots_per_hour // WORD))
     if words == 1:
-        return F.expr(f"array(coalesce(bit_or({bit}), 0L))")
-    parts = [f"coalesce(bit_or(if(_position div {WORD} = {w}, {bit}, null)), 0L)" for w in range(words)]
+        return F.expr("array(coalesce(bit_or(_bit), 0L))")
+    parts = [f"coalesce(bit_or(if(_word = {w}, _bit, null)), 0L)" for w in range(words)]
     return F.expr(f"array({', '.join(parts)})")
