@@ -8,6 +8,7 @@ from slotwise.functions.time import (
     slot_number,
     slot_of,
     slot_position,
+    slot_time,
     with_slots,
 )
 from slotwise.functions.stats import number_or_null, zscore
@@ -23,6 +24,7 @@ __all__ = [
     "slot_number",
     "slot_of",
     "slot_position",
+    "slot_time",
     "with_slots",
     "zscore",
 ]

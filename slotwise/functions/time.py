@@ -39,6 +39,11 @@ def slot_floor(ts: str, spec: SeriesSpec, period: Period) -> Column:
     return F.expr(f"{_literal(period.start)} + interval '{_seconds(spec)}' second * {number}")
 
 
+def slot_time(number: str, spec: SeriesSpec, period: Period) -> Column:
+    """Timestamp of a slot from its index."""
+    return F.expr(f"{_literal(period.start)} + interval '{_seconds(spec)}' second * {quoted(number)}")
+
+
 def with_slots(df: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """Each row with every slot of the period: adds the timestamp and the
     integers ``_day`` (of the period) and ``_slot`` (of the day)."""

@@ -11,11 +11,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from slotwise.functions import (
     day_of,
-    number_or_null,
     quoted,
     slot_hour,
     slot_number,
@@ -23,12 +21,16 @@ from slotwise.functions import (
     slot_position,
     with_slots,
 )
+from slotwise.operators.presence import WORD, slots_seen, unseen
 from slotwise.operators.quality import Audit
+from slotwise.operators.readings import slot_of_time, typed_readings, with_silent
 from slotwise.operators.spine import spread
 from slotwise.spec import Period, SeriesSpec
 
 HOURS = 24
-WORD = 64
+
+# Words of slots seen that a profile holds per hour of day at most.
+MAX_WORDS = 8
 
 # Rows looked at when searching for entities that hold very many readings.
 SAMPLE_ROWS = 10_000_000
@@ -48,22 +50,6 @@ class JoinLimits:
     build_bytes: int = 64 << 20
 
 
-def typed_readings(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Only the series' columns, with wall-clock times and double metrics.
-
-    A time that needs no cast is passed on as it is: an alias for the same
-    column would keep Spark from seeing that two uses of a frame are equal.
-    """
-    ts = F.col(spec.ts)
-    if not isinstance(readings.schema[spec.ts].dataType, TimestampNTZType):
-        ts = ts.cast("timestamp_ntz").alias(spec.ts)
-    return readings.select(
-        *spec.entity,
-        ts,
-        *[number_or_null(m).alias(m) for m in spec.metrics],
-    ).where(_has_entity(spec))
-
-
 def entity_profiles(
     readings: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
@@ -84,9 +70,7 @@ def profiles_of(
     rows: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
     """``entity_profiles`` of readings that are typed already."""
-    if entities is not None:
-        silent = entities.select(*spec.entity).where(_has_entity(spec))
-        rows = rows.unionByName(silent, allowMissingColumns=True)
+    rows = with_silent(rows, spec, entities)
     by_hour = (
         rows.select(*spec.entity, *spec.metrics, slot_number(spec.ts, spec, period).alias("_number"))
         .withColumns({"_day": day_of("_number", spec), "_slot": slot_of("_number", spec)})
@@ -107,7 +91,7 @@ def profiles_of(
             F.count("_position").alias("n"),
             *[F.avg(m).alias(f"{m}_mean") for m in spec.metrics],
             *[F.stddev_samp(m).alias(f"{m}_stddev") for m in spec.metrics],
-            _seen_words(spec, period).alias("seen"),
+            _seen_by_hour(spec, period).alias("seen"),
         )
     )
     stats = ", ".join(map(quoted, ["n", *spec.mean_columns, *spec.stddev_columns]))
@@ -158,6 +142,27 @@ def unseen_slots(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataF
     )
 
 
+def unseen_slots_of_long_period(
+    rows: DataFrame,
+    profiles: DataFrame,
+    spec: SeriesSpec,
+    period: Period,
+    entities: DataFrame | None = None,
+) -> DataFrame:
+    """``unseen_slots`` where profiles hold no bit sets. Both sides of the join
+    are hashed by entity already."""
+    seen = slots_seen(rows, spec, period, entities)
+    both = seen.join(profiles.select(*spec.entity, "seasons"), list(spec.entity))
+    return unseen(both, spec, period).select(
+        *spec.entity, spec.ts, "hour", F.expr("get(seasons.stats, hour)").alias("_stats")
+    )
+
+
+def is_long(spec: SeriesSpec, period: Period) -> bool:
+    """Whether the slots of one hour of day need more than MAX_WORDS words."""
+    return _words_per_hour(spec, period) > MAX_WORDS
+
+
 def fits_broadcast(spec: SeriesSpec, size: Audit, limits: JoinLimits) -> bool:
     return _profile_bytes(spec, size) <= limits.broadcast_bytes
 
@@ -255,18 +260,16 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slot_of_time(spec: SeriesSpec, period: Period) -> Column:
-    """Place in its day of the slot at the time column, NULL off the slots."""
-    return slot_number(spec.ts, spec, period) % spec.slots_per_day
-
-
-def _has_entity(spec: SeriesSpec) -> str:
-    return " and ".join(f"{quoted(c)} is not null" for c in spec.entity)
+def _words_per_hour(spec: SeriesSpec, period: Period) -> int:
+    return max(1, -(-period.days * spec.slots_per_hour // WORD))
 
 
-def _seen_words(spec: SeriesSpec, period: Period) -> Column:
-    """Bit set of the positions seen, as an array of 64-bit words."""
-    words = max(1, -(-period.days * spec.slots_per_hour // WORD))
+def _seen_by_hour(spec: SeriesSpec, period: Period) -> Column:
+    """Bit set of the positions seen, as an array of words; NULL for a long
+    period, where it would need too many columns in the aggregate."""
+    words = _words_per_hour(spec, period)
+    if words > MAX_WORDS:
+        return F.lit(None).cast("array<bigint>")
     if words == 1:
         return F.expr("array(coalesce(bit_or(_bit), 0L))")
     parts = [f"coalesce(bit_or(if(_word = {w}, _bit, null)), 0L)" for w in range(words)]

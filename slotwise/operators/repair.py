@@ -8,17 +8,18 @@ from slotwise.functions import quoted, slot_hour, zscore
 from slotwise.operators.baseline import (
     JoinLimits,
     baseline_columns,
-    entity_profiles,
     fits_broadcast,
     gathered,
     heavy_entities,
+    is_long,
     profiles_of,
-    slot_of_time,
-    typed_readings,
     unseen_slots,
+    unseen_slots_of_long_period,
     with_stats,
 )
+from slotwise.operators.presence import slots_seen, unseen
 from slotwise.operators.quality import Audit, measure
+from slotwise.operators.readings import slot_of_time, typed_readings
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -26,8 +27,7 @@ def missing_slots(
     readings: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
     """``(entity..., ts, hour)`` for each expected slot without a reading."""
-    profiles = entity_profiles(readings, spec.only(), period, entities)
-    return unseen_slots(profiles, spec, period).drop("_stats")
+    return unseen(slots_seen(typed_readings(readings, spec), spec, period, entities), spec, period)
 
 
 def expand_gaps(
@@ -77,7 +77,11 @@ def fill_gaps(
         *[F.coalesce(m, _mean(m)).alias(m) for m in spec.metrics],
         *baseline_columns(spec),
     )
-    filled = unseen_slots(profiles, spec, period).select(
+    if is_long(spec, period):
+        gaps = unseen_slots_of_long_period(rows, profiles, spec, period, entities)
+    else:
+        gaps = unseen_slots(profiles, spec, period)
+    filled = gaps.select(
         *spec.entity,
         "hour",
         spec.ts,
