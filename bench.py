@@ -2,8 +2,9 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of local threads.
 Each query runs twice to warm up and then three times into the ``noop`` sink;
-its time is the median. ``comparison`` holds two other formulations of
-``mask_outliers_by_user``; they are not part of the total.
+its time is the median. ``comparison`` times three formulations of
+``mask_outliers_by_user``, on the events as they are and with ten times the
+users; it is not part of the total.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ import os
 import statistics
 import sys
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.forms import join_form, window_form  # noqa: E402
+from checks.forms import join_form, profile_form, user_readings, window_form  # noqa: E402
 from checks.queries import all_queries  # noqa: E402
 
 HEADLINE = [
@@ -42,16 +44,23 @@ WARM_UP = 2
 RUNS = 3
 
 
-def seconds(make, sf_dir: str, spark: SparkSession) -> float:
-    def once() -> float:
-        start = time.perf_counter()
-        frame: DataFrame = make(spark, sf_dir)
-        frame.write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+def once(make: Callable[[], DataFrame]) -> float:
+    start = time.perf_counter()
+    make().write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
 
-    for _ in range(WARM_UP):
-        once()
-    return round(statistics.median(once() for _ in range(RUNS)), 3)
+
+def median_seconds(make: Callable[[], DataFrame], warm_up: int = WARM_UP, runs: int = RUNS) -> float:
+    for _ in range(warm_up):
+        once(make)
+    return round(statistics.median(once(make) for _ in range(runs)), 3)
+
+
+def compare(spark: SparkSession, sf_dir: str, copies: int, warm_up: int, runs: int) -> dict[str, float]:
+    return {
+        form.__name__: median_seconds(lambda form=form: form(*user_readings(spark, sf_dir, copies)), warm_up, runs)
+        for form in (profile_form, join_form, window_form)
+    }
 
 
 def main() -> None:
@@ -69,10 +78,10 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
-    times = {name: seconds(queries[name], sf_dir, spark) for name in HEADLINE}
+    times = {name: median_seconds(lambda name=name: queries[name](spark, sf_dir)) for name in HEADLINE}
     comparison = {
-        form.__name__: seconds(lambda s, d, form=form: form(s, d, "user_id"), sf_dir, spark)
-        for form in (join_form, window_form)
+        "users_x1": compare(spark, sf_dir, 1, WARM_UP, RUNS),
+        "users_x10": compare(spark, sf_dir, 10, 1, 2),
     }
     print(
         json.dumps(

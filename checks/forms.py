@@ -1,45 +1,55 @@
-"""Two other ways to compute the cleaned frame, to measure against.
+"""Three ways to compute the cleaned frame, to measure against each other.
 
-``join_form`` expands the grid with a cross join, aggregates it and joins the
-aggregate back. ``window_form`` replaces the second join by window aggregates.
-Both shuffle the expanded grid, and a window or a join key gathers all rows of
-one entity and hour in one task.
+``profile_form`` is the one in use. ``join_form`` expands the grid with a cross
+join, aggregates it and joins the aggregate back. ``window_form`` replaces the
+second join by window aggregates. Both of these shuffle the expanded grid, and a
+window or a join key gathers all rows of one entity and hour in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from checks.queries import PERIOD, readings_hourly, series
-from slotwise import SeriesSpec
+from checks.queries import PERIOD, events, rolled_up, series
+from slotwise import SeriesSpec, clean
 from slotwise import operators as op
 
 
-def _grid(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
-    slots = op.expected_slots(readings.sparkSession, spec, PERIOD)
-    return slots.crossJoin(op.distinct_entities(readings, spec)).join(readings, [*spec.entity, spec.ts], "left")
-
-
-def _finish(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    filled = df.withColumns({m: F.coalesce(m, f"{m}_mean") for m in spec.metrics})
-    return op.mask_outliers(filled.select(spec.cleaned_columns), spec)
+def profile_form(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
+    return clean(readings, spec, PERIOD)
 
 
-def join_form(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec = series(entity)
-    readings = readings_hourly(spark, sf_dir, entity)
+def join_form(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     op.require_complete(readings, spec, PERIOD)
     grid = _grid(readings, spec)
     stats = [fn(m).alias(f"{m}_{name}") for m in spec.metrics for name, fn in (("mean", F.avg), ("stddev", F.stddev))]
-    baseline = grid.groupBy(entity, "hour").agg(*stats)
-    return _finish(grid.join(baseline, [entity, "hour"], "left"), spec)
+    key = [*spec.entity, "hour"]
+    return _finish(grid.join(grid.groupBy(*key).agg(*stats), key, "left"), spec)
 
 
-def window_form(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spec = series(entity)
-    readings = readings_hourly(spark, sf_dir, entity)
+def window_form(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     op.require_complete(readings, spec, PERIOD)
-    same_hour = Window.partitionBy(entity, "hour")
+    same_hour = Window.partitionBy(*spec.entity, "hour")
     stats = {f"{m}_mean": F.avg(m).over(same_hour) for m in spec.metrics}
     stats |= {f"{m}_stddev": F.stddev(m).over(same_hour) for m in spec.metrics}
     return _finish(_grid(readings, spec).withColumns(stats), spec)
+
+
+def user_readings(spark: SparkSession, sf_dir: str, copies: int = 1) -> tuple[DataFrame, SeriesSpec]:
+    """Hourly readings per user, with each user's events repeated for
+    ``copies`` users."""
+    raw = events(spark, sf_dir)
+    if copies > 1:
+        raw = raw.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"))
+        raw = raw.withColumn("user_id", F.col("user_id") * copies + F.col("copy")).drop("copy")
+    return rolled_up(raw, "user_id"), series("user_id")
+
+
+def _grid(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
+    slots = op.expected_slots(readings.sparkSession, spec, PERIOD)
+    return slots.crossJoin(op.distinct_entities(readings, spec)).join(readings, [*spec.entity, spec.ts], "left")
+
+
+def _finish(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    filled = df.withColumns({m: F.coalesce(m, f"{m}_mean") for m in spec.metrics})
+    return op.mask_outliers(filled.select(spec.cleaned_columns), spec)

@@ -14,7 +14,7 @@ from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DataType, DoubleType
 
 from slotwise import Period, SeriesSpec, clean
 from slotwise import operators as op
@@ -52,12 +52,17 @@ def event_series(entity: str) -> SeriesSpec:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.scan_parquet(spark, f"{sf_dir}/events.parquet")
+    """The events, with their schema declared so that no file is opened for it."""
+    return sources.scan_parquet(spark, f"{sf_dir}/events.parquet", DataType.fromDDL(EVENTS))
 
 
 def readings_hourly(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
+    return rolled_up(events(spark, sf_dir), entity, slot)
+
+
+def rolled_up(raw: DataFrame, entity: str, slot: timedelta = HOUR) -> DataFrame:
     spec = series(entity, slot)
-    in_range = sources.in_period(events(spark, sf_dir), event_series(entity), PERIOD)
+    in_range = sources.in_period(raw, event_series(entity), PERIOD)
     return in_range.groupBy(entity, slot_floor("ts", spec, PERIOD).alias(spec.ts)).agg(
         F.avg("value").alias("v"),
         F.max("value").alias("mx"),
@@ -111,8 +116,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events through CSV files, scanned with a declared schema."""
     path = f"{sources.run_folder(spark)}/events"
     sources.write_csv(events(spark, sf_dir), path, MICROSECONDS)
-    schema = spark.createDataFrame([], EVENTS).schema
-    scanned = sources.scan_csv(spark, f"{path}/*.csv", schema, MICROSECONDS)
+    scanned = sources.scan_csv(spark, f"{path}/*.csv", DataType.fromDDL(EVENTS), MICROSECONDS)
     return sources.in_period(scanned, event_series("user_id"), FIRST_DAY, closed_end=True)
 
 

@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> None:
     found = run(
         readings, spec, Period.of(args.start, args.end), sink, args.anomalies, closed_end=args.closed_end
     )
-    print(f"{found.rows} readings of {found.entities} entities, {found.off_slot} off the slot grid")
+    print(f"{found.rows} readings of about {found.entities} entities, {found.off_slot} off the slot grid")
 
 
 if __name__ == "__main__":

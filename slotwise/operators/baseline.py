@@ -72,25 +72,19 @@ def profiles_of(
     """``entity_profiles`` of readings that are typed already."""
     rows = with_silent(rows, spec, entities)
     by_hour = (
-        rows.select(*spec.entity, *spec.metrics, slot_number(spec.ts, spec, period).alias("_number"))
+        rows.withColumn("_number", slot_number(spec.ts, spec, period))
         .withColumns({"_day": day_of("_number", spec), "_slot": slot_of("_number", spec)})
-        .select(
-            *spec.entity,
-            *spec.metrics,
-            slot_hour("_slot", spec, period).alias("_hour"),
-            slot_position("_day", "_slot", spec, period).alias("_position"),
-        )
         .withColumns(
             {
-                "_word": F.expr(f"cast(_position div {WORD} as int)"),
-                "_bit": F.expr(f"shiftleft(1L, _position % {WORD})"),
+                "_hour": slot_hour("_slot", spec, period),
+                "_position": slot_position("_day", "_slot", spec, period),
             }
         )
         .groupBy(*spec.entity, "_hour")
         .agg(
             F.count("_position").alias("n"),
-            *[F.avg(m).alias(f"{m}_mean") for m in spec.metrics],
-            *[F.stddev_samp(m).alias(f"{m}_stddev") for m in spec.metrics],
+            *[F.expr(f"avg({quoted(m)})").alias(f"{m}_mean") for m in spec.metrics],
+            *[F.expr(f"stddev_samp({quoted(m)})").alias(f"{m}_stddev") for m in spec.metrics],
             _seen_by_hour(spec, period).alias("seen"),
         )
     )
@@ -270,7 +264,8 @@ def _seen_by_hour(spec: SeriesSpec, period: Period) -> Column:
     words = _words_per_hour(spec, period)
     if words > MAX_WORDS:
         return F.lit(None).cast("array<bigint>")
+    bit = f"shiftleft(1L, _position % {WORD})"
     if words == 1:
-        return F.expr("array(coalesce(bit_or(_bit), 0L))")
-    parts = [f"coalesce(bit_or(if(_word = {w}, _bit, null)), 0L)" for w in range(words)]
+        return F.expr(f"array(coalesce(bit_or({bit}), 0L))")
+    parts = [f"coalesce(bit_or(if(_position div {WORD} = {w}, {bit}, null)), 0L)" for w in range(words)]
     return F.expr(f"array({', '.join(parts)})")

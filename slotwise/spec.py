@@ -10,6 +10,9 @@ from datetime import date, datetime, timedelta
 MASK_SIGMA = 3.0
 ANOMALY_SIGMA = 2.0
 
+# Names that results use themselves, as they do names with a leading underscore.
+RESERVED = frozenset({"date", "hour", "readings", "seasons"})
+
 _DAY = timedelta(days=1)
 
 
@@ -39,8 +42,8 @@ class SeriesSpec:
         if not self.entity:
             raise ValueError("a series needs at least one entity column")
         for name in (*self.entity, self.ts, *self.metrics):
-            if "." in name or "`" in name:
-                raise ValueError(f"column names must not contain dots or backticks: {name}")
+            if "." in name or "`" in name or name.startswith("_") or name in RESERVED:
+                raise ValueError(f"not usable as the name of a column of a series: {name}")
         if self.slot <= timedelta(0) or self.slot.microseconds or _DAY % self.slot:
             raise ValueError(f"slot must be whole seconds and divide a day, not {self.slot}")
         if not self.summary_metrics:
@@ -86,6 +89,10 @@ class Period:
     start: datetime
     end: datetime
 
+    def __post_init__(self) -> None:
+        if self.start.microsecond:
+            raise ValueError(f"a period must start on a whole second, not at {self.start}")
+
     @staticmethod
     def of(start: str | date | datetime, end: str | date | datetime) -> Period:
         return Period(_naive(start), _naive(end))

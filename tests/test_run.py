@@ -131,7 +131,7 @@ def arguments(csv_folder, out, *more):
 
 def test_command_line(spark, tmp_path, csv_folder, expected, capsys):
     main(arguments(csv_folder, tmp_path))
-    assert "readings of" in capsys.readouterr().out
+    assert "readings of about" in capsys.readouterr().out
     assert_frames(read_json(spark, str(tmp_path / "cleaned"), cleaned_schema(spark)), expected, DEVICES)
     check_anomalies(spark, str(tmp_path / "anomalies"), expected)
 

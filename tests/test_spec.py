@@ -37,3 +37,16 @@ def test_period_counts_whole_days():
 def test_zoned_times_are_refused():
     with pytest.raises(ValueError):
         Period.of(datetime(2022, 3, 1, tzinfo=timezone.utc), "2022-03-02")
+
+
+@pytest.mark.parametrize("name", ["hour", "date", "_x", "a.b", "a`b"])
+def test_names_that_results_use_are_refused(name):
+    with pytest.raises(ValueError, match="not usable"):
+        SeriesSpec(entity="id", ts="ts", metrics=name)
+    with pytest.raises(ValueError, match="not usable"):
+        SeriesSpec(entity=("id", name), ts="ts", metrics="x")
+
+
+def test_periods_start_on_whole_seconds():
+    with pytest.raises(ValueError):
+        Period.of("2022-03-01T00:00:00.5", "2022-03-02")
