@@ -161,26 +161,30 @@ def fits_broadcast(spec: SeriesSpec, size: Audit, limits: JoinLimits) -> bool:
     return _profile_bytes(spec, size) <= limits.broadcast_bytes
 
 
-def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame) -> DataFrame:
+def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None) -> DataFrame:
     """Typed readings hashed by entity, the only shuffle of whole readings.
 
     Both the baseline and the join to it start from here, and Spark reuses the
     exchange. ``parts`` lists the entities to spread over several tasks; their
     rows are dealt by the map task they come from, which no repetition of equal
-    rows can defeat.
+    rows can defeat. Without ``parts`` the hash by entity also serves the
+    aggregate and the join as it is.
     """
-    partitions = _partitions(readings)
+    rows = typed_readings(readings, spec)
+    if parts is None:
+        return rows.repartition(_partitions(rows), *spec.entity)
     return (
-        typed_readings(readings, spec)
-        .join(F.broadcast(parts), list(spec.entity), "left")
+        rows.join(F.broadcast(parts), list(spec.entity), "left")
         .withColumn("_part", F.expr("coalesce(spark_partition_id() % _parts, 0)"))
         .drop("_parts")
-        .repartition(partitions, *spec.entity, "_part")
+        .repartition(_partitions(rows), *spec.entity, "_part")
     )
 
 
-def heavy_entities(readings: DataFrame, spec: SeriesSpec, size: Audit, limits: JoinLimits) -> DataFrame:
-    """``(entity..., _parts)`` for entities too large for one task.
+def heavy_entities(
+    readings: DataFrame, spec: SeriesSpec, size: Audit, limits: JoinLimits
+) -> DataFrame | None:
+    """``(entity..., _parts)`` for entities too large for one task, or None.
 
     Sizes are estimated from a sample, which only decides where rows go. The
     list has at most one entry per shuffle partition and is fixed on the
@@ -193,42 +197,52 @@ def heavy_entities(readings: DataFrame, spec: SeriesSpec, size: Audit, limits: J
         keys = keys.sample(fraction, seed=1)
     parts = F.expr(f"cast(ceil(count(1) / {fraction} / {task_rows}) as int)")
     heavy = keys.groupBy(*spec.entity).agg(parts.alias("_parts")).where("_parts > 1")
-    return readings.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    found = heavy.collect()
+    return readings.sparkSession.createDataFrame(found, heavy.schema) if found else None
+
+
+def with_broadcast_stats(rows: DataFrame, profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+    """Readings on the slot grid with their hour and its ``_stats``; the
+    readings stay where they were read."""
+    rows = _with_hour(rows, spec, period)
+    return _matched(rows.join(F.broadcast(_known(profiles, spec)), list(spec.entity), "left"), spec)
 
 
-def with_stats(
+def with_shuffled_stats(
     rows: DataFrame,
     profiles: DataFrame,
     spec: SeriesSpec,
     period: Period,
     size: Audit,
     limits: JoinLimits,
-    parts: DataFrame | None = None,
+    parts: DataFrame | None,
 ) -> DataFrame:
-    """Readings on the slot grid with their hour and its ``_stats``.
-
-    Without ``parts`` the profiles are broadcast and the readings stay where
-    they were read. With ``parts``, rows come from ``gathered`` and meet a copy
-    of their entity's profile in each task that has some of its rows.
-    """
+    """The same for rows that come from ``gathered``. Those of a heavy entity
+    meet a copy of its profile in each task that has some of them."""
     keys = list(spec.entity)
-    rows = _with_hour(rows, spec, period)
-    stats = profiles.where("readings > 0").select(*keys, F.col("seasons.stats").alias("_by_hour"))
-    if parts is None:
-        joined = rows.join(F.broadcast(stats), keys, "left")
-    else:
-        copies = (
+    stats = _known(profiles, spec)
+    if parts is not None:
+        stats = (
             stats.join(F.broadcast(parts), keys, "left")
             .withColumn("_part", F.explode(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
             .drop("_parts")
         )
-        if _profile_bytes(spec, size) // _partitions(rows) <= limits.build_bytes:
-            copies = copies.hint("shuffle_hash")
-        joined = rows.join(copies, [*keys, "_part"], "left")
+        keys = [*keys, "_part"]
+    if _profile_bytes(spec, size) // _partitions(rows) <= limits.build_bytes:
+        stats = stats.hint("shuffle_hash")
+    return _matched(_with_hour(rows, spec, period).join(stats, keys, "left"), spec)
+
+
+def _known(profiles: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The statistics of the entities with readings on the slots."""
+    return profiles.where("readings > 0").select(*spec.entity, F.col("seasons.stats").alias("_by_hour"))
+
+
+def _matched(joined: DataFrame, spec: SeriesSpec) -> DataFrame:
     return (
         joined.withColumn("_stats", F.expr("get(_by_hour, hour)"))
         .where("_stats is not null")
-        .select(*keys, "hour", spec.ts, *spec.metrics, "_stats")
+        .select(*spec.entity, "hour", spec.ts, *spec.metrics, "_stats")
     )
 
 

@@ -15,7 +15,8 @@ from slotwise.operators.baseline import (
     profiles_of,
     unseen_slots,
     unseen_slots_of_long_period,
-    with_stats,
+    with_broadcast_stats,
+    with_shuffled_stats,
 )
 from slotwise.operators.presence import slots_seen, unseen
 from slotwise.operators.quality import Audit, measure
@@ -63,14 +64,16 @@ def fill_gaps(
     shuffled once.
     """
     size = size or measure(readings, spec, period)
-    parts = None
     if fits_broadcast(spec, size, limits):
         rows = typed_readings(readings, spec)
+        profiles = profiles_of(rows, spec, period, entities)
+        matched = with_broadcast_stats(rows, profiles, spec, period)
     else:
         parts = heavy_entities(readings, spec, size, limits)
         rows = gathered(readings, spec, parts)
-    profiles = profiles_of(rows, spec, period, entities)
-    observed = with_stats(rows, profiles, spec, period, size, limits, parts).select(
+        profiles = profiles_of(rows, spec, period, entities)
+        matched = with_shuffled_stats(rows, profiles, spec, period, size, limits, parts)
+    observed = matched.select(
         *spec.entity,
         "hour",
         spec.ts,

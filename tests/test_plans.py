@@ -81,15 +81,31 @@ def test_many_entities_move_the_readings_once(sensor):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
     assert plan.count("ShuffledHashJoin") == 1
     assert scans(plan) == 1
-    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line and "_part" in line]
-    assert len([line for line in shuffles if "Reused" not in line]) == 2  # readings, and the profiles they meet
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len([line for line in shuffles if "Reused" not in line]) == 1
     assert "ReusedExchange" in plan
 
 
-def test_profiles_too_large_to_hash_are_sorted(sensor):
+def test_heavy_entities_cost_three_shuffles_of_profiles(sensor):
+    limits = JoinLimits(broadcast_bytes=0, task_rows=1)
+    few = sensor.where("user_id < 3")
+    assert heavy_entities(few, series("user_id"), measure(few, series("user_id"), PERIOD), limits) is not None
+    plan = executed(clean(few, series("user_id"), PERIOD, limits=limits))
+    assert scans(plan) == 1 and plan.count("ShuffledHashJoin") == 1
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len([line for line in shuffles if "Reused" not in line]) == 4
+
+
+def test_profiles_too_large_to_hash_are_sorted(spark, sensor):
     limits = JoinLimits(broadcast_bytes=0, build_bytes=-1)
-    planned = clean(sensor, series("user_id"), PERIOD, limits=limits)._jdf.queryExecution().executedPlan()
-    assert "SortMergeJoin" in planned.toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(clean(sensor, series("user_id"), PERIOD, limits=limits))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 1
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "Reused" not in x]) == 1
 
 
 def test_a_rollup_is_computed_once(spark):
