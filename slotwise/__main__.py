@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spec, types = series(args)
     sink = store(args)
-    spark = SparkSession.builder.appName("slotwise").getOrCreate()
+    spark = SparkSession.builder.appName("slotwise").config("spark.ui.enabled", "false").getOrCreate()
     schema = reading_schema(spec, types)
     if args.format == "parquet":
         readings = scan_parquet(spark, args.input, schema)
