@@ -25,13 +25,16 @@ def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The target table, or an empty frame of its schema if there is none yet."""
+    """The target table, or an empty frame of its schema if there is none yet.
+
+    The limit lets the optimizer know that it is empty and drop joins to it.
+    """
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).limit(0)
 
 
 def upsert_table(

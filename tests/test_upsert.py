@@ -49,6 +49,13 @@ def test_a_table_is_made_on_first_use_and_reruns_change_nothing(spark, tmp_path)
         assert table(spark, path) == wanted
 
 
+def test_the_first_load_joins_nothing(spark, tmp_path):
+    staged = spark.createDataFrame([day(1, 1, 1.0)], SCHEMA)
+    target = read_target(spark, str(tmp_path / "none"), staged.schema)
+    plan = upsert(target, staged, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_only_touched_days_are_rewritten(spark, tmp_path):
     path = tmp_path / "table"
     upsert_table(spark.createDataFrame([day(n, 1, 0.0) for n in range(1, 6)], SCHEMA), str(path), KEYS, "date")
