@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import simhash, substring, tokens
+from slotwise.llm import decontaminate, language_id, mixing, simhash, substring, tokens
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,6 +17,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document stands in the mix of all sources, weighted by the root of their sizes."""
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), block_docs=8)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network trained on a sample of the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    network = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), network).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark items each document holds windows of 10 words of, and how many words they cover."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.count_hits(decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark"), window=10))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose fingerprints lead to each other in steps of 3 bits or fewer."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
@@ -36,6 +65,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_source_mix": op2_source_mix,
+        "op3_language_id": op3_language_id,
+        "op5_decontamination": op5_decontamination,
         "op7_simhash": op7_simhash,
         "op8_token_store": op8_token_store,
         "op10_substring_dedup": op10_substring_dedup,
