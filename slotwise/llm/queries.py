@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, language_id, mixing, simhash, substring, tokens
+from slotwise.llm import decontaminate, language_id, mixing, quality_rules, simhash, substring, tokens
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -32,6 +32,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of every document, its probability of being good and whether it is kept."""
+    scored = quality_rules.score(_table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which benchmark items each document holds windows of 10 words of, and how many words they cover."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,6 +75,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_source_mix": op2_source_mix,
         "op3_language_id": op3_language_id,
+        "op4_quality_rules": op4_quality_rules,
         "op5_decontamination": op5_decontamination,
         "op7_simhash": op7_simhash,
         "op8_token_store": op8_token_store,
