@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, language_id, mixing, quality_rules, simhash, substring, tokens
+from slotwise.llm import decontaminate, language_id, license_scan, mixing, quality_rules, simhash, substring, tokens
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -65,6 +65,21 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenize(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases of every document, and the labels of notices that a line contains."""
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words and more that smaller doc_ids have too."""
     kept = substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
@@ -79,5 +94,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op7_simhash": op7_simhash,
         "op8_token_store": op8_token_store,
+        "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
     }
