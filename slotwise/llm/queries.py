@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, language_id, license_scan, mixing, quality_rules, simhash, substring, tokens
+from slotwise.llm import (
+    decontaminate,
+    html_text,
+    language_id,
+    license_scan,
+    mixing,
+    quality_rules,
+    simhash,
+    substring,
+    tokens,
+    url_filter,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which pages are blocked, by the longest rule or as aliases of blocked ones."""
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document stands in the mix of all sources, weighted by the root of their sizes."""
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), block_docs=8)
@@ -54,6 +70,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page, laid out in lines."""
+    pages = html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose fingerprints lead to each other in steps of 3 bits or fewer."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
@@ -88,10 +110,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_source_mix": op2_source_mix,
         "op3_language_id": op3_language_id,
         "op4_quality_rules": op4_quality_rules,
         "op5_decontamination": op5_decontamination,
+        "op6_html_text": op6_html_text,
         "op7_simhash": op7_simhash,
         "op8_token_store": op8_token_store,
         "op9_license_scan": op9_license_scan,
