@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,70 +27,158 @@ ORC_OPTIONS = {
     "compression": "zstd",
 }
 END_ID = 0
-#: Pieces of text whose ids a task remembers; it starts over when there are more.
-MAX_PIECES = 400_000
+#: Bytes of the texts whose pieces are told apart together, bytes of a run of new pieces, ids of a batch of results.
+SLICE_BYTES, RUN_BYTES, OUT_IDS = 12 << 20, 8 << 10, 1 << 19
+#: Pieces whose ids a task remembers from slice to slice; it starts over when there are more.
+MAX_KNOWN = 300_000
 
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_INK = r"[^\t-\r \x1c-\x1f\x85\p{Z}]"
+#: Pieces that can stand in a run: neither end is white space, but for a space in front of some.
+_BARE = f"(?s)^{_INK}(.*{_INK})?$"
+_SPACED = f"(?s)^ {_INK}(.*{_INK})?$"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class PieceEncoder:
-    """Whole texts to ids, each distinct piece by the tokenizer once.
+    """Whole texts to ids, each distinct piece by the tokenizer once, as long as it is remembered.
 
     The byte-level pre-tokenizer never joins what a single space between two
-    other characters parts, and keeps that space with what follows. So a text
-    is split there, and the ids of its pieces are the ids of the text.
+    other characters parts, and keeps that space with what follows. So texts
+    are split there, and the ids of the pieces are the ids of the text. A single
+    line end between other characters is a piece of its own. For the same reason
+    pieces are encoded in runs, and the ids of a run are cut by the bytes that
+    each id stands for.
     """
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
-        self.max_pieces = max_pieces
+        self.end_id = end_id
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > self.max_pieces:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.id_bytes[i] = len(token)  # a character a byte
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    @staticmethod
+    def _marked(text: str) -> str:
+        """``text``, which has no null character, with one wherever it can be split: before spaces, around line ends."""
+        spaces = [c for c in _SPACES if c in text]
+        if "\n" in spaces and not (text[0].isspace() or text[-1].isspace()):
+            if not any(c + "\n" in text or "\n" + c in text for c in spaces):
+                text = text.replace("\n", "\0\n\0")
+        if any(c + " " in text or " " + c in text for c in spaces) or text[:1] == " " or text[-1:] == " ":
+            return _SAFE_SPACE.sub("\0 ", text)
+        return text.replace(" ", "\0 ")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes new parts, in runs of those with a space in front, in runs of those without, the others alone."""
+        texts = pa.array(parts, pa.string())
+        for fit, between in ((_SPACED, ""), (_BARE, "\n")):
+            some = texts.filter(pc.match_substring_regex(texts, fit))
+            ends = np.cumsum(pc.binary_length(some).to_numpy())
+            at = 0
+            while at < len(some):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + RUN_BYTES)))
+                self._learn_run(some.slice(at, to - at), between)
+                at = to
+        for part in parts:
+            if part not in self.known:
+                self.known[part] = self._ids(part).tobytes()
+
+    def _learn_run(self, parts: pa.StringArray, between: str) -> None:
+        texts, sizes = parts.to_pylist(), pc.binary_length(parts).to_numpy().astype(np.int64)
+        ids = self._ids(between.join(texts))
+        starts = np.cumsum(sizes + len(between)) - sizes - len(between)
+        passed = np.cumsum(self.id_bytes[ids]) - self.id_bytes[ids]  # the bytes before each id
+        first, last = np.searchsorted(passed, starts), np.searchsorted(passed, starts + sizes)
+        whole = ids.tobytes()
+        self.known.update({t: whole[4 * a : 4 * b] for t, a, b in zip(texts, first.tolist(), last.tolist(), strict=True)})
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts, one after the other, and the number of each part's ids."""
+        if len(self.known) > MAX_KNOWN:
             self.known.clear()
-        for at in range(0, len(pieces), 4096):
-            some = pieces[at : at + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        beside_spaces = any(c in text and (c + " " in text or " " + c in text) for c in _SPACES)
-        if beside_spaces or text[0] == " " or text[-1] == " " or "\0" in text:
-            first, *others = _SAFE_SPACE.split(text)
-            pieces = [first, *(" " + x for x in others)]
-        else:
-            pieces = text.replace(" ", "\0 ").split("\0")
-        ids = self.known
-        try:
-            return b"".join(map(ids.__getitem__, pieces))
-        except KeyError:
-            self._learn([x for x in set(pieces) if x not in ids])
-            try:
-                return b"".join(map(ids.__getitem__, pieces))
-            except KeyError:  # learning emptied what was known before
-                self._learn([x for x in set(pieces) if x not in ids])
-                return b"".join(map(ids.__getitem__, pieces))
+        self._learn([x for x in parts if x not in self.known])
+        found = [self.known[x] for x in parts]
+        return np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def _encode_pieces(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and the number of each piece's ids.
+
+        Marks after a letter are a part of their own to the pre-tokenizer, so
+        pieces that differ in these alone are encoded once.
+        """
+        split = pc.extract_regex(pieces, r"(?s)^(?P<stem>.*\pL)(?P<marks>[.,;:!?]+)$")
+        stems = pc.if_else(split.is_valid(), pc.struct_field(split, "stem"), pieces)
+        marks = pc.if_else(split.is_valid(), pc.struct_field(split, "marks"), "")
+        parts = pa.concat_arrays([stems, marks]).dictionary_encode()
+        ids, counts = self._encode_parts(parts.dictionary.to_pylist())
+        both = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # each stem before its marks
+        return _gathered(ids, _places(counts)[both]), counts[both].reshape(-1, 2).sum(1)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[int, int, pa.ListArray]]:
+        """The ids of texts a to b, each with the end id, for consecutive a and b."""
+        odd = {i: self._ids(t) for i, t in enumerate(texts) if "\0" in t}
+        marked = pa.array(("" if i in odd else self._marked(t) for i, t in enumerate(texts)), pa.large_string())
+        split = pc.split_pattern(marked, "\0")
+        coded = split.values.dictionary_encode()
+        ids, counts = self._encode_pieces(coded.dictionary.cast(pa.string()))
+        # the end id is a last piece, and so are the texts that have null characters
+        extra = [np.array([self.end_id], np.int32), *(np.append(x, self.end_id).astype(np.int32) for x in odd.values())]
+        last = np.full(len(texts), len(counts))
+        last[list(odd)] = len(counts) + 1 + np.arange(len(odd))
+        ids = np.concatenate([ids, *extra])
+        counts = np.concatenate([counts, [len(x) for x in extra]])
+        places = _places(counts)
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        order = np.insert(coded.indices.to_numpy().astype(np.int64), offsets[1:], last)
+        offsets += np.arange(len(offsets))
+        ends = np.concatenate([[0], np.cumsum(counts[order])])[offsets]
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + OUT_IDS, "right")) - 1)
+            some = _gathered(ids, places[order[offsets[a] : offsets[b]]])
+            yield a, b, pa.ListArray.from_arrays((ends[a : b + 1] - ends[a]).astype(np.int32), some)
+            a = b
+
+
+def _places(counts: np.ndarray) -> np.ndarray:
+    """(first, number) of consecutive groups of ids."""
+    return np.stack([np.cumsum(counts) - counts, counts], axis=1)
+
+
+def _gathered(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The ids at every (first, number) of ``places``, one after the other."""
+    first, n = places[:, 0], places[:, 1]
+    return ids[np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)]
+
+
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE_BYTES`` together; a larger text is a range of its own."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + SLICE_BYTES, "right")) - 1)
+        yield a, b
+        a = b
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, row, ids array<int>) for (doc_id, row, text): ids of the whole text and ``end_id``; a null text is empty."""
-    end = np.array([end_id], "<u4").tobytes()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = PieceEncoder(tokenizer, end_id)
         for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [encoder.encode(x.as_py() or "") + end for x in texts.slice(at, 256)]
-                offsets = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(found), "<i4"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), ids], ["doc_id", "row", "ids"])
+            texts, keys = batch.column("text").fill_null(""), batch.select(["doc_id", "row"])
+            for start, stop in _slices(pc.binary_length(texts).to_numpy()):
+                for a, b, ids in encoder.encode(texts.slice(start, stop - start).to_pylist()):
+                    part = keys.slice(start + a, b - a)
+                    yield pa.RecordBatch.from_arrays([*part.columns, ids], ["doc_id", "row", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "row", "text").mapInArrow(encode, f"doc_id {kind}, row bigint, ids array<int>")
@@ -124,7 +214,7 @@ def token_index(table: DataFrame) -> DataFrame:
     the sum of the files before, a row a file, and a running sum in each file.
     """
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("ids")
             flat, offsets = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
