@@ -184,12 +184,20 @@ class Network:
 
 
 def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(text, lang) of at most ``rows`` labelled rows, those with the smallest hashes, ``chars`` of each from a place that the hash chooses."""
-    order = F.xxhash64("doc_id", "text")
-    labelled = docs.where("lang is not null and text rlike '\\\\p{L}'").select("text", "lang", order.alias("h"))
-    start = F.pmod(F.col("h"), F.greatest(F.length("text") - chars, F.lit(1))) + 1
+    """(text, lang) of at most ``rows`` labelled rows, ``chars`` of each from a place that a hash chooses.
+
+    The labels are counted first. Then rows are drawn by the hash of their
+    doc_id, about twice as many as are asked for, and of these the ones with the
+    smallest hashes are taken, so that no task sends more than it must.
+    """
+    labelled = docs.where("lang is not null and text is not null")
+    total = max(docs.where("lang is not null").count(), 1)
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < min(int(2 * rows / total * (1 << 32)), 1 << 32)
+    drawn = labelled.where(drawn & F.col("text").rlike(r"\p{L}"))
+    h = F.xxhash64("doc_id", "text")
+    start = F.pmod(h, F.greatest(F.length("text") - chars, F.lit(1))) + 1
     cut = F.substring("text", start.cast("int"), F.lit(chars)).alias("text")
-    return labelled.select(cut, "lang", "h").orderBy("h", "text", "lang").limit(rows).select("text", "lang")
+    return drawn.select(cut, "lang", h.alias("h")).orderBy("h", "text", "lang").limit(rows).select("text", "lang")
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Network | None:
