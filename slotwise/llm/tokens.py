@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,13 @@ END_ID = 0
 SLICE_BYTES, RUN_BYTES, OUT_IDS = 12 << 20, 8 << 10, 1 << 19
 #: Pieces whose ids a task remembers from slice to slice; it starts over when there are more.
 MAX_KNOWN = 300_000
+#: Rows whose pieces every task knows from the start, and the characters of each that are looked at. It changes no
+#: result, and what is broadcast is about 300,000 pieces, or 10 MB, whatever the size of the table.
+COMMON_ROWS, COMMON_CHARS = 5000, 4096
 
-_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_WHITE = r"[\t-\r \x1c-\x1f\x85\p{Z}]"
+_BESIDE_SPACE = rf"{_WHITE} | {_WHITE}|\A | \z"
+_BESIDE_LINE_END = rf"{_WHITE}\n|\n{_WHITE}|\A\n|\n\z"
 _INK = r"[^\t-\r \x1c-\x1f\x85\p{Z}]"
 #: Pieces that can stand in a run: neither end is white space, but for a space in front of some.
 _BARE = f"(?s)^{_INK}(.*{_INK})?$"
@@ -40,6 +46,15 @@ _SPACED = f"(?s)^ {_INK}(.*{_INK})?$"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+@dataclass(frozen=True)
+class Common:
+    """Pieces that all tasks know, their ids one after the other, and how many each has."""
+
+    pieces: pa.StringArray
+    ids: np.ndarray
+    counts: np.ndarray
+
+
 class PieceEncoder:
     """Whole texts to ids, each distinct piece by the tokenizer once, as long as it is remembered.
 
@@ -51,10 +66,11 @@ class PieceEncoder:
     each id stands for.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, common: Common | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.common = common or Common(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int64))
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -65,15 +81,17 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
     @staticmethod
-    def _marked(text: str) -> str:
-        """``text``, which has no null character, with one wherever it can be split: before spaces, around line ends."""
-        spaces = [c for c in _SPACES if c in text]
-        if "\n" in spaces and not (text[0].isspace() or text[-1].isspace()):
-            if not any(c + "\n" in text or "\n" + c in text for c in spaces):
-                text = text.replace("\n", "\0\n\0")
-        if any(c + " " in text or " " + c in text for c in spaces) or text[:1] == " " or text[-1:] == " ":
-            return _SAFE_SPACE.sub("\0 ", text)
-        return text.replace(" ", "\0 ")
+    def _marked(texts: pa.StringArray) -> pa.StringArray:
+        """``texts`` with a null character wherever they can be split: before spaces, around line ends.
+
+        White space beside a space or a line end belongs with it to the
+        pre-tokenizer; such texts are split at their other spaces alone.
+        """
+        lined = pc.if_else(pc.match_substring_regex(texts, _BESIDE_LINE_END), texts, pc.replace_substring(texts, "\n", "\0\n\0"))
+        tight = pc.match_substring_regex(texts, _BESIDE_SPACE)
+        marked = pc.replace_substring(lined, " ", "\0 ")
+        some = [_SAFE_SPACE.sub("\0 ", x) for x in lined.filter(tight).to_pylist()]
+        return pc.replace_with_mask(marked, tight, pa.array(some, pa.string()))
 
     def _learn(self, parts: list[str]) -> None:
         """Encodes new parts, in runs of those with a space in front, in runs of those without, the others alone."""
@@ -99,13 +117,22 @@ class PieceEncoder:
         whole = ids.tobytes()
         self.known.update({t: whole[4 * a : 4 * b] for t, a, b in zip(texts, first.tolist(), last.tolist(), strict=True)})
 
-    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all parts, one after the other, and the number of each part's ids."""
+    def _encode_parts(self, parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and the place of each part's among them (first, number)."""
         if len(self.known) > MAX_KNOWN:
             self.known.clear()
-        self._learn([x for x in parts if x not in self.known])
-        found = [self.known[x] for x in parts]
-        return np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = pc.index_in(parts, value_set=self.common.pieces)
+        rest = parts.filter(at.is_null()).to_pylist()
+        self._learn([x for x in rest if x not in self.known])
+        found = [self.known[x] for x in rest]
+        ids = np.concatenate([np.frombuffer(b"".join(found), np.int32), self.common.ids])
+        own = _places(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        places = _places(self.common.counts) + [len(ids) - len(self.common.ids), 0]
+        out = np.empty((len(parts), 2), np.int64)
+        missing = at.is_null().to_numpy(zero_copy_only=False)
+        out[missing] = own
+        out[~missing] = places[at.drop_null().to_numpy()]
+        return ids, out
 
     def _encode_pieces(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, one after the other, and the number of each piece's ids.
@@ -117,17 +144,17 @@ class PieceEncoder:
         stems = pc.if_else(split.is_valid(), pc.struct_field(split, "stem"), pieces)
         marks = pc.if_else(split.is_valid(), pc.struct_field(split, "marks"), "")
         parts = pa.concat_arrays([stems, marks]).dictionary_encode()
-        ids, counts = self._encode_parts(parts.dictionary.to_pylist())
-        both = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # each stem before its marks
-        return _gathered(ids, _places(counts)[both]), counts[both].reshape(-1, 2).sum(1)
+        ids, places = self._encode_parts(parts.dictionary)
+        both = places[parts.indices.to_numpy().reshape(2, -1).T.ravel()]  # each stem before its marks
+        return _gathered(ids, both), both[:, 1].reshape(-1, 2).sum(1)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, int, pa.ListArray]]:
+    def encode(self, texts: pa.StringArray) -> Iterator[tuple[int, int, pa.ListArray]]:
         """The ids of texts a to b, each with the end id, for consecutive a and b."""
-        odd = {i: self._ids(t) for i, t in enumerate(texts) if "\0" in t}
-        marked = pa.array(("" if i in odd else self._marked(t) for i, t in enumerate(texts)), pa.large_string())
-        split = pc.split_pattern(marked, "\0")
+        nulls = pc.match_substring(texts, "\0")
+        odd = {i: self._ids(texts[i].as_py()) for i in np.flatnonzero(nulls.to_numpy(zero_copy_only=False)).tolist()}
+        split = pc.split_pattern(self._marked(pc.if_else(nulls, "", texts)), "\0")
         coded = split.values.dictionary_encode()
-        ids, counts = self._encode_pieces(coded.dictionary.cast(pa.string()))
+        ids, counts = self._encode_pieces(coded.dictionary)
         # the end id is a last piece, and so are the texts that have null characters
         extra = [np.array([self.end_id], np.int32), *(np.append(x, self.end_id).astype(np.int32) for x in odd.values())]
         last = np.full(len(texts), len(counts))
@@ -136,6 +163,7 @@ class PieceEncoder:
         counts = np.concatenate([counts, [len(x) for x in extra]])
         places = _places(counts)
         offsets = split.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
         order = np.insert(coded.indices.to_numpy().astype(np.int64), offsets[1:], last)
         offsets += np.arange(len(offsets))
         ends = np.concatenate([[0], np.cumsum(counts[order])])[offsets]
@@ -168,15 +196,34 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def common_pieces(docs: DataFrame, tokenizer: str) -> Common:
+    """The pieces of a few of the texts, whichever are read first."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = PieceEncoder(tokenizer, END_ID)
+        for batch in batches:
+            for _ in encoder.encode(batch.column("text")):
+                pass
+        found = pa.array(encoder.known.keys(), pa.string()), pa.array(encoder.known.values(), pa.binary())
+        yield pa.RecordBatch.from_arrays([*found], ["piece", "ids"])
+
+    some = docs.where("text is not null").select(F.substring("text", 1, COMMON_CHARS).alias("text")).limit(COMMON_ROWS)
+    found = some.mapInArrow(learn, "piece string, ids binary").toArrow()
+    counts = pc.binary_length(found.column("ids")).to_numpy().astype(np.int64) // 4
+    ids = np.frombuffer(b"".join(found.column("ids").to_pylist()), np.int32)
+    return Common(pa.array(found.column("piece").to_pylist(), pa.string()), ids, counts)
+
+
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, common: Common | None = None) -> DataFrame:
     """(doc_id, row, ids array<int>) for (doc_id, row, text): ids of the whole text and ``end_id``; a null text is empty."""
+    sent = docs.sparkSession.sparkContext.broadcast(common and (common.pieces, common.ids, common.counts))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer, end_id)
+        encoder = PieceEncoder(tokenizer, end_id, sent.value and Common(*sent.value))
         for batch in batches:
             texts, keys = batch.column("text").fill_null(""), batch.select(["doc_id", "row"])
             for start, stop in _slices(pc.binary_length(texts).to_numpy()):
-                for a, b, ids in encoder.encode(texts.slice(start, stop - start).to_pylist()):
+                for a, b, ids in encoder.encode(texts.slice(start, stop - start)):
                     part = keys.slice(start + a, b - a)
                     yield pa.RecordBatch.from_arrays([*part.columns, ids], ["doc_id", "row", "ids"])
 
@@ -199,7 +246,7 @@ def write_tokens(
     keyed = docs.select("doc_id", "text", *(key.alias(name) for name, key in keys.items()))
     ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = ranged.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    token_ids(numbered, tokenizer, end_id).write.options(**ORC_OPTIONS).orc(folder)
+    token_ids(numbered, tokenizer, end_id, common_pieces(docs, tokenizer)).write.options(**ORC_OPTIONS).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, doc_id_type: str = "bigint") -> DataFrame:
