@@ -203,9 +203,9 @@ def common_pieces(docs: DataFrame, tokenizer: str) -> Common:
     """The pieces of a few of the texts, whichever are read first."""
     some = docs.where("text is not null").select(F.substring("text", 1, COMMON_CHARS).alias("text")).limit(COMMON_ROWS)
     encoder = PieceEncoder(tokenizer, END_ID)
-    for chunk in some.toArrow().column("text").chunks:
-        for _ in encoder.encode(chunk.cast(pa.string())):
-            pass
+    texts = pa.array([r["text"] for r in some.collect()], pa.string())
+    for _ in encoder.encode(texts):
+        pass
     pieces = pa.array(encoder.known.keys(), pa.string())
     counts = np.fromiter(map(len, encoder.known.values()), np.int64, len(pieces)) // 4
     return Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
