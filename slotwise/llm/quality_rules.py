@@ -41,13 +41,13 @@ class Rule:
 
 INF = math.inf
 RULES = (
-    Rule("symbols", "n_symbols / n_words", (0, 0.02), ((0.1, INF),)),
-    Rule("letters", "1 - n_marks / word_chars", (0.93, INF), ((0, 0.9),)),
-    Rule("repeats", "n_repeat_words / n_words", (0, 0.15), ((0.3, INF),)),
-    Rule("lines", "if(n_lines > 2, n_dup_lines / n_lines, null)", (0, 0.1), ((0.3, INF),)),
-    Rule("word_length", "word_chars / n_words", (4, 8), ((0, 3), (11, INF))),
-    Rule("capitals", "n_capitals / word_chars", (0, 0.08), ((0.25, INF),)),
-    Rule("variety", "n_distinct / n_words", (0.4, INF), ((0, 0.2),)),
+    Rule("symbols", "try_divide(n_symbols, n_words)", (0, 0.02), ((0.1, INF),)),
+    Rule("letters", "1 - try_divide(n_marks, word_chars)", (0.93, INF), ((0, 0.9),)),
+    Rule("repeats", "try_divide(n_repeat_words, n_words)", (0, 0.15), ((0.3, INF),)),
+    Rule("lines", "if(n_lines > 2, try_divide(n_dup_lines, n_lines), null)", (0, 0.1), ((0.3, INF),)),
+    Rule("word_length", "try_divide(word_chars, n_words)", (4, 8), ((0, 3), (11, INF))),
+    Rule("capitals", "try_divide(n_capitals, word_chars)", (0, 0.08), ((0.25, INF),)),
+    Rule("variety", "try_divide(n_distinct, n_words)", (0.4, INF), ((0, 0.2),)),
 )
 
 

@@ -1,0 +1,69 @@
+import re
+
+from llm_data import edge_docs, empty_docs, in_order, texts, tuples
+
+from slotwise.llm import license_scan
+
+LINES = [
+    (201, "x\nThis work is licensed under the GNU General Public License, version 3.\ny"),
+    (202, "gnu general public license gnu GENERAL public--license; MIT license, cc by cc by"),
+    (203, "released under\nthe mit license"),
+    (204, "Released, under THE (MIT) License! " * 3),
+    (205, "licensed under cc by nc 4 0"),
+    (206, "apache license"),
+    (207, "cc\nby"),
+    (208, "redistribution and use in source and binary forms without modification are permitted"),
+    (209, "mit licenses éapache license"),
+]
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def plain(rows, threshold=license_scan.THRESHOLD):
+    out = []
+    for i, t in rows:
+        w, starts, base = words(t), [], set()
+        for phrase, label in license_scan.PHRASES.items():
+            p = phrase.split()
+            found = [k for k in range(len(w)) if w[k : k + len(p)] == p]
+            starts += found
+            base |= {label} if found else set()
+        labels, score = set(base), 0.0
+        for line in (t or "").split("\n"):
+            block = set(words(line))
+            for label, template in license_scan.TEMPLATES.items():
+                share = len(block & set(template.split())) / len(set(template.split()))
+                if share >= threshold:
+                    labels.add(label)
+                    score = max(score, share)
+        out.append((i, len(w), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score))
+    return in_order(out)
+
+
+COLUMNS = "doc_id n_words n_base first_word last_word base labels score".split()
+
+
+def test_awkward_rows(spark):
+    docs = edge_docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame(LINES, "doc_id bigint, text string"))
+    assert tuples(license_scan.scan(docs), *COLUMNS) == plain(texts() + LINES)
+
+
+def test_lower_threshold_finds_more(spark):
+    docs = spark.createDataFrame(LINES, "doc_id bigint, text string")
+    assert tuples(license_scan.scan(docs, threshold=0.5), *COLUMNS) == plain(LINES, 0.5)
+
+
+def test_clashing_columns_and_empty_table(spark):
+    assert license_scan.scan(edge_docs(spark)).count() == len(texts())
+    assert license_scan.scan(empty_docs(spark)).count() == 0
+
+
+def test_prefixes_meet_whenever_the_overlap_suffices():
+    order, templates = license_scan.ordered(license_scan.TEMPLATES, {"the": 99, "of": 50, "mit": 3}, 0.9)
+    assert order[-1] == "the"
+    for t in templates:
+        assert len(t.prefix) == len(t.ranks) - t.overlap + 1
+        assert t.overlap >= 0.9 * len(t.ranks) > t.overlap - 1
