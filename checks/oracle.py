@@ -124,6 +124,12 @@ SELECT {e}, hour, slot_ts,
     "json_sink_roundtrip": f"SELECT {DAILY}, {PARTS.format(day='date')} FROM daily",
     "json_cleaned_roundtrip": f"SELECT {CLEANED}, {PARTS.format(day='slot_ts')} FROM cleaned",
     "csv_sink_roundtrip": f"SELECT {ANOMALIES} FROM anomalies",
+    "incomplete_rows": "SELECT g.{e}, g.slot_ts, g.hour FROM grid g ANTI JOIN readings r USING ({e}, slot_ts)",
+    "csv_corrupt_audit": """
+SELECT count(*) AS rows, count(*) FILTER (WHERE event_id % 10 = 0) AS corrupt,
+       CAST(0 AS BIGINT) AS null_{e}, CAST(0 AS BIGINT) AS null_ts, CAST(0 AS BIGINT) AS null_value
+FROM events""",
+    "json_merge_roundtrip": f"SELECT {CLEANED} FROM cleaned",
     "stage_roundtrip": f"SELECT {DAILY} FROM daily",
 }
 
@@ -137,4 +143,5 @@ def all_oracles() -> dict[str, str]:
         for label, slot in OTHER_SLOTS.items():
             sql = (STEPS + TAILS[name]).format(e="event_type", minutes=int(slot.total_seconds()) // 60)
             found[f"{name}_{label}"] = sql
+    found["missing_slots_minutely"] = (STEPS + TAILS["missing_slots"]).format(e="event_type", minutes=1)
     return found

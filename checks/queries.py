@@ -9,6 +9,7 @@ two hours, or with the join that large numbers of entities lead to.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import timedelta
 from functools import partial
@@ -56,6 +57,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_parquet(spark, f"{sf_dir}/events.parquet", DataType.fromDDL(EVENTS))
 
 
+def work_folder(spark: SparkSession) -> str | None:
+    """None where the session names a shared folder. A session of one process,
+    whose tasks see the driver's folders, may do without."""
+    master = spark.conf.get("spark.master", "")
+    if spark.conf.get("spark.checkpoint.dir", None) or not (master == "local" or master.startswith("local[")):
+        return None
+    return tempfile.mkdtemp(prefix="slotwise-checks-")
+
+
 def readings_hourly(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
     return rolled_up(events(spark, sf_dir), entity, slot)
 
@@ -114,7 +124,7 @@ def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events through CSV files, scanned with a declared schema."""
-    path = f"{sources.run_folder(spark)}/events"
+    path = f"{sources.run_folder(spark, work_folder(spark))}/events"
     sources.write_csv(events(spark, sf_dir), path, MICROSECONDS)
     scanned = sources.scan_csv(spark, f"{path}/*.csv", DataType.fromDDL(EVENTS), MICROSECONDS)
     return sources.in_period(scanned, event_series("user_id"), FIRST_DAY, closed_end=True)
@@ -194,7 +204,7 @@ def upserted(
 ) -> DataFrame:
     """A target table up to 01-20 with one column set to -1, then an upsert of
     everything from 01-11 on. Both updates are parts of one staged table."""
-    folder = sources.run_folder(spark)
+    folder = sources.run_folder(spark, work_folder(spark))
     rows = sources.stage(rows, folder, "rows")
     day = F.to_date(day_column)
     old = rows.where(day < F.lit("2024-01-21").cast("date")).withColumn(marked, F.lit(-1.0))
@@ -205,6 +215,36 @@ def upserted(
     return rounded(op.read_target(spark, f"{folder}/target", target_schema).select(*rows.columns))
 
 
+def json_merge_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The cleaned rows in two batches that share all days, merged into JSON."""
+    folder = sources.run_folder(spark, work_folder(spark))
+    rows = sources.stage(cleaned(spark, sf_dir, entity), folder, "rows")
+    for half in (0, 1):
+        batch = rows.where(F.col("hour") % 2 == half)
+        op.merge_staged(batch, f"{folder}/target", ["slot_ts", entity], "slot_ts", "json")
+    schema = sources.with_day_parts(rows, "slot_ts").schema
+    return rounded(op.read_target(spark, f"{folder}/target", schema, "json").select(*rows.columns))
+
+
+def csv_corrupt_audit(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """All events as CSV lines, every tenth with a cell too many, audited."""
+    path = f"{sources.run_folder(spark, work_folder(spark))}/lines"
+    spec = event_series(entity)
+    cells = F.concat_ws(",", F.date_format("ts", MICROSECONDS), entity, "value")
+    line = F.concat(cells, F.when(F.col("event_id") % 10 == 0, ",7.5").otherwise(""))
+    events(spark, sf_dir).select(line.alias(f"ts,{entity},value")).write.options(header=True, sep="|").csv(path)
+    schema = DataType.fromDDL(f"ts timestamp_ntz, {entity} {'bigint' if entity == 'user_id' else 'string'}, value double")
+    lines = sources.scan_csv(spark, path, schema, MICROSECONDS, keep_corrupt=True)
+    return op.audit(lines, spec, PERIOD).select("rows", "corrupt", *[f"null_{c}" for c in spec.reading_columns])
+
+
+def incomplete_rows(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The rows of the expanded grid that the gate would refuse."""
+    spec = series(entity)
+    grid = op.expand_gaps(readings_hourly(spark, sf_dir, entity), spec, PERIOD)
+    return op.incomplete_rows(grid, spec).select(entity, spec.ts, "hour")
+
+
 def upsert_daily(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return upserted(spark, daily(spark, sf_dir, entity), ["date", entity], "date", "v_mean")
 
@@ -215,27 +255,27 @@ def upsert_cleaned(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 def json_sink_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     summary = daily(spark, sf_dir, entity)
-    path = f"{sources.run_folder(spark)}/daily"
+    path = f"{sources.run_folder(spark, work_folder(spark))}/daily"
     sources.write_json(summary, path, "date")
     return rounded(sources.read_json(spark, path, summary.schema))
 
 
 def json_cleaned_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     rows = cleaned(spark, sf_dir, entity)
-    path = f"{sources.run_folder(spark)}/cleaned"
+    path = f"{sources.run_folder(spark, work_folder(spark))}/cleaned"
     sources.write_json(rows, path, "slot_ts")
     return rounded(sources.read_json(spark, path, rows.schema))
 
 
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     found = anomalies(spark, sf_dir, entity)
-    path = f"{sources.run_folder(spark)}/anomalies"
+    path = f"{sources.run_folder(spark, work_folder(spark))}/anomalies"
     sources.write_csv(found, path)
     return rounded(sources.scan_csv(spark, path, found.schema))
 
 
 def stage_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return rounded(sources.stage(daily(spark, sf_dir, entity), sources.run_folder(spark), "daily"))
+    return rounded(sources.stage(daily(spark, sf_dir, entity), sources.run_folder(spark, work_folder(spark)), "daily"))
 
 
 SINGLE: dict[str, Query] = {
@@ -249,6 +289,9 @@ PER_ENTITY: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "readings_hourly": lambda *args: rounded(readings_hourly(*args)),
     "null_audit": null_audit,
     "readings_audit": readings_audit,
+    "incomplete_rows": incomplete_rows,
+    "csv_corrupt_audit": csv_corrupt_audit,
+    "json_merge_roundtrip": json_merge_roundtrip,
     "repeated_slots": repeated_slots,
     "distinct_entities": distinct_entities,
     "expected_grid": expected_grid,
@@ -286,6 +329,7 @@ def all_queries() -> dict[str, Query]:
     for name, query in PER_SLOT.items():
         for label, slot in OTHER_SLOTS.items():
             found[f"{name}_{label}"] = partial(_applied, query, ("event_type", slot))
+    found["missing_slots_minutely"] = partial(_applied, missing_slots, ("event_type", timedelta(minutes=1)))
     return found
 
 

@@ -1,6 +1,6 @@
 """Cleaning and summarising regular sensor time series on Spark."""
 
-from slotwise.plans import JdbcStore, JsonStore, TableStore, clean, run
+from slotwise.plans import JdbcStore, JsonStore, Report, TableStore, clean, run
 from slotwise.spec import ANOMALY_SIGMA, MASK_SIGMA, Period, SeriesSpec
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "JdbcStore",
     "JsonStore",
     "Period",
+    "Report",
     "SeriesSpec",
     "TableStore",
     "clean",

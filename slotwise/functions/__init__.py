@@ -9,7 +9,9 @@ from slotwise.functions.time import (
     slot_of,
     slot_position,
     slot_time,
+    with_days,
     with_slots,
+    with_slots_of_days,
 )
 from slotwise.functions.stats import number_or_null, zscore
 
@@ -25,6 +27,8 @@ __all__ = [
     "slot_of",
     "slot_position",
     "slot_time",
+    "with_days",
     "with_slots",
+    "with_slots_of_days",
     "zscore",
 ]

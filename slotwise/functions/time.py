@@ -44,19 +44,30 @@ def slot_time(number: str, spec: SeriesSpec, period: Period) -> Column:
     return F.expr(f"{_literal(period.start)} + interval '{_seconds(spec)}' second * {quoted(number)}")
 
 
-def with_slots(df: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
-    """Each row with every slot of the period: adds the timestamp and the
-    integers ``_day`` (of the period) and ``_slot`` (of the day)."""
+def with_days(df: DataFrame, period: Period) -> DataFrame:
+    """Each row with every day of the period: adds its number ``_day`` and its
+    start ``_first``."""
     if period.days == 0:
         days = "cast(array() as array<timestamp_ntz>)"
     else:
         last = period.slots_end - timedelta(days=1)
         days = f"sequence({_literal(period.start)}, {_literal(last)}, interval '1' day)"
+    return df.select(*df.columns, F.posexplode(F.expr(days)).alias("_day", "_first"))
+
+
+def with_slots_of_days(days: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Each row of ``with_days`` with every slot of its day: the timestamp and
+    the place ``_slot`` in the day instead of ``_first``."""
     rest = 86400 - _seconds(spec)
     slots = f"sequence(_first, _first + interval '{rest}' second, interval '{_seconds(spec)}' second)"
-    columns = df.columns
-    daily = df.select(*columns, F.posexplode(F.expr(days)).alias("_day", "_first"))
-    return daily.select(*columns, "_day", F.posexplode(F.expr(slots)).alias("_slot", spec.ts))
+    kept = [c for c in days.columns if c != "_first"]
+    return days.select(*kept, F.posexplode(F.expr(slots)).alias("_slot", spec.ts))
+
+
+def with_slots(df: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+    """Each row with every slot of the period: adds the timestamp and the
+    integers ``_day`` (of the period) and ``_slot`` (of the day)."""
+    return with_slots_of_days(with_days(df, period), spec)
 
 
 def day_of(number: str, spec: SeriesSpec) -> Column:

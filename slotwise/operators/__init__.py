@@ -4,6 +4,7 @@ from slotwise.operators.quality import (
     IncompleteReadings,
     RepeatedKeys,
     audit,
+    incomplete_rows,
     measure,
     repeated_keys,
     require_complete,
@@ -34,6 +35,7 @@ __all__ = [
     "expected_slots",
     "fill_gaps",
     "hourly_baseline",
+    "incomplete_rows",
     "mask_outliers",
     "measure",
     "merge_staged",

@@ -32,17 +32,14 @@ HOURS = 24
 # Words of slots seen that a profile holds per hour of day at most.
 MAX_WORDS = 8
 
-# Rows looked at when searching for entities that hold very many readings.
-SAMPLE_ROWS = 10_000_000
-
 
 @dataclass(frozen=True)
 class JoinLimits:
     """Bounds that choose how readings meet their baseline.
 
     Profiles estimated above ``broadcast_bytes`` are joined by a shuffle. In
-    that shuffle one task takes about ``task_rows`` readings of one entity at
-    most, or an even share of all readings if that is more.
+    that shuffle one task takes about ``task_rows`` readings at most, and there
+    are as many tasks as that asks for, however many readings there are.
     """
 
     broadcast_bytes: int = 128 << 20
@@ -82,18 +79,18 @@ def profiles_of(
         )
         .groupBy(*spec.entity, "_hour")
         .agg(
-            F.count("_position").alias("n"),
+            F.count("_position").alias("_n"),
             *[F.expr(f"avg({quoted(m)})").alias(f"{m}_mean") for m in spec.metrics],
             *[F.expr(f"stddev_samp({quoted(m)})").alias(f"{m}_stddev") for m in spec.metrics],
-            _seen_by_hour(spec, period).alias("seen"),
+            _seen_by_hour(spec, period).alias("_seen"),
         )
     )
-    stats = ", ".join(map(quoted, ["n", *spec.mean_columns, *spec.stddev_columns]))
-    entry = f"if(_hour is null, null, struct(_hour, struct(struct({stats}) as stats, seen)))"
+    stats = ", ".join(map(quoted, ["_n", *spec.mean_columns, *spec.stddev_columns]))
+    entry = f"if(_hour is null, null, struct(_hour, struct(struct({stats}) as stats, _seen as seen)))"
     return (
-        spread(by_hour, spec)
+        spread(by_hour, *spec.entity)
         .groupBy(*spec.entity)
-        .agg(F.sum("n").alias("readings"), F.expr(f"map_from_entries(collect_list({entry}))").alias("_by_hour"))
+        .agg(F.sum("_n").alias("readings"), F.expr(f"map_from_entries(collect_list({entry}))").alias("_by_hour"))
         .select(
             *spec.entity,
             "readings",
@@ -143,8 +140,8 @@ def unseen_slots_of_long_period(
     period: Period,
     entities: DataFrame | None = None,
 ) -> DataFrame:
-    """``unseen_slots`` where profiles hold no bit sets. Both sides of the join
-    are hashed by entity already."""
+    """``unseen_slots`` where profiles hold no bit sets: words, not slots, meet
+    the profiles."""
     seen = slots_seen(rows, spec, period, entities)
     both = seen.join(profiles.select(*spec.entity, "seasons"), list(spec.entity))
     return unseen(both, spec, period).select(
@@ -161,7 +158,7 @@ def fits_broadcast(spec: SeriesSpec, size: Audit, limits: JoinLimits) -> bool:
     return _profile_bytes(spec, size) <= limits.broadcast_bytes
 
 
-def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None) -> DataFrame:
+def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None, partitions: int) -> DataFrame:
     """Typed readings hashed by entity, the only shuffle of whole readings.
 
     Both the baseline and the join to it start from here, and Spark reuses the
@@ -172,35 +169,34 @@ def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None) ->
     """
     rows = typed_readings(readings, spec)
     if parts is None:
-        return rows.repartition(_partitions(rows), *spec.entity)
+        return rows.repartition(partitions, *spec.entity)
     return (
         rows.join(F.broadcast(parts), list(spec.entity), "left")
         .withColumn("_part", F.expr("coalesce(spark_partition_id() % _parts, 0)"))
         .drop("_parts")
-        .repartition(_partitions(rows), *spec.entity, "_part")
+        .repartition(partitions, *spec.entity, "_part")
     )
 
 
-def heavy_entities(
-    readings: DataFrame, spec: SeriesSpec, size: Audit, limits: JoinLimits
-) -> DataFrame | None:
+def heavy_entities(readings: DataFrame, spec: SeriesSpec, limits: JoinLimits) -> DataFrame | None:
     """``(entity..., _parts)`` for entities too large for one task, or None.
 
-    Sizes are estimated from a sample, which only decides where rows go. The
-    list has at most one entry per shuffle partition and is fixed on the
-    driver, because both sides of the join must see the same one.
+    The entities are counted, not sampled. The list has fewer entries than the
+    shuffle has partitions and is fixed on the driver, because both sides of
+    the join must see the same one.
     """
-    task_rows = max(limits.task_rows, size.rows // _partitions(readings))
-    fraction = min(1.0, SAMPLE_ROWS / max(size.rows, 1))
     keys = typed_readings(readings, spec).select(*spec.entity)
-    if fraction < 1.0:
-        keys = keys.sample(fraction, seed=1)
-    parts = F.expr(f"cast(ceil(count(1) / {fraction} / {task_rows}) as int)")
+    parts = F.expr(f"cast(ceil(count(1) / {limits.task_rows}) as int)")
     heavy = keys.groupBy(*spec.entity).agg(parts.alias("_parts")).where("_parts > 1")
     found = heavy.collect()
     return readings.sparkSession.createDataFrame(found, heavy.schema) if found else None
 
 
+def partitions_for(readings: DataFrame, size: Audit, limits: JoinLimits) -> int:
+    """As many as keep a task's share at ``task_rows``, and the session's number at least."""
+    return max(_partitions(readings), -(-size.rows // limits.task_rows))
+
+
 def with_broadcast_stats(rows: DataFrame, profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """Readings on the slot grid with their hour and its ``_stats``; the
     readings stay where they were read."""
@@ -228,7 +224,7 @@ def with_shuffled_stats(
             .drop("_parts")
         )
         keys = [*keys, "_part"]
-    if _profile_bytes(spec, size) // _partitions(rows) <= limits.build_bytes:
+    if _profile_bytes(spec, size) // partitions_for(rows, size, limits) <= limits.build_bytes:
         stats = stats.hint("shuffle_hash")
     return _matched(_with_hour(rows, spec, period).join(stats, keys, "left"), spec)
 

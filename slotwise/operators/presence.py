@@ -1,8 +1,7 @@
 """Which slots each entity has filled, and which it has not.
 
 Slots seen are kept as 64-bit words, one bit per slot. A word is a few bytes
-however many readings stand behind it, and the words of one entity are bounded
-by the length of the period.
+however many readings stand behind it.
 """
 
 from __future__ import annotations
@@ -20,9 +19,13 @@ WORD = 64
 def slots_seen(
     rows: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
-    """``(entity..., _seen)`` from typed readings: a map from word number to
-    word, without the words that are empty. Readings off the slots only make
-    their entity present."""
+    """``(entity..., _word, _bits)`` from typed readings, a row for every word
+    of the period and every entity present, dealt by both. Readings off the
+    slots only make their entity present.
+
+    Bits are combined before they are shuffled, so an entity of any size
+    arrives as a few bytes per word and map task.
+    """
     words = (
         with_silent(rows.select(*spec.entity, spec.ts), spec, entities)
         .withColumn("_number", slot_number(spec.ts, spec, period))
@@ -34,21 +37,22 @@ def slots_seen(
         .groupBy(*spec.entity, "_word")
         .agg(F.bit_or("_bit").alias("_bits"))
     )
-    entry = F.expr("map_from_entries(collect_list(if(_word is null, null, struct(_word, _bits))))")
-    return spread(words, spec).groupBy(*spec.entity).agg(entry.alias("_seen"))
+    slots = period.days * spec.slots_per_day
+    if not slots:
+        words = words.limit(0)
+    numbers = F.explode(F.expr(f"sequence(0, {max(slots - 1, 0) // WORD})"))
+    blank = words.select(*spec.entity).distinct().select(*spec.entity, numbers.alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
+    both = words.where("_word is not null").unionByName(blank)
+    return spread(both, *spec.entity, "_word").groupBy(*spec.entity, "_word").agg(F.bit_or("_bits").alias("_bits"))
 
 
 def unseen(seen: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
-    """A row with ``ts`` and ``hour`` for each slot not in ``_seen``; the
-    other columns are kept. Words without a gap are passed over whole."""
+    """A row with ``ts`` and ``hour`` for each slot that the words of ``seen``
+    lack; the other columns are kept. Words without a gap are passed over whole."""
     slots = period.days * spec.slots_per_day
-    kept = [c for c in seen.columns if c != "_seen"]
-    if not slots:
-        seen = seen.limit(0)
+    kept = [c for c in seen.columns if c not in ("_word", "_bits")]
     return (
-        seen.select(*kept, "_seen", F.explode(F.expr(f"sequence(0, {max(slots - 1, 0) // WORD})")).alias("_word"))
-        .select(*kept, "_word", F.expr("coalesce(try_element_at(_seen, _word), 0L)").alias("_bits"))
-        .where("_bits <> -1L")
+        seen.where("_bits <> -1L")
         .select(*kept, "_word", "_bits", F.explode(F.expr(f"sequence(0, {WORD - 1})")).alias("_place"))
         .where(f"getbit(_bits, _place) = 0 and _word * {WORD} + _place < {slots}")
         .select(*kept, F.expr(f"_word * {WORD} + _place").alias("_number"))

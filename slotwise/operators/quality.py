@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slotwise.functions import number_or_null, slot_number
+from slotwise.sources.files import CORRUPT
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -28,28 +31,48 @@ class Audit:
     entity_bytes: int
     off_slot: int
     missing: dict[str, int] = field(default_factory=dict)
+    corrupt: int = 0
+
+    def require_complete(self) -> Audit:
+        """Raise with the counts per column if any cell is missing or any line corrupt."""
+        bad = {c: n for c, n in {**self.missing, "corrupt lines": self.corrupt}.items() if n}
+        if bad:
+            counts = ", ".join(f"{c}: {n}" for c, n in bad.items())
+            raise IncompleteReadings(f"missing cells in {self.rows} readings ({counts})")
+        return self
+
+
+def _missing(spec: SeriesSpec) -> dict[str, Column]:
+    return {
+        **{c: F.col(c).isNull() for c in spec.entity},
+        spec.ts: F.col(spec.ts).cast("timestamp_ntz").isNull(),
+        **{m: number_or_null(m).isNull() for m in spec.metrics},
+    }
+
+
+def incomplete_rows(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The readings that the gate refuses: a missing cell, or a corrupt line."""
+    refused = reduce(operator.or_, _missing(spec).values())
+    return readings.where(refused | F.col(CORRUPT).isNotNull() if CORRUPT in readings.columns else refused)
 
 
 def audit(readings: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """One row: row count, missing cells per column (``null_<column>``, NaN
-    counts as missing), readings off the slot grid, approximate number of
-    entities and the widest entity key.
+    counts as missing), corrupt lines (if the scan kept them), readings off the
+    slot grid, approximate number of entities and the widest entity key.
 
     A single aggregate without keys: one small partial result per map task. An
     exact count of entities would shuffle nearly every row of a table that is
     sorted by time.
     """
     ts = F.col(spec.ts).cast("timestamp_ntz")
-    missing = {
-        **{c: F.col(c).isNull() for c in spec.entity},
-        spec.ts: F.col(spec.ts).isNull(),
-        **{m: number_or_null(m).isNull() for m in spec.metrics},
-    }
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in readings.columns else F.lit(False)
     key_bytes = sum((F.octet_length(F.col(c).cast("string")) for c in spec.entity), F.lit(0))
     rows = readings.withColumn(spec.ts, ts).withColumn("_number", slot_number(spec.ts, spec, period))
     return rows.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(bad).alias(f"null_{c}") for c, bad in missing.items()],
+        *[F.count_if(bad).alias(f"null_{c}") for c, bad in _missing(spec).items()],
+        F.count_if(corrupt).alias("corrupt"),
         F.count_if(F.col(spec.ts).isNotNull() & F.col("_number").isNull()).alias("off_slot"),
         F.approx_count_distinct(F.xxhash64(*spec.entity)).alias("entities"),
         F.coalesce(F.max(key_bytes), F.lit(0)).alias("entity_bytes"),
@@ -65,17 +88,13 @@ def measure(readings: DataFrame, spec: SeriesSpec, period: Period) -> Audit:
         entity_bytes=row["entity_bytes"],
         off_slot=row["off_slot"],
         missing={c: row[f"null_{c}"] for c in spec.reading_columns},
+        corrupt=row["corrupt"],
     )
 
 
 def require_complete(readings: DataFrame, spec: SeriesSpec, period: Period) -> Audit:
-    """Raise with the counts per column if any cell is missing."""
-    found = measure(readings, spec, period)
-    bad = {c: n for c, n in found.missing.items() if n}
-    if bad:
-        counts = ", ".join(f"{c}: {n}" for c, n in bad.items())
-        raise IncompleteReadings(f"missing cells in {found.rows} readings ({counts})")
-    return found
+    """The audit; raises if any cell is missing or any line corrupt."""
+    return measure(readings, spec, period).require_complete()
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

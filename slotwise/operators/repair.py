@@ -12,6 +12,7 @@ from slotwise.operators.baseline import (
     gathered,
     heavy_entities,
     is_long,
+    partitions_for,
     profiles_of,
     unseen_slots,
     unseen_slots_of_long_period,
@@ -69,8 +70,8 @@ def fill_gaps(
         profiles = profiles_of(rows, spec, period, entities)
         matched = with_broadcast_stats(rows, profiles, spec, period)
     else:
-        parts = heavy_entities(readings, spec, size, limits)
-        rows = gathered(readings, spec, parts)
+        parts = heavy_entities(readings, spec, limits)
+        rows = gathered(readings, spec, parts, partitions_for(readings, size, limits))
         profiles = profiles_of(rows, spec, period, entities)
         matched = with_shuffled_stats(rows, profiles, spec, period, size, limits, parts)
     observed = matched.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotwise.functions import ntz, slot_hour, with_slots
+from slotwise.functions import ntz, slot_hour, with_days, with_slots_of_days
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -23,13 +23,18 @@ def observed_period(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def slot_spine(periods: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """``(ts, hour)`` for every slot in the whole days of each ``[start, end)``."""
-    days = F.floor((F.col("end") - F.col("start")).cast("interval second").cast("bigint") / 86400)
-    slots = (days * spec.slots_per_day).cast("int")
-    numbers = F.when(slots > 0, F.sequence(F.lit(0), slots - 1))
+    """``(ts, hour)`` for every slot in the whole days of each ``[start, end)``.
+
+    Days are listed first and dealt to tasks, which list their slots.
+    """
+    days = F.floor((F.col("end") - F.col("start")).cast("interval second").cast("bigint") / 86400).cast("int")
+    numbers = F.when(days > 0, F.sequence(F.lit(0), days - 1))
+    dealt = spread(periods.select("start", F.explode(numbers).alias("_day")), "start", "_day")
+    slots = F.sequence(F.lit(0), F.lit(spec.slots_per_day - 1))
     return (
-        periods.select("start", F.explode(numbers).alias("number"))
-        .select((F.col("start") + F.lit(spec.slot) * F.col("number")).alias(spec.ts))
+        dealt.select("start", "_day", F.explode(slots).alias("_slot"))
+        .withColumn("_number", F.col("_day").cast("bigint") * spec.slots_per_day + F.col("_slot"))
+        .select((F.col("start") + F.lit(spec.slot) * F.col("_number")).alias(spec.ts))
         .withColumn("hour", F.hour(spec.ts))
     )
 
@@ -43,19 +48,21 @@ def distinct_entities(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     return readings.select(*spec.entity).distinct()
 
 
-def spread(entities: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Hash by entity into the session's full number of shuffle partitions.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash by the keys into the session's full number of shuffle partitions.
 
-    A few bytes per entity grow into a row per slot in the steps that follow.
-    The adaptive planner would merge partitions by the small size before that
+    A few bytes per row grow into a row per slot in the steps that follow. The
+    adaptive planner would merge partitions by the small size before that
     growth; an explicit number keeps all tasks busy.
     """
-    partitions = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return entities.repartition(partitions, *spec.entity)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
 
 
 def expected_grid(entities: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
-    """Every entity with every slot; generated row by row, so no join."""
-    return with_slots(spread(entities, spec).select(*spec.entity), spec, period).select(
+    """Every entity with every slot; generated row by row, so no join. The days
+    of an entity are dealt to several tasks."""
+    days = spread(with_days(entities.select(*spec.entity), period), *spec.entity, "_day")
+    return with_slots_of_days(days, spec).select(
         *spec.entity, spec.ts, slot_hour("_slot", spec, period).alias("hour")
     )

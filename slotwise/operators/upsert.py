@@ -9,9 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from slotwise.functions import quoted
 from slotwise.operators.quality import require_unique
+from slotwise.sources.files import TIME_FORMAT
 from slotwise.sources.sinks import PARTITIONS, with_day_parts, write_partitions
-from slotwise.sources.staging import run_folder, stage
+from slotwise.sources.staging import is_complete, remove, run_folder, stage
 
 
 def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,13 +26,13 @@ def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.select(*target.columns).unionByName(staged)
 
 
-def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_target(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
     """The target table, or an empty frame of its schema if there is none yet.
 
     The limit lets the optimizer know that it is empty and drop joins to it.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("timestampNTZFormat", TIME_FORMAT).format(file_format).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -38,44 +40,86 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 
 def upsert_table(
-    updates: DataFrame, path: str, keys: Sequence[str], day_column: str, work: str | None = None
+    updates: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    day_column: str,
+    work: str | None = None,
+    file_format: str = "parquet",
 ) -> None:
-    """Stage the updates under a name of their own, then ``merge_staged``."""
-    folder = work or run_folder(updates.sparkSession)
-    merge_staged(stage(updates, folder, "upsert-staging"), path, keys, day_column)
+    """Stage the updates in a folder of their own, ``merge_staged``, and remove
+    the folder. ``work`` is a shared folder to stage in, by default the one
+    that the session names."""
+    spark = updates.sparkSession
+    folder = run_folder(spark, work)
+    merge_staged(stage(updates, folder, "upsert-staging"), path, keys, day_column, file_format)
+    remove(spark, folder)
 
 
-def merge_staged(staged: DataFrame, path: str, keys: Sequence[str], day_column: str) -> None:
-    """Upsert staged rows into a Parquet table partitioned by year, month and
+def merge_staged(
+    staged: DataFrame, path: str, keys: Sequence[str], day_column: str, file_format: str = "parquet"
+) -> None:
+    """Upsert staged rows into a table of files partitioned by year, month and
     day, which is made if there is none.
 
     Only the days that the rows fall on are read and rewritten, and a rerun
     with the same rows leaves the same table. ``day_column`` must be one of the
     keys, so that a key never moves to another partition. Repeated keys are an
-    error. A target file is removed only when the rewrite commits, after all
-    tasks have read it; lost tasks are simply run again.
+    error.
+
+    The merged days are written to a folder beside the table first, and from
+    there to their partitions. If the driver is lost in between, the next merge
+    starts by finishing that step, so no row is lost.
     """
     if day_column not in keys:
         raise ValueError(f"{day_column} must be part of the key {tuple(keys)}")
+    spark = staged.sparkSession
+    schema = with_day_parts(staged, day_column).schema
+    finish_merge(spark, path, schema, file_format)
     day = F.to_date(day_column)
-    found = (
-        staged.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .agg(F.max("copies").alias("copies"), F.min(day).alias("first"), F.max(day).alias("last"))
-        .first()
-    )
-    if found["copies"] is None:
+    span = staged.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if span["first"] is None:
         return
-    if found["copies"] > 1:
+    new = with_day_parts(staged, day_column)
+    target = touched(read_target(spark, path, schema, file_format), new, span["first"], span["last"])
+    try:
+        write_partitions(merged(target, new, keys), merging_folder(path), "parquet", replace_days=False)
+    except Exception:
         require_unique(staged, keys)
-    staged = with_day_parts(staged, day_column)
-    target = touched(read_target(staged.sparkSession, path, staged.schema), staged, found["first"], found["last"])
-    write_partitions(upsert(target, staged, keys), path, "parquet")
+        raise
+    finish_merge(spark, path, schema, file_format)
+
+
+def merged(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` in one exchange of both sides by key, which also finds
+    repeated staged keys: they raise."""
+    both = target.select(F.struct(*staged.columns).alias("_row"), F.lit(0).alias("_new")).unionByName(
+        staged.select(F.struct(*staged.columns).alias("_row"), F.lit(1).alias("_new"))
+    )
+    key = [F.col(f"_row.{quoted(k)}").alias(f"_key{i}") for i, k in enumerate(keys)]
+    groups = both.groupBy(*key).agg(F.max_by("_row", "_new").alias("_row"), F.sum("_new").alias("_n"))
+    once = F.when(F.col("_n") > 1, F.raise_error(F.lit("repeated keys"))).otherwise(F.col("_row"))
+    return groups.select(once.alias("_row")).select("_row.*")
+
+
+def merging_folder(path: str) -> str:
+    """Where a merge keeps its result until it has reached the table at ``path``."""
+    return f"{path.rstrip('/')}-merging"
+
+
+def finish_merge(spark: SparkSession, path: str, schema: StructType, file_format: str) -> None:
+    """Move the days that an earlier step has merged to their partitions."""
+    folder = merging_folder(path)
+    if is_complete(spark, folder):
+        write_partitions(spark.read.schema(schema).parquet(folder), path, file_format)
+    remove(spark, folder)
 
 
 def touched(target: DataFrame, staged: DataFrame, first: date, last: date) -> DataFrame:
     """Target rows in the partitions that staged rows fall into. The range of
-    days, as literals, prunes the listing of the target's partitions."""
+    days, as literals, prunes the listing of the target's partitions; the days
+    themselves are as many as the calendar has in that range, so they are
+    broadcast."""
     day = F.make_date(*[F.col(part) for part in PARTITIONS])
     days = staged.select(*PARTITIONS).distinct()
-    return target.where(day.between(F.lit(first), F.lit(last))).join(days, list(PARTITIONS), "left_semi")
+    return target.where(day.between(F.lit(first), F.lit(last))).join(F.broadcast(days), list(PARTITIONS), "left_semi")

@@ -1,4 +1,4 @@
 from slotwise.plans.clean import clean
-from slotwise.plans.run import JdbcStore, JsonStore, Store, TableStore, run
+from slotwise.plans.run import JdbcStore, JsonStore, Report, Store, TableStore, run
 
-__all__ = ["JdbcStore", "JsonStore", "Store", "TableStore", "clean", "run"]
+__all__ = ["JdbcStore", "JsonStore", "Report", "Store", "TableStore", "clean", "run"]

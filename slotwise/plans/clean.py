@@ -22,7 +22,7 @@ def clean(
 
     The audit runs at once and raises on missing cells; its counts also choose
     the join in ``fill_gaps``. The rest is lazy. Pass ``size`` if the readings
-    have been audited already.
+    have been audited already; it is held to the same gate.
     """
-    size = size or require_complete(readings, spec, period)
+    size = size.require_complete() if size else require_complete(readings, spec, period)
     return mask_outliers(fill_gaps(readings, spec, period, entities, size, limits), spec)

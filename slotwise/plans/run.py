@@ -3,73 +3,77 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Protocol
+from datetime import time
+from typing import ClassVar, Protocol
 
 from pyspark.sql import DataFrame
 
 from slotwise.operators.baseline import JoinLimits
 from slotwise.operators.quality import Audit, require_complete
 from slotwise.operators.summary import anomalies, daily_summary
-from slotwise.operators.upsert import merge_staged, upsert_table
+from slotwise.operators.upsert import merge_staged
 from slotwise.plans.clean import clean
 from slotwise.sources.files import in_period
-from slotwise.sources.sinks import JdbcTarget, write_csv, write_jdbc, write_json
-from slotwise.sources.staging import run_folder, stage
+from slotwise.sources.sinks import JdbcTarget, write_csv, write_jdbc
+from slotwise.sources.staging import remove, run_folder, stage
 from slotwise.spec import Period, SeriesSpec
 
 
 class Store(Protocol):
-    """Takes the two result tables of a run."""
+    """Takes the two result tables of a run, both staged; says where they went."""
 
-    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> None: ...
+    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> str: ...
 
-    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> None: ...
+    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> str: ...
 
 
 @dataclass(frozen=True)
-class JsonStore:
-    """Partitioned JSON; a rerun replaces the days of its period."""
+class TableStore:
+    """Partitioned Parquet tables with one row per key; a rerun upserts."""
 
     daily_path: str
     cleaned_path: str
+    file_format: ClassVar[str] = "parquet"
 
-    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> None:
-        write_json(daily, self.daily_path, "date")
+    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> str:
+        merge_staged(daily, self.daily_path, ["date", *spec.entity], "date", self.file_format)
+        return self.daily_path
 
-    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> None:
-        write_json(cleaned, self.cleaned_path, spec.ts)
+    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> str:
+        merge_staged(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts, self.file_format)
+        return self.cleaned_path
 
 
 @dataclass(frozen=True)
-class TableStore:
-    """Partitioned Parquet tables with one row per key; a rerun upserts.
-
-    The cleaned rows of a run are staged already, the summary is not.
-    """
-
-    daily_path: str
-    cleaned_path: str
-
-    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> None:
-        upsert_table(daily, self.daily_path, ["date", *spec.entity], "date")
+class JsonStore(TableStore):
+    """The same as partitioned JSON."""
 
-    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> None:
-        merge_staged(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts)
+    file_format: ClassVar[str] = "json"
 
 
 @dataclass(frozen=True)
 class JdbcStore:
-    """Staging tables in a database."""
+    """New staging tables in a database, beside the tables named."""
 
     target: JdbcTarget
     daily_table: str
     cleaned_table: str
 
-    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> None:
-        write_jdbc(daily, self.target, self.daily_table)
+    def write_daily(self, daily: DataFrame, spec: SeriesSpec) -> str:
+        return write_jdbc(daily, self.target, self.daily_table)
+
+    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> str:
+        return write_jdbc(cleaned, self.target, self.cleaned_table)
+
+
+@dataclass(frozen=True)
+class Report:
+    """What a run found and where it stored its tables."""
 
-    def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> None:
-        write_jdbc(cleaned, self.target, self.cleaned_table)
+    audit: Audit
+    daily: str
+    cleaned: str
+    anomalies: str
 
 
 def run(
@@ -81,19 +85,27 @@ def run(
     entities: DataFrame | None = None,
     closed_end: bool = False,
     limits: JoinLimits = JoinLimits(),
-) -> Audit:
+    work: str | None = None,
+) -> Report:
     """Clean a period and write its daily summary, cleaned rows and anomalies.
 
-    The cleaned frame is computed once, into a staged table that the three
-    outputs read, each only the columns it needs. Returns the audit.
+    The period must start at midnight: the daily rows of a part of a day would
+    replace those of the whole. The cleaned frame is computed once, into a
+    staged table that the three outputs read, each only the columns it needs.
+    Staged tables are in a folder of their own, in ``work`` or the folder that
+    the session names, and are removed when all is written.
     """
-    folder = run_folder(readings.sparkSession)
+    if period.start.time() != time.min:
+        raise ValueError(f"a run must start at midnight, not at {period.start}")
+    spark = readings.sparkSession
+    folder = run_folder(spark, work)
     found = require_complete(
         in_period(readings, spec, period, closed_end, keep_untimed=True), spec, period
     )
     source = in_period(readings, spec, period, closed_end)
     cleaned = stage(clean(source, spec, period, entities, found, limits), folder, "cleaned")
-    store.write_daily(daily_summary(cleaned, spec), spec)
-    store.write_cleaned(cleaned, spec)
+    daily = stage(daily_summary(cleaned, spec), folder, "daily")
+    stored = store.write_daily(daily, spec), store.write_cleaned(cleaned, spec)
     write_csv(anomalies(cleaned, spec).hint("rebalance"), anomalies_path)
-    return found
+    remove(spark, folder)
+    return Report(found, *stored, anomalies_path)

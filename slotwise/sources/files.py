@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, DoubleType, StructType, TimestampNTZType
+from pyspark.sql.types import DataType, DoubleType, StringType, StructField, StructType, TimestampNTZType
 
 from slotwise.functions import ntz
 from slotwise.spec import Period, SeriesSpec
 
 # Fixed value: how times are written in CSV and JSON files by default.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Holds the lines of a CSV file that do not fit their header; the audit counts them.
+CORRUPT = "_corrupt"
 
 
 def reading_schema(spec: SeriesSpec, entity_types: Mapping[str, str] | None = None) -> StructType:
@@ -26,17 +28,25 @@ def reading_schema(spec: SeriesSpec, entity_types: Mapping[str, str] | None = No
 
 
 def scan_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType, time_format: str = TIME_FORMAT
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: StructType,
+    time_format: str = TIME_FORMAT,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """CSV files with a header, by path or glob.
 
     The schema is declared, so no pass is spent on inferring it, and a header
     that does not match it is an error. A cell that does not parse becomes
-    NULL, which the audit reports.
+    NULL, which the audit reports. ``keep_corrupt`` adds the column
+    ``_corrupt``: the line, if it has too many or too few cells or one that does
+    not parse, else NULL. The audit counts such lines and the gate refuses them.
     """
+    if keep_corrupt:
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, timestampNTZFormat=time_format)
+        .options(header=True, enforceSchema=False, timestampNTZFormat=time_format, columnNameOfCorruptRecord=CORRUPT)
         .csv(paths if isinstance(paths, str) else list(paths))
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -19,9 +20,11 @@ def with_day_parts(df: DataFrame, day_column: str) -> DataFrame:
     return df.withColumns(day_parts(day_column))
 
 
-def write_partitions(df: DataFrame, path: str, file_format: str, time_format: str = TIME_FORMAT) -> None:
+def write_partitions(
+    df: DataFrame, path: str, file_format: str, time_format: str = TIME_FORMAT, replace_days: bool = True
+) -> None:
     """Write a frame that has the partition columns, replacing only the days
-    it holds rows for.
+    it holds rows for, or else all there is.
 
     The rebalance gives each day few files and lets the adaptive planner split
     a day that is too large for one task.
@@ -29,7 +32,7 @@ def write_partitions(df: DataFrame, path: str, file_format: str, time_format: st
     (
         df.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
         .option("timestampNTZFormat", time_format)
         .partitionBy(*PARTITIONS)
         .format(file_format)
@@ -85,7 +88,14 @@ class JdbcTarget:
         return chosen
 
 
-def write_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> None:
-    """Replace a staging table in a database. Merging it into its target is
-    the database's own work."""
-    df.write.format("jdbc").options(**target.options(table)).mode("overwrite").save()
+def staging_name(table: str) -> str:
+    """A table beside ``table`` that no other run uses."""
+    return f"{table}_staging_{uuid.uuid4().hex[:12]}"
+
+
+def write_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> str:
+    """Write a new staging table beside ``table``, which stays as it is, and
+    return its name. Merging it is the database's own work."""
+    name = staging_name(table)
+    df.write.format("jdbc").options(**target.options(name)).mode("errorifexists").save()
+    return name

@@ -6,32 +6,24 @@ of executors, which a cached frame does not.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only a local session
-    without that setting gets one of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return _own_folder(spark.sparkContext.applicationId)
+SETTING = "spark.checkpoint.dir"
 
 
-@lru_cache(maxsize=None)
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"slotwise-{application}-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which must be set."""
+    folder = spark.conf.get(SETTING, None)
+    if not folder:
+        raise RuntimeError(f"{SETTING} must name a folder that all executors share")
+    return folder.rstrip("/")
 
 
-def run_folder(spark: SparkSession) -> str:
-    """A name under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/slotwise-{uuid.uuid4().hex}"
+def run_folder(spark: SparkSession, work: str | None = None) -> str:
+    """A name that no other run uses, under ``work`` or the session's shared folder."""
+    return f"{work or shared_folder(spark)}/slotwise-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -39,3 +31,20 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` has come to its end."""
+    location, files = _file_system(spark, f"{folder}/_SUCCESS")
+    return files.exists(location)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged tables."""
+    location, files = _file_system(spark, folder)
+    files.delete(location, True)

@@ -11,7 +11,9 @@ MASK_SIGMA = 3.0
 ANOMALY_SIGMA = 2.0
 
 # Names that results use themselves, as they do names with a leading underscore.
-RESERVED = frozenset({"date", "hour", "readings", "seasons"})
+RESERVED = frozenset({"date", "hour", "readings", "seasons", "year", "month", "day", "outlier", "copies"})
+# What results add to the names of metrics.
+DERIVED = ("{}_mean", "{}_stddev", "{}_min", "{}_max", "zscore_{}")
 
 _DAY = timedelta(days=1)
 
@@ -42,8 +44,11 @@ class SeriesSpec:
         if not self.entity:
             raise ValueError("a series needs at least one entity column")
         for name in (*self.entity, self.ts, *self.metrics):
-            if "." in name or "`" in name or name.startswith("_") or name in RESERVED:
+            if "." in name or "`" in name or name.startswith("_") or name.lower() in RESERVED:
                 raise ValueError(f"not usable as the name of a column of a series: {name}")
+        named = [*self.entity, self.ts, *self.metrics, *(form.format(m) for m in self.metrics for form in DERIVED)]
+        if len({name.lower() for name in named}) < len(named):
+            raise ValueError(f"names of a series, and of what is derived from its metrics, must differ: {named}")
         if self.slot <= timedelta(0) or self.slot.microseconds or _DAY % self.slot:
             raise ValueError(f"slot must be whole seconds and divide a day, not {self.slot}")
         if not self.summary_metrics:

@@ -3,14 +3,17 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracle import all_oracles
+from checks.queries import all_queries
 from compare import assert_same
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_oracles()
 
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

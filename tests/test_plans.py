@@ -10,8 +10,18 @@ from checks.queries import PERIOD, series
 from helpers import ONE, assert_frames, at, brute_fill, one_metric
 from slotwise import Period, SeriesSpec, clean
 from slotwise.functions import slot_floor
-from slotwise.operators import anomalies, daily_summary, expand_gaps, fill_gaps, measure, upsert
-from slotwise.operators.baseline import JoinLimits, gathered, heavy_entities
+from slotwise.operators import (
+    anomalies,
+    daily_summary,
+    expand_gaps,
+    expected_grid,
+    expected_slots,
+    fill_gaps,
+    measure,
+    missing_slots,
+    upsert,
+)
+from slotwise.operators.baseline import JoinLimits, gathered, heavy_entities, partitions_for
 from slotwise.sources import in_period, scan_parquet
 
 DATA = "/root/testdata/sf0.001"
@@ -89,7 +99,7 @@ def test_many_entities_move_the_readings_once(sensor):
 def test_heavy_entities_cost_three_shuffles_of_profiles(sensor):
     limits = JoinLimits(broadcast_bytes=0, task_rows=1)
     few = sensor.where("user_id < 3")
-    assert heavy_entities(few, series("user_id"), measure(few, series("user_id"), PERIOD), limits) is not None
+    assert heavy_entities(few, series("user_id"), limits) is not None
     plan = executed(clean(few, series("user_id"), PERIOD, limits=limits))
     assert scans(plan) == 1 and plan.count("ShuffledHashJoin") == 1
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
@@ -161,11 +171,13 @@ def skewed(spark):
 def test_a_heavy_entity_is_spread(spark, skewed):
     limits = JoinLimits(broadcast_bytes=0, task_rows=50)
     size = measure(skewed, ONE, DAYS)
-    parts = heavy_entities(skewed, ONE, size, limits)
-    assert [tuple(r) for r in parts.collect()] == [(1, 6)]
-    spread = gathered(skewed, ONE, parts)
+    parts = heavy_entities(skewed, ONE, limits)
+    assert [tuple(r) for r in parts.collect()] == [(1, 24)]
+    partitions = partitions_for(skewed, size, limits)
+    assert partitions == (len(HOT) + len(REST)) // 50
+    spread = gathered(skewed, ONE, parts, partitions)
     loads = [r["count"] for r in spread.where("id = 1").groupBy("_part").count().collect()]
-    assert len(loads) == 6 and max(loads) < len(HOT) / 3
+    assert len(loads) >= 12 and max(loads) < len(HOT) / 6
     biggest = spread.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert biggest < (len(HOT) + len(REST)) / 2
 
@@ -178,13 +190,45 @@ def test_skew_changes_no_result(spark, skewed, task_rows, broadcast):
     assert_frames(fill_gaps(skewed, ONE, DAYS, limits=limits), brute_fill(rows, ONE, DAYS), ONE)
 
 
-def test_a_sample_finds_the_heavy_entity(spark, skewed, monkeypatch):
-    monkeypatch.setattr("slotwise.operators.baseline.SAMPLE_ROWS", 300)
-    limits = JoinLimits(broadcast_bytes=0, task_rows=50)
-    size = measure(skewed, ONE, DAYS)
-    assert [r.id for r in heavy_entities(skewed, ONE, size, limits).collect()] == [1]
-    rows = [(i, at(t), x) for i, t, x in HOT + REST]
-    assert_frames(fill_gaps(skewed, ONE, DAYS, limits=limits), brute_fill(rows, ONE, DAYS), ONE)
+def test_the_number_of_tasks_follows_the_rows(spark, skewed):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        size = measure(skewed, ONE, DAYS)
+        assert partitions_for(skewed, size, JoinLimits(task_rows=100)) == 18
+        assert partitions_for(skewed, size, JoinLimits()) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def tasks_with_rows(df):
+    return df.groupBy(F.spark_partition_id()).count().count()
+
+
+def test_one_entity_is_made_by_several_tasks(spark):
+    spec = SeriesSpec(entity="id", ts="ts", metrics="x", slot=timedelta(minutes=1))
+    year = Period.of("2023-01-01", "2024-01-01")
+    one = one_metric(spark, [(1, "2023-01-01", 1.0)])
+    grid = expected_grid(one.select("id"), spec, year)
+    assert grid.count() == 365 * 1440 and tasks_with_rows(grid) > 2
+    gaps = missing_slots(one, spec, year)
+    assert gaps.count() == 365 * 1440 - 1 and tasks_with_rows(gaps) > 2
+    assert tasks_with_rows(expected_slots(spark, spec, year)) > 2
+
+
+def test_an_upsert_shuffles_once_by_key_and_never_by_day(spark, tmp_path):
+    from slotwise.operators.upsert import merged, touched
+    from slotwise.sources import with_day_parts
+
+    rows = spark.range(200).selectExpr("id", "date_add(date'2024-01-01', cast(id % 9 as int)) as date", "1.0D as x")
+    rows = with_day_parts(rows, "date")
+    rows.write.partitionBy("year", "month", "day").parquet(str(tmp_path / "t"))
+    target = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
+    first, last = target.agg(F.min("date"), F.max("date")).first()
+    plan = executed(merged(touched(target, rows, first, last), rows, ["date", "id"]))
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    assert len([x for x in shuffles if "year#" not in x.split("hashpartitioning(")[1].split(")")[0]]) == 1
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_many_map_tasks_send_few_rows_per_heavy_entity(spark):

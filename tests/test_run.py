@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql.types import BooleanType, DoubleType
 
 from helpers import DEVICES, assert_frames, at, brute_fill, brute_mask, daily_at_midnight, one_metric
-from slotwise import JsonStore, Period, SeriesSpec, TableStore, run
+from slotwise import JsonStore, Period, SeriesSpec, TableStore, clean, run
 from slotwise.__main__ import main, parser, series, store
-from slotwise.operators import IncompleteReadings, daily_summary, read_target
+from slotwise.operators import IncompleteReadings, daily_summary, measure, read_target
 from slotwise.plans import JdbcStore
 from slotwise.sources import read_json, scan_csv, with_day_parts
 
@@ -76,7 +76,8 @@ def test_json_store(spark, tmp_path, expected):
         found = run(readings(spark), DEVICES, PERIOD, kept, str(tmp_path / "anomalies"))
         cleaned = read_json(spark, kept.cleaned_path, cleaned_schema(spark))
         assert_frames(cleaned, expected, DEVICES)
-    assert found.rows == len(device_rows()) - 1
+    assert found.audit.rows == len(device_rows()) - 1
+    assert (found.daily, found.cleaned) == (kept.daily_path, kept.cleaned_path)
     summary = daily_summary(cleaned, DEVICES)
     stored = read_json(spark, kept.daily_path, summary.schema).select(summary.columns)
     assert stored.count() == 28
@@ -121,6 +122,29 @@ def test_untimed_readings_stop_the_run_before_anything_is_written(spark, tmp_pat
     assert list(tmp_path.iterdir()) == []
 
 
+def test_a_run_must_start_at_midnight(spark, tmp_path):
+    kept = TableStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
+    with pytest.raises(ValueError, match="midnight"):
+        run(readings(spark), DEVICES, Period.of("2022-03-01T06:00", "2022-03-03"), kept, str(tmp_path / "anomalies"))
+
+
+def test_two_device_batches_of_the_same_days_are_all_kept(spark, tmp_path):
+    kept = JsonStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
+    for device in (1, 2):
+        batch = readings(spark).where(f"device_id = {device}")
+        run(batch, DEVICES, PERIOD, kept, str(tmp_path / f"anomalies{device}"), work=str(tmp_path / "work"))
+    assert read_json(spark, kept.cleaned_path, cleaned_schema(spark)).count() == 2 * 14 * 24
+    assert [x for x in (tmp_path / "work").rglob("*") if x.is_file()] == []
+
+
+def test_counts_given_to_clean_are_held_to_the_gate(spark):
+    spec = SeriesSpec(entity="id", ts="ts", metrics="x")
+    df = one_metric(spark, [(None, "2024-01-01T00:00:00", 1.0), (1, "2024-01-01T00:00:00", 2.0)])
+    period = Period.of("2024-01-01", "2024-01-02")
+    with pytest.raises(IncompleteReadings, match="id: 1"):
+        clean(df, spec, period, size=measure(df, spec, period))
+
+
 def arguments(csv_folder, out, *more):
     return [
         "--input", f"{csv_folder}/*.csv", "--start", "2022-03-01", "--end", "2022-03-15",

@@ -5,8 +5,9 @@ import pytest
 
 from helpers import ONE, ONE_SCHEMA, DEVICES, at, one_metric
 from slotwise import Period, SeriesSpec
-from slotwise.operators import IncompleteReadings, require_complete
+from slotwise.operators import IncompleteReadings, incomplete_rows, require_complete
 from slotwise.sources import (
+    CORRUPT,
     JdbcTarget,
     in_period,
     read_json,
@@ -15,6 +16,7 @@ from slotwise.sources import (
     scan_json,
     scan_parquet,
     stage,
+    staging_name,
     write_csv,
     write_jdbc,
     write_json,
@@ -54,6 +56,14 @@ def test_a_csv_cell_that_does_not_parse_reaches_the_audit(spark, tmp_path):
         require_complete(df, DEVICES, DAY)
 
 
+def test_lines_with_too_many_cells_reach_the_audit(spark, tmp_path):
+    csv(tmp_path, "a.csv", HEADER + "2022-03-01 00:00:00,1,1,90,3,7.5\n2022-03-01 01:00:00,1,1,90,2\n")
+    df = scan_csv(spark, str(tmp_path), reading_schema(DEVICES), keep_corrupt=True)
+    with pytest.raises(IncompleteReadings, match="corrupt lines: 1"):
+        require_complete(df, DEVICES, DAY)
+    assert [r[CORRUPT] for r in incomplete_rows(df, DEVICES).collect()] == ["2022-03-01 00:00:00,1,1,90,3,7.5"]
+
+
 def test_entity_types_can_be_declared():
     spec = SeriesSpec(entity=("site", "id"), ts="ts", metrics="x")
     schema = reading_schema(spec, {"site": "string"})
@@ -134,6 +144,11 @@ def test_jdbc_options():
     assert "secret" not in repr(TARGET)
 
 
+def test_jdbc_writes_beside_the_table_it_is_given():
+    names = {staging_name("app.daily") for _ in range(3)}
+    assert len(names) == 3 and all(x.startswith("app.daily_staging_") for x in names)
+
+
 def test_jdbc_write_reaches_the_driver_class(spark):
     """No database is started for tests, so this ends at the missing driver."""
     with pytest.raises(Exception, match="no.such.Driver"):

@@ -2,7 +2,9 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
-from slotwise import Period, SeriesSpec
+from slotwise import Period, SeriesSpec, clean
+from slotwise.operators import missing_slots
+from slotwise.operators.baseline import JoinLimits
 
 
 def test_defaults_follow_the_last_metric():
@@ -50,3 +52,28 @@ def test_names_that_results_use_are_refused(name):
 def test_periods_start_on_whole_seconds():
     with pytest.raises(ValueError):
         Period.of("2022-03-01T00:00:00.5", "2022-03-02")
+
+
+@pytest.mark.parametrize("name", ["Hour", "DATE", "day", "Year", "month", "outlier", "copies"])
+def test_reserved_names_in_any_case(name):
+    with pytest.raises(ValueError, match="not usable"):
+        SeriesSpec(entity=name, ts="ts", metrics="x")
+
+
+@pytest.mark.parametrize(
+    "names", [(("id",), "ts", ("x", "x_mean")), (("id", "ID"), "ts", ("x",)), (("id",), "X", ("x",)), (("zscore_x",), "ts", ("x",))]
+)
+def test_names_must_differ_from_each_other_and_from_what_is_derived(names):
+    entity, ts, metrics = names
+    with pytest.raises(ValueError, match="must differ"):
+        SeriesSpec(entity=entity, ts=ts, metrics=metrics)
+
+
+@pytest.mark.parametrize("name", ["n", "seen", "stats", "first", "start", "number", "rows", "entities", "key"])
+def test_other_names_work(spark, name):
+    spec = SeriesSpec(entity=name, ts="ts", metrics="x")
+    df = spark.createDataFrame([(4, datetime(2024, 5, 1, 3), 2.0)], f"{name} int, ts timestamp_ntz, x double")
+    days = Period.of("2024-05-01", "2024-05-02")
+    for limits in (JoinLimits(), JoinLimits(broadcast_bytes=0, task_rows=1)):
+        assert clean(df, spec, days, limits=limits).where("x = 2").count() == 1
+    assert missing_slots(df, spec, days).count() == 23

@@ -1,4 +1,5 @@
 from datetime import date
+from statistics import mean, stdev
 
 import pytest
 
@@ -10,29 +11,26 @@ POWER = SeriesSpec(entity="device_id", ts="timestamp", metrics="power")
 
 
 def test_daily_statistics(spark):
-    df = spark.createDataFrame(
-        [
-            (at("2022-03-01T00:00:00"), 1, 100.0),
-            (at("2022-03-01T01:00:00"), 1, 200.0),
-            (at("2022-03-01T02:00:00"), 1, 300.0),
-            (at("2022-03-02T00:00:00"), 1, 400.0),
-            (at("2022-03-02T01:00:00"), 1, 500.0),
-            (at("2022-03-01T00:00:00"), 2, 150.0),
-            (at("2022-03-01T01:00:00"), 2, 250.0),
-        ],
-        "timestamp timestamp_ntz, device_id int, power double",
-    )
+    """Three devices over a turn of the year; the last reading of a day is one second before midnight."""
+    given = {
+        (date(2023, 12, 31), 40): [2.0, 2.0, 8.0, 4.0],
+        (date(2024, 1, 1), 40): [-3.0],
+        (date(2024, 1, 1), 41): [0.5, 1.5],
+        (date(2024, 1, 2), 55): [10.0, 10.0, 10.0],
+    }
+    times = ("00:00:00", "06:30:00", "12:00:00", "23:59:59")
+    rows = [(at(f"{d}T{t}"), i, x) for (d, i), xs in given.items() for t, x in zip(reversed(times), xs)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, device_id int, power double")
     result = daily_summary(df, POWER)
     assert result.columns == [
         "date", "device_id",
         "power_mean", "power_min", "power_max", "power_stddev",
     ]
     found = {(r.date, r.device_id): tuple(r)[2:] for r in result.collect()}
-    assert found == {
-        (date(2022, 3, 1), 1): (200.0, 100.0, 300.0, 100.0),
-        (date(2022, 3, 2), 1): (450.0, 400.0, 500.0, pytest.approx(70.71067811865476)),
-        (date(2022, 3, 1), 2): (200.0, 150.0, 250.0, pytest.approx(70.71067811865476)),
-    }
+    assert found.keys() == given.keys()
+    for key, xs in given.items():
+        spread = pytest.approx(stdev(xs)) if len(xs) > 1 else None
+        assert found[key] == (pytest.approx(mean(xs)), min(xs), max(xs), spread)
 
 
 def test_empty_cells_are_skipped_and_single_rows_have_no_deviation(spark):

@@ -1,11 +1,16 @@
+import shutil
+import sys
 from datetime import date
 from pathlib import Path
 
 import pytest
 
 from slotwise.operators import RepeatedKeys, read_target, upsert, upsert_table
+from slotwise.operators.upsert import merging_folder
 from slotwise.sources import shared_folder, with_day_parts
 
+upsert_module = sys.modules["slotwise.operators.upsert"]
+
 SCHEMA = "date date, id int, x double"
 KEYS = ["date", "id"]
 
@@ -89,6 +94,52 @@ def test_the_day_must_be_part_of_the_key(spark, tmp_path):
         upsert_table(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), str(tmp_path / "t"), ["id"], "date")
 
 
-def test_staging_uses_the_folder_named_by_the_session(spark, tmp_path):
-    upsert_table(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), str(tmp_path / "t"), KEYS, "date")
-    assert list(Path(shared_folder(spark)).glob("slotwise-*/upsert-staging/_SUCCESS"))
+def test_staging_leaves_nothing_behind(spark, tmp_path):
+    work = tmp_path / "work"
+    upsert_table(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), str(tmp_path / "t"), KEYS, "date", str(work))
+    assert table(spark, tmp_path / "t") == [day(1, 1, 1.0)]
+    assert [x for x in work.rglob("*") if x.is_file()] == [] and not Path(merging_folder(str(tmp_path / "t"))).exists()
+    before = set(Path(shared_folder(spark)).iterdir())
+    upsert_table(spark.createDataFrame([day(1, 2, 1.0)], SCHEMA), str(tmp_path / "t"), KEYS, "date")
+    assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+def test_a_lost_driver_loses_no_row(spark, tmp_path, monkeypatch):
+    """The merge stops between its two writes; the table's day is gone by then."""
+    path = tmp_path / "t"
+    upsert_table(spark.createDataFrame([day(1, 1, 1.0), day(1, 2, 2.0)], SCHEMA), str(path), KEYS, "date")
+    finish = upsert_module.finish_merge
+    calls = []
+
+    def stop(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            shutil.rmtree(path / "year=2024")
+            raise KeyboardInterrupt
+        finish(*args)
+
+    monkeypatch.setattr(upsert_module, "finish_merge", stop)
+    with pytest.raises(KeyboardInterrupt):
+        upsert_table(spark.createDataFrame([day(1, 2, 9.0)], SCHEMA), str(path), KEYS, "date")
+    monkeypatch.setattr(upsert_module, "finish_merge", finish)
+    upsert_table(spark.createDataFrame([day(1, 3, 3.0)], SCHEMA), str(path), KEYS, "date")
+    assert table(spark, path) == [day(1, 1, 1.0), day(1, 2, 9.0), day(1, 3, 3.0)]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "json"])
+def test_batches_that_share_a_day_are_all_kept(spark, tmp_path, file_format):
+    path = str(tmp_path / "t")
+    for rows_ in ([day(1, 1, 1.0)], [day(1, 2, 2.0), day(2, 1, None)], [day(1, 1, 5.0)]):
+        upsert_table(spark.createDataFrame(rows_, SCHEMA), path, KEYS, "date", file_format=file_format)
+    schema = with_day_parts(spark.createDataFrame([], SCHEMA), "date").schema
+    found = rows(read_target(spark, path, schema, file_format).select("date", "id", "x"))
+    assert found == [day(1, 1, 5.0), day(1, 2, 2.0), day(2, 1, None)]
+
+
+def test_key_columns_of_any_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for x in (1.0, 2.0):
+        df = spark.createDataFrame([(date(2024, 1, 1), 1, x)], "date date, copies int, first double")
+        upsert_table(df, path, ["date", "copies"], "date")
+    schema = with_day_parts(df, "date").schema
+    assert [r["first"] for r in read_target(spark, path, schema).collect()] == [2.0]
