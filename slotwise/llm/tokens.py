@@ -28,10 +28,12 @@ ORC_OPTIONS = {
     "compression": "lz4",
 }
 END_ID = 0
+#: Text that goes to one file, estimated from a few rows and the number of all; larger tasks meet fewer new pieces.
+FILE_TEXT_BYTES = 64 << 20
 #: Bytes of the texts whose pieces are told apart together, bytes of a run of new pieces, ids of a batch of results.
-SLICE_BYTES, RUN_BYTES, OUT_IDS = 12 << 20, 8 << 10, 1 << 19
+SLICE_BYTES, RUN_BYTES, OUT_IDS = 8 << 20, 8 << 10, 1 << 19
 #: Pieces whose ids a task remembers from slice to slice; it starts over when there are more.
-MAX_KNOWN = 400_000
+MAX_KNOWN = 250_000
 #: Rows whose pieces every task knows from the start, and the characters of each that are looked at. It changes no
 #: result, and what is broadcast is about 400,000 pieces, or 15 MB, whatever the size of the table.
 COMMON_ROWS, COMMON_CHARS = 8000, 4096
@@ -199,16 +201,18 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def common_pieces(docs: DataFrame, tokenizer: str) -> Common:
-    """The pieces of a few of the texts, whichever are read first."""
-    some = docs.where("text is not null").select(F.substring("text", 1, COMMON_CHARS).alias("text")).limit(COMMON_ROWS)
+def look_at(docs: DataFrame, tokenizer: str) -> tuple[Common, int]:
+    """The pieces of a few of the texts, whichever are read first, and about how many bytes all texts have."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    some = docs.select(F.substring(text, 1, COMMON_CHARS).alias("text"), F.octet_length(text).alias("n"))
+    rows = some.limit(COMMON_ROWS).collect()
     encoder = PieceEncoder(tokenizer, END_ID)
-    texts = pa.array([r["text"] for r in some.collect()], pa.string())
-    for _ in encoder.encode(texts):
+    for _ in encoder.encode(pa.array([r["text"] for r in rows], pa.string())):
         pass
     pieces = pa.array(encoder.known.keys(), pa.string())
     counts = np.fromiter(map(len, encoder.known.values()), np.int64, len(pieces)) // 4
-    return Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
+    common = Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
+    return common, docs.count() * sum(r["n"] for r in rows) // max(len(rows), 1)
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, common: Common | None = None) -> DataFrame:
@@ -240,10 +244,11 @@ def write_tokens(
     by the hash of their texts. An empty table makes a folder without rows.
     """
     keys = {f"key{i}": key for i, key in enumerate([*(order or [F.col("doc_id")]), F.xxhash64("text")])}
+    common, size = look_at(docs, tokenizer)
     keyed = docs.select("doc_id", "text", *(key.alias(name) for name, key in keys.items()))
-    ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = keyed.repartitionByRange(size // FILE_TEXT_BYTES + 1, *keys).sortWithinPartitions(*keys)
     numbered = ranged.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    token_ids(numbered, tokenizer, end_id, common_pieces(docs, tokenizer)).write.options(**ORC_OPTIONS).orc(folder)
+    token_ids(numbered, tokenizer, end_id, common).write.options(**ORC_OPTIONS).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, doc_id_type: str = "bigint") -> DataFrame:

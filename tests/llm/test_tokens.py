@@ -38,8 +38,8 @@ def test_pieces_make_the_ids_of_whole_texts(plain, monkeypatch):
 
 def test_common_pieces_change_nothing(spark, plain):
     docs = edge_docs(spark)
-    common = tokens.common_pieces(docs, PATH)
-    assert len(common.pieces) > 100
+    common, size = tokens.look_at(docs, PATH)
+    assert len(common.pieces) > 100 and size == sum(len((t or "").encode()) for _, t in texts())
     some = [t or "" for _, t in texts()]
     assert encoded(tokens.PieceEncoder(PATH, 0, common), some) == [plain(x) for x in some]
 
@@ -56,7 +56,8 @@ def check(spark, rows, found, plain):
     return [r["doc_id"] for r in got]
 
 
-def test_round_trip_in_id_order(spark, plain, tmp_path):
+def test_round_trip_in_id_order(spark, plain, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "FILE_TEXT_BYTES", 20000)
     folder = str(tmp_path / "tokens")
     order = check(spark, texts(), tokens.tokenize(edge_docs(spark), PATH, folder), plain)
     named = [x for x in order if x is not None]
