@@ -29,14 +29,14 @@ ORC_OPTIONS = {
 }
 END_ID = 0
 #: Text that goes to one file, estimated from a few rows and the number of all; larger tasks meet fewer new pieces.
-FILE_TEXT_BYTES = 64 << 20
+FILE_TEXT_BYTES = 48 << 20
 #: Bytes of the texts whose pieces are told apart together, bytes of a run of new pieces, ids of a batch of results.
-SLICE_BYTES, RUN_BYTES, OUT_IDS = 8 << 20, 8 << 10, 1 << 19
+SLICE_BYTES, RUN_BYTES, OUT_IDS = 5 << 20, 8 << 10, 1 << 19
 #: Pieces whose ids a task remembers from slice to slice; it starts over when there are more.
-MAX_KNOWN = 250_000
+MAX_KNOWN = 150_000
 #: Rows whose pieces every task knows from the start, and the characters of each that are looked at. It changes no
-#: result, and what is broadcast is about 400,000 pieces, or 15 MB, whatever the size of the table.
-COMMON_ROWS, COMMON_CHARS = 8000, 4096
+#: result, and what is broadcast is about 250,000 pieces, or 10 MB, whatever the size of the table.
+COMMON_ROWS, COMMON_CHARS = 6000, 4096
 
 _WHITE = r"[\t-\r \x1c-\x1f\x85\p{Z}]"
 _BESIDE_SPACE = rf"{_WHITE} | {_WHITE}|\A | \z"
@@ -122,7 +122,7 @@ class PieceEncoder:
     def _encode_parts(self, parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the place of each part's among them (first, number)."""
         if len(self.known) > MAX_KNOWN:
-            self.known.clear()
+            self.known = {}
         at = pc.index_in(parts, value_set=self.common.pieces)
         rest = parts.filter(at.is_null()).to_pylist()
         self._learn([x for x in rest if x not in self.known])
@@ -207,8 +207,10 @@ def look_at(docs: DataFrame, tokenizer: str) -> tuple[Common, int]:
     some = docs.select(F.substring(text, 1, COMMON_CHARS).alias("text"), F.octet_length(text).alias("n"))
     rows = some.limit(COMMON_ROWS).collect()
     encoder = PieceEncoder(tokenizer, END_ID)
-    for _ in encoder.encode(pa.array([r["text"] for r in rows], pa.string())):
-        pass
+    texts = pa.array([r["text"] for r in rows], pa.string())
+    for a, b in _slices(pc.binary_length(texts).to_numpy()):
+        for _ in encoder.encode(texts.slice(a, b - a)):
+            pass
     pieces = pa.array(encoder.known.keys(), pa.string())
     counts = np.fromiter(map(len, encoder.known.values()), np.int64, len(pieces)) // 4
     common = Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
@@ -222,9 +224,9 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, common: Com
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer, end_id, sent.value and Common(*sent.value))
         for batch in batches:
-            texts, keys = batch.column("text").fill_null(""), batch.select(["doc_id", "row"])
-            for start, stop in _slices(pc.binary_length(texts).to_numpy()):
-                for a, b, ids in encoder.encode(texts.slice(start, stop - start)):
+            texts, keys = batch.column("text"), batch.select(["doc_id", "row"])
+            for start, stop in _slices(pc.binary_length(texts).fill_null(0).to_numpy()):
+                for a, b, ids in encoder.encode(texts.slice(start, stop - start).fill_null("")):
                     part = keys.slice(start + a, b - a)
                     yield pa.RecordBatch.from_arrays([*part.columns, ids], ["doc_id", "row", "ids"])
 
