@@ -29,14 +29,14 @@ ORC_OPTIONS = {
 }
 END_ID = 0
 #: Text that goes to one file, estimated from a few rows and the number of all; larger tasks meet fewer new pieces.
-FILE_TEXT_BYTES = 48 << 20
+FILE_TEXT_BYTES = 64 << 20
 #: Bytes of the texts whose pieces are told apart together, bytes of a run of new pieces, ids of a batch of results.
-SLICE_BYTES, RUN_BYTES, OUT_IDS = 5 << 20, 8 << 10, 1 << 19
+SLICE_BYTES, RUN_BYTES, OUT_IDS = 8 << 20, 8 << 10, 1 << 19
 #: Pieces whose ids a task remembers from slice to slice; it starts over when there are more.
-MAX_KNOWN = 150_000
+MAX_KNOWN = 400_000
 #: Rows whose pieces every task knows from the start, and the characters of each that are looked at. It changes no
 #: result, and what is broadcast is about 250,000 pieces, or 10 MB, whatever the size of the table.
-COMMON_ROWS, COMMON_CHARS = 6000, 4096
+COMMON_ROWS, COMMON_CHARS = 5000, 4096
 
 _WHITE = r"[\t-\r \x1c-\x1f\x85\p{Z}]"
 _BESIDE_SPACE = rf"{_WHITE} | {_WHITE}|\A | \z"
