@@ -3,39 +3,87 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotwise.llm.staging import fresh
+from slotwise.llm.staging import fresh, staged
 
 BLOCK_DOCS = 8
-#: Weights are rounded to this many shares; a schedule repeats after as many slots at most.
-SHARES = 1000
-#: Sources at most; their weights and schedules are held on the driver.
+#: Weights are taken to 1 / SHARES, finer than floating point; no list is as long as that.
+SHARES = 1 << 62
+#: Sources at most; a count and a weight of each is held on the driver.
 MAX_SOURCES = 500
 BUCKET_ROWS = 1000
+#: Blocks of a source in a row of the table of slots, and rows of it that are made at once.
+PART_BLOCKS, PARTS_AT_ONCE = 1024, 64
 
 
 def shares_of(weights: dict[str, float], shares: int = SHARES) -> dict[str, int]:
-    """Whole shares in proportion to ``weights`` that sum to ``shares``, one at least for each (largest remainders)."""
+    """Whole shares in proportion to ``weights`` that sum to ``shares`` (largest remainders).
+
+    Only sources whose part is below one share are raised to one; the others keep their proportions.
+    """
     if not weights:
         return {}
     if min(weights.values()) <= 0 or len(weights) > shares:
         raise ValueError("weights must be positive, and no more than there are shares")
-    total = math.fsum(weights.values())
-    exact = {s: w / total * (shares - len(weights)) for s, w in weights.items()}
+    free, out = {s: Fraction(w) for s, w in weights.items()}, {}
+    while True:
+        total, left = sum(free.values()), shares - len(out)
+        exact = {s: w / total * left for s, w in free.items()}
+        if not (small := [s for s, x in exact.items() if x < 1]):
+            break
+        for s in small:
+            out[s] = 1
+            del free[s]
     whole = {s: int(x) for s, x in exact.items()}
-    rest = shares - len(weights) - sum(whole.values())
-    for s in sorted(weights, key=lambda s: (whole[s] - exact[s], s))[:rest]:
+    rest = left - sum(whole.values())
+    for s in sorted(free, key=lambda s: (whole[s] - exact[s], s))[:rest]:
         whole[s] += 1
-    return {s: n + 1 for s, n in whole.items()}
+    return {s: out.get(s) or whole[s] for s in weights}
+
+
+def _in_order(shares: dict[str, int]) -> Iterator[tuple[str, int]]:
+    """(source, block) of each slot, without an end, by earliest deadline first; see ``schedule``."""
+    period = sum(shares.values())
+    waiting = [(0, s, 0) for s in shares]
+    heapq.heapify(waiting)
+    ready: list[tuple] = []
+    for t in itertools.count():
+        while waiting and waiting[0][0] <= t:
+            _, s, i = heapq.heappop(waiting)
+            due, part = divmod((i + 1) * period, shares[s])
+            heapq.heappush(ready, (due + (part > 0), not part, -shares[s], s, i))
+        _, _, _, s, i = heapq.heappop(ready)
+        yield s, i
+        heapq.heappush(waiting, ((i + 1) * period // shares[s], s, i + 1))
+
 
+class Schedule(Sequence):
+    """The slots of one period, worked out as far as they are asked for."""
 
-def schedule(shares: dict[str, int]) -> list[str]:
+    def __init__(self, shares: dict[str, int]):
+        self._length, self._known, self._rest = sum(shares.values()), [], _in_order(shares)
+
+    def __len__(self) -> int:
+        return self._length
+
+    def __getitem__(self, t: int) -> str:
+        if not 0 <= t < self._length:
+            raise IndexError(t)
+        while len(self._known) <= t:
+            self._known.append(next(self._rest)[0])
+        return self._known[t]
+
+
+def schedule(shares: dict[str, int]) -> Sequence[str]:
     """The source of each slot of one period, by earliest deadline first.
 
     Block i (from 0) of a source of weight w is released at floor(i / w) and due
@@ -44,49 +92,51 @@ def schedule(shares: dict[str, int]) -> list[str]:
     the larger weight, then the name. After any number t of slots a source
     has more than w * t - 1 and less than w * t + 1 blocks.
     """
-    period = sum(shares.values())
-    weights = {s: Fraction(n, period) for s, n in shares.items()}
-    waiting = [(0, s, 0) for s in shares]
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    slots = []
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
-            _, s, i = heapq.heappop(waiting)
-            due = math.ceil((i + 1) / weights[s])
-            overlaps = (i + 1) / weights[s] != due
-            heapq.heappush(ready, (due, not overlaps, -shares[s], s, i))
-        _, _, _, s, i = heapq.heappop(ready)
-        slots.append(s)
-        heapq.heappush(waiting, (math.floor((i + 1) / weights[s]), s, i + 1))
-    return slots
+    return Schedule(shares)
 
 
-def phases(shares: dict[str, int], blocks: dict[str, int]) -> list[dict]:
-    """Schedules that use up all blocks: when a source has no more, the others go on in their proportions.
+def places(shares: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, slot) of all blocks, slot by slot: when a source has no more, the others go on in their proportions.
 
-    A phase repeats the schedule of its sources and ends with the last block of
-    the source that is used up first. It has its first slot, the first and the
-    first later block of every source in it, and their slots in one period.
+    Then the schedule of the sources that are left begins anew. Nothing but a
+    place for each source is held.
     """
-    left, first, slot, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while live := {s: shares[s] for s, n in left.items() if n > 0}:
-        divisor = math.gcd(*live.values())
-        live = {s: n // divisor for s, n in live.items()}
-        slots = schedule(live)
-        places = {s: [t for t, x in enumerate(slots) if x == s] for s in live}
-        last = {s: (left[s] - 1) // live[s] * len(slots) + places[s][(left[s] - 1) % live[s]] for s in live}
-        length = min(last.values()) + 1
-        begun = {s: first[s] for s in live}
-        whole, part = divmod(length, len(slots))
-        for s in live:
-            used = whole * live[s] + sum(t < part for t in places[s])
-            left[s] -= used
-            first[s] += used
-        until = {s: first[s] for s in live}
-        out.append({"slot": slot, "first": begun, "until": until, "places": places, "period": len(slots)})
-        slot += length
-    return out
+    left, first, slot = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0
+    while left:
+        divisor = math.gcd(*(shares[s] for s in left))
+        used = dict.fromkeys(left, 0)
+        for s, i in _in_order({s: shares[s] // divisor for s in left}):
+            yield s, first[s] + i, slot
+            slot += 1
+            used[s] = i + 1
+            if i + 1 == left[s]:
+                break
+        first |= {s: first[s] + n for s, n in used.items()}
+        left = {s: left[s] - n for s, n in used.items() if left[s] > n}
+
+
+def _place_table(docs: DataFrame, shares: dict[str, int], blocks: dict[str, int]) -> DataFrame:
+    """(_s, _part, _slots): the slots of ``PART_BLOCKS`` blocks of a source a row, made and written by one task as it goes."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["_s", "_part", "_slots"]
+        for batch in batches:
+            if not len(batch):
+                continue
+            begun: dict[str, list[int]] = {s: [] for s in blocks}
+            full: list[tuple] = []
+            for s, block, slot in places(shares, blocks):
+                begun[s].append(slot)
+                if len(begun[s]) == PART_BLOCKS or block + 1 == blocks[s]:
+                    full.append((s, block // PART_BLOCKS, begun[s]))
+                    begun[s] = []
+                    if len(full) == PARTS_AT_ONCE:
+                        yield pd.DataFrame(full, columns=columns)
+                        full = []
+            yield pd.DataFrame(full, columns=columns)
+
+    one = docs.sparkSession.range(0, 1, 1, 1)
+    return staged(one.mapInPandas(rows, "_s string, _part bigint, _slots array<bigint>"))
 
 
 def tempered(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
@@ -106,7 +156,7 @@ def mix(
     ``block_docs`` (the last may be short), and the slots of the blocks follow
     the Pfair schedule of ``weights`` (``tempered`` counts if not given). In any
     prefix of the mix, as long as no source has been used up, a source deviates
-    by less than one block from its share. Every row is in the mix once; when a
+    by less than one block from its weight (up to t / SHARES after t slots). Every row is in the mix once; when a
     source has no more, the others go on at their proportions. Sources without
     a weight get the smallest one given; weights of sources without documents
     are left out. A null source is one of its own, named "" in ``weights``. Null
@@ -116,8 +166,9 @@ def mix(
 
     Rows are counted within buckets of a source, as many as the number of rows
     asks for, and buckets are added up. So no source is gathered in one task.
-    The driver holds a count a source. ``docs`` is read three times, twice
-    without its texts.
+    The driver holds a count a source. The schedule depends on what came before
+    each slot, so one task works through the blocks (not their rows) and writes
+    their slots as it goes. ``docs`` is read three times, twice without its texts.
     """
     name, h, bucket, earlier = (fresh(docs, x) for x in ("source", "hash", "bucket", "earlier"))
     sourced = docs.drop("block", "slot", "place").withColumn(name, F.coalesce(F.col("source").cast("string"), F.lit("")))
@@ -127,7 +178,7 @@ def mix(
     counts = {r[name]: r["n"] for r in counted}
     weights = weights or tempered(counts)
     weights = {s: weights.get(s, min(weights.values())) for s in sorted(counts)}
-    plan = phases(shares_of(weights), {s: -(-n // block_docs) for s, n in counts.items()})
+    slots = _place_table(docs, shares_of(weights), {s: -(-n // block_docs) for s, n in counts.items()})
 
     buckets = sum(counts.values()) // bucket_rows + 1
     hashed = sourced.withColumn(h, F.xxhash64("doc_id")).withColumn(bucket, F.pmod(F.col(h), F.lit(buckets)))
@@ -140,21 +191,14 @@ def mix(
     ranked = ranked.withColumn("place", F.col("place") + F.col(earlier)).withColumn("block", F.expr(f"place div {block_docs}"))
     ranked = ranked.withColumn("place", F.pmod("place", F.lit(block_docs)))
 
-    rows = [
-        (s, p["first"][s], p["until"][s], p["slot"], p["period"], p["places"][s]) for p in plan for s in p["first"]
-    ]  # at most MAX_SOURCES * SHARES places, whatever the size of docs
-    slots = docs.sparkSession.createDataFrame(
-        rows, "_s string, _first bigint, _until bigint, _slot bigint, _period bigint, _places array<int>"
-    ).select(F.struct("*").alias(fresh(docs, "slots")))
     at = fresh(docs, "slots")
     placed = ranked.join(
-        F.broadcast(slots),
-        (F.col(name) == F.col(f"{at}._s")) & (F.col("block") >= F.col(f"{at}._first")) & (F.col("block") < F.col(f"{at}._until")),
+        slots.select(F.struct("*").alias(at)),
+        (F.col(name) == F.col(f"{at}._s")) & (F.expr(f"block div {PART_BLOCKS}") == F.col(f"{at}._part")),
     )
-    nth, share = F.col("block") - F.col(f"{at}._first"), F.size(f"{at}._places")
-    slot = F.col(f"{at}._slot") + F.floor(nth / share) * F.col(f"{at}._period") + F.get(f"{at}._places", F.pmod(nth, share).cast("int"))
+    slot = F.get(f"{at}._slots", F.pmod("block", F.lit(PART_BLOCKS)).cast("int"))
     kept = [x for x in docs.columns if x not in ("block", "slot", "place")]
-    return placed.withColumn("slot", slot.cast("long")).select(*kept, "block", "slot", F.col("place").cast("int").alias("place"))
+    return placed.withColumn("slot", slot).select(*kept, "block", "slot", F.col("place").cast("int").alias("place"))
 
 
 def in_mix_order(docs: DataFrame, weights: dict[str, float] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:

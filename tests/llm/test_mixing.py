@@ -79,3 +79,39 @@ def test_files_are_in_mix_order(spark, tmp_path):
     rows = back.selectExpr("source", "_metadata.file_name f", "_metadata.row_index i").orderBy("f", "i").collect()
     slots = sorted((r["slot"], r["place"], r["source"]) for r in mixing.mix(docs.select("doc_id", "text", "source"), block_docs=2).collect())
     assert [r["source"] for r in rows] == [s for _, _, s in slots]
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"hot": 0.5} | {f"s{i}": 0.5 / 99 for i in range(99)},
+        {"hot": 0.9} | {f"s{i}": 0.1 / 499 for i in range(499)},
+        mixing.tempered({"hot": 100_000} | {f"s{i}": 10_000 + 7 * i for i in range(19)}),
+    ],
+)
+def test_every_prefix_is_within_a_block_of_the_given_weights(weights):
+    total = sum(map(Fraction, weights.values()))
+    exact, done = {s: Fraction(w) / total for s, w in weights.items()}, Counter()
+    found = mixing.places(mixing.shares_of(weights), {s: int(7000 * w) + 10 for s, w in exact.items()})
+    for s, block, t in found:
+        assert block == done[s]
+        done[s] += 1
+        if t == 6250:
+            break
+        # a source is furthest behind just before one of its blocks, furthest ahead just after it
+        assert block - exact[s] * t > -1 and block + 1 - exact[s] * (t + 1) < 1
+    assert all(abs(done[s] - exact[s] * (t + 1)) < 1 for s in weights)
+
+
+def test_a_mix_keeps_large_weights_beside_many_small_ones(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "if(id < 4500, 'hot', 's' || id % 99) as source")
+    weights = {"hot": 0.5} | {f"s{i}": 0.5 / 99 for i in range(99)}
+    rows = mixing.mix(docs, weights, block_docs=1).where("slot < 4000").collect()
+    assert len(rows) == 4000 and abs(sum(r["source"] == "hot" for r in rows) - 2000) <= 1
+
+
+def test_a_source_of_many_parts_has_every_slot_once(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "if(id % 5 = 0, 'b', 'a') as source")
+    rows = mixing.mix(docs, {"a": 4, "b": 1}, block_docs=1).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(5000))
+    assert sum(r["source"] == "b" for r in rows if r["slot"] < 2500) == 500
