@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.llm.staging import fresh
+
 #: Labelled rows that the network is trained on at most, and characters of each.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 256
 MAX_LANGUAGES = 64
@@ -21,6 +24,14 @@ RUN_SEQUENCES = 2048  # that are run side by side
 STEPS, BATCH, RATE = 300, 192, 0.02
 PAD = 256
 
+#: Share of the sample's rows that are left out of account as the lowest; weight of the shorter context in the counts.
+LOW, BACKOFF = 0.005, 4.0
+#: What limits leave below the lowest rows: this share of the way to chance, and this multiple of their distance.
+SLACK_SCORE, SLACK_DISTANCE = 0.75, 1.5
+LEAST_DISTANCE = 6.0  # in standard deviations, as texts are not spread as evenly as a normal distribution
+LEAST_ROWS = 20  # of a sample for a limit of familiarity
+PIECE_BYTES = 1 << 20  # of a text whose familiarity is looked up at once
+
 
 def _sequences(text: bytes, length: int) -> np.ndarray:
     """All bytes of ``text`` in rows of ``length``, padded."""
@@ -206,17 +217,118 @@ def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     The sample is ``rows * chars`` characters at most and the network has a
     fixed size, so neither the driver's work nor what it sends out grows.
     """
-    sample = training_rows(labelled, rows, chars).collect()
-    languages = sorted({r["lang"] for r in sample})
+    return _train([tuple(r) for r in training_rows(labelled, rows, chars).collect()])
+
+
+def _train(sample: list[tuple[str, str]]) -> Network | None:
+    languages = sorted({lang for _, lang in sample})
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
         return None
     network = Network(languages)
-    network.train([r["text"].encode() for r in sample], [r["lang"] for r in sample])
+    network.train([t.encode() for t, _ in sample], [lang for _, lang in sample])
     return network
 
 
+class Familiarity:
+    """How likely a text's letters are after the two before them, by the trigrams of some texts.
+
+    ASCII letters count in lower case, the bytes of others as they are; all that
+    stands between letters is one symbol, and so are bytes that the texts lack.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        symbol = np.zeros(256, np.int32)
+        symbol[65:91] = symbol[97:123] = np.arange(2, 28)
+        symbol[128:] = np.arange(28, 156)
+        seen = np.zeros(256, bool)
+        for t in texts:
+            seen[np.frombuffer(t, np.uint8)] = True
+        kept = np.unique(symbol[seen | (symbol == 0)])
+        names = np.full(156, 1, np.int32)
+        names[kept] = np.where(kept > 1, np.cumsum(kept > 1) + 1, 0)
+        self.symbols = names[symbol]
+        self.size = n = int(self.symbols.max()) + 1
+        threes = np.zeros(n**3)
+        for t in texts:
+            np.add.at(threes, self._places(t), 1)
+        threes = threes.reshape(n, n, n)
+        twos, ones = threes.sum(0), threes.sum((0, 1))
+        p = (ones + 1) / (ones.sum() + n)
+        p = (twos + BACKOFF * p) / (twos.sum(1, keepdims=True) + BACKOFF)
+        p = (threes + BACKOFF * p) / (threes.sum(2, keepdims=True) + BACKOFF)
+        self.logs = np.log(p).astype(np.float32).ravel()
+
+    def _places(self, text: bytes) -> np.ndarray:
+        s = np.zeros(len(text) + 3, np.int32)
+        s[2:-1] = self.symbols[np.frombuffer(text, np.uint8)]
+        return ((s[:-2] * self.size + s[1:-1]) * self.size + s[2:])[(s[1:-1] != 0) | (s[2:] != 0)]
+
+    def of(self, text: bytes) -> np.ndarray:
+        """The logarithms for the places of ``text`` that belong to a word."""
+        return self.logs[self._places(text)]
+
+
+@dataclass
+class Limits:
+    """What a text must reach to be in a language: a score, and a familiarity for its length.
+
+    The distance of a text from its language is its mean familiarity less that
+    of the language's rows, in standard deviations for a text of that length.
+    """
+
+    scores: dict[str, float]
+    familiarity: Familiarity
+    means: dict[str, float]
+    within: float
+    between: float
+    distance: float
+
+    def distance_of(self, text: bytes, lang: str) -> float:
+        total, n = 0.0, 0
+        for at in range(0, len(text), PIECE_BYTES):
+            found = self.familiarity.of(text[at : at + PIECE_BYTES])
+            total, n = total + float(found.sum(dtype=np.float64)), n + len(found)
+        return (total / n - self.means[lang]) / float(np.sqrt(self.within / n + self.between)) if n else 0.0
+
+    def accept(self, text: bytes, lang: str, score: float) -> bool:
+        return score >= self.scores[lang] and self.distance_of(text, lang) >= self.distance
+
+
+def _limits(network: Network, sample: list[tuple[str, str]]) -> Limits:
+    """From the rows of ``sample`` that ``network`` labels right, familiarity by halves of which each is held against the other."""
+    texts, labels = [t.encode() for t, _ in sample], [lang for _, lang in sample]
+    p, chance = network.probabilities(texts), 1 / len(network.languages)
+    right = [network.languages[k] == lang for k, lang in zip(p.argmax(1), labels, strict=True)]
+    scores = {}
+    for lang in network.languages:
+        own = [x for x, r, name in zip(p.max(1), right, labels, strict=True) if r and name == lang]
+        low = min(float(np.quantile(own, LOW, method="lower")), 1.0) if own else chance
+        scores[lang] = low - SLACK_SCORE * (low - chance)
+    halves = [Familiarity(texts[k::2]) for k in (0, 1)]
+    found = [halves[1 - i % 2].of(t) for i, t in enumerate(texts)]
+    of = {lang: [x for x, name in zip(found, labels, strict=True) if name == lang and len(x)] for lang in network.languages}
+    means = {lang: float(np.mean([x.mean() for x in rows])) if rows else 0.0 for lang, rows in of.items()}
+    every = [(x, means[lang]) for lang, rows in of.items() for x in rows]
+    within = float(np.mean([x.var() for x, _ in every]))
+    apart = np.array([x.mean() - m for x, m in every])
+    between = max(float(np.mean(apart**2 - [within / len(x) for x, _ in every])), 1e-6)
+    distances = apart / np.sqrt([within / len(x) + between for x, _ in every])
+    lowest = min(float(np.quantile(distances, LOW, method="lower")), -LEAST_DISTANCE)
+    distance = SLACK_DISTANCE * lowest if len(texts) >= LEAST_ROWS else -np.inf
+    return Limits(scores, Familiarity(texts), means, within, between, distance)
+
+
+def train_with_limits(
+    labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
+) -> tuple[Network | None, Limits | None]:
+    """``train``, and the limits below which a text is in none of the network's languages, from the same sample."""
+    sample = [tuple(r) for r in training_rows(labelled, rows, chars).collect()]
+    network = _train(sample)
+    return network, _limits(network, sample) if network else None
+
+
 def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     """``docs`` with lang_pred and score: the language most probable on average over all bytes of the text.
 
@@ -246,3 +358,26 @@ def keep_identified(docs: DataFrame, network: Network | None, min_score: float =
     row = docs.select(F.struct(*docs.columns).alias("row"), "text")
     marked = predict(row, network)
     return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("row.*")
+
+
+def keep_learned(docs: DataFrame, network: Network | None, limits: Limits | None) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language of the network by ``limits``, columns as given.
+
+    Texts that are null or have no letter go, and all do without a network.
+    """
+
+    @F.pandas_udf("boolean")
+    def learned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = [False] * len(texts)
+            at = [i for i, t in enumerate(texts) if t is not None]
+            if network is not None and at:
+                given = [texts.iloc[i] for i in at]
+                for i, t, p in zip(at, given, network.probabilities(given), strict=True):
+                    best = int(p.argmax())
+                    found[i] = limits.accept(t, network.languages[best], float(p[best]))
+            yield pd.Series(found, dtype=bool)
+
+    kept = fresh(docs, "learned")
+    lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary"))
+    return docs.withColumn(kept, learned(lettered)).where(F.col(kept)).drop(kept)

@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 from llm_data import edge_docs, empty_docs, texts
 
 from slotwise.llm import language_id
@@ -80,3 +83,54 @@ def test_the_sample_is_bounded(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "repeat('abc def ', 200) as text", "'en' as lang")
     rows = language_id.training_rows(docs, rows=50, chars=20).collect()
     assert len(rows) == 50 and all(len(r["text"]) <= 20 for r in rows)
+
+
+def strangers() -> dict[str, str]:
+    """Junk, and texts in languages and scripts that the tables lack."""
+    r = random.Random(1)
+    made = lambda letters: " ".join("".join(r.choices(letters, k=r.randint(3, 9))) for _ in range(80))
+    return {
+        "consonants": made("bcdfghjklmnpqrstvwxz"),
+        "letters": made("abcdefghijklmnopqrstuvwxyz"),
+        "hex": " ".join(f"{r.getrandbits(128):032x}" for _ in range(20)),
+        "code": "for(int i=0;i<n;i++){a[i]=b[i]*c[i];} return x->y; " * 5,
+        "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 4,
+        "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * 4,
+        "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 4,
+        "chinese": "人人生而自由,在尊严和权利上一律平等。" * 8,
+    }
+
+
+@pytest.mark.parametrize("languages", [["en"], ["de", "en"], ["de", "en", "es", "fr"]])
+def test_texts_in_no_learned_language_go(spark, languages):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    held = "crc32(cast(doc_id as string)) % 4 = 2"
+    known = docs.where(docs["lang"].isin(languages))
+    net, limits = language_id.train_with_limits(known.where(f"not {held}"), rows=800)
+    assert net.languages == languages
+    rows = [(name, text, None) for name, text in strangers().items()]
+    others = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    assert language_id.keep_learned(others, net, limits).collect() == []
+    clean = known.where(held).where(r"text rlike '\\p{L}'")
+    kept = language_id.keep_learned(clean, net, limits)
+    assert kept.columns == docs.columns
+    assert kept.count() >= 0.995 * clean.count()
+
+
+def test_limits_of_few_rows(spark):
+    docs = edge_docs(spark)
+    net, limits = language_id.train_with_limits(docs, rows=20)
+    assert language_id.keep_learned(docs, net, limits).columns == docs.columns
+    assert language_id.train_with_limits(empty_docs(spark)) == (None, None)
+    assert language_id.keep_learned(docs, None, None).count() == 0
+    one = docs.where("lang is not null and doc_id = 1 or doc_id = 2")
+    net, limits = language_id.train_with_limits(one)
+    assert language_id.keep_learned(one, net, limits).count() > 0
+
+
+def test_familiarity_of_a_long_text_is_that_of_its_parts():
+    net = network()
+    limits = language_id._limits(net, [("ab cd ab ef", "x"), ("xy zy xy zz", "y"), ("ab ab cd", "x"), ("xy xy zy", "y")])
+    limits.between = 1.0
+    one, many = (limits.distance_of(b"ab cd ef " * n, "x") for n in (1000, 200_000))
+    assert np.isfinite([one, many]).all() and abs(one - many) < 0.01
