@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -38,8 +40,9 @@ CLOSES = {
     "body": ({"head"}, set()),
 }
 CELL_BOUNDS = frozenset({"td", "th", "caption", "table", "html"})
-#: Elements below this depth become children of the element at it.
-MAX_DEPTH = 200
+TABLE_PARTS = frozenset({"table", "tr", "td", "th", "tbody", "thead", "tfoot"})
+#: Elements that are laid out by themselves; all others are their contents, set off where they are blocks.
+OWN_LAYOUT = frozenset("br hr pre ul ol menu table blockquote dd select input".split())
 
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _CSS_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
@@ -60,18 +63,25 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag, but the root
         self.styles: list[str] = []
 
+    def _close(self, at: int) -> None:
+        """Closes the open elements from place ``at`` on."""
+        for node in reversed(self.open[at:]):
+            self.places[node.tag].pop()
+        del self.open[at:]
+
+    def _innermost(self, tags) -> int:
+        return max((self.places[x][-1] for x in tags if self.places.get(x)), default=0)
+
     def _pop(self, tags: set[str], bounds) -> None:
         """Closes the outermost open element of ``tags`` that no element of ``bounds`` encloses from within."""
-        at = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                at = i
-            elif self.open[i].tag in bounds:
-                break
-        if at is not None:
-            del self.open[at:]
+        bound, found = self._innermost(bounds), []
+        for places in (self.places[x] for x in tags if self.places.get(x)):
+            found += places[(k := bisect_right(places, bound)) : k + 1]
+        if found:
+            self._close(min(found))
 
     def handle_starttag(self, tag: str, attrs) -> None:
         found: dict[str, str] = {}
@@ -81,13 +91,14 @@ class TreeBuilder(HTMLParser):
             return
         if tag in BLOCKS:
             self._pop({"p"}, CELL_BOUNDS | {"button"})
-        if tag not in HIDDEN and any(x.tag == "head" for x in self.open):
+        if tag not in HIDDEN and self.places.get("head"):
             self._pop({"head"}, ())
         if tag in CLOSES:
             self._pop(*CLOSES[tag])
         node = Node(tag, found)
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < MAX_DEPTH:
+        if tag not in VOID:
+            self.places[tag].append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -96,12 +107,9 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.handle_starttag("br", [])
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in CELL_BOUNDS and tag not in {"table", "tr", "td", "th", "tbody", "thead", "tfoot"}:
-                return
+        places = self.places.get(tag)
+        if places and (tag in TABLE_PARTS or places[-1] >= self._innermost(CELL_BOUNDS)):
+            self._close(places[-1])
 
     def handle_data(self, data: str) -> None:
         inner = self.open[-1]
@@ -173,7 +181,24 @@ class Lines:
         self.gap = max(self.gap, gap)
 
 
+def _run(step: Generator):
+    """The value that ``step`` returns; what it yields are steps whose values it is sent. So calls may nest at any depth."""
+    steps, value = [step], None
+    while steps:
+        try:
+            inner = steps[-1].send(value)
+        except StopIteration as done:
+            steps.pop()
+            value = done.value
+        else:
+            steps.append(inner)
+            value = None
+    return value
+
+
 class Renderer:
+    """Lays out a tree. Generators are steps for ``_run``, but for ``inside``."""
+
     def __init__(self, hidden: set[tuple[str, str, str]]):
         self.hidden = hidden
 
@@ -192,78 +217,102 @@ class Renderer:
             return any((tag, kind, name) in self.hidden for tag in (node.tag, "*") for kind, name in names)
         return False
 
-    def lines(self, node: Node) -> list[str]:
+    def lines(self, node: Node) -> Generator:
         out = Lines()
-        self.children(node, out)
+        yield self.children(node.children, out)
         out.flush()
         return out.lines
 
-    def children(self, node: Node, out: Lines) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                out.inline.append(child)
-            elif not self._unseen(child):
-                self.element(child, out)
+    def children(self, nodes: list, out: Lines) -> Generator:
+        waiting: list[tuple[Iterator, int | str | None]] = [(iter(nodes), None)]
+        while waiting:
+            rest, after = waiting[-1]
+            for child in rest:
+                if isinstance(child, str):
+                    out.inline.append(child)
+                elif self._unseen(child):
+                    continue
+                elif child.tag in OWN_LAYOUT or child.tag == "details" and "open" not in child.attrs:
+                    yield self.element(child, out)
+                else:
+                    after = None
+                    if child.tag in BLOCKS:
+                        after = 1 if child.tag in SPACED else 0
+                        out.block(after)
+                    elif child.tag in ("td", "th"):  # outside of a table
+                        after = " "
+                        out.inline.append(after)
+                    waiting.append((iter(child.children), after))
+                    break
+            else:
+                waiting.pop()
+                if isinstance(after, str):
+                    out.inline.append(after)
+                elif after is not None:
+                    out.block(after)
 
-    def element(self, node: Node, out: Lines) -> None:
+    def element(self, node: Node, out: Lines) -> Generator:
         tag = node.tag
         if tag == "br":
             out.flush()
         elif tag == "hr":
             out.whole([], 1)
         elif tag == "pre":
-            text = "".join(self.raw(node)).removeprefix("\n").rstrip()
+            text = self.raw(node).removeprefix("\n").rstrip()
             out.whole([line.rstrip("\r") for line in text.split("\n")] if text else [], 1)
         elif tag in ("ul", "ol", "menu"):
-            out.whole(self.list_lines(node), 1)
+            out.whole((yield self.list_lines(node)), 1)
         elif tag == "table":
-            out.whole(self.table_lines(node), 1)
+            out.whole((yield self.table_lines(node)), 1)
         elif tag == "blockquote":
-            out.whole([f"  {line}" if line else "" for line in self.lines(node)], 1)
+            out.whole([f"  {line}" if line else "" for line in (yield self.lines(node))], 1)
         elif tag == "dd":
-            out.whole([f"  {line}" if line else "" for line in self.lines(node)], 0)
+            out.whole([f"  {line}" if line else "" for line in (yield self.lines(node))], 0)
         elif tag == "select":
             options = [x for x in self.inside(node, {"option"}, {"select"}) if not self._unseen(x)]
             chosen = [x for x in options if "selected" in x.attrs] or options[:1]
-            out.inline.append(" ".join(" ".join(self.lines(x)) for x in chosen))
+            texts = []
+            for x in chosen:
+                texts += yield self.lines(x)
+            out.inline.append(" ".join(texts))
         elif tag == "input":
             if node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
                 out.inline.append(node.attrs.get("value", ""))
-        elif tag == "details" and "open" not in node.attrs:
+        else:  # details that are not open
             shown = Node("details", {"open": ""})
             shown.children = [x for x in node.children if isinstance(x, Node) and x.tag == "summary"][:1]
-            self.element(shown, out)
-        elif tag in BLOCKS:
-            gap = 1 if tag in SPACED else 0
-            out.block(gap)
-            self.children(node, out)
-            out.block(gap)
-        elif tag in ("td", "th"):  # outside of a table
-            out.inline.append(" ")
-            self.children(node, out)
-            out.inline.append(" ")
-        else:
-            self.children(node, out)
-
-    def raw(self, node: Node) -> Iterator[str]:
-        for child in node.children:
-            if isinstance(child, str):
-                yield child
-            elif child.tag == "br":
-                yield "\n"
-            elif not self._unseen(child):
-                yield from self.raw(child)
+            yield self.children([shown], out)
+
+    def raw(self, node: Node) -> str:
+        out, waiting = [], [iter(node.children)]
+        while waiting:
+            for child in waiting[-1]:
+                if isinstance(child, str):
+                    out.append(child)
+                elif child.tag == "br":
+                    out.append("\n")
+                elif not self._unseen(child):
+                    waiting.append(iter(child.children))
+                    break
+            else:
+                waiting.pop()
+        return "".join(out)
 
     def inside(self, node: Node, tags: set[str], bounds: set[str]) -> Iterator[Node]:
         """The outermost elements of ``tags``, not looking into others of ``bounds`` or unseen ones."""
-        for child in node.children:
-            if isinstance(child, Node):
-                if child.tag in tags:
-                    yield child
-                elif child.tag not in bounds and not self._unseen(child):
-                    yield from self.inside(child, tags, bounds)
+        waiting = [iter(node.children)]
+        while waiting:
+            for child in waiting[-1]:
+                if isinstance(child, Node):
+                    if child.tag in tags:
+                        yield child
+                    elif child.tag not in bounds and not self._unseen(child):
+                        waiting.append(iter(child.children))
+                        break
+            else:
+                waiting.pop()
 
-    def list_lines(self, node: Node) -> list[str]:
+    def list_lines(self, node: Node) -> Generator:
         start = node.attrs.get("start", "")
         number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
         out = Lines()
@@ -275,19 +324,19 @@ class Renderer:
             elif child.tag == "li":
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
-                lines = self.lines(child)
+                lines = yield self.lines(child)
                 if lines:
                     rest = " " * len(mark)
                     out.whole([mark + lines[0], *(rest + x if x else "" for x in lines[1:])], 0)
             else:
-                self.element(child, out)
+                yield self.children([child], out)
         out.flush()
         return out.lines
 
-    def table_lines(self, table: Node) -> list[str]:
+    def table_lines(self, table: Node) -> Generator:
         """Captions, then rows with their cells in columns of equal width; text outside of cells comes first."""
         out = Lines()
-        for part in self.stray(table):
+        for part in (yield self.stray(table)):
             out.whole(part, 0)
         grid: list[list[list[str]]] = []
         below: dict[int, int] = {}  # columns that a cell above still covers, and for how many rows
@@ -305,7 +354,7 @@ class Renderer:
                     for c in range(len(cells), len(cells) + width):
                         if height > 1:
                             below[c] = height - 1
-                    cells += [self.lines(cell), *([] for _ in range(width - 1))]
+                    cells += [(yield self.lines(cell)), *([] for _ in range(width - 1))]
             grid.append(cells)
         widths: dict[int, int] = {}
         for cells in grid:
@@ -327,9 +376,9 @@ class Renderer:
         value = cell.attrs.get(name, "")
         return min(max(int(value), 1), 100) if re.fullmatch(r"[0-9]{1,4}", value) else 1
 
-    def stray(self, node: Node) -> Iterator[list[str]]:
+    def stray(self, node: Node) -> Generator:
         """The lines of captions and of what stands between rows and cells."""
-        rest = Node("div", {})
+        rest, parts = Node("div", {}), []
         for child in node.children:
             if isinstance(child, str):
                 rest.children.append(child)
@@ -338,11 +387,12 @@ class Renderer:
             elif child.tag in ("tr", "thead", "tbody", "tfoot"):
                 inner = Node("div", {})
                 inner.children = [x for x in child.children if isinstance(x, str) or x.tag not in ("td", "th")]
-                yield from self.stray(inner)
+                parts += yield self.stray(inner)
             elif child.tag not in ("colgroup", "col"):
                 rest.children.append(child)
-        if lines := self.lines(rest):
-            yield lines
+        if lines := (yield self.lines(rest)):
+            parts.append(lines)
+        return parts
 
 
 def page_text(html: str | None) -> str:
@@ -352,7 +402,7 @@ def page_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
-    return "\n".join(Renderer(hidden_by_sheets(builder.styles)).lines(builder.root))
+    return "\n".join(_run(Renderer(hidden_by_sheets(builder.styles)).lines(builder.root)))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -44,6 +44,31 @@ def test_deep_and_long_pages():
     assert html_text.page_text("<a b='" * 2000) is not None
 
 
+@pytest.mark.parametrize("depth", [150, 1000, 100000])
+@pytest.mark.parametrize("tag", ["div", "span", "font"])
+def test_what_is_deep_down_is_as_anywhere_else(tag, depth):
+    inner = (
+        "<script>var no='<p>'</script><style>.ad{display:none}</style><template>no</template><i style='display:none'>no</i>"
+        "<p class=ad>no</p><p>one</p><p>two</p><ul><li>x<li>y</ul><table><tr><td>a<td>b<tr><td>c<td>d</table>"
+    )
+    shown = "one\n\ntwo\n\n- x\n- y\n\na  b\nc  d"
+    assert html_text.page_text(f"<{tag}>" * depth + inner) == shown
+    closed = f"<div id=o><b>t</b>{f'<{tag}>' * depth}{inner}{f'</{tag}>' * depth}</div><p class=ad>no</p><p>end</p>"
+    assert html_text.page_text(closed).split("\n\n", 1)[1].endswith("c  d\n\nend")
+
+
+def test_deep_lists_quotes_and_tables():
+    for source, words in [
+        ("<ul><li>" * 1000 + "<script>no</script>x", 1001),
+        ("<blockquote>" * 1000 + "<script>no</script>x", 1),
+        ("<table><tr><td>" * 1000 + "<script>no</script>x", 1),
+        ("<pre>" + "<b>" * 1000 + "<script>no</script>x", 1),
+        ("<select>" + "<optgroup>" * 1000 + "<option>x<option>no", 1),
+    ]:
+        assert len(html_text.page_text(source).split()) == words
+        assert html_text.page_text(source).split()[-1] == "x"
+
+
 def test_all_visible_words_of_the_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in html_text.extract_text(pages).select("html", "text").collect():
