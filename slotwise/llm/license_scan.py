@@ -29,6 +29,100 @@ TEMPLATES = {
     "mpl-notice": "this source code form is subject to the terms of the mozilla public license",
     "no-reproduction": "all rights reserved no part of this work may be reproduced without written permission",
     "public-domain": "this work has been released into the public domain by its author",
+    "gpl-header": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation"
+    ),
+    "gpl-warranty": (
+        "this program is distributed in the hope that it will be useful but without any warranty without even "
+        "the implied warranty of merchantability or fitness for a particular purpose see the gnu general "
+        "public license for more details"
+    ),
+    "lgpl-header": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+        "lesser general public license as published by the free software foundation"
+    ),
+    "agpl-header": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "affero general public license as published by the free software foundation"
+    ),
+    "apache-header": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at"
+    ),
+    "apache-warranty": (
+        "unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+        "see the license for the specific language governing permissions and limitations under the license"
+    ),
+    "mit-grant": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+        "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+        "the following conditions"
+    ),
+    "mit-condition": (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the software"
+    ),
+    "mit-warranty": (
+        "the software is provided as is without warranty of any kind express or implied including but not "
+        "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in "
+        "no event shall the authors or copyright holders be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the "
+        "software or the use or other dealings in the software"
+    ),
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+        "hereby granted provided that the above copyright notice and this permission notice appear in all "
+        "copies"
+    ),
+    "isc-warranty": (
+        "the software is provided as is and the author disclaims all warranties with regard to this software "
+        "including all implied warranties of merchantability and fitness in no event shall the author be "
+        "liable for any special direct indirect or consequential damages or any damages whatsoever resulting "
+        "from loss of use data or profits whether in an action of contract negligence or other tortious "
+        "action arising out of or in connection with the use or performance of this software"
+    ),
+    "zlib-warranty": (
+        "this software is provided as is without any express or implied warranty in no event will the authors "
+        "be held liable for any damages arising from the use of this software"
+    ),
+    "zlib-grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following restrictions"
+    ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and "
+        "the following disclaimer"
+    ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+        "the following disclaimer in the documentation and or other materials provided with the distribution"
+    ),
+    "bsd-names": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission"
+    ),
+    "bsd-warranty": (
+        "this software is provided by the copyright holders and contributors as is and any express or implied "
+        "warranties including but not limited to the implied warranties of merchantability and fitness for a "
+        "particular purpose are disclaimed"
+    ),
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at",
+    "boost-grant": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+        "software and accompanying documentation covered by this license the software to use reproduce "
+        "display distribute execute and transmit the software"
+    ),
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "cc-by-sa": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-attribution": "this work is licensed under a creative commons attribution 4 0 international license",
+    "cc0": (
+        "to the extent possible under law the author has waived all copyright and related or neighboring "
+        "rights to this work"
+    ),
 }
 #: Share of a template's distinct words that a block must contain.
 THRESHOLD = 0.9

@@ -67,3 +67,38 @@ def test_prefixes_meet_whenever_the_overlap_suffices():
     for t in templates:
         assert len(t.prefix) == len(t.ranks) - t.overlap + 1
         assert t.overlap >= 0.9 * len(t.ranks) > t.overlap - 1
+
+
+NOTICES = {
+    "mit-grant": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+    ),
+    "isc-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "zlib-warranty": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software."
+    ),
+    "bsd-warranty": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED."
+    ),
+    "bsd-source": (
+        "* Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer."
+    ),
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+}
+
+
+def test_notices_that_name_no_license(spark):
+    rows = [(i, f"x\n{text}\ny") for i, text in enumerate(NOTICES.values())]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all(list(NOTICES)[r["doc_id"]] in r["labels"] and r["score"] == 1.0 for r in found)
+    assert len(found) == len(NOTICES)
