@@ -202,10 +202,9 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def look_at(docs: DataFrame, tokenizer: str) -> tuple[Common, int]:
-    """The pieces of a few of the texts, whichever are read first, and about how many bytes all texts have."""
+    """The pieces of a few of the texts, whichever are read first, and how many bytes all texts have."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    some = docs.select(F.substring(text, 1, COMMON_CHARS).alias("text"), F.octet_length(text).alias("n"))
-    rows = some.limit(COMMON_ROWS).collect()
+    rows = docs.select(F.substring(text, 1, COMMON_CHARS).alias("text")).limit(COMMON_ROWS).collect()
     encoder = PieceEncoder(tokenizer, END_ID)
     texts = pa.array([r["text"] for r in rows], pa.string())
     for a, b in _slices(pc.binary_length(texts).to_numpy()):
@@ -214,7 +213,7 @@ def look_at(docs: DataFrame, tokenizer: str) -> tuple[Common, int]:
     pieces = pa.array(encoder.known.keys(), pa.string())
     counts = np.fromiter(map(len, encoder.known.values()), np.int64, len(pieces)) // 4
     common = Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
-    return common, docs.count() * sum(r["n"] for r in rows) // max(len(rows), 1)
+    return common, docs.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, common: Common | None = None) -> DataFrame:

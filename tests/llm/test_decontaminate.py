@@ -72,3 +72,11 @@ def test_spans_are_cut_out(spark):
     docs = spark.createDataFrame([(1, "The Secret, answer IS: 42.", 7), (2, None, 8), (3, "clean", 9)], "doc_id int, text string, x int")
     found = decontaminate.remove_spans(docs, bench, 10)
     assert tuples(found, *docs.columns) == [(1, "The ,  : 42.", 7), (2, None, 8), (3, "clean", 9)]
+
+
+def test_copies_of_an_item_do_not_fill_a_block(spark):
+    rows = [(i, f"item {i} of the benchmark") for i in range(40)] + [(1, "item 1 of the benchmark")] * 400
+    bench = spark.createDataFrame(rows, "item_id bigint, text string")
+    blocks = list(decontaminate._blocks(bench, 300))
+    assert sum(len(x) for x in blocks) == 40
+    assert max(sum(len(text) for _, text in x) for x in blocks) < 1200

@@ -89,3 +89,9 @@ def test_files_have_indexes_and_bloom_filters(spark, tmp_path):
     assert sum(f.nrows for f in found) == len(texts())
     assert any(f.content_length > 0 and b"doc_id" in Path(p).read_bytes() for f, p in zip(found, files, strict=True))
     assert tuples(tokens.read_tokens(spark, str(folder)), "doc_id")
+
+
+def test_the_size_counts_texts_that_are_read_late(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "COMMON_ROWS", 10)
+    docs = spark.range(0, 100, 1, 1).selectExpr("id as doc_id", "if(id < 90, 'a', repeat('é', 5000)) as text")
+    assert tokens.look_at(docs, PATH)[1] == 90 + 10 * 10000
