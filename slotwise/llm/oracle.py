@@ -151,10 +151,110 @@ SELECT doc_id, n::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
 """
 
 
+_RESAMPLING = rf"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS row, doc_id, {_NORMAL_WORDS} AS w FROM documents),
+aims AS (SELECT {_NORMAL_WORDS} AS w FROM benchmark),
+runs AS (
+  SELECT row, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS f
+  FROM docs, range(1, 4) AS lengths(n) WHERE len(w) >= n),
+aimed AS (
+  SELECT unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS f
+  FROM aims, range(1, 4) AS lengths(n) WHERE len(w) >= n),
+counts AS (SELECT row, f, count(*) AS n FROM runs GROUP BY row, f),
+features AS MATERIALIZED (
+  SELECT f, row_number() OVER () AS id, hex(encode(f)) AS bytes
+  FROM (SELECT f FROM counts UNION SELECT f FROM aimed)),
+crc_table AS MATERIALIZED (
+  SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS bytes(b)),
+crcs(id, rest, c) AS (
+  SELECT id, bytes, 4294967295::BIGINT FROM features
+  UNION ALL
+  SELECT id, substr(rest, 3), xor(v, c >> 8)
+  FROM crcs JOIN crc_table ON b = xor(c & 255, ('0x' || substr(rest, 1, 2))::BIGINT) WHERE rest <> ''),
+bucketed AS (SELECT f, xor(c, 4294967295) % 10000 AS bucket FROM crcs JOIN features USING (id) WHERE rest = ''),
+source AS (SELECT bucket, sum(n) AS s FROM counts JOIN bucketed USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM aimed JOIN bucketed USING (f) GROUP BY bucket),
+totals AS (
+  SELECT coalesce((SELECT sum(s) FROM source), 0)::DOUBLE AS s, coalesce((SELECT sum(t) FROM target), 0)::DOUBLE AS t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(target.t, 0) + 1)::DOUBLE * (totals.s + 10000)
+    / ((source.s + 1)::DOUBLE * (totals.t + 10000)))) AS gain
+  FROM source LEFT JOIN target USING (bucket), totals),
+weights AS (
+  SELECT row, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM counts JOIN bucketed USING (f) JOIN gains USING (bucket) GROUP BY row),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+      ('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (row)),
+placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS r
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN r <= 5 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN r END AS rank
+FROM placed
+"""
+
+
+_EMBEDDINGS = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+usable AS (
+  SELECT row, vec_id, v FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.row AS a, b.row AS b FROM usable a JOIN usable b
+  ON a.row <> b.row AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached(a, b) AS (
+  SELECT row, row FROM vectors UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+classes AS (SELECT a AS row, min(vec_id) AS component_id FROM reached JOIN vectors ON b = row GROUP BY a),
+counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN classes USING (row) LEFT JOIN counts USING (row)
+"""
+
+
+_COLLOCATIONS = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 5) AS lengths(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+halves AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, l.f AS l, r.f AS r, (2000000 * a::HUGEINT) // (l.f + r.f) AS score
+  FROM cuts
+  JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+weakest AS (
+  SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+spans AS (SELECT lang, w, a, k, unnest(range(2, k)) AS size FROM candidates WHERE k > 2),
+starts AS (SELECT *, unnest(range(1, k - size + 2)) AS i FROM spans),
+longer AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS f FROM starts GROUP BY ALL),
+kept AS (
+  SELECT weakest.* FROM weakest LEFT JOIN longer USING (lang, phrase) WHERE 100 * coalesce(longer.f, 0) < 80 * a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_url_filter": _urls(),
         "op5_decontamination": _CONTAMINATION,
         "op9_license_scan": _licenses(),
         "op10_substring_dedup": _REPEATS,
+        "op11_importance_resampling": _RESAMPLING,
+        "op12_embedding_dedup": _EMBEDDINGS,
+        "op13_collocations": _COLLOCATIONS,
     }

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm import (
+    collocations,
     decontaminate,
+    embedding_forest,
     html_text,
+    importance,
     language_id,
     license_scan,
     mixing,
@@ -108,6 +111,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How like the benchmark every document is, and the 5 per cent that are drawn."""
+    found = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of embeddings that links of cosine 0.95 and more lead between, and how many links each has."""
+    return embedding_forest.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -120,4 +139,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_store": op8_token_store,
         "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_embedding_dedup": op12_embedding_dedup,
+        "op13_collocations": op13_collocations,
     }

@@ -1,0 +1,145 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from llm_data import edge_docs, empty_docs, prose
+from pyspark.sql import functions as F
+
+from slotwise.llm import collocations
+
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def plain_counts(rows):
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        low = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+        for piece in re.split(rb"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(rb"[^\x20\x09]+", piece)
+            for n in range(1, 5):
+                for i in range(len(w) - n + 1):
+                    counts[lang or "und"][tuple(w[i : i + n])] += 1
+    return counts
+
+
+def plain(rows, min_count=30, top=2000, cover=80):
+    out = []
+    for lang, counts in plain_counts(rows).items():
+        candidates = {k: v for k, v in counts.items() if len(k) > 1 and v >= min_count}
+        longer = Counter()
+        for k, v in candidates.items():
+            for n in range(2, len(k)):
+                for i in range(len(k) - n + 1):
+                    longer[k[i : i + n]] = max(longer[k[i : i + n]], v)
+        kept = []
+        for k, a in candidates.items():
+            if k not in longer or 100 * longer[k] < cover * a:
+                parts = [(counts[k[:j]], counts[k[j:]], j) for j in range(1, len(k))]
+                score, _, left, right = min((2000000 * a // (x + y), j, x, y) for x, y, j in parts)
+                kept.append((-score, -a, b" ".join(k), left, right))
+        total = sum(v for k, v in counts.items() if len(k) == 1)
+        for i, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, i, phrase.decode(), -a, left, right, total, -score))
+    return sorted(out)
+
+
+def found(df, **options):
+    return sorted(map(tuple, collocations.collocations(df, **options).select(*COLUMNS).collect()))
+
+
+def corpus(seed, docs, words=12):
+    r = random.Random(seed)
+    vocabulary = [chr(97 + i) * (1 + i % 3) for i in range(words)] + ["É", "x-y", "a_b"]
+    ends = [" ", " ", " ", "\t", "  ", ", ", ". ", "\n", "!?", "\r\n", " ; "]
+    rows = []
+    for i in range(docs):
+        text = "".join(r.choice(vocabulary).upper() if r.random() < 0.1 else r.choice(vocabulary[: 3 + i % words]) for _ in ())
+        for _ in range(r.randrange(0, 80)):
+            text += (r.choice(vocabulary) if r.random() < 0.5 else r.choice(["new york", "of the new york", "Of The"])) + r.choice(ends)
+        rows.append((["en", None, "de", "und", "en"][i % 5], text))
+    return rows
+
+
+@pytest.mark.parametrize("min_count,top", [(2, 2000), (5, 7), (30, 2000)])
+def test_against_brute_force(spark, min_count, top):
+    rows = corpus(1, 120)
+    rows += rows[:40] * 2 + [("en", None), ("de", ""), (None, " \n ,. ")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    expected = plain(rows, min_count, top)
+    assert len({r[0] for r in expected}) == 3
+    assert found(df, min_count=min_count, top=top) == expected
+
+
+def test_awkward_rows(spark):
+    df = edge_docs(spark)
+    rows = [(r["lang"], r["text"]) for r in df.collect()]
+    for min_count in (2, 30):
+        assert found(df, min_count=min_count) == plain(rows, min_count)
+    assert found(empty_docs(spark)) == []
+
+
+def test_copies_are_one_chunk_with_a_weight(spark):
+    rows = [("en", prose(1, 400))] * 50 + [("en", prose(2, 30) + " " + prose(1, 400))]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    dictionary = collocations.parse(df)
+    assert dictionary.agg(F.sum(F.col("owned") * F.col("n"))).first()[0] == 51 * 400 + 30
+    weights = [r["n"] for r in dictionary.collect()]
+    # the longer text shares all chunks but the first
+    assert max(weights) == 51 and sum(w == 1 for w in weights) <= 4
+    assert found(df) == plain(rows)
+
+
+def owned_runs(parts, longest=4):
+    counts = Counter()
+    for chunk, owned in parts:
+        w = chunk.split(b" ")
+        for n in range(1, longest + 1):
+            counts.update(tuple(w[i : i + n]) for i in range(min(owned, len(w) - n + 1)))
+    return counts
+
+
+@pytest.mark.parametrize("size", [1, 30, 1 << 20])
+def test_every_run_is_owned_by_one_chunk(size):
+    texts = [prose(1, 3000), "same " * 5000, ", ".join(prose(2, 400).split()), "", " ", "one", "a b c d e", "x" * 9000, "\n" * 90]
+    for text in texts:
+        tokens = [x for part in collocations.tokens_of(text.encode(), 1 << 20) for x in part if x]
+        runs = Counter(tuple(tokens[i : i + n]) for n in range(1, 5) for i in range(len(tokens) - n + 1))
+        parts = list(collocations.chunks(text.encode(), collocations.Hashes(), size))
+        assert owned_runs(parts) == runs
+        assert max((owned for _, owned in parts), default=0) <= collocations.MAX_CHUNK + collocations.OVERLAP
+
+
+def test_chunks_do_not_depend_on_slices():
+    text = (prose(3, 4000) + " " + "same " * 3000).encode()
+    each = [list(collocations.chunks(text, collocations.Hashes(), size)) for size in (100, 3000, 1 << 20)]
+    assert each[0] == each[1] == each[2] and len(each[0]) > 50
+
+
+def test_a_full_filter_changes_no_count(spark, monkeypatch):
+    rows = corpus(2, 60)
+    df = spark.createDataFrame(rows, "lang string, text string")
+    expected = found(df, min_count=4)
+    monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 15)
+    monkeypatch.setattr(collocations, "_slots", lambda hashes: (hashes % 64).astype(int))
+    assert found(df, min_count=4) == expected == plain(rows, 4)
+
+
+def test_ranking_in_parts(spark, monkeypatch):
+    rows = corpus(3, 80)
+    monkeypatch.setattr(collocations, "TOP_ROWS", 20)
+    assert found(spark.createDataFrame(rows, "lang string, text string"), min_count=2, top=15) == plain(rows, 2, 15)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 6 * 10**18
+    rows = [("en", "a", 1, big), ("en", "b", 1, big), ("en", "a b", 2, big - 1)]
+    df = spark.createDataFrame(rows, "lang string, phrase string, words int, f bigint")
+    (row,) = collocations._scored(df).collect()
+    assert (row["l"], row["r"], row["score"]) == (big, big, 999999)
+    assert collocations._uncovered(collocations._scored(df), df, 80).count() == 1
+
+
+def test_phrases_of_other_lengths_are_refused(spark):
+    with pytest.raises(ValueError):
+        collocations.collocations(empty_docs(spark), longest=5)

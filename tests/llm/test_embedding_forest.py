@@ -1,0 +1,134 @@
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from slotwise.llm import embedding_forest as forest
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, vector string, leaf string, n string, v string, dim string"
+REST = [1, "x", "x", "x", "x", "x", "x"]
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], *REST) for i, v in rows], schema).repartition(3)
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
+
+
+def plain(rows, bound=0.95):
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    links = [set() for _ in rows]
+    for a, (_, v) in enumerate(rows):
+        for b, (_, w) in enumerate(rows[:a]):
+            if usable(v) and usable(w) and len(v) == len(w):
+                cosine = np.dot(v, w) / math.sqrt(np.dot(v, v) * np.dot(w, w))
+                if cosine >= bound:
+                    links[a].add(b)
+                    links[b].add(a)
+    out = []
+    for a, (i, _) in enumerate(rows):
+        seen, todo = {a}, [a]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        ids = [rows[b][0] for b in seen if rows[b][0] is not None]
+        component = min(ids) if ids else None
+        out.append((i, len(links[a]), component, i is not None and i == component))
+    return sorted(out, key=str)
+
+
+def found(df, **options):
+    return sorted(map(tuple, forest.near_duplicates(df, **options).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
+
+
+def clusters(seed, groups, dim, noise, alone=0):
+    random = np.random.default_rng(seed)
+    rows = []
+    for size in groups:
+        centre = random.standard_normal(dim)
+        rows += [centre + noise * random.standard_normal(dim) for _ in range(size)]
+    rows += [random.standard_normal(dim) for _ in range(alone)]
+    return [(3 * i + 2, v.tolist()) for i, v in enumerate(random.permutation(rows))]
+
+
+def test_awkward_vectors(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [
+        (1, a), (2, a), (2, a), (3, [2.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, b), (6, None), (7, []), (8, [0.0, 0.0, 0.0]),
+        (9, [1.0, None, 0.0]), (10, [1.0, float("nan"), 0.0]), (11, [float("inf"), 0.0, 0.0]), (None, b), (None, b), (None, [0.0, 0.0, 1.0]),
+        (12, [1.0, 0.0]), (13, [1.0, 0.0]), (14, [-1.0, -0.0, 0.0]), (15, [1e-30, 0.0, 0.0]), (16, [1e30, 0.0, 0.0]), (17, None), (None, None),
+    ]
+    assert found(frame(spark, rows)) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert found(frame(spark, [])) == []
+    assert found(frame(spark, [(1, None)])) == [(1, 0, 1, True)]
+
+
+@pytest.mark.parametrize("leaf,block", [(1024, 2048), (20, 16), (8, 1000)])
+def test_links_of_clusters(spark, leaf, block):
+    rows = clusters(1, [40, 12, 5, 2, 2, 60], 16, 0.12, alone=120)
+    rows += [(i + 1, v) for i, v in rows[:25]]
+    expected = plain(rows)
+    assert sum(r[1] for r in expected) > 300
+    assert found(frame(spark, rows), leaf=leaf, block=block) == expected
+
+
+def test_dense_clusters_are_compared_in_tiles(spark):
+    rows = clusters(2, [150], 8, 0.01, alone=30)
+    assert found(frame(spark, rows), leaf=16, block=20) == plain(rows)
+
+
+def test_the_bound_is_held_exactly(spark):
+    rows = [(1, [1.0, 0.0]), (2, [19.0, math.sqrt(39.0)]), (3, [3.0, 4.0]), (4, [4.0, 3.0]), (5, [5.0, 12.0])]
+    for bound in (0.95, 0.96, 24 / 25):
+        assert found(frame(spark, rows), min_cosine=bound) == plain(rows, bound)
+
+
+def test_recall_of_pairs_at_the_bound(spark):
+    """Pairs of cosine 0.95 to 0.955 among rows without structure, the hardest to find, in leaves far below their number."""
+    random = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        a, b = random.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        c = random.uniform(0.9501, 0.955)
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (c * a + math.sqrt(1 - c * c) * b).tolist())]
+    links = sum(r[1] for r in found(frame(spark, rows), leaf=32))
+    assert links >= 0.99 * 800
+
+
+def test_a_round_after_another(spark, monkeypatch):
+    monkeypatch.setattr(forest, "LEVELS", 1)
+    monkeypatch.setattr(forest, "SAMPLE", 60)
+    rows = clusters(4, [9] * 12, 16, 0.1, alone=60)
+    assert found(frame(spark, rows), leaf=24) == plain(rows)
+
+
+def test_every_row_is_routed_with_its_near_ones():
+    random = np.random.default_rng(5)
+    x = random.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    overlap = forest.margin(32, 0.95)
+    tree = forest.fit(x[:1000], 3.0, 100, 8, overlap, [1])
+    ends = list(forest.route(x, *tree, overlap))
+    assert len(ends) > 20 and not any(dense for _, _, dense in ends)
+    assert set(np.concatenate([p for _, p, _ in ends]).tolist()) == set(range(3000))
+    assert max(len(p) for _, p, _ in ends) < 250
+
+
+def test_a_pair_belongs_to_its_first_leaf_alone():
+    vector = np.array([1.0, 0.0], "<f8").tobytes()
+    near = np.array([1.0, 0.01], "<f8").tobytes()
+    group = pd.DataFrame(
+        {"id": [1, 2], "vector": [vector, near], "copies": [1, 3], "leaves": [[4, 7], [7, 9]], "leaf": 7, "block": 0, "i": 0, "j": 0}
+    )
+    assert forest.compare(group, 0.95).to_numpy().tolist() == [[1, 3, 1], [2, 1, 1]]
+    assert forest.compare(group.assign(leaves=[[4, 7], [7, 4]]), 0.95).empty
