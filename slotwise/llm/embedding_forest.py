@@ -20,7 +20,9 @@ LEAF, BLOCK = 1024, 2048
 #: Levels that a round adds to a node, and rows of it (on average) that they are fitted on.
 LEVELS, SAMPLE = 8, 4096
 #: Half the overlap of two halves, in standard deviations of the distance along a random direction of two vectors at the bound.
-SPILL = 0.5
+SPILL = 0.35
+#: Rows of a node that a task routes, behind one copy of its subtree.
+ROUTED = 20_000
 #: Directions tried for a split, and the part of the rows that one half may have at most.
 TRIES, MOST = 8, 0.8
 SEED = 42
@@ -113,13 +115,17 @@ def leaves(nodes: DataFrame, min_cosine: float, trees: int, leaf: int, spill: fl
         return pd.DataFrame([[dim, tree, node, *found]], columns=[*keys, "ids", "cuts", "directions", "dense"])
 
     def routed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        below = {}  # the subtree of the node whose rows follow
         for batch in batches:
             for (dim, tree, node), group in batch.groupby(keys):
-                tree_of = group["below"].iloc[0]
-                parts = [tree_of[k] for k in ("ids", "cuts", "directions", "dense")]
-                for heap, places, dense in route(_unit(group["vector"]), *parts, margin(int(dim), min_cosine, spill)):
-                    out = group.iloc[places][["id", "dim", "vector", "tree"]]
-                    yield out.assign(node=_below(int(node), heap), closed=dense)
+                for subtree in group["below"].dropna():
+                    below = {(dim, tree, node): subtree}
+                group = group[group["id"].notna()]
+                if len(group):
+                    parts = [below[dim, tree, node][k] for k in ("ids", "cuts", "directions", "dense")]
+                    for heap, places, dense in route(_unit(group["vector"]), *parts, margin(int(dim), min_cosine, spill)):
+                        out = group.iloc[places][["id", "dim", "vector", "tree"]]
+                        yield out.assign(id=out["id"].astype("int64"), node=_below(int(node), heap), closed=dense)
 
     roots = nodes.withColumn("tree", F.explode(F.expr(f"sequence(0, {trees - 1})")))
     state = roots.withColumns({"node": F.lit(1).cast("bigint"), "closed": F.lit(False)})
@@ -135,8 +141,13 @@ def leaves(nodes: DataFrame, min_cosine: float, trees: int, leaf: int, spill: fl
         subtrees = drawn.groupBy(*keys).applyInPandas(fitted, f"{kinds}, ids array<int>, cuts array<double>, directions binary, dense array<int>")
         subtrees = staged(subtrees.select(*keys, F.struct("ids", "cuts", "directions", "dense").cast(_TREE).alias("below")))
         ended.append(state.where("closed").unionByName(state.where("not closed").join(sizes, keys, "left_anti")))
-        grown = state.where("not closed").join(subtrees, keys).select("id", *keys, "vector", "below")
-        state = staged(grown.mapInPandas(routed, schema))
+        # rows and, before them, a copy of their node's subtree meet by node and share
+        shares = F.expr(f"cast(n div {ROUTED} as int)")
+        rows = large.withColumns({"share": F.pmod(F.xxhash64("id"), shares + 1).cast("int"), "below": F.lit(None).cast(_TREE)})
+        heads = subtrees.join(sizes, keys).withColumn("share", F.explode(F.sequence(F.lit(0), shares)))
+        both = rows.select("id", *keys, "vector", "share", "below").unionByName(heads.select(*keys, "share", "below"), allowMissingColumns=True)
+        met = both.repartition(*keys, "share").sortWithinPartitions(*keys, "share", F.asc_nulls_first("id"))
+        state = staged(met.mapInPandas(routed, schema))
     out = state
     for part in ended:
         out = out.unionByName(part)
