@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,50 +20,66 @@ TOP = 2000
 COVER_PERCENT = 80
 #: Tokens that two chunks share; one in TRIGGER runs of that many ends a chunk, and MAX_CHUNK tokens do without one.
 OVERLAP, TRIGGER, MAX_CHUNK = LONGEST - 1, 32, 1024
-BREAK = b"\n"
-#: Bytes of text parsed at once, chunks or n-grams a task holds before it hands them on, bits of the filters.
+#: Stands between two pieces; no word holds it.
+BREAK = b"."
+#: Bytes of text parsed at once, chunks or runs a task holds before it hands them on, bits of the filters.
 SLICE, HELD, FILTER_BITS = 1 << 20, 1_000_000, 1 << 27
 TOP_ROWS = 100_000
 
-#: A-Z become a-z; what parts pieces becomes a line feed, what parts words a space.
-PIECES = bytes(c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c in (9, 32) else c for c in range(256))
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A-Z become a-z; what parts pieces becomes a break, what parts words a space.
+PIECES = bytes(c + 32 if 65 <= c <= 90 else BREAK[0] if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c in (9, 32) else c for c in range(256))
+#: An odd base of polynomial hashes modulo 2^64, its inverse, and a multiplier that mixes them.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE, _MIX = pow(_BASE, -1, 1 << 64), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Hashes(dict):
-    """64 bits for each word, remembered for as many words as fit."""
+class Tokens:
+    """Tokens joined by single spaces: where each starts and ends, and a hash of any run of them."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+    def __init__(self, data: bytes):
+        raw = np.frombuffer(data, np.uint8)
+        gaps = np.flatnonzero(raw == 32)
+        self.starts = np.concatenate([[0], gaps + 1]) if len(data) else np.zeros(0, np.int64)
+        self.ends = np.concatenate([gaps, [len(data)]]) if len(data) else np.zeros(0, np.int64)
+        self.breaks = (self.ends - self.starts == 1) & (raw[self.starts] == BREAK[0])
+        self._raw = raw
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def run_hashes(self, n: int, seeds: np.ndarray | int = 0) -> np.ndarray:
+        """A hash of the bytes of each run of ``n`` tokens, and of a seed each."""
+        count = max(0, len(self.starts) - n + 1)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum((self._raw + np.uint64(1)) * _powers(_BASE, len(self._raw)))])
+            first, end = self.starts[:count], self.ends[n - 1 :][:count]
+            total = (sums[end] - sums[first]) * _powers(_INVERSE, len(self._raw))[first]
+            total ^= seeds[:count] if isinstance(seeds, np.ndarray) else np.uint64(seeds)
+            for shift in (32, 29):
+                total = (total ^ (total >> np.uint64(shift))) * _MIX
+        return total ^ (total >> np.uint64(31))
 
 
-def _run_hashes(hashes: np.ndarray, n: int, seeds: np.ndarray | int = 0) -> np.ndarray:
-    """A hash of each run of ``n`` words, from those of its words and a seed each."""
-    total = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
-    total |= seeds[: len(total)] if isinstance(seeds, np.ndarray) else np.uint64(seeds)
-    with np.errstate(over="ignore"):
-        for k in range(n):
-            total = (total ^ hashes[k : k + len(total)]) * _MIX
-            total ^= total >> np.uint64(29)
-    return total
+_KNOWN_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2^64."""
+    known = _KNOWN_POWERS.get(base)
+    if known is None or len(known) < n:
+        steps = np.full(max(n, SLICE), base, np.uint64)
+        steps[0] = 1
+        known = _KNOWN_POWERS[base] = np.cumprod(steps)
+    return known[:n]
 
 
 def tokens_of(text: bytes | None, size: int = SLICE) -> Iterator[list[bytes]]:
     """Lower-cased words and ``BREAK`` between pieces, in lists of about ``size`` bytes of text."""
     low, start = (text or b"").translate(PIECES), 0
     while start < len(low):
-        stop = min((at for at in (low.find(b" ", start + size), low.find(b"\n", start + size)) if at >= 0), default=len(low))
-        yield low[start:stop].replace(b"\n", b" \n ").split(b" ")
+        stop = min((at for at in (low.find(b" ", start + size), low.find(BREAK, start + size)) if at >= 0), default=len(low))
+        yield low[start:stop].replace(BREAK, b" " + BREAK + b" ").split()
         start = stop
 
 
-def chunks(text: bytes | None, hashes: Hashes, size: int = SLICE) -> Iterator[tuple[bytes, int]]:
+def chunks(text: bytes | None, size: int = SLICE) -> Iterator[tuple[bytes, int]]:
     """The prefix-free parse of a text: (tokens joined by spaces, how many of them it owns).
 
     A run of ``OVERLAP`` tokens whose hash is divided by ``TRIGGER`` begins a
@@ -72,24 +88,22 @@ def chunks(text: bytes | None, hashes: Hashes, size: int = SLICE) -> Iterator[tu
     run that the next one begins with: an n-gram of up to ``OVERLAP`` + 1 tokens
     lies whole in the one chunk that owns its first token.
     """
-    held: list[bytes] = []
+    held = b""
     for new in tokens_of(text, size):
-        held += [x for x in new if x]
-        triggers = np.flatnonzero(_run_hashes(hashes.of(held), OVERLAP) % np.uint64(TRIGGER) == 0)
-        first = 0
-        for at in triggers.tolist():
-            while at - first > MAX_CHUNK:
-                yield b" ".join(held[first : first + MAX_CHUNK + OVERLAP]), MAX_CHUNK
+        held = b" ".join([held, *new] if held else new)
+        tokens = Tokens(held)
+        starts, ends, first = tokens.starts.tolist(), tokens.ends.tolist(), 0
+        for at in [*np.flatnonzero(tokens.run_hashes(OVERLAP) % np.uint64(TRIGGER) == 0).tolist(), None]:
+            # without a trigger in reach a chunk ends after MAX_CHUNK tokens
+            while (len(starts) - OVERLAP if at is None else at) - first > MAX_CHUNK:
+                yield held[starts[first] : ends[first + MAX_CHUNK + OVERLAP - 1]], MAX_CHUNK
                 first += MAX_CHUNK
-            if at > first:
-                yield b" ".join(held[first : at + OVERLAP]), at - first
+            if at is not None and at > first:
+                yield held[starts[first] : ends[at + OVERLAP - 1]], at - first
                 first = at
-        while len(held) - first > MAX_CHUNK + OVERLAP:
-            yield b" ".join(held[first : first + MAX_CHUNK + OVERLAP]), MAX_CHUNK
-            first += MAX_CHUNK
-        held = held[first:]
+        held = held[starts[first] :] if starts else b""
     if held:
-        yield b" ".join(held), len(held)
+        yield held, held.count(b" ") + 1
 
 
 class _Counter(dict):
@@ -109,11 +123,11 @@ def parse(docs: DataFrame) -> DataFrame:
     """(lang, chunk, owned, n): the dictionary of distinct chunks of ``docs`` (text, lang) and how often each is used, staged."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        hashes, held = Hashes(), _Counter()
+        held = _Counter()
         form = ["lang", "chunk", "owned"], [pa.string(), pa.binary(), pa.int32()]
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                for chunk, owned in chunks(text.as_py(), hashes):
+                for chunk, owned in chunks(text.as_py()):
                     held[lang, chunk, owned] += 1
                     if len(held) >= HELD // 10:
                         yield held.batch(*form)
@@ -125,20 +139,21 @@ def parse(docs: DataFrame) -> DataFrame:
     return staged(used.groupBy("lang", "chunk", "owned").agg(F.sum("n").alias("n")))
 
 
-def _count(dictionary: DataFrame, n: int, known: np.ndarray | None) -> DataFrame:
-    """(lang, phrase, f): how often each run of ``n`` words occurs in the texts of the ``dictionary``.
+def _count(dictionary: DataFrame, lengths: tuple[int, ...], known: np.ndarray | None) -> DataFrame:
+    """(lang, phrase, f): how often each run of ``lengths`` words occurs in the texts of the ``dictionary``.
 
-    ``known`` is a filter over the runs of one word less that reach the least
-    count. Runs that contain another are not counted, as they cannot reach it.
+    ``known`` is a filter over the runs of one word less than the first of
+    ``lengths`` that reach the least count. Runs that contain another are not counted, as
+    they cannot reach it.
     """
     sent = dictionary.sparkSession.sparkContext.broadcast(known)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        hashes, held, rows = Hashes(), [], 0
+        held, rows = [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append(_runs(batch, n, sent.value, hashes))
-                rows += held[-1].num_rows
+                held += _runs(batch, lengths, sent.value)
+                rows = sum(x.num_rows for x in held)
             if rows >= HELD:
                 yield from _summed(held)
                 held, rows = [], 0
@@ -154,35 +169,36 @@ def _summed(parts: list[pa.Table]) -> list[pa.RecordBatch]:
     return found.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).to_batches(max_chunksize=100_000)
 
 
-def _runs(batch: pa.RecordBatch, n: int, known: np.ndarray | None, hashes: Hashes) -> pa.Table:
-    """(lang, phrase, n) for the runs of ``n`` words that the chunks of a batch own; of those whose two runs of one word less are ``known``."""
+def _runs(batch: pa.RecordBatch, lengths: tuple[int, ...], known: np.ndarray | None) -> list[pa.Table]:
+    """(lang, phrase, n) for the runs that the chunks of a batch own; of those that have all their shorter runs in ``known``."""
     parts = batch.column("chunk").to_pylist()
-    data = b" \n ".join(parts)  # a break between chunks, so that no run spans two
-    words = data.split(b" ")
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
+    data = (b" " + BREAK + b" ").join(parts)  # so that no run spans two chunks
+    tokens = Tokens(data)
     sizes = np.fromiter((x.count(b" ") + 2 for x in parts), np.int64, len(parts))
-    row = np.repeat(np.arange(len(parts)), sizes)[: len(words)]
-    place = np.arange(len(words)) - (np.cumsum(sizes) - sizes)[row]
-    last = max(0, len(words) - n + 1)
-    wanted = (place < batch.column("owned").to_numpy()[row])[:last]
-    whole = (lengths != 1) | (np.frombuffer(data, np.uint8)[starts] != BREAK[0])
-    for k in range(n):
-        wanted = wanted & whole[k : k + last]
-    if n > 1:
+    row = np.repeat(np.arange(len(parts)), sizes)[: len(tokens.starts)]
+    owned = np.arange(len(row)) < (np.cumsum(sizes) - sizes + batch.column("owned").to_numpy())[row]
+    if known is not None:
         langs = batch.column("lang").dictionary_encode()
         seeds = np.array([_seed(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
-        seen = _has(known, _run_hashes(hashes.of(words), n - 1, seeds[row]))
-        wanted = wanted & seen[:last] & seen[1 : last + 1]
-    at = np.flatnonzero(wanted)
-    phrases = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at + n - 1].tolist(), strict=True)]
-    columns = [batch.column("lang").take(pa.array(row[at])), pa.array(phrases, pa.binary()), batch.column("n").take(pa.array(row[at]))]
-    return pa.table(columns, ["lang", "phrase", "n"])
+        seen = _has(known, tokens.run_hashes(lengths[0] - 1, seeds[row]))
+    out = []
+    for n in lengths:
+        last = max(0, len(row) - n + 1)
+        wanted = owned[:last].copy()
+        for k in range(n):
+            wanted &= ~tokens.breaks[k : k + last]
+        if known is not None:
+            for k in range(n - lengths[0] + 2):
+                wanted &= seen[k : k + last]
+        at = np.flatnonzero(wanted)
+        phrases = [data[a:b] for a, b in zip(tokens.starts[at].tolist(), tokens.ends[at + n - 1].tolist(), strict=True)]
+        of = pa.array(row[at])
+        out.append(pa.table([batch.column("lang").take(of), pa.array(phrases, pa.binary()), batch.column("n").take(of)], ["lang", "phrase", "n"]))
+    return out
 
 
 def _seed(lang: str) -> int:
-    return xxhash.xxh3_64_intdigest(lang.encode())
+    return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "big")
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -194,20 +210,23 @@ def _has(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (known[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _filter(frequent: DataFrame, n: int) -> np.ndarray:
-    """A bit for the hash of every phrase of ``frequent`` (lang, phrase); ``FILTER_BITS`` whatever their number.
+def _filter(frequent: DataFrame) -> np.ndarray:
+    """A bit for the hash of every phrase of ``frequent`` (lang, phrase), all of one length; ``FILTER_BITS`` whatever their number.
 
     Without false negatives; a full one only lets more runs be counted. The
     bits are put together on the executors, and the driver gets the pages.
     """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
-            rows = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
-            found = [_run_hashes(hashes.of(phrase.split(b" ")), n, _seed(lang))[0] for lang, phrase in rows]
-            # Spark's pages have 32768 bits and begin with slot 1
-            yield pa.RecordBatch.from_arrays([pa.array(_slots(np.array(found, np.uint64)) + 1)], ["slot"])
+            phrases, langs = batch.column("phrase").to_pylist(), batch.column("lang").dictionary_encode()
+            if phrases:
+                n = phrases[0].count(b" ") + 1
+                seeds = np.array([_seed(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
+                tokens = Tokens((b" " + BREAK + b" ").join(phrases))
+                found = tokens.run_hashes(n, np.repeat(seeds, n + 1))[:: n + 1]
+                # Spark's pages have 32768 bits and begin with slot 1
+                yield pa.RecordBatch.from_arrays([pa.array(_slots(found) + 1)], ["slot"])
 
     slots = frequent.select("lang", "phrase").mapInArrow(of_batches, "slot bigint")
     pages = slots.groupBy(F.bitmap_bucket_number("slot").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
@@ -221,17 +240,19 @@ def _filter(frequent: DataFrame, n: int) -> np.ndarray:
 def frequencies(dictionary: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all runs that occur ``min_count`` times, and (lang, n) with all words, both staged.
 
-    Runs grow a word a round: each round passes over the dictionary and counts
-    only what the round before leaves possible.
+    Words are counted first, then the pairs of frequent words, then all longer
+    runs of frequent pairs: three passes over the dictionary.
     """
-    single = staged(_count(dictionary, 1, None))
+    single = staged(_count(dictionary, (1,), None))
     totals = staged(single.groupBy("lang").agg(F.sum("f").alias("n")))
     level = single.where(F.col("f") >= min_count)
-    out = level.withColumn("words", F.lit(1))
-    for n in range(2, longest + 1):
-        level = staged(_count(dictionary, n, _filter(level, n - 1)).where(F.col("f") >= min_count))
-        out = out.unionByName(level.withColumn("words", F.lit(n)))
-    return out.select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "f"), totals
+    out = level
+    for lengths in [(2,), tuple(range(3, longest + 1))]:
+        if lengths:
+            level = staged(_count(dictionary, lengths, _filter(level)).where(F.col("f") >= min_count))
+            out = out.unionByName(level)
+    phrase = F.col("phrase").cast("string")
+    return out.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("words"), "f"), totals
 
 
 def _part(first: Column | int, count: Column | int) -> Column:

@@ -105,14 +105,14 @@ def test_every_run_is_owned_by_one_chunk(size):
     for text in texts:
         tokens = [x for part in collocations.tokens_of(text.encode(), 1 << 20) for x in part if x]
         runs = Counter(tuple(tokens[i : i + n]) for n in range(1, 5) for i in range(len(tokens) - n + 1))
-        parts = list(collocations.chunks(text.encode(), collocations.Hashes(), size))
+        parts = list(collocations.chunks(text.encode(), size))
         assert owned_runs(parts) == runs
         assert max((owned for _, owned in parts), default=0) <= collocations.MAX_CHUNK + collocations.OVERLAP
 
 
 def test_chunks_do_not_depend_on_slices():
     text = (prose(3, 4000) + " " + "same " * 3000).encode()
-    each = [list(collocations.chunks(text, collocations.Hashes(), size)) for size in (100, 3000, 1 << 20)]
+    each = [list(collocations.chunks(text, size)) for size in (100, 3000, 1 << 20)]
     assert each[0] == each[1] == each[2] and len(each[0]) > 50
 
 
