@@ -20,7 +20,7 @@ LEAF, BLOCK = 1024, 2048
 #: Levels that a round adds to a node, and rows of it (on average) that they are fitted on.
 LEVELS, SAMPLE = 8, 4096
 #: Half the overlap of two halves, in standard deviations of the distance along a random direction of two vectors at the bound.
-SPILL = 0.35
+SPILL = 0.5
 #: Rows of a node that a task routes, behind one copy of its subtree.
 ROUTED = 20_000
 #: Directions tried for a split, and the part of the rows that one half may have at most.
