@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from checks.queries import PERIOD, events, rolled_up, series
+from checks.queries import PERIOD, events, rolled_up, series, work_folder
 from slotwise import SeriesSpec, clean
 from slotwise import operators as op
 
 
 def profile_form(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
-    return clean(readings, spec, PERIOD)
+    return clean(readings, spec, PERIOD, work=work_folder(readings.sparkSession))
 
 
 def join_form(readings: DataFrame, spec: SeriesSpec) -> DataFrame:

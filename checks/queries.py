@@ -88,13 +88,14 @@ def cleaned(
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     readings = readings_hourly(spark, sf_dir, entity, slot)
-    return clean(readings, series(entity, slot), PERIOD, limits=limits)
+    return clean(readings, series(entity, slot), PERIOD, limits=limits, work=work_folder(spark))
 
 
 def daily(spark: SparkSession, sf_dir: str, entity: str, slot: timedelta = HOUR) -> DataFrame:
     """The daily summary looks at ``v`` only, so only ``v`` is cleaned."""
     spec = series(entity, slot).only("v")
-    return op.daily_summary(clean(readings_hourly(spark, sf_dir, entity, slot), spec, PERIOD), spec)
+    cleaned_v = clean(readings_hourly(spark, sf_dir, entity, slot), spec, PERIOD, work=work_folder(spark))
+    return op.daily_summary(cleaned_v, spec)
 
 
 def digits(column: str) -> int:
@@ -181,7 +182,7 @@ def hourly_baseline(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 
 def filled(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return op.fill_gaps(readings_hourly(spark, sf_dir, entity), series(entity), PERIOD)
+    return op.fill_gaps(readings_hourly(spark, sf_dir, entity), series(entity), PERIOD, work=work_folder(spark))
 
 
 def zscores(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:

@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> None:
     found = run(
         readings, spec, Period.of(args.start, args.end), sink, args.anomalies, closed_end=args.closed_end
     )
-    print(f"{found.audit.rows} readings of about {found.audit.entities} entities, {found.audit.off_slot} off the slot grid")
+    print(f"{found.audit.rows} readings of {found.entities} entities, {found.audit.off_slot} off the slot grid")
     print(f"stored in {found.daily} and {found.cleaned}")
 
 

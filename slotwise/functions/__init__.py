@@ -1,7 +1,9 @@
 from slotwise.functions.time import (
     day_of,
     day_parts,
+    hours_with_slots,
     ntz,
+    number_at_position,
     quoted,
     slot_floor,
     slot_hour,
@@ -10,6 +12,7 @@ from slotwise.functions.time import (
     slot_position,
     slot_time,
     with_days,
+    with_slot_places,
     with_slots,
     with_slots_of_days,
 )
@@ -18,7 +21,9 @@ from slotwise.functions.stats import number_or_null, zscore
 __all__ = [
     "day_of",
     "day_parts",
+    "hours_with_slots",
     "ntz",
+    "number_at_position",
     "number_or_null",
     "quoted",
     "slot_floor",
@@ -28,6 +33,7 @@ __all__ = [
     "slot_position",
     "slot_time",
     "with_days",
+    "with_slot_places",
     "with_slots",
     "with_slots_of_days",
     "zscore",

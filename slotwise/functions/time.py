@@ -91,6 +91,38 @@ def slot_position(day: str, slot: str, spec: SeriesSpec, period: Period) -> Colu
     return F.expr(f"cast({quoted(day)} * {spec.slots_per_hour} + {place} as int)")
 
 
+def with_slot_places(rows: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+    """Add ``_number``, ``_hour`` and ``_position`` (among the slots of that hour) of
+    the slot at the time column, NULL off the slots."""
+    return (
+        rows.withColumn("_number", slot_number(spec.ts, spec, period))
+        .withColumns({"_day": day_of("_number", spec), "_slot": slot_of("_number", spec)})
+        .withColumns(
+            {
+                "_hour": slot_hour("_slot", spec, period),
+                "_position": slot_position("_day", "_slot", spec, period),
+            }
+        )
+        .drop("_day", "_slot")
+    )
+
+
+def number_at_position(hour: str, position: str, spec: SeriesSpec, period: Period) -> Column:
+    """Index of the slot at a place of ``slot_position``, NULL where there is none."""
+    step, first, h, at = _seconds(spec), _second_of_day("0", spec, period), quoted(hour), quoted(position)
+    day = f"({at} div {spec.slots_per_hour})"
+    begin = f"({h} * 3600 + {at} % {spec.slots_per_hour} * {step})" if spec.slots_per_hour > 1 else f"({h} * 3600)"
+    second = f"({begin} + pmod({first} - {begin}, {step}))"
+    number = f"({day} * {spec.slots_per_day} + pmod({second} - {first}, 86400) div {step})"
+    inside = f"{second} < ({h} + 1) * 3600 and {number} < {period.days * spec.slots_per_day}"
+    return F.expr(f"if({inside}, cast({number} as int), null)")
+
+
+def hours_with_slots(spec: SeriesSpec, period: Period) -> list[int]:
+    """The hours of day in which slots of the period begin."""
+    return sorted({(period.start + i * spec.slot).hour for i in range(spec.slots_per_day)}) if period.days else []
+
+
 def day_parts(value: str) -> dict[str, Column]:
     """Partition columns year, month and day."""
     return {"year": F.year(value), "month": F.month(value), "day": F.dayofmonth(value)}
@@ -113,4 +145,4 @@ def _elapsed(ts: str, period: Period) -> str:
 
 def _second_of_day(slot: str, spec: SeriesSpec, period: Period) -> str:
     start = (period.start.hour * 60 + period.start.minute) * 60 + period.start.second
-    return f"(({start} + {quoted(slot)} * {_seconds(spec)}) % 86400)"
+    return f"(({start} + {slot if slot == '0' else quoted(slot)} * {_seconds(spec)}) % 86400)"

@@ -1,4 +1,4 @@
-from slotwise.operators.baseline import entity_profiles, hourly_baseline
+from slotwise.operators.baseline import Profiles, entity_profiles, hourly_baseline, measured_profiles
 from slotwise.operators.quality import (
     Audit,
     IncompleteReadings,
@@ -24,6 +24,7 @@ from slotwise.operators.upsert import merge_staged, read_target, upsert, upsert_
 __all__ = [
     "Audit",
     "IncompleteReadings",
+    "Profiles",
     "RepeatedKeys",
     "anomalies",
     "audit",
@@ -38,6 +39,7 @@ __all__ = [
     "incomplete_rows",
     "mask_outliers",
     "measure",
+    "measured_profiles",
     "merge_staged",
     "missing_slots",
     "observed_period",

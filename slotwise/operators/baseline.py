@@ -1,9 +1,10 @@
-"""Seasonal baseline per entity, and which slots each entity has filled.
+"""Seasonal baseline per entity, which slots each entity has filled, and what the gate counts.
 
-One aggregate over the readings yields both. Its result is a *profile*: one row
-per entity with 24 seasons (hours of day), each holding count, mean and sample
-deviation per metric and a bit set of the slots seen. A profile is bounded by
-the length of the period and never by the number of readings.
+One aggregate over the readings yields all three. Its result is a *profile*: one
+row per entity with 24 seasons (hours of day), each holding count, mean and
+sample deviation per metric and a bit set of the slots seen, and the counts of
+the audit. A profile is bounded by the length of the period and never by the
+number of readings.
 """
 
 from __future__ import annotations
@@ -12,32 +13,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotwise.functions import (
-    day_of,
-    quoted,
-    slot_hour,
-    slot_number,
-    slot_of,
-    slot_position,
-    with_slots,
-)
-from slotwise.operators.presence import WORD, slots_seen, unseen
-from slotwise.operators.quality import Audit
-from slotwise.operators.readings import slot_of_time, typed_readings, with_silent
+from slotwise.functions import hours_with_slots, quoted, slot_hour
+from slotwise.operators.presence import HOURS, WORDS, dense, listed_by_hour, mapped_by_hour, unseen, with_words
+from slotwise.operators.quality import Audit, audit_counts, audit_of
+from slotwise.operators.readings import lacks_entity, slot_of_time, typed_readings
 from slotwise.operators.spine import spread
+from slotwise.sources.staging import stage
 from slotwise.spec import Period, SeriesSpec
 
-HOURS = 24
-
-# Words of slots seen that a profile holds per hour of day at most.
-MAX_WORDS = 8
-
 
 @dataclass(frozen=True)
 class JoinLimits:
     """Bounds that choose how readings meet their baseline.
 
-    Profiles estimated above ``broadcast_bytes`` are joined by a shuffle. In
+    Profiles of more than ``broadcast_bytes`` are joined by a shuffle. In
     that shuffle one task takes about ``task_rows`` readings at most, and there
     are as many tasks as that asks for, however many readings there are.
     """
@@ -47,62 +36,104 @@ class JoinLimits:
     build_bytes: int = 64 << 20
 
 
+@dataclass(frozen=True)
+class Profiles:
+    """A staged table of profiles, ``(entity..., _rows, readings, seasons)``, and
+    what was counted on the same pass over the readings. All numbers are exact."""
+
+    frame: DataFrame
+    audit: Audit
+    entities: int
+    bytes: int
+    largest: int
+
+
 def entity_profiles(
     readings: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
-    """``(entity..., readings, seasons)``, one row per entity present.
+    """``(entity..., _rows, readings, seasons)``, one row per entity present.
 
     ``seasons`` is an array indexed by hour of day; an hour without any
     observation is NULL. Readings off the slot grid count towards nothing but
     still make their entity present. ``entities`` adds entities that may have
     no reading at all.
-
-    Readings are combined per (entity, hour) before they are shuffled, so an
-    entity of any size arrives as a few rows per map task.
     """
-    return profiles_of(typed_readings(readings, spec), spec, period, entities)
+    found = counted_profiles(readings, spec, period, entities).where(f"not ({lacks_entity(spec)})")
+    return found.select(*spec.entity, "_rows", "readings", "seasons")
 
 
-def profiles_of(
-    rows: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
+def counted_profiles(
+    readings: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
-    """``entity_profiles`` of readings that are typed already."""
-    rows = with_silent(rows, spec, entities)
+    """``entity_profiles`` with the counts of the audit, and rows for incomplete entity keys.
+
+    Readings are combined per (entity, hour, word of slots) before they are shuffled,
+    so an entity of any size arrives as a few rows per map task, and the rest
+    works on sums that merge exactly. The counts are sums like all else, so a
+    task that runs again after an executor is lost counts once.
+    """
+    rows = with_words(typed_readings(readings, spec, complete_keys=False), spec, period)
+    counts = audit_counts(rows, spec)
+    by_word = rows.groupBy(*spec.entity, "_hour", "_word").agg(
+        *[value.alias(f"_{name}") for name, value in counts.items()],
+        F.count("_position").alias("readings"),
+        F.bit_or("_bit").alias("_bits"),
+        *[_partial(m).alias(_part(i)) for i, m in enumerate(spec.metrics)],
+    )
+    if entities is not None:
+        silent = entities.select(*spec.entity).where(f"not ({lacks_entity(spec)})")
+        by_word = by_word.unionByName(silent, allowMissingColumns=True)
+    sums = [*(f"_{name}" for name in counts), "readings"]
+    parts = [_part(i) for i in range(len(spec.metrics))]
     by_hour = (
-        rows.withColumn("_number", slot_number(spec.ts, spec, period))
-        .withColumns({"_day": day_of("_number", spec), "_slot": slot_of("_number", spec)})
-        .withColumns(
-            {
-                "_hour": slot_hour("_slot", spec, period),
-                "_position": slot_position("_day", "_slot", spec, period),
-            }
-        )
+        spread(by_word, *spec.entity)
         .groupBy(*spec.entity, "_hour")
         .agg(
-            F.count("_position").alias("_n"),
-            *[F.expr(f"avg({quoted(m)})").alias(f"{m}_mean") for m in spec.metrics],
-            *[F.expr(f"stddev_samp({quoted(m)})").alias(f"{m}_stddev") for m in spec.metrics],
-            _seen_by_hour(spec, period).alias("_seen"),
+            *[F.sum(name).alias(name) for name in sums],
+            F.expr(WORDS).alias("_words"),
+            *[F.collect_list(name).alias(name) for name in parts],
         )
+        .withColumns({name: _merged(name) for name in parts})
     )
-    stats = ", ".join(map(quoted, ["_n", *spec.mean_columns, *spec.stddev_columns]))
-    entry = f"if(_hour is null, null, struct(_hour, struct(struct({stats}) as stats, _seen as seen)))"
+    stats = ", ".join([f"readings as {quoted('_n')}", *_finished(spec)])
+    seen = dense("_words", spec, period)
     return (
-        spread(by_hour, *spec.entity)
+        by_hour.withColumn("_season", F.struct(F.expr(f"struct({stats})").alias("stats"), seen.alias("seen")))
         .groupBy(*spec.entity)
-        .agg(F.sum("_n").alias("readings"), F.expr(f"map_from_entries(collect_list({entry}))").alias("_by_hour"))
-        .select(
-            *spec.entity,
-            "readings",
-            F.expr(f"transform(sequence(0, {HOURS - 1}), h -> try_element_at(_by_hour, h))").alias("seasons"),
+        .agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
+            mapped_by_hour("_season").alias("_by_hour"),
         )
+        .select(*spec.entity, *sums, listed_by_hour("_by_hour").alias("seasons"))
     )
 
 
+def measured_profiles(
+    readings: DataFrame, spec: SeriesSpec, period: Period, folder: str, entities: DataFrame | None = None
+) -> Profiles:
+    """Profiles staged in ``folder``, with the audit of the readings: one pass over them.
+
+    Give it readings that still have rows without a time (``keep_untimed``) for
+    the audit to count them.
+    """
+    staged = stage(counted_profiles(readings, spec, period, entities), folder, "profiles")
+    known = f"not ({lacks_entity(spec)})"
+    key_bytes = sum((F.octet_length(F.col(c).cast("string")) for c in spec.entity), F.lit(64))
+    season = 32 + 16 * len(spec.metrics)
+    found = staged.agg(
+        *[F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(name) for name in audit_counts(readings, spec)],
+        F.count_if(F.expr(known)).alias("_entities"),
+        F.coalesce(F.sum(F.when(F.expr(known), key_bytes + HOURS * season)), F.lit(0)).alias("_bytes"),
+        F.coalesce(F.max(F.when(F.expr(known), F.col("_rows"))), F.lit(0)).alias("_largest"),
+    ).first()
+    frame = staged.where(known).select(*spec.entity, "_rows", "readings", "seasons")
+    return Profiles(frame, audit_of(found, spec), found["_entities"], found["_bytes"], found["_largest"])
+
+
 def hourly_baseline(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """Mean and deviation per (entity, hour) for every hour that has a slot;
     both are NULL where nothing was observed."""
-    hours = sorted({(period.start + i * spec.slot).hour for i in range(spec.slots_per_day)}) if period.days else []
+    hours = hours_with_slots(spec, period)
     listed = F.expr(f"cast(array({', '.join(map(str, hours))}) as array<int>)")
     return (
         profiles.select(*spec.entity, "seasons", F.explode(listed).alias("hour"))
@@ -116,56 +147,29 @@ def baseline_columns(spec: SeriesSpec) -> list[Column]:
     return [F.col(f"_stats.{quoted(c)}").alias(c) for c in [*spec.mean_columns, *spec.stddev_columns]]
 
 
-def unseen_slots(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+def unseen_slots(profiles: Profiles, spec: SeriesSpec, period: Period) -> DataFrame:
     """``(entity..., ts, hour, _stats)`` for each slot without a reading."""
-    return (
-        with_slots(profiles.select(*spec.entity, "seasons"), spec, period)
-        .select(
-            *spec.entity,
-            "seasons",
-            spec.ts,
-            slot_hour("_slot", spec, period).alias("hour"),
-            slot_position("_day", "_slot", spec, period).alias("_position"),
-        )
-        .withColumn("_season", F.expr("get(seasons, hour)"))
-        .where(f"coalesce(getbit(get(_season.seen, cast(_position div {WORD} as int)), _position % {WORD}), 0) = 0")
-        .select(*spec.entity, spec.ts, "hour", F.col("_season.stats").alias("_stats"))
-    )
+    gaps = unseen(profiles.frame, spec, period, "seasons", "_season.seen", profiles.entities)
+    return gaps.select(*spec.entity, spec.ts, "hour", F.col("_season.stats").alias("_stats"))
 
 
-def unseen_slots_of_long_period(
-    rows: DataFrame,
-    profiles: DataFrame,
-    spec: SeriesSpec,
-    period: Period,
-    entities: DataFrame | None = None,
-) -> DataFrame:
-    """``unseen_slots`` where profiles hold no bit sets: words, not slots, meet
-    the profiles."""
-    seen = slots_seen(rows, spec, period, entities)
-    both = seen.join(profiles.select(*spec.entity, "seasons"), list(spec.entity))
-    return unseen(both, spec, period).select(
-        *spec.entity, spec.ts, "hour", F.expr("get(seasons.stats, hour)").alias("_stats")
-    )
-
-
-def is_long(spec: SeriesSpec, period: Period) -> bool:
-    """Whether the slots of one hour of day need more than MAX_WORDS words."""
-    return _words_per_hour(spec, period) > MAX_WORDS
-
+def heavy_entities(profiles: Profiles, spec: SeriesSpec, limits: JoinLimits) -> DataFrame | None:
+    """``(entity..., _parts)`` for entities too large for one task, or None.
 
-def fits_broadcast(spec: SeriesSpec, size: Audit, limits: JoinLimits) -> bool:
-    return _profile_bytes(spec, size) <= limits.broadcast_bytes
+    There are fewer of them than the shuffle has partitions, so their list can be broadcast.
+    """
+    if profiles.largest <= limits.task_rows:
+        return None
+    parts = F.expr(f"cast(ceil(_rows / {limits.task_rows}) as int)")
+    return profiles.frame.where(F.col("_rows") > limits.task_rows).select(*spec.entity, parts.alias("_parts"))
 
 
 def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None, partitions: int) -> DataFrame:
     """Typed readings hashed by entity, the only shuffle of whole readings.
 
-    Both the baseline and the join to it start from here, and Spark reuses the
-    exchange. ``parts`` lists the entities to spread over several tasks; their
-    rows are dealt by the map task they come from, which no repetition of equal
-    rows can defeat. Without ``parts`` the hash by entity also serves the
-    aggregate and the join as it is.
+    ``parts`` lists the entities to spread over several tasks; their rows are
+    dealt by the map task they come from, which no repetition of equal
+    rows can defeat.
     """
     rows = typed_readings(readings, spec)
     if parts is None:
@@ -178,43 +182,26 @@ def gathered(readings: DataFrame, spec: SeriesSpec, parts: DataFrame | None, par
     )
 
 
-def heavy_entities(readings: DataFrame, spec: SeriesSpec, limits: JoinLimits) -> DataFrame | None:
-    """``(entity..., _parts)`` for entities too large for one task, or None.
-
-    The entities are counted, not sampled. The list has fewer entries than the
-    shuffle has partitions and is fixed on the driver, because both sides of
-    the join must see the same one.
-    """
-    keys = typed_readings(readings, spec).select(*spec.entity)
-    parts = F.expr(f"cast(ceil(count(1) / {limits.task_rows}) as int)")
-    heavy = keys.groupBy(*spec.entity).agg(parts.alias("_parts")).where("_parts > 1")
-    found = heavy.collect()
-    return readings.sparkSession.createDataFrame(found, heavy.schema) if found else None
-
-
-def partitions_for(readings: DataFrame, size: Audit, limits: JoinLimits) -> int:
+def partitions_for(profiles: Profiles, limits: JoinLimits) -> int:
     """As many as keep a task's share at ``task_rows``, and the session's number at least."""
-    return max(_partitions(readings), -(-size.rows // limits.task_rows))
+    session = int(profiles.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(session, -(-profiles.audit.rows // limits.task_rows))
 
 
-def with_broadcast_stats(rows: DataFrame, profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
+def with_broadcast_stats(readings: DataFrame, profiles: Profiles, spec: SeriesSpec, period: Period) -> DataFrame:
     """Readings on the slot grid with their hour and its ``_stats``; the
     readings stay where they were read."""
-    rows = _with_hour(rows, spec, period)
+    rows = _with_hour(typed_readings(readings, spec), spec, period)
     return _matched(rows.join(F.broadcast(_known(profiles, spec)), list(spec.entity), "left"), spec)
 
 
 def with_shuffled_stats(
-    rows: DataFrame,
-    profiles: DataFrame,
-    spec: SeriesSpec,
-    period: Period,
-    size: Audit,
-    limits: JoinLimits,
-    parts: DataFrame | None,
+    readings: DataFrame, profiles: Profiles, spec: SeriesSpec, period: Period, limits: JoinLimits
 ) -> DataFrame:
-    """The same for rows that come from ``gathered``. Those of a heavy entity
+    """The same after one shuffle of the readings. Those of a heavy entity
     meet a copy of its profile in each task that has some of them."""
+    parts, partitions = heavy_entities(profiles, spec, limits), partitions_for(profiles, limits)
+    rows = gathered(readings, spec, parts, partitions)
     keys = list(spec.entity)
     stats = _known(profiles, spec)
     if parts is not None:
@@ -224,14 +211,14 @@ def with_shuffled_stats(
             .drop("_parts")
         )
         keys = [*keys, "_part"]
-    if _profile_bytes(spec, size) // partitions_for(rows, size, limits) <= limits.build_bytes:
+    if profiles.bytes // partitions <= limits.build_bytes:
         stats = stats.hint("shuffle_hash")
     return _matched(_with_hour(rows, spec, period).join(stats, keys, "left"), spec)
 
 
-def _known(profiles: DataFrame, spec: SeriesSpec) -> DataFrame:
+def _known(profiles: Profiles, spec: SeriesSpec) -> DataFrame:
     """The statistics of the entities with readings on the slots."""
-    return profiles.where("readings > 0").select(*spec.entity, F.col("seasons.stats").alias("_by_hour"))
+    return profiles.frame.where("readings > 0").select(*spec.entity, F.col("seasons.stats").alias("_by_hour"))
 
 
 def _matched(joined: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -247,35 +234,38 @@ def _with_hour(rows: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     off the slots.
 
     With a NULL there instead, Spark would move the test for it below the
-    shuffle or rollup that the profiles start from, and run that twice.
+    shuffle or rollup that the readings come from, and evaluate it twice.
     """
     hour = F.coalesce(slot_hour("_slot", spec, period), F.lit(-1))
     return rows.withColumn("_slot", slot_of_time(spec, period)).withColumn("hour", hour).drop("_slot")
 
 
-def _profile_bytes(spec: SeriesSpec, size: Audit) -> int:
-    """Estimated size of the profiles' statistics, from the counted entities
-    (with a margin for the error of the count) and the widest key."""
-    season = 32 + 16 * len(spec.metrics)
-    return int(size.entities * 1.5) * (64 + size.entity_bytes + HOURS * season)
+def _part(i: int) -> str:
+    return f"_part{i}"
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _partial(metric: str) -> Column:
+    """Count, sum, squared deviations from the mean, least and largest value of the rows on the slots."""
+    x = F.when(F.col("_hour").isNotNull(), F.col(metric))
+    squares = F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0))
+    return F.struct(
+        F.count(x).alias("n"), F.sum(x).alias("s"), squares.alias("q"), F.min(x).alias("lo"), F.max(x).alias("hi")
+    )
 
 
-def _words_per_hour(spec: SeriesSpec, period: Period) -> int:
-    return max(1, -(-period.days * spec.slots_per_hour // WORD))
+def _merged(parts: str) -> Column:
+    """A list of ``_partial`` put together, by the update formula for parallel sums of squares."""
+    both = (
+        "named_struct('n', a.n + b.n, 's', a.s + b.s, "
+        "'q', a.q + b.q + power(b.s / b.n - a.s / a.n, 2) * (a.n * (b.n / (a.n + b.n))), "
+        "'lo', least(a.lo, b.lo), 'hi', greatest(a.hi, b.hi))"
+    )
+    step = f"(a, b) -> if(b.n = 0, a, if(a.n = 0, b, {both}))"
+    return F.expr(f"aggregate(slice({parts}, 2, greatest(size({parts}) - 1, 0)), get({parts}, 0), {step})")
 
 
-def _seen_by_hour(spec: SeriesSpec, period: Period) -> Column:
-    """Bit set of the positions seen, as an array of words; NULL for a long
-    period, where it would need too many columns in the aggregate."""
-    words = _words_per_hour(spec, period)
-    if words > MAX_WORDS:
-        return F.lit(None).cast("array<bigint>")
-    bit = f"shiftleft(1L, _position % {WORD})"
-    if words == 1:
-        return F.expr(f"array(coalesce(bit_or({bit}), 0L))")
-    parts = [f"coalesce(bit_or(if(_position div {WORD} = {w}, {bit}, null)), 0L)" for w in range(words)]
-    return F.expr(f"array({', '.join(parts)})")
+def _finished(spec: SeriesSpec) -> list[str]:
+    """Mean and sample deviation of each metric; that of equal values is 0, whatever their sums round to."""
+    means = [f"if({p}.n > 0, {p}.s / {p}.n, null) as {quoted(c)}" for p, c in zip(map(_part, range(len(spec.metrics))), spec.mean_columns, strict=True)]
+    deviation = "if({p}.n > 1, if({p}.lo = {p}.hi, 0D, sqrt({p}.q / ({p}.n - 1))), null) as {c}"
+    return means + [deviation.format(p=_part(i), c=quoted(c)) for i, c in enumerate(spec.stddev_columns)]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from slotwise.functions import number_or_null, slot_number
 from slotwise.sources.files import CORRUPT
@@ -24,11 +24,9 @@ class RepeatedKeys(ValueError):
 
 @dataclass(frozen=True)
 class Audit:
-    """Outcome of one pass over the readings; ``entities`` is approximate."""
+    """Outcome of one pass over the readings."""
 
     rows: int
-    entities: int
-    entity_bytes: int
     off_slot: int
     missing: dict[str, int] = field(default_factory=dict)
     corrupt: int = 0
@@ -56,40 +54,38 @@ def incomplete_rows(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     return readings.where(refused | F.col(CORRUPT).isNotNull() if CORRUPT in readings.columns else refused)
 
 
+def audit_counts(rows: DataFrame, spec: SeriesSpec) -> dict[str, Column]:
+    """Aggregates by name: row count, missing cells per column (``null_<column>``, NaN counts as
+    missing), corrupt lines (if the scan kept them), readings off the slot grid.
+    ``rows`` have wall-clock times and, in ``_number``, the slot at them."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in rows.columns else F.lit(False)
+    return {
+        "rows": F.count(F.lit(1)),
+        **{f"null_{c}": F.count_if(bad) for c, bad in _missing(spec).items()},
+        "corrupt": F.count_if(corrupt),
+        "off_slot": F.count_if(F.col(spec.ts).isNotNull() & F.col("_number").isNull()),
+    }
+
+
 def audit(readings: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
-    """One row: row count, missing cells per column (``null_<column>``, NaN
-    counts as missing), corrupt lines (if the scan kept them), readings off the
-    slot grid, approximate number of entities and the widest entity key.
+    """One row with the ``audit_counts`` of all readings.
 
-    A single aggregate without keys: one small partial result per map task. An
-    exact count of entities would shuffle nearly every row of a table that is
-    sorted by time.
+    A single aggregate without keys: one small partial result per map task.
     """
     ts = F.col(spec.ts).cast("timestamp_ntz")
-    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in readings.columns else F.lit(False)
-    key_bytes = sum((F.octet_length(F.col(c).cast("string")) for c in spec.entity), F.lit(0))
     rows = readings.withColumn(spec.ts, ts).withColumn("_number", slot_number(spec.ts, spec, period))
-    return rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(bad).alias(f"null_{c}") for c, bad in _missing(spec).items()],
-        F.count_if(corrupt).alias("corrupt"),
-        F.count_if(F.col(spec.ts).isNotNull() & F.col("_number").isNull()).alias("off_slot"),
-        F.approx_count_distinct(F.xxhash64(*spec.entity)).alias("entities"),
-        F.coalesce(F.max(key_bytes), F.lit(0)).alias("entity_bytes"),
-    )
+    return rows.agg(*[value.alias(name) for name, value in audit_counts(rows, spec).items()])
+
+
+def audit_of(row: Row, spec: SeriesSpec) -> Audit:
+    """The audit in a row that has its counts."""
+    missing = {c: row[f"null_{c}"] for c in spec.reading_columns}
+    return Audit(row["rows"], row["off_slot"], missing, row["corrupt"])
 
 
 def measure(readings: DataFrame, spec: SeriesSpec, period: Period) -> Audit:
     """Run the audit and bring its one row to the driver."""
-    row = audit(readings, spec, period).first()
-    return Audit(
-        rows=row["rows"],
-        entities=row["entities"],
-        entity_bytes=row["entity_bytes"],
-        off_slot=row["off_slot"],
-        missing={c: row[f"null_{c}"] for c in spec.reading_columns},
-        corrupt=row["corrupt"],
-    )
+    return audit_of(audit(readings, spec, period).first(), spec)
 
 
 def require_complete(readings: DataFrame, spec: SeriesSpec, period: Period) -> Audit:

@@ -7,21 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from slotwise.functions import quoted, slot_hour, zscore
 from slotwise.operators.baseline import (
     JoinLimits,
+    Profiles,
     baseline_columns,
-    fits_broadcast,
-    gathered,
-    heavy_entities,
-    is_long,
-    partitions_for,
-    profiles_of,
+    measured_profiles,
     unseen_slots,
-    unseen_slots_of_long_period,
     with_broadcast_stats,
     with_shuffled_stats,
 )
 from slotwise.operators.presence import slots_seen, unseen
-from slotwise.operators.quality import Audit, measure
 from slotwise.operators.readings import slot_of_time, typed_readings
+from slotwise.sources.staging import run_folder
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -29,7 +24,8 @@ def missing_slots(
     readings: DataFrame, spec: SeriesSpec, period: Period, entities: DataFrame | None = None
 ) -> DataFrame:
     """``(entity..., ts, hour)`` for each expected slot without a reading."""
-    return unseen(slots_seen(typed_readings(readings, spec), spec, period, entities), spec, period)
+    seen = slots_seen(typed_readings(readings, spec), spec, period, entities)
+    return unseen(seen, spec, period, "_seen", "_season").drop("_season")
 
 
 def expand_gaps(
@@ -52,28 +48,26 @@ def fill_gaps(
     spec: SeriesSpec,
     period: Period,
     entities: DataFrame | None = None,
-    size: Audit | None = None,
+    profiles: Profiles | None = None,
     limits: JoinLimits = JoinLimits(),
+    work: str | None = None,
 ) -> DataFrame:
     """The full grid with each missing cell set to the mean of its entity and
     hour of day, and with those means and deviations as columns.
 
-    A cell stays NULL where its entity never reported at that hour. ``size``
-    is the audit of the same readings; without it one is made.
+    A cell stays NULL where its entity never reported at that hour.
+    ``profiles`` are those of the same readings; without them they are staged at
+    once, in ``work`` or the folder that the session names, where they stay as
+    long as the result is used.
 
     With few entities the readings are not shuffled at all; with many they are
-    shuffled once.
+    shuffled once. Which it is follows from the staged profiles.
     """
-    size = size or measure(readings, spec, period)
-    if fits_broadcast(spec, size, limits):
-        rows = typed_readings(readings, spec)
-        profiles = profiles_of(rows, spec, period, entities)
-        matched = with_broadcast_stats(rows, profiles, spec, period)
+    profiles = profiles or measured_profiles(readings, spec, period, run_folder(readings.sparkSession, work), entities)
+    if profiles.bytes <= limits.broadcast_bytes:
+        matched = with_broadcast_stats(readings, profiles, spec, period)
     else:
-        parts = heavy_entities(readings, spec, limits)
-        rows = gathered(readings, spec, parts, partitions_for(readings, size, limits))
-        profiles = profiles_of(rows, spec, period, entities)
-        matched = with_shuffled_stats(rows, profiles, spec, period, size, limits, parts)
+        matched = with_shuffled_stats(readings, profiles, spec, period, limits)
     observed = matched.select(
         *spec.entity,
         "hour",
@@ -81,10 +75,7 @@ def fill_gaps(
         *[F.coalesce(m, _mean(m)).alias(m) for m in spec.metrics],
         *baseline_columns(spec),
     )
-    if is_long(spec, period):
-        gaps = unseen_slots_of_long_period(rows, profiles, spec, period, entities)
-    else:
-        gaps = unseen_slots(profiles, spec, period)
+    gaps = unseen_slots(profiles, spec, period)
     filled = gaps.select(
         *spec.entity,
         "hour",

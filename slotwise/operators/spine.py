@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from slotwise.functions import ntz, slot_hour, with_days, with_slots_of_days
 from slotwise.spec import Period, SeriesSpec
 
+# Slots that one task is given to make.
+TASK_SLOTS = 4_000_000
+
 
 def period_frame(spark: SparkSession, period: Period) -> DataFrame:
     """The period as a one-row frame ``(start, end)``."""
@@ -48,21 +51,24 @@ def distinct_entities(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     return readings.select(*spec.entity).distinct()
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash by the keys into the session's full number of shuffle partitions.
+def spread(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """Hash by the keys into the session's full number of shuffle partitions, or
+    as many more as the ``rows`` that they will grow into ask for.
 
     A few bytes per row grow into a row per slot in the steps that follow. The
     adaptive planner would merge partitions by the small size before that
     growth; an explicit number keeps all tasks busy.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+    return df.repartition(max(partitions, -(-(rows or 0) // TASK_SLOTS)), *keys)
 
 
 def expected_grid(entities: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     """Every entity with every slot; generated row by row, so no join. The days
-    of an entity are dealt to several tasks."""
-    days = spread(with_days(entities.select(*spec.entity), period), *spec.entity, "_day")
-    return with_slots_of_days(days, spec).select(
+    of an entity are dealt to several tasks, as many as the slots ask for; the
+    entities are counted for that at once."""
+    days = with_days(entities.select(*spec.entity), period)
+    slots = entities.count() * period.days * spec.slots_per_day
+    return with_slots_of_days(spread(days, *spec.entity, "_day", rows=slots), spec).select(
         *spec.entity, spec.ts, slot_hour("_slot", spec, period).alias("hour")
     )

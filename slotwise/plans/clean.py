@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from slotwise.operators.baseline import JoinLimits
-from slotwise.operators.quality import Audit, require_complete
+from slotwise.operators.baseline import JoinLimits, Profiles, measured_profiles
 from slotwise.operators.repair import fill_gaps, mask_outliers
+from slotwise.sources.staging import run_folder
 from slotwise.spec import Period, SeriesSpec
 
 
@@ -15,14 +15,18 @@ def clean(
     spec: SeriesSpec,
     period: Period,
     entities: DataFrame | None = None,
-    size: Audit | None = None,
+    profiles: Profiles | None = None,
     limits: JoinLimits = JoinLimits(),
+    work: str | None = None,
 ) -> DataFrame:
     """Cleaned readings on the full grid of the period.
 
-    The audit runs at once and raises on missing cells; its counts also choose
-    the join in ``fill_gaps``. The rest is lazy. Pass ``size`` if the readings
-    have been audited already; it is held to the same gate.
+    The profiles are staged at once, in ``work`` or the folder that the session
+    names, and the audit made with them raises on missing cells. The rest is
+    lazy and reads the readings once more. Pass ``profiles`` if they have been made already; they
+    are held to the same gate.
     """
-    size = size.require_complete() if size else require_complete(readings, spec, period)
-    return mask_outliers(fill_gaps(readings, spec, period, entities, size, limits), spec)
+    if profiles is None:
+        profiles = measured_profiles(readings, spec, period, run_folder(readings.sparkSession, work), entities)
+    profiles.audit.require_complete()
+    return mask_outliers(fill_gaps(readings, spec, period, entities, profiles, limits), spec)

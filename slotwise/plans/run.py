@@ -8,8 +8,8 @@ from typing import ClassVar, Protocol
 
 from pyspark.sql import DataFrame
 
-from slotwise.operators.baseline import JoinLimits
-from slotwise.operators.quality import Audit, require_complete
+from slotwise.operators.baseline import JoinLimits, measured_profiles
+from slotwise.operators.quality import Audit
 from slotwise.operators.summary import anomalies, daily_summary
 from slotwise.operators.upsert import merge_staged
 from slotwise.plans.clean import clean
@@ -71,6 +71,7 @@ class Report:
     """What a run found and where it stored its tables."""
 
     audit: Audit
+    entities: int
     daily: str
     cleaned: str
     anomalies: str
@@ -90,8 +91,8 @@ def run(
     """Clean a period and write its daily summary, cleaned rows and anomalies.
 
     The period must start at midnight: the daily rows of a part of a day would
-    replace those of the whole. The cleaned frame is computed once, into a
-    staged table that the three outputs read, each only the columns it needs.
+    replace those of the whole. The readings are read twice: for the gate and the
+    profiles, and for the cleaned frame. That is computed once, into a staged table that the three outputs read, each only the columns it needs.
     Staged tables are in a folder of their own, in ``work`` or the folder that
     the session names, and are removed when all is written.
     """
@@ -99,13 +100,13 @@ def run(
         raise ValueError(f"a run must start at midnight, not at {period.start}")
     spark = readings.sparkSession
     folder = run_folder(spark, work)
-    found = require_complete(
-        in_period(readings, spec, period, closed_end, keep_untimed=True), spec, period
-    )
+    # the gate sees rows without a time, too
+    timed_or_not = in_period(readings, spec, period, closed_end, keep_untimed=True)
+    profiles = measured_profiles(timed_or_not, spec, period, folder, entities)
     source = in_period(readings, spec, period, closed_end)
-    cleaned = stage(clean(source, spec, period, entities, found, limits), folder, "cleaned")
+    cleaned = stage(clean(source, spec, period, entities, profiles, limits), folder, "cleaned")
     daily = stage(daily_summary(cleaned, spec), folder, "daily")
     stored = store.write_daily(daily, spec), store.write_cleaned(cleaned, spec)
     write_csv(anomalies(cleaned, spec).hint("rebalance"), anomalies_path)
     remove(spark, folder)
-    return Report(found, *stored, anomalies_path)
+    return Report(profiles.audit, profiles.entities, *stored, anomalies_path)

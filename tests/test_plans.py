@@ -17,11 +17,11 @@ from slotwise.operators import (
     expected_grid,
     expected_slots,
     fill_gaps,
-    measure,
+    measured_profiles,
     missing_slots,
     upsert,
 )
-from slotwise.operators.baseline import JoinLimits, gathered, heavy_entities, partitions_for
+from slotwise.operators.baseline import JoinLimits, counted_profiles, gathered, heavy_entities, partitions_for
 from slotwise.sources import in_period, scan_parquet
 
 DATA = "/root/testdata/sf0.001"
@@ -41,15 +41,15 @@ def exchanges(plan: str) -> int:
     return sum("Exchange " in line and "Reused" not in line and "Broadcast" not in line for line in plan.splitlines())
 
 
-def scans(plan: str) -> int:
-    """Scans outside reused exchanges."""
+def scans(plan: str, of: str = "") -> int:
+    """Scans (of a file whose path holds ``of``) outside reused exchanges."""
     lines, count, hidden = plan.splitlines(), 0, None
     for line in lines:
         depth = len(line) - len(line.lstrip(" :+-"))
         if hidden is not None and depth > hidden:
             continue
         hidden = depth if "ReusedExchange" in line else None
-        count += "FileScan" in line
+        count += "FileScan" in line and of in line
     return count
 
 
@@ -75,13 +75,19 @@ def sensor(spark, sensor_file):
     return in_period(scan_parquet(spark, sensor_file), series("user_id"), PERIOD)
 
 
+def test_gate_and_profiles_are_one_pass(spark, sensor):
+    plan = executed(counted_profiles(sensor, series("user_id"), PERIOD))
+    assert scans(plan) == 1 and exchanges(plan) == 2
+    assert "props" not in plan
+    assert "PushedFilters: [IsNotNull(slot_ts)" in plan
+
+
 def test_few_entities_move_no_readings(sensor):
-    spec = series("user_id")
-    plan = executed(clean(sensor, spec, PERIOD))
+    plan = executed(clean(sensor, series("user_id"), PERIOD))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") == 1
-    assert exchanges(plan) == 2
-    assert scans(plan) == 2
+    assert exchanges(plan) == 1  # of profiles, for the gaps
+    assert scans(plan, "sensor") == 1 and scans(plan, "seasons") == 2
     assert "props" not in plan
     assert "PushedFilters: [IsNotNull(slot_ts)" in plan
 
@@ -90,20 +96,17 @@ def test_many_entities_move_the_readings_once(sensor):
     plan = executed(clean(sensor, series("user_id"), PERIOD, limits=SHUFFLED))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
     assert plan.count("ShuffledHashJoin") == 1
-    assert scans(plan) == 1
-    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
-    assert len([line for line in shuffles if "Reused" not in line]) == 1
-    assert "ReusedExchange" in plan
+    assert scans(plan, "sensor") == 1
+    assert exchanges(plan) == 3  # readings, and profiles for the join and for the gaps
 
 
-def test_heavy_entities_cost_three_shuffles_of_profiles(sensor):
+def test_heavy_entities_cost_no_pass_over_the_readings(sensor, tmp_path):
     limits = JoinLimits(broadcast_bytes=0, task_rows=1)
     few = sensor.where("user_id < 3")
-    assert heavy_entities(few, series("user_id"), limits) is not None
-    plan = executed(clean(few, series("user_id"), PERIOD, limits=limits))
-    assert scans(plan) == 1 and plan.count("ShuffledHashJoin") == 1
-    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
-    assert len([line for line in shuffles if "Reused" not in line]) == 4
+    profiles = measured_profiles(few, series("user_id"), PERIOD, str(tmp_path))
+    assert heavy_entities(profiles, series("user_id"), limits) is not None
+    plan = executed(clean(few, series("user_id"), PERIOD, profiles=profiles, limits=limits))
+    assert scans(plan, "sensor") == 1 and plan.count("ShuffledHashJoin") == 1
 
 
 def test_profiles_too_large_to_hash_are_sorted(spark, sensor):
@@ -115,13 +118,26 @@ def test_profiles_too_large_to_hash_are_sorted(spark, sensor):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("SortMergeJoin") == 1
-    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "Reused" not in x]) == 1
+    assert scans(plan, "sensor") == 1
 
 
-def test_a_rollup_is_computed_once(spark):
+def test_a_rollup_is_computed_once_for_the_profiles_and_once_for_the_rows(spark):
     plan = executed(entry.queries()["mask_outliers_by_user"](spark, DATA))
-    assert scans(plan) == 1
-    assert plan.count("ReusedExchange") == 2
+    assert scans(plan, "events") == 1
+
+
+def test_profiles_count_exactly(spark, tmp_path):
+    rows = [(i, f"2024-01-01T{h:02}:{m}:00", float(h)) for i in range(7) for h in range(24) for m in ("00", "30")]
+    df = one_metric(spark, rows + rows[:100] + [(None, "2024-01-01T00:00:00", 1.0), (9, None, 1.0), (8, "2024-01-01T00:00:00", None)])
+    silent = spark.createDataFrame([(50,), (3,), (None,)], "id int")
+    found = measured_profiles(df, ONE, DAYS, str(tmp_path), silent)
+    assert found.entities == 10
+    assert found.largest == 96  # the first two entities have all their rows twice
+    assert (found.audit.rows, found.audit.off_slot) == (len(rows) + 103, 7 * 24 + 50)
+    assert found.audit.missing == {"id": 1, "ts": 1, "x": 1}
+    assert found.bytes == sum(64 + len(str(i)) + 24 * 48 for i in [*range(10)][:7] + [8, 9, 50])
+    readings = {r["id"]: r["readings"] for r in found.frame.collect()}
+    assert readings == {0: 48, 1: 48, 2: 26, 3: 24, 4: 24, 5: 24, 6: 24, 8: 1, 9: 0, 50: 0}
 
 
 def test_the_audit_shuffles_only_one_row_per_task(spark, sensor):
@@ -168,12 +184,12 @@ def skewed(spark):
     return one_metric(spark, HOT + REST).repartition(16)
 
 
-def test_a_heavy_entity_is_spread(spark, skewed):
+def test_a_heavy_entity_is_spread(spark, skewed, tmp_path):
     limits = JoinLimits(broadcast_bytes=0, task_rows=50)
-    size = measure(skewed, ONE, DAYS)
-    parts = heavy_entities(skewed, ONE, limits)
+    profiles = measured_profiles(skewed, ONE, DAYS, str(tmp_path))
+    parts = heavy_entities(profiles, ONE, limits)
     assert [tuple(r) for r in parts.collect()] == [(1, 24)]
-    partitions = partitions_for(skewed, size, limits)
+    partitions = partitions_for(profiles, limits)
     assert partitions == (len(HOT) + len(REST)) // 50
     spread = gathered(skewed, ONE, parts, partitions)
     loads = [r["count"] for r in spread.where("id = 1").groupBy("_part").count().collect()]
@@ -190,13 +206,26 @@ def test_skew_changes_no_result(spark, skewed, task_rows, broadcast):
     assert_frames(fill_gaps(skewed, ONE, DAYS, limits=limits), brute_fill(rows, ONE, DAYS), ONE)
 
 
-def test_the_number_of_tasks_follows_the_rows(spark, skewed):
+def test_the_number_of_tasks_follows_the_rows(spark, skewed, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        profiles = measured_profiles(skewed, ONE, DAYS, str(tmp_path))
+        assert partitions_for(profiles, JoinLimits(task_rows=100)) == 18
+        assert partitions_for(profiles, JoinLimits()) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_number_of_tasks_follows_the_slots_to_come(spark, skewed, monkeypatch):
+    monkeypatch.setattr("slotwise.operators.spine.TASK_SLOTS", 1000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     try:
-        size = measure(skewed, ONE, DAYS)
-        assert partitions_for(skewed, size, JoinLimits(task_rows=100)) == 18
-        assert partitions_for(skewed, size, JoinLimits()) == 2
+        grid = expected_grid(skewed.select("id").distinct(), ONE, DAYS)
+        assert grid.rdd.getNumPartitions() == -(-151 * 5 * 24 // 1000) == 19
+        gaps = fill_gaps(skewed, ONE, DAYS).where("x is null")
+        assert tasks_with_rows(gaps) >= 15
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -240,7 +269,7 @@ def test_many_map_tasks_send_few_rows_per_heavy_entity(spark):
 
     df = entity_profiles(rows, ONE, DAYS)
     df.collect()
-    assert "partial_avg" in df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in df._jdf.queryExecution().executedPlan().toString()
     assert df.first().readings == 200_000
 
 

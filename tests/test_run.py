@@ -7,9 +7,10 @@ from pyspark.sql.types import BooleanType, DoubleType
 from helpers import DEVICES, assert_frames, at, brute_fill, brute_mask, daily_at_midnight, one_metric
 from slotwise import JsonStore, Period, SeriesSpec, TableStore, clean, run
 from slotwise.__main__ import main, parser, series, store
-from slotwise.operators import IncompleteReadings, daily_summary, measure, read_target
+from slotwise.operators.baseline import JoinLimits
+from slotwise.operators import IncompleteReadings, daily_summary, measured_profiles, read_target
 from slotwise.plans import JdbcStore
-from slotwise.sources import read_json, scan_csv, with_day_parts
+from slotwise.sources import in_period, read_json, scan_csv, with_day_parts
 
 PERIOD = Period.of("2022-03-01", "2022-03-15")
 COLUMNS = ["timestamp", "device_id", "speed", "direction", "power"]
@@ -137,12 +138,29 @@ def test_two_device_batches_of_the_same_days_are_all_kept(spark, tmp_path):
     assert [x for x in (tmp_path / "work").rglob("*") if x.is_file()] == []
 
 
-def test_counts_given_to_clean_are_held_to_the_gate(spark):
+def test_counts_given_to_clean_are_held_to_the_gate(spark, tmp_path):
     spec = SeriesSpec(entity="id", ts="ts", metrics="x")
     df = one_metric(spark, [(None, "2024-01-01T00:00:00", 1.0), (1, "2024-01-01T00:00:00", 2.0)])
     period = Period.of("2024-01-01", "2024-01-02")
     with pytest.raises(IncompleteReadings, match="id: 1"):
-        clean(df, spec, period, size=measure(df, spec, period))
+        clean(df, spec, period, profiles=measured_profiles(df, spec, period, str(tmp_path)))
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), JoinLimits(broadcast_bytes=0), JoinLimits(broadcast_bytes=0, task_rows=50)])
+def test_a_run_reads_its_source_twice(spark, tmp_path, limits):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = readings(spark)
+    counting = source.mapInPandas(counted, source.schema)
+    kept = TableStore(str(tmp_path / "daily"), str(tmp_path / "cleaned"))
+    report = run(counting, DEVICES, PERIOD, kept, str(tmp_path / "anomalies"), limits=limits)
+    assert seen.value == 2 * source.count()
+    assert (report.audit.rows, report.entities) == (in_period(source, DEVICES, PERIOD).count(), 2)
 
 
 def arguments(csv_folder, out, *more):
@@ -155,7 +173,7 @@ def arguments(csv_folder, out, *more):
 
 def test_command_line(spark, tmp_path, csv_folder, expected, capsys):
     main(arguments(csv_folder, tmp_path))
-    assert "readings of about" in capsys.readouterr().out
+    assert "readings of 2 entities" in capsys.readouterr().out
     assert_frames(read_json(spark, str(tmp_path / "cleaned"), cleaned_schema(spark)), expected, DEVICES)
     check_anomalies(spark, str(tmp_path / "anomalies"), expected)
 
