@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from slotwise.functions import quoted
 from slotwise.operators.quality import require_unique
 from slotwise.sources.files import TIME_FORMAT
+from slotwise.sources.lease import STALE_SECONDS, Lease
 from slotwise.sources.sinks import PARTITIONS, with_day_parts, write_partitions
-from slotwise.sources.staging import is_complete, remove, run_folder, stage
+from slotwise.sources.staging import is_complete, move_folder, remove, run_folder, stage, subfolders
 
+# Staged keys from which on they are hashed after a shuffle; fewer are left to Spark, which may broadcast them.
+HASH_BUILD_ROWS = 1_000_000
 
-def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str], hash_build: bool = False) -> DataFrame:
     """The target with rows of equal key replaced and new keys added.
 
     Keys are expected to be unique on both sides, so neither side of the join
-    has a heavy key.
+    has a heavy key. Empty parts of a key equal each other. With ``hash_build`` the staged keys are hashed
+    after a shuffle, so that the target's rows are not sorted.
     """
-    kept = target.join(staged.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(staged)
+    names = [f"_key{i}" for i in range(len(keys))]
+    found = staged.select(*[F.col(quoted(k)).alias(name) for k, name in zip(keys, names, strict=True)])
+    same = reduce(operator.and_, [F.col(quoted(k)).eqNullSafe(F.col(name)) for k, name in zip(keys, names, strict=True)])
+    kept = target.join(found.hint("shuffle_hash") if hash_build else found, same, "left_anti")
+    return kept.select(*map(quoted, target.columns)).unionByName(staged)
 
 
 def read_target(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
@@ -57,7 +67,13 @@ def upsert_table(
 
 
 def merge_staged(
-    staged: DataFrame, path: str, keys: Sequence[str], day_column: str, file_format: str = "parquet"
+    staged: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    day_column: str,
+    file_format: str = "parquet",
+    wait: float = 0.0,
+    stale: float = STALE_SECONDS,
 ) -> None:
     """Upsert staged rows into a table of files partitioned by year, month and
     day, which is made if there is none.
@@ -67,51 +83,63 @@ def merge_staged(
     keys, so that a key never moves to another partition. Repeated keys are an
     error.
 
-    The merged days are written to a folder beside the table first, and from
-    there to their partitions. If the driver is lost in between, the next merge
-    starts by finishing that step, so no row is lost.
+    One merge works on a table at a time: it holds a lease, and another raises
+    ``LeaseHeld``, after ``wait`` seconds if it may wait. The merged days are written once, in
+    a folder of this merge beside the table, and moved to their places when all
+    are there. If the driver is lost, its lease is void after ``stale`` seconds,
+    and the next merge starts by moving what was complete and removing what was
+    not, so no row is lost.
     """
     if day_column not in keys:
         raise ValueError(f"{day_column} must be part of the key {tuple(keys)}")
     spark = staged.sparkSession
     schema = with_day_parts(staged, day_column).schema
-    finish_merge(spark, path, schema, file_format)
+    beside = merging_folder(path)
+    with Lease(spark, beside, stale, wait) as lease:
+        for left in subfolders(spark, beside):
+            finish_merge(spark, left, path, lease)
+        found = key_span(staged, keys, day_column)
+        if found["copies"] is None:
+            return
+        if found["copies"] > 1:
+            require_unique(staged, keys)
+        new = with_day_parts(staged, day_column)
+        target = touched(read_target(spark, path, schema, file_format), new, found["first"], found["last"])
+        folder = f"{beside}/{lease.name}"
+        rows = upsert(target, new, keys, found["keys"] > HASH_BUILD_ROWS)
+        write_partitions(rows, folder, file_format, replace_days=False)
+        finish_merge(spark, folder, path, lease)
+
+
+def key_span(staged: DataFrame, keys: Sequence[str], day_column: str) -> Row:
+    """In one pass over the keys of the staged rows: how many there are, the most
+    copies of one, the first and the last day."""
     day = F.to_date(day_column)
-    span = staged.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    if span["first"] is None:
-        return
-    new = with_day_parts(staged, day_column)
-    target = touched(read_target(spark, path, schema, file_format), new, span["first"], span["last"])
-    try:
-        write_partitions(merged(target, new, keys), merging_folder(path), "parquet", replace_days=False)
-    except Exception:
-        require_unique(staged, keys)
-        raise
-    finish_merge(spark, path, schema, file_format)
-
-
-def merged(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``upsert`` in one exchange of both sides by key, which also finds
-    repeated staged keys: they raise."""
-    both = target.select(F.struct(*staged.columns).alias("_row"), F.lit(0).alias("_new")).unionByName(
-        staged.select(F.struct(*staged.columns).alias("_row"), F.lit(1).alias("_new"))
-    )
-    key = [F.col(f"_row.{quoted(k)}").alias(f"_key{i}") for i, k in enumerate(keys)]
-    groups = both.groupBy(*key).agg(F.max_by("_row", "_new").alias("_row"), F.sum("_new").alias("_n"))
-    once = F.when(F.col("_n") > 1, F.raise_error(F.lit("repeated keys"))).otherwise(F.col("_row"))
-    return groups.select(once.alias("_row")).select("_row.*")
+    counted = staged.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.agg(
+        F.max("_copies").alias("copies"),
+        F.count(F.lit(1)).alias("keys"),
+        F.min(day).alias("first"),
+        F.max(day).alias("last"),
+    ).first()
 
 
 def merging_folder(path: str) -> str:
-    """Where a merge keeps its result until it has reached the table at ``path``."""
+    """Where merges keep their lease, and their results until these have reached the table at ``path``."""
     return f"{path.rstrip('/')}-merging"
 
 
-def finish_merge(spark: SparkSession, path: str, schema: StructType, file_format: str) -> None:
-    """Move the days that an earlier step has merged to their partitions."""
-    folder = merging_folder(path)
+def finish_merge(spark: SparkSession, folder: str, path: str, lease: Lease) -> None:
+    """Move the days that a merge has written to ``folder`` to their places, if
+    it has written all. Days that were moved already are no longer there, so
+    this can be done again."""
     if is_complete(spark, folder):
-        write_partitions(spark.read.schema(schema).parquet(folder), path, file_format)
+        for year in subfolders(spark, folder):
+            for month in subfolders(spark, year):
+                for day in subfolders(spark, month):
+                    lease.check()
+                    move_folder(spark, day, "/".join([path.rstrip("/"), *day.split("/")[-3:]]))
+    lease.check()
     remove(spark, folder)
 
 

@@ -1,4 +1,5 @@
 from slotwise.sources.files import CORRUPT, in_period, reading_schema, scan_csv, scan_json, scan_parquet
+from slotwise.sources.lease import Lease, LeaseHeld, LeaseLost
 from slotwise.sources.sinks import (
     JdbcTarget,
     read_json,
@@ -14,6 +15,9 @@ from slotwise.sources.staging import remove, run_folder, shared_folder, stage
 __all__ = [
     "CORRUPT",
     "JdbcTarget",
+    "Lease",
+    "LeaseHeld",
+    "LeaseLost",
     "in_period",
     "read_json",
     "reading_schema",

@@ -33,18 +33,36 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path and file system."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def is_complete(spark: SparkSession, folder: str) -> bool:
     """Whether a write to ``folder`` has come to its end."""
-    location, files = _file_system(spark, f"{folder}/_SUCCESS")
+    location, files = file_system(spark, f"{folder}/_SUCCESS")
     return files.exists(location)
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders in a folder, none if there is no such folder."""
+    location, files = file_system(spark, folder)
+    if not files.exists(location):
+        return []
+    return sorted(found.getPath().toString() for found in files.listStatus(location) if found.isDirectory())
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, if there is one."""
+    (old, files), (new, _) = file_system(spark, source), file_system(spark, target)
+    files.delete(new, True)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder of staged tables."""
-    location, files = _file_system(spark, folder)
+    location, files = file_system(spark, folder)
     files.delete(location, True)

@@ -245,19 +245,21 @@ def test_one_entity_is_made_by_several_tasks(spark):
     assert tasks_with_rows(expected_slots(spark, spec, year)) > 2
 
 
-def test_an_upsert_shuffles_once_by_key_and_never_by_day(spark, tmp_path):
-    from slotwise.operators.upsert import merged, touched
+def test_an_upsert_sorts_nothing_and_shuffles_each_side_once(spark, tmp_path):
+    from slotwise.operators.upsert import key_span, touched
     from slotwise.sources import with_day_parts
 
     rows = spark.range(200).selectExpr("id", "date_add(date'2024-01-01', cast(id % 9 as int)) as date", "1.0D as x")
     rows = with_day_parts(rows, "date")
     rows.write.partitionBy("year", "month", "day").parquet(str(tmp_path / "t"))
     target = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
-    first, last = target.agg(F.min("date"), F.max("date")).first()
-    plan = executed(merged(touched(target, rows, first, last), rows, ["date", "id"]))
-    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
-    assert len([x for x in shuffles if "year#" not in x.split("hashpartitioning(")[1].split(")")[0]]) == 1
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    found = key_span(rows, ["date", "id"], "date")
+    assert (found["keys"], found["copies"], str(found["first"]), str(found["last"])) == (200, 1, "2024-01-01", "2024-01-09")
+    for hash_build in (True, False):
+        plan = executed(upsert(touched(target, rows, found["first"], found["last"]), rows, ["date", "id"], hash_build))
+        assert "Sort " not in plan and "SortMergeJoin" not in plan and "SortAggregate" not in plan
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "year#" not in x.split("hashpartitioning(")[1].split(")")[0]]
+        assert len(shuffles) == (2 if hash_build else 0)
 
 
 def test_many_map_tasks_send_few_rows_per_heavy_entity(spark):

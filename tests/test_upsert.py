@@ -1,5 +1,8 @@
+import os
 import shutil
 import sys
+import threading
+import time
 from datetime import date
 from pathlib import Path
 
@@ -7,7 +10,8 @@ import pytest
 
 from slotwise.operators import RepeatedKeys, read_target, upsert, upsert_table
 from slotwise.operators.upsert import merging_folder
-from slotwise.sources import shared_folder, with_day_parts
+from slotwise.operators.upsert import merge_staged
+from slotwise.sources import Lease, LeaseHeld, LeaseLost, shared_folder, with_day_parts
 
 upsert_module = sys.modules["slotwise.operators.upsert"]
 
@@ -105,7 +109,7 @@ def test_staging_leaves_nothing_behind(spark, tmp_path):
 
 
 def test_a_lost_driver_loses_no_row(spark, tmp_path, monkeypatch):
-    """The merge stops between its two writes; the table's day is gone by then."""
+    """The merge stops when all is written but not moved; the table's day is gone by then."""
     path = tmp_path / "t"
     upsert_table(spark.createDataFrame([day(1, 1, 1.0), day(1, 2, 2.0)], SCHEMA), str(path), KEYS, "date")
     finish = upsert_module.finish_merge
@@ -113,7 +117,7 @@ def test_a_lost_driver_loses_no_row(spark, tmp_path, monkeypatch):
 
     def stop(*args):
         calls.append(args)
-        if len(calls) == 2:
+        if len(calls) == 1:
             shutil.rmtree(path / "year=2024")
             raise KeyboardInterrupt
         finish(*args)
@@ -143,3 +147,128 @@ def test_key_columns_of_any_name(spark, tmp_path):
         upsert_table(df, path, ["date", "copies"], "date")
     schema = with_day_parts(df, "date").schema
     assert [r["first"] for r in read_target(spark, path, schema).collect()] == [2.0]
+
+
+def test_a_second_merge_does_not_touch_one_that_has_begun(spark, tmp_path, monkeypatch):
+    path, beside = str(tmp_path / "t"), Path(merging_folder(str(tmp_path / "t")))
+    upsert_table(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), path, KEYS, "date")
+    write, finish, met = upsert_module.write_partitions, upsert_module.finish_merge, []
+
+    def second(when):
+        before = {f for f in beside.rglob("*") if f.is_file()}
+        with pytest.raises(LeaseHeld):
+            merge_staged(spark.createDataFrame([day(1, 3, 30.0)], SCHEMA), path, KEYS, "date")
+        assert {f for f in beside.rglob("*") if f.is_file()} == before
+        met.append(when)
+
+    def writing(*args, **options):
+        second("before it has written")
+        write(*args, **options)
+        second("before it has moved")
+
+    def finishing(*args):
+        finish(*args)
+        second("after it has moved")
+
+    monkeypatch.setattr(upsert_module, "write_partitions", writing)
+    monkeypatch.setattr(upsert_module, "finish_merge", finishing)
+    merge_staged(spark.createDataFrame([day(1, 2, 20.0)], SCHEMA), path, KEYS, "date")
+    monkeypatch.undo()
+    assert len(met) == 3 and not beside.exists()
+    merge_staged(spark.createDataFrame([day(1, 3, 30.0)], SCHEMA), path, KEYS, "date")
+    assert table(spark, path) == [day(1, 1, 1.0), day(1, 2, 20.0), day(1, 3, 30.0)]
+
+
+def test_a_merge_may_wait_for_another(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with Lease(spark, merging_folder(path)) as first:
+        threading.Timer(1.5, lambda: os.unlink(tmp_path / "t-merging" / "_lease")).start()
+        merge_staged(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), path, KEYS, "date", wait=30)
+        with pytest.raises(LeaseLost):
+            first.check()
+    assert table(spark, path) == [day(1, 1, 1.0)]
+
+
+def lost_merge(spark, path, rows_, complete):
+    """What a driver that was lost has left: a lease that nobody renews, and merged days."""
+    folder = Path(merging_folder(path)) / "0123"
+    with_day_parts(spark.createDataFrame(rows_, SCHEMA), "date").write.partitionBy("year", "month", "day").parquet(str(folder))
+    if not complete:
+        (folder / "_SUCCESS").unlink()
+    lease = folder.parent / "_lease"
+    lease.write_text("0123")
+    os.utime(lease, (1e9, 1e9))
+
+
+@pytest.mark.parametrize("complete", [True, False])
+def test_a_stale_lease_is_taken_over(spark, tmp_path, complete):
+    path = str(tmp_path / "t")
+    upsert_table(spark.createDataFrame([day(1, 1, 1.0), day(2, 1, 1.0)], SCHEMA), path, KEYS, "date")
+    lost_merge(spark, path, [day(1, 1, 7.0), day(1, 2, 7.0)], complete)
+    upsert_table(spark.createDataFrame([day(1, 3, 3.0)], SCHEMA), path, KEYS, "date")
+    first = [day(1, 1, 7.0), day(1, 2, 7.0)] if complete else [day(1, 1, 1.0)]
+    assert table(spark, path) == [*first, day(1, 3, 3.0), day(2, 1, 1.0)]
+    assert not Path(merging_folder(path)).exists()
+
+
+def test_a_fresh_lease_of_a_lost_driver_holds_until_it_is_stale(spark, tmp_path):
+    path, rows_ = str(tmp_path / "t"), spark.createDataFrame([day(1, 3, 3.0)], SCHEMA)
+    lost_merge(spark, path, [day(1, 1, 7.0)], True)
+    os.utime(Path(merging_folder(path)) / "_lease")
+    with pytest.raises(LeaseHeld):
+        merge_staged(rows_, path, KEYS, "date", stale=60)
+    merge_staged(rows_, path, KEYS, "date", stale=0.5, wait=30)
+    assert table(spark, path) == [day(1, 1, 7.0), day(1, 3, 3.0)]
+
+
+def test_a_holder_renews_its_lease(spark, tmp_path):
+    with Lease(spark, str(tmp_path / "x"), stale=1.0) as held:
+        time.sleep(3)
+        with pytest.raises(LeaseHeld):
+            Lease(spark, str(tmp_path / "x"), stale=1.0).__enter__()
+        held.check()
+    assert not (tmp_path / "x").exists()
+
+
+def test_a_merge_that_has_lost_its_lease_moves_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert_table(spark.createDataFrame([day(1, 1, 1.0)], SCHEMA), path, KEYS, "date")
+    write = upsert_module.write_partitions
+
+    def robbed(*args, **options):
+        write(*args, **options)
+        Path(merging_folder(path), "_lease").write_text("another")
+
+    monkeypatch.setattr(upsert_module, "write_partitions", robbed)
+    with pytest.raises(LeaseLost):
+        merge_staged(spark.createDataFrame([day(1, 1, 9.0)], SCHEMA), path, KEYS, "date")
+    assert table(spark, path) == [day(1, 1, 1.0)]
+    assert Path(merging_folder(path), "_lease").read_text() == "another"
+
+
+def test_a_move_that_stopped_half_way_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert_table(spark.createDataFrame([day(n, 1, 1.0) for n in (1, 2, 3)], SCHEMA), path, KEYS, "date")
+    move, moved = upsert_module.move_folder, []
+
+    def stop(*args):
+        if moved:
+            shutil.rmtree(tmp_path / "t" / "year=2024" / "month=1" / "day=2")
+            raise KeyboardInterrupt
+        moved.append(args)
+        move(*args)
+
+    monkeypatch.setattr(upsert_module, "move_folder", stop)
+    with pytest.raises(KeyboardInterrupt):
+        merge_staged(spark.createDataFrame([day(n, 2, 2.0) for n in (1, 2, 3)], SCHEMA), path, KEYS, "date")
+    monkeypatch.undo()
+    merge_staged(spark.createDataFrame([day(4, 1, 4.0)], SCHEMA), path, KEYS, "date")
+    assert table(spark, path) == [day(n, i, float(i)) for n in (1, 2, 3) for i in (1, 2)] + [day(4, 1, 4.0)]
+
+
+@pytest.mark.parametrize("hash_build", [False, True])
+def test_empty_parts_of_a_key_are_equal(spark, hash_build):
+    target = spark.createDataFrame([(date(2024, 1, 1), None, 1.0), day(1, 1, 1.0)], SCHEMA)
+    staged = spark.createDataFrame([(date(2024, 1, 1), None, 2.0)], SCHEMA)
+    found = upsert(target, staged, KEYS, hash_build).collect()
+    assert sorted((r["id"] or 0, r["x"]) for r in found) == [(0, 2.0), (1, 1.0)]
