@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from slotwise.functions import hours_with_slots, quoted, slot_hour
-from slotwise.operators.presence import HOURS, WORDS, dense, listed_by_hour, mapped_by_hour, unseen, with_words
+from slotwise.operators.presence import HOURS, WORDS, dense, listed_by_hour, mapped_by_hour, unseen, with_words, words_per_hour
 from slotwise.operators.quality import Audit, audit_counts, audit_of
 from slotwise.operators.readings import lacks_entity, slot_of_time, typed_readings
 from slotwise.operators.spine import spread
+from slotwise.sources.files import CORRUPT
 from slotwise.sources.staging import stage
 from slotwise.spec import Period, SeriesSpec
 
@@ -73,39 +74,49 @@ def counted_profiles(
     task that runs again after an executor is lost counts once.
     """
     rows = with_words(typed_readings(readings, spec, complete_keys=False), spec, period)
-    counts = audit_counts(rows, spec)
+    corrupt = F.count(CORRUPT) if CORRUPT in rows.columns else F.lit(0).cast("bigint")
+    several = words_per_hour(spec, period) > 1
+    parts = {_part(i): m for i, m in enumerate(spec.metrics)}
     by_word = rows.groupBy(*spec.entity, "_hour", "_word").agg(
-        *[value.alias(f"_{name}") for name, value in counts.items()],
-        F.count("_position").alias("readings"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(spec.ts).alias("_timed"),
+        corrupt.alias("_corrupt"),
         F.bit_or("_bit").alias("_bits"),
-        *[_partial(m).alias(_part(i)) for i, m in enumerate(spec.metrics)],
+        *[_partial(m, several).alias(name) for name, m in parts.items()],
     )
     if entities is not None:
         silent = entities.select(*spec.entity).where(f"not ({lacks_entity(spec)})")
         by_word = by_word.unionByName(silent, allowMissingColumns=True)
-    sums = [*(f"_{name}" for name in counts), "readings"]
-    parts = [_part(i) for i in range(len(spec.metrics))]
-    by_hour = (
-        spread(by_word, *spec.entity)
-        .groupBy(*spec.entity, "_hour")
-        .agg(
-            *[F.sum(name).alias(name) for name in sums],
-            F.expr(WORDS).alias("_words"),
-            *[F.collect_list(name).alias(name) for name in parts],
+    by_hour = spread(by_word, *spec.entity)
+    if several:
+        by_hour = (
+            by_hour.groupBy(*spec.entity, "_hour")
+            .agg(
+                *[F.sum(name).alias(name) for name in ("_rows", "_timed", "_corrupt")],
+                F.expr(WORDS).alias("_words"),
+                *[F.collect_list(name).alias(name) for name in parts],
+            )
+            .withColumns({"_seen": dense("_words", spec, period)} | {name: _merged(name) for name in parts})
         )
-        .withColumns({name: _merged(name) for name in parts})
-    )
-    stats = ", ".join([f"readings as {quoted('_n')}", *_finished(spec)])
-    seen = dense("_words", spec, period)
-    return (
-        by_hour.withColumn("_season", F.struct(F.expr(f"struct({stats})").alias("stats"), seen.alias("seen")))
+    else:  # each row is a whole hour
+        by_hour = by_hour.withColumn("_seen", F.array("_bits"))
+    stats = ", ".join([f"_rows as {quoted('_n')}", *_finished(spec, several)])
+    total = lambda value: F.expr(f"coalesce(sum({value}), 0L)")
+    totals = {
+        "_rows": total("_rows"),
+        f"_null_{spec.ts}": total("_rows - _timed"),
+        "_corrupt": total("_corrupt"),
+        "_off_slot": total("if(_hour is null, _timed, 0L)"),
+        "readings": total("if(_hour is null, 0L, _rows)"),
+        **{f"_null_{m}": total(f"_rows - {name}.n") for name, m in parts.items()},
+    }
+    found = (
+        by_hour.withColumn("_season", F.struct(F.expr(f"struct({stats})").alias("stats"), F.col("_seen").alias("seen")))
         .groupBy(*spec.entity)
-        .agg(
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
-            mapped_by_hour("_season").alias("_by_hour"),
-        )
-        .select(*spec.entity, *sums, listed_by_hour("_by_hour").alias("seasons"))
+        .agg(*[value.alias(name) for name, value in totals.items()], mapped_by_hour("_season").alias("_by_hour"))
     )
+    without = [F.when(F.col(quoted(c)).isNull(), F.col("_rows")).otherwise(0).alias(f"_null_{c}") for c in spec.entity]
+    return found.select(*spec.entity, *map(quoted, totals), *without, listed_by_hour("_by_hour").alias("seasons"))
 
 
 def measured_profiles(
@@ -113,20 +124,26 @@ def measured_profiles(
 ) -> Profiles:
     """Profiles staged in ``folder``, with the audit of the readings: one pass over them.
 
+    The counts are observed where the profiles are written, in the last stage of the job.
+    There a task's numbers count once however often it runs, unlike those of
+    a stage that is repeated for lost shuffle files.
+
     Give it readings that still have rows without a time (``keep_untimed``) for
     the audit to count them.
     """
-    staged = stage(counted_profiles(readings, spec, period, entities), folder, "profiles")
     known = f"not ({lacks_entity(spec)})"
     key_bytes = sum((F.octet_length(F.col(c).cast("string")) for c in spec.entity), F.lit(64))
     season = 32 + 16 * len(spec.metrics)
-    found = staged.agg(
+    counted = Observation()
+    observed = counted_profiles(readings, spec, period, entities).observe(
+        counted,
         *[F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(name) for name in audit_counts(readings, spec)],
         F.count_if(F.expr(known)).alias("_entities"),
         F.coalesce(F.sum(F.when(F.expr(known), key_bytes + HOURS * season)), F.lit(0)).alias("_bytes"),
         F.coalesce(F.max(F.when(F.expr(known), F.col("_rows"))), F.lit(0)).alias("_largest"),
-    ).first()
-    frame = staged.where(known).select(*spec.entity, "_rows", "readings", "seasons")
+    )
+    frame = stage(observed, folder, "profiles").where(known).select(*spec.entity, "_rows", "readings", "seasons")
+    found = counted.get
     return Profiles(frame, audit_of(found, spec), found["_entities"], found["_bytes"], found["_largest"])
 
 
@@ -244,13 +261,13 @@ def _part(i: int) -> str:
     return f"_part{i}"
 
 
-def _partial(metric: str) -> Column:
-    """Count, sum, squared deviations from the mean, least and largest value of the rows on the slots."""
-    x = F.when(F.col("_hour").isNotNull(), F.col(metric))
+def _partial(metric: str, several: bool) -> Column:
+    """Count, sum and squared deviations from the mean; least and largest value
+    as well if ``several`` of these are to be put together."""
+    x = F.col(quoted(metric))
     squares = F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0))
-    return F.struct(
-        F.count(x).alias("n"), F.sum(x).alias("s"), squares.alias("q"), F.min(x).alias("lo"), F.max(x).alias("hi")
-    )
+    ends = [F.min(x).alias("lo"), F.max(x).alias("hi")] if several else []
+    return F.struct(F.count(x).alias("n"), F.sum(x).alias("s"), squares.alias("q"), *ends)
 
 
 def _merged(parts: str) -> Column:
@@ -264,8 +281,13 @@ def _merged(parts: str) -> Column:
     return F.expr(f"aggregate(slice({parts}, 2, greatest(size({parts}) - 1, 0)), get({parts}, 0), {step})")
 
 
-def _finished(spec: SeriesSpec) -> list[str]:
+def _finished(spec: SeriesSpec, several: bool) -> list[str]:
     """Mean and sample deviation of each metric; that of equal values is 0, whatever their sums round to."""
-    means = [f"if({p}.n > 0, {p}.s / {p}.n, null) as {quoted(c)}" for p, c in zip(map(_part, range(len(spec.metrics))), spec.mean_columns, strict=True)]
-    deviation = "if({p}.n > 1, if({p}.lo = {p}.hi, 0D, sqrt({p}.q / ({p}.n - 1))), null) as {c}"
-    return means + [deviation.format(p=_part(i), c=quoted(c)) for i, c in enumerate(spec.stddev_columns)]
+    equal = "{p}.lo = {p}.hi" if several else "{p}.q = 0"
+    mean = "if({p}.n > 0, {p}.s / {p}.n, null) as {c}"
+    deviation = f"if({{p}}.n > 1, if({equal}, 0D, sqrt({{p}}.q / ({{p}}.n - 1))), null) as {{c}}"
+    return [
+        form.format(p=_part(i), c=quoted(c))
+        for form, columns in ((mean, spec.mean_columns), (deviation, spec.stddev_columns))
+        for i, c in enumerate(columns)
+    ]

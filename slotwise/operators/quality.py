@@ -77,7 +77,7 @@ def audit(readings: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     return rows.agg(*[value.alias(name) for name, value in audit_counts(rows, spec).items()])
 
 
-def audit_of(row: Row, spec: SeriesSpec) -> Audit:
+def audit_of(row: Row | dict[str, int], spec: SeriesSpec) -> Audit:
     """The audit in a row that has its counts."""
     missing = {c: row[f"null_{c}"] for c in spec.reading_columns}
     return Audit(row["rows"], row["off_slot"], missing, row["corrupt"])

@@ -94,10 +94,9 @@ class Lease:
 
     def _holder(self) -> str | None:
         try:
-            length = self._files.getFileStatus(self._path).getLen()
             stream = self._files.open(self._path)
             try:
-                return bytes(stream.read() for _ in range(length)).decode("ascii")
+                return self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "US-ASCII")
             finally:
                 stream.close()
         except Py4JJavaError as error:
