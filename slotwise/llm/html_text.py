@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections import defaultdict
@@ -44,16 +45,22 @@ TABLE_PARTS = frozenset({"table", "tr", "td", "th", "tbody", "thead", "tfoot"})
 #: Elements that are laid out by themselves; all others are their contents, set off where they are blocks.
 OWN_LAYOUT = frozenset("br hr pre ul ol menu table blockquote dd select input".split())
 
+#: Columns that a line is set in by at most, for lists and quotes however deep.
+MAX_INDENT = 200
+#: Most columns and rows that a cell spans; fixed values of the HTML standard.
+MAX_SPAN = {"colspan": 1000, "rowspan": 65534}
+
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _CSS_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"([a-z][a-z0-9-]*|\*)?(?:([.#])([\w-]+))?$", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "rows")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.rows = False  # whether rows of the table around it are below it
 
 
 class TreeBuilder(HTMLParser):
@@ -96,6 +103,11 @@ class TreeBuilder(HTMLParser):
         if tag in CLOSES:
             self._pop(*CLOSES[tag])
         node = Node(tag, found)
+        if tag == "tr":
+            for around in reversed(self.open):
+                if around.rows or around.tag == "table":
+                    break
+                around.rows = True
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.places[tag].append(len(self.open))
@@ -126,22 +138,41 @@ class TreeBuilder(HTMLParser):
 
 def _hides(declarations: str) -> bool | None:
     """True for what takes text away, False for what brings it back, None for neither."""
-    found = None
+    found: dict[str, bool] = {}
     for part in declarations.lower().split(";"):
         name, _, value = part.partition(":")
         name, value = name.strip(), value.replace("!important", "").strip()
-        if name == "display" and value == "none" or name == "visibility" and value in ("hidden", "collapse"):
-            found = True
-        elif name in ("display", "visibility") and found is None:
-            found = False
-    return found
+        if name in ("display", "visibility"):  # the last one counts
+            found[name] = value == "none" if name == "display" else value in ("hidden", "collapse")
+    return any(found.values()) if found else None
+
+
+def _on_screen(sheet: str) -> str:
+    """The rules of a sheet, with those for screens and without those under other conditions."""
+    sheet, out, at = re.sub(r"(?s)/\*.*?\*/", "", sheet), [], 0
+    for m in re.finditer(r"(?i)@([\w-]+)([^{};]*)([{;])", sheet):
+        if m.start() < at:
+            continue
+        out.append(sheet[at : m.start()])
+        at = m.end()
+        if m[3] == "{":
+            depth = 1
+            for brace in re.finditer(r"[{}]", sheet[at:]):
+                depth += 1 if brace[0] == "{" else -1
+                if not depth:
+                    break
+            inner = sheet[at : at + brace.start()] if not depth else sheet[at:]
+            at += len(inner) + 1
+            if m[1].lower() == "media" and re.fullmatch(r"(?i)\s*(only\s+)?(all|screen)\s*", m[2]):
+                out.append(inner)
+    return "".join(out) + sheet[at:]
 
 
 def hidden_by_sheets(styles: list[str]) -> set[tuple[str, str, str]]:
     """(tag, '.' or '#', name) of the simple selectors that hide elements; later rules win over earlier ones."""
     out: dict[tuple[str, str, str], bool] = {}
     for sheet in styles:
-        for selectors, declarations in _CSS_RULE.findall(re.sub(r"(?s)/\*.*?\*/", "", sheet)):
+        for selectors, declarations in _CSS_RULE.findall(_on_screen(sheet)):
             hides = _hides(declarations)
             for selector in selectors.split(",") if hides is not None else ():
                 if (m := _SIMPLE.fullmatch(selector.strip())) and selector.strip():
@@ -149,15 +180,43 @@ def hidden_by_sheets(styles: list[str]) -> set[tuple[str, str, str]]:
     return {key for key, hides in out.items() if hides}
 
 
+def flat(entries: list) -> list[str]:
+    """Lines of text out of lines and (mark, entries): the mark stands before the
+    first line of its entries, and they are set in by its width.
+
+    Marks are written once whatever encloses them, and lines are set in by
+    ``MAX_INDENT`` at most. So the text stays in proportion to the page.
+    """
+    out: list[str] = []
+    marks: list[str] = []
+    waiting, start = [(iter(entries), 0)], 0
+    while waiting:
+        rest, indent = waiting[-1]
+        for entry in rest:
+            if isinstance(entry, str):
+                before = " " * start + "".join(marks) if marks else " " * indent
+                out.append(before + entry if entry or before.strip() else "")
+                marks = []
+            else:
+                if not marks:
+                    start = indent
+                marks.append(entry[0])
+                waiting.append((iter(entry[1]), min(indent + len(entry[0]), MAX_INDENT)))
+                break
+        else:
+            waiting.pop()
+    return out
+
+
 class Lines:
-    """Lines of text in the making: inline text is gathered until a block begins or ends."""
+    """Lines of text in the making, as ``flat`` takes them: inline text is gathered until a block begins or ends."""
 
     def __init__(self):
-        self.lines: list[str] = []
+        self.lines: list[str | tuple[str, list]] = []
         self.inline: list[str] = []
         self.gap = 0
 
-    def _add(self, lines: list[str]) -> None:
+    def _add(self, lines: list) -> None:
         if lines:
             if self.lines:
                 self.lines += [""] * self.gap
@@ -175,7 +234,7 @@ class Lines:
         self.flush()
         self.gap = max(self.gap, gap)
 
-    def whole(self, lines: list[str], gap: int) -> None:
+    def whole(self, lines: list, gap: int) -> None:
         self.block(gap)
         self._add(lines)
         self.gap = max(self.gap, gap)
@@ -265,15 +324,17 @@ class Renderer:
         elif tag == "table":
             out.whole((yield self.table_lines(node)), 1)
         elif tag == "blockquote":
-            out.whole([f"  {line}" if line else "" for line in (yield self.lines(node))], 1)
+            lines = yield self.lines(node)
+            out.whole([("  ", lines)] if lines else [], 1)
         elif tag == "dd":
-            out.whole([f"  {line}" if line else "" for line in (yield self.lines(node))], 0)
+            lines = yield self.lines(node)
+            out.whole([("  ", lines)] if lines else [], 0)
         elif tag == "select":
             options = [x for x in self.inside(node, {"option"}, {"select"}) if not self._unseen(x)]
             chosen = [x for x in options if "selected" in x.attrs] or options[:1]
             texts = []
             for x in chosen:
-                texts += yield self.lines(x)
+                texts += flat((yield self.lines(x)))
             out.inline.append(" ".join(texts))
         elif tag == "input":
             if node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
@@ -326,8 +387,7 @@ class Renderer:
                 number += 1
                 lines = yield self.lines(child)
                 if lines:
-                    rest = " " * len(mark)
-                    out.whole([mark + lines[0], *(rest + x if x else "" for x in lines[1:])], 0)
+                    out.whole([(mark, lines)], 0)
             else:
                 yield self.children([child], out)
         out.flush()
@@ -338,43 +398,49 @@ class Renderer:
         out = Lines()
         for part in (yield self.stray(table)):
             out.whole(part, 0)
-        grid: list[list[list[str]]] = []
-        below: dict[int, int] = {}  # columns that a cell above still covers, and for how many rows
-        for row in self.inside(table, {"tr"}, {"table"}):
-            if self._unseen(row):
-                continue
-            cells: list[list[str]] = []
-            covered = {c: n for c, n in below.items() if n > 0}
-            below = {c: n - 1 for c, n in covered.items()}
+        grid: list[dict[int, list[str]]] = []
+        ends: list[int] = []
+        below: dict[int, float] = {}  # the last row that a cell above covers, by column
+        for n, row in enumerate(x for x in self.inside(table, {"tr"}, {"table"}) if not self._unseen(x)):
+            cells: dict[int, list[str]] = {}
+            column = 0
             for cell in row.children:
                 if isinstance(cell, Node) and cell.tag in ("td", "th") and not self._unseen(cell):
-                    while len(cells) in covered:
-                        cells.append([])
-                    width, height = (self.span(cell, x) for x in ("colspan", "rowspan"))
-                    for c in range(len(cells), len(cells) + width):
-                        if height > 1:
-                            below[c] = height - 1
-                    cells += [(yield self.lines(cell)), *([] for _ in range(width - 1))]
+                    while below.get(column, -1) >= n:
+                        column += 1
+                    width, height = self.span(cell, "colspan") or 1, self.span(cell, "rowspan")
+                    if height != 1:
+                        below |= dict.fromkeys(range(column, column + width), n + height - 1 if height else math.inf)
+                    cells[column] = flat((yield self.lines(cell)))
+                    column += width
             grid.append(cells)
+            ends.append(column)
         widths: dict[int, int] = {}
+        for cells, end in zip(grid, ends, strict=True):
+            for c, lines in cells.items():
+                if c + 1 >= end or cells.get(c + 1):  # a cell over several columns does not widen its first
+                    widths[c] = max([widths.get(c, 0), *map(len, lines)])
+        starts, at = {}, 0
+        for c in sorted({c for cells in grid for c in cells}):
+            starts[c] = at
+            at += widths[c] + 2 if widths.get(c) else 0
         for cells in grid:
-            for c, lines in enumerate(cells):
-                alone = c + 1 >= len(cells) or cells[c + 1]  # a cell over several columns does not widen its first
-                widths[c] = max([widths.get(c, 0), *(len(x) for x in lines if alone)])
-        for cells in grid:
-            for i in range(max((len(x) for x in cells), default=0)):
-                texts, line, at = [x[i] if i < len(x) else "" for x in cells], "", 0
-                for c, text in enumerate(texts):
-                    if text:
-                        line = (line.ljust(at) if not line or len(line) + 2 <= at else line + "  ") + text
-                    at += widths[c] + 2 if widths[c] else 0
+            left, i = sorted(cells.items()), 0
+            while left := [(c, lines) for c, lines in left if i < len(lines)]:
+                line = ""
+                for c, lines in left:
+                    if lines[i]:
+                        at = starts[c]
+                        line = (line.ljust(at) if not line or len(line) + 2 <= at else line + "  ") + lines[i]
                 out.whole([line.rstrip()], 0)
+                i += 1
         return out.lines
 
     @staticmethod
     def span(cell: Node, name: str) -> int:
-        value = cell.attrs.get(name, "")
-        return min(max(int(value), 1), 100) if re.fullmatch(r"[0-9]{1,4}", value) else 1
+        """0 is up to the end of the table."""
+        value = cell.attrs.get(name, "").strip()
+        return min(int(value[:9]), MAX_SPAN[name]) if re.fullmatch(r"[0-9]+", value) else 1
 
     def stray(self, node: Node) -> Generator:
         """The lines of captions and of what stands between rows and cells."""
@@ -384,10 +450,17 @@ class Renderer:
                 rest.children.append(child)
             elif self._unseen(child):
                 continue
-            elif child.tag in ("tr", "thead", "tbody", "tfoot"):
+            elif child.tag == "tr":
                 inner = Node("div", {})
                 inner.children = [x for x in child.children if isinstance(x, str) or x.tag not in ("td", "th")]
                 parts += yield self.stray(inner)
+            elif child.tag in ("thead", "tbody", "tfoot"):
+                parts += yield self.stray(child)
+            elif child.rows and child.tag != "table":  # its rows are laid out with the others
+                if lines := (yield self.lines(rest)):
+                    parts.append(lines)
+                rest = Node("div", {})
+                parts += yield self.stray(child)
             elif child.tag not in ("colgroup", "col"):
                 rest.children.append(child)
         if lines := (yield self.lines(rest)):
@@ -395,14 +468,20 @@ class Renderer:
         return parts
 
 
+def _without_open_tags(html: str) -> str:
+    """``html`` with tags that never end as text: the parser would look for the end of each through all that follows."""
+    last = html.rfind(">") + 1
+    return html[:last] + re.sub(r"<(?=[A-Za-z/])", "&lt;", html[last:]) if html.count("<", last) > 1 else html
+
+
 def page_text(html: str | None) -> str:
     """All visible text, its blocks, lists and table cells laid out in lines. Empty for null."""
     if not html:
         return ""
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(_without_open_tags(html))
     builder.close()
-    return "\n".join(_run(Renderer(hidden_by_sheets(builder.styles)).lines(builder.root)))
+    return "\n".join(flat(_run(Renderer(hidden_by_sheets(builder.styles)).lines(builder.root))))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -83,3 +85,61 @@ def test_awkward_rows(spark):
     found = html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, html string, text string"))
     assert sorted(r["text"] for r in found.collect()) == ["", "", "", "a"]
     assert html_text.extract_text(spark.createDataFrame([], "page_id bigint, html string")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["form", "div", "a", "center", "b"])
+def test_rows_inside_other_elements_are_laid_out_once(tag):
+    assert html_text.page_text(f"<table><{tag}><tr><td>a</td><td>b</td></tr></{tag}></table>") == "a  b"
+    assert html_text.page_text(f"<table>t<{tag}>u<tr><td>a<td>b</{tag}><tr><td>c</table>").split() == ["t", "u", "a", "b", "c"]
+    assert html_text.page_text(f"<table><{tag}><tr><td>" * 40 + "x") == "x"
+
+
+def test_each_word_of_random_tables_is_laid_out_once():
+    r = random.Random(11)
+    for _ in range(300):
+        tags = ["table", "tr", "td", "th", "form", "div", "a", "tbody", "caption", "ul", "li", "p", "blockquote", "b"]
+        parts, n = [], 0
+        for _ in range(r.randrange(1, 60)):
+            kind = r.random()
+            if kind < 0.5:
+                parts.append(f"<{r.choice(tags)}>")
+            elif kind < 0.7:
+                parts.append(f"</{r.choice(tags)}>")
+            else:
+                parts.append(f" w{n} ")
+                n += 1
+        words = re.findall(r"w[0-9]+", html_text.page_text("".join(parts)))
+        assert sorted(words) == sorted(f"w{i}" for i in range(n)), "".join(parts)
+
+
+@pytest.mark.parametrize(
+    "part,times", [("<a ", 300_000), ("<div class='", 80_000), ("<blockquote>x", 75_000), ("<ul><li>x", 100_000), ("<tr><td>x", 100_000)]
+)
+def test_pages_of_a_megabyte_take_seconds(part, times):
+    start = time.monotonic()
+    text = html_text.page_text("<table>" * part.startswith("<tr") + part * times)
+    assert time.monotonic() - start < 30
+    assert len(text) < 300 * times
+    if "x" in part:
+        assert text.count("x") == times
+
+
+def test_spans():
+    rows = "".join(f"<tr><td>b{i}" for i in range(1, 250))
+    lines = html_text.page_text(f"<table><tr><td rowspan=200>A<td>b0{rows}</table>").split("\n")
+    assert lines[0] == "A     b0" and lines[150] == "      b150" and lines[199] == "      b199" and lines[200] == "b200"
+    assert html_text.page_text("<table><tr><td rowspan=0>A<td>b<tr><td>c<tr><td>d</table>") == "A  b\n   c\n   d"
+    wide = html_text.page_text("<table><tr><td colspan=12345678901>A<td>b<tr><td>c</table>")
+    assert wide == "A  b\nc"
+
+
+def test_indents_end_at_a_documented_width():
+    lines = html_text.page_text("<blockquote>" * 1000 + "x<br>y").split("\n")
+    assert lines[1] == " " * html_text.MAX_INDENT + "y"
+    assert html_text.page_text("<ul><li>a<br>b<ul><li>c<br>d") == "- a\n  b\n\n  - c\n    d"
+
+
+def test_rules_for_other_media_and_later_declarations():
+    sheet = "@media print{.x{display:none}} @import 'a'; @media screen{.y{display:none}} @font-face{a:b} .z{display:none;display:block}"
+    page = f"<style>{sheet} .v{{visibility:hidden;display:block}}</style><p class=x>x<p class=y>y<p class=z>z<p class=v>v"
+    assert html_text.page_text(page) == "x\n\nz"
