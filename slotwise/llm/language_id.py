@@ -194,30 +194,41 @@ class Network:
         return out / np.maximum([[len(t)] for t in texts], 1)
 
 
-def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+def training_rows(
+    docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, share: float | None = 2.0
+) -> DataFrame:
     """(text, lang) of at most ``rows`` labelled rows, ``chars`` of each from a place that a hash chooses.
 
     The labels are counted first. Then rows are drawn by the hash of their
-    doc_id, about twice as many as are asked for, and of these the ones with the
-    smallest hashes are taken, so that no task sends more than it must.
+    doc_id, about ``share`` times as many as are asked for, and of these the ones with the
+    smallest hashes are taken, so that no task sends more than it must. Without
+    a ``share`` all rows are drawn.
     """
-    labelled = docs.where("lang is not null and text is not null")
-    total = max(docs.where("lang is not null").count(), 1)
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < min(int(2 * rows / total * (1 << 32)), 1 << 32)
-    drawn = labelled.where(drawn & F.col("text").rlike(r"\p{L}"))
+    drawn = docs.where("lang is not null and text is not null")
+    if share is not None:
+        total = max(docs.where("lang is not null").count(), 1)
+        limit = min(int(share * rows / total * (1 << 32)), 1 << 32)
+        drawn = drawn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < limit)
+    drawn = drawn.where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("doc_id", "text")
     start = F.pmod(h, F.greatest(F.length("text") - chars, F.lit(1))) + 1
     cut = F.substring("text", start.cast("int"), F.lit(chars)).alias("text")
     return drawn.select(cut, "lang", h.alias("h")).orderBy("h", "text", "lang").limit(rows).select("text", "lang")
 
 
+def _sample(docs: DataFrame, rows: int, chars: int) -> list[tuple[str, str]]:
+    """``training_rows`` on the driver. Where repeated ids leave the draw short, all rows are drawn from."""
+    found = [tuple(r) for r in training_rows(docs, rows, chars).collect()]
+    return found if len(found) >= rows else [tuple(r) for r in training_rows(docs, rows, chars, None).collect()]
+
+
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Network | None:
     """The network for the languages of a bounded sample of ``labelled`` (doc_id, text, lang); None without labels.
 
     The sample is ``rows * chars`` characters at most and the network has a
     fixed size, so neither the driver's work nor what it sends out grows.
     """
-    return _train([tuple(r) for r in training_rows(labelled, rows, chars).collect()])
+    return _train(_sample(labelled, rows, chars))
 
 
 def _train(sample: list[tuple[str, str]]) -> Network | None:
@@ -324,7 +335,7 @@ def train_with_limits(
     labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
 ) -> tuple[Network | None, Limits | None]:
     """``train``, and the limits below which a text is in none of the network's languages, from the same sample."""
-    sample = [tuple(r) for r in training_rows(labelled, rows, chars).collect()]
+    sample = _sample(labelled, rows, chars)
     network = _train(sample)
     return network, _limits(network, sample) if network else None
 

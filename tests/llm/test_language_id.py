@@ -134,3 +134,12 @@ def test_familiarity_of_a_long_text_is_that_of_its_parts():
     limits.between = 1.0
     one, many = (limits.distance_of(b"ab cd ef " * n, "x") for n in (1000, 200_000))
     assert np.isfinite([one, many]).all() and abs(one - many) < 0.01
+
+
+def test_repeated_ids_leave_a_whole_sample(spark):
+    rows = [(7, f"wort {i} und noch ein satz", "de") for i in range(3000)] + [(7, f"words {i} and one more", "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = language_id._sample(docs, 50, 200)
+    assert len(sample) == 50 and {lang for _, lang in sample} == {"de", "en"}
+    same = spark.createDataFrame([(7, "ein satz", "de")] * 500, docs.schema)
+    assert language_id._sample(same, 50, 200) == [("ein satz", "de")] * 50
