@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -46,17 +46,18 @@ def fingerprint(text: bytes | None, shingle_words: int = 3) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp long) per row of ``docs``; a null text has fingerprint zero."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, ``carried``, fp long) per row of ``docs``; a null text has fingerprint zero. Carried columns are strings."""
+    names = ["doc_id", *carried]
 
     def of_batches(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
             fps = [fingerprint(x, shingle_words) for x in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(fps, np.int64)})
+            yield batch[names].assign(fp=np.array(fps, np.int64))
 
-    columns = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("binary").alias("text"))
-    found = columns.mapInPandas(of_batches, "doc_id string, fp long")
-    return found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType), "fp")
+    columns = docs.select(*[F.col(x).cast("string").alias(x) for x in names], F.col("text").cast("binary").alias("text"))
+    found = columns.mapInPandas(of_batches, ", ".join([*(f"{x} string" for x in names), "fp long"]))
+    return found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType), *carried, "fp")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -161,11 +162,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = MAX
     copies are never paired.
     """
     marked = staged(fingerprints(docs, shingle_words))
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    found = staged(links(nodes, max_bits))
-    classes = connected_components(found).withColumnsRenamed({"node": "fp", "component": "root"})
-    rooted = nodes.join(classes, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted)
+    rooted = _rooted(marked, max_bits)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(members, "fp").select(
@@ -173,17 +170,31 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = MAX
     )
 
 
+def _rooted(marked: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first_id, root): the distinct fingerprints of ``marked`` (doc_id, fp) and the class each is in, staged."""
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    found = staged(links(nodes, max_bits))
+    classes = connected_components(found).withColumnsRenamed({"node": "fp", "component": "root"})
+    return staged(nodes.join(classes, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+
+
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its class, one row a doc_id, same columns.
+    """One row of ``docs`` for each class: that of the smallest doc_id, same columns.
 
-    Rows that share a doc_id are one document, of which one row stays. Rows
-    without doc_id have no class: they stay, one for each text.
+    Rows, not ids, are in classes: rows that share a doc_id but not a class are
+    judged apart, so no text is lost that has no near duplicate. Among rows of
+    a class with the same doc_id the one whose columns have the smallest hash
+    stays, whatever the order of the rows. Rows without doc_id have no class:
+    they stay, one for each text.
     """
-    classes = near_duplicates(docs, shingle_words, max_bits)
-    kept_id, no_id = fresh(docs, "kept_id"), fresh(docs, "no_id")
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct()
-    joined = docs.join(kept, F.col("doc_id") == F.col(kept_id), "left")
-    joined = joined.where(F.col("doc_id").isNull() | F.col(kept_id).isNotNull())
-    text_hash = F.sha2(F.coalesce("text", F.lit("")), 256)
-    marked = joined.withColumn(no_id, F.when(F.col("doc_id").isNull(), text_hash))
-    return marked.dropDuplicates(["doc_id", no_id]).select(*docs.columns)
+    row, text = fresh(docs, "row"), fresh(docs, "text_hash")
+    columns = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    digest = F.concat_ws(" ", *[F.hex(F.xxhash64(F.lit(i), *columns)) for i in (1, 2)])
+    text_hash = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = docs.withColumns({row: digest, text: text_hash})
+    marked = staged(fingerprints(keyed, shingle_words, [row, text]))
+    classes = _rooted(marked, max_bits).select("fp", "root")
+    of = F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("class")
+    chosen = marked.join(classes, "fp").groupBy(of, F.col(text).alias("text")).agg(F.min(F.struct("doc_id", row)).alias("first"))
+    kept = chosen.select(F.col(f"first.{row}").alias(row)).distinct()
+    return keyed.join(kept, row, "left_semi").dropDuplicates([row]).select(*docs.columns)

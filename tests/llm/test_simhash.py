@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 import xxhash
-from llm_data import edge_docs, empty_docs, in_order, texts, tuples
+from llm_data import edge_docs, empty_docs, in_order, prose, texts, tuples
 from pyspark.sql import functions as F
 
 from slotwise.llm import simhash
@@ -113,3 +113,32 @@ def test_one_of_each_class_stays(spark):
     named = [x for x in ids if x is not None]
     assert sorted(named) == sorted({d for d, c in classes if d is not None and d == c})
     assert ids.count(None) == 2
+
+
+def plain_kept(rows):
+    """One (doc_id, text) for each class, by its smallest id; of rows without id one for each text."""
+    fps = [plain_fingerprint(t) for _, t in rows]
+    classes = {}
+    for (doc_id, text), root in zip(rows, plain_components(fps), strict=True):
+        classes.setdefault(("text", text or "") if doc_id is None else root, []).append((doc_id, text))
+    return [(min((d for d, _ in found if d is not None), default=None), {t for _, t in found}) for found in classes.values()]
+
+
+def test_rows_of_one_id_with_other_texts_are_judged_apart(spark):
+    a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(1, a), (5, a), (5, b), (7, b), (7, c), (7, c), (None, c), (None, c), (None, None), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id bigint, text string, source string")
+    found = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(docs).collect()]
+    assert len(found) == len(plain_kept(rows)) == 6
+    for doc_id, texts_ in plain_kept(rows):
+        assert sum(d == doc_id and t in texts_ for d, t in found) == 1
+    assert {t for _, t in found} >= {a, b, c}
+
+
+def test_the_row_that_stays_does_not_depend_on_the_order(spark):
+    words = prose(24, 80).split()
+    near = [" ".join([*words[:i], "other", *words[i + 1 :]]) for i in range(0, 80, 9)]
+    rows = [(3, t, s) for t in near for s in "xyz"]
+    schema = "doc_id bigint, text string, source string"
+    results = {tuple(map(tuple, simhash.drop_near_duplicates(spark.createDataFrame(x, schema).repartition(n)).collect())) for n, x in ((1, rows), (5, rows[::-1]))}
+    assert len(results) == 1
