@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from slotwise.functions import hours_with_slots, quoted, slot_hour
 from slotwise.operators.presence import HOURS, WORDS, dense, listed_by_hour, mapped_by_hour, unseen, with_words, words_per_hour
@@ -142,9 +142,18 @@ def measured_profiles(
         F.coalesce(F.sum(F.when(F.expr(known), key_bytes + HOURS * season)), F.lit(0)).alias("_bytes"),
         F.coalesce(F.max(F.when(F.expr(known), F.col("_rows"))), F.lit(0)).alias("_largest"),
     )
-    frame = stage(observed, folder, "profiles").where(known).select(*spec.entity, "_rows", "readings", "seasons")
+    stage(observed, folder, "profiles")
     found = counted.get
-    return Profiles(frame, audit_of(found, spec), found["_entities"], found["_bytes"], found["_largest"])
+    numbers = (found[name] for name in ("_entities", "_bytes", "_largest"))
+    return staged_profiles(readings.sparkSession, spec, folder, audit_of(found, spec), *numbers)
+
+
+def staged_profiles(
+    spark: SparkSession, spec: SeriesSpec, folder: str, audit: Audit, entities: int, size: int, largest: int
+) -> Profiles:
+    """The profiles that ``measured_profiles`` has staged in ``folder``, with what it counted."""
+    frame = spark.read.parquet(f"{folder}/profiles").where(f"not ({lacks_entity(spec)})")
+    return Profiles(frame.select(*spec.entity, "_rows", "readings", "seasons"), audit, entities, size, largest)
 
 
 def hourly_baseline(profiles: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:

@@ -7,6 +7,7 @@ of executors, which a cached frame does not.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,39 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    (location, files), (draft, _) = file_system(spark, path), file_system(spark, f"{path}-{uuid.uuid4().hex}")
+    out = files.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    files.delete(location, False)
+    if not files.rename(draft, location):
+        raise OSError(f"cannot write {path}")
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """What ``write_note`` has written; None if it has not."""
+    location, files = file_system(spark, path)
+    if not files.exists(location):
+        return None
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_marks(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of files."""
+    found = []
+    for path in sorted(paths):
+        location, files = file_system(spark, path)
+        status = files.getFileStatus(location)
+        found.append((path, status.getLen(), status.getModificationTime()))
+    return found
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder of staged tables."""
     location, files = file_system(spark, folder)
