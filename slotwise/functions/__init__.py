@@ -13,7 +13,6 @@ from slotwise.functions.time import (
     slot_time,
     with_days,
     with_slot_places,
-    with_slots,
     with_slots_of_days,
 )
 from slotwise.functions.stats import number_or_null, zscore
@@ -34,7 +33,6 @@ __all__ = [
     "slot_time",
     "with_days",
     "with_slot_places",
-    "with_slots",
     "with_slots_of_days",
     "zscore",
 ]

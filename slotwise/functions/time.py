@@ -64,12 +64,6 @@ def with_slots_of_days(days: DataFrame, spec: SeriesSpec) -> DataFrame:
     return days.select(*kept, F.posexplode(F.expr(slots)).alias("_slot", spec.ts))
 
 
-def with_slots(df: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
-    """Each row with every slot of the period: adds the timestamp and the
-    integers ``_day`` (of the period) and ``_slot`` (of the day)."""
-    return with_slots_of_days(with_days(df, period), spec)
-
-
 def day_of(number: str, spec: SeriesSpec) -> Column:
     return F.expr(f"cast({quoted(number)} div {spec.slots_per_day} as int)")
 

@@ -41,7 +41,8 @@ def write_partitions(
 
 
 def write_json(df: DataFrame, path: str, day_column: str, time_format: str = TIME_FORMAT) -> None:
-    """JSON lines under ``year=/month=/day=`` folders."""
+    """JSON lines under ``year=/month=/day=`` folders. Days that the frame has rows
+    for are replaced whole; ``merge_staged`` keeps their other rows."""
     write_partitions(with_day_parts(df, day_column), path, "json", time_format)
 
 
