@@ -29,11 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A path below the shared folder that nothing uses yet; removed when the session's JVM ends."""
-    folder = f"{shared_folder(spark)}/llm-{uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
-    return folder
+    """A path below the shared folder that nothing uses yet; removed with all of the session's when its JVM ends."""
+    own = f"{shared_folder(spark)}/llm-{spark.conf.get('spark.app.id')}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path)
+    files.deleteOnExit(path)  # a path that does not exist yet would be forgotten
+    return f"{own}/{uuid4().hex}"
 
 
 def staged(df: DataFrame) -> DataFrame:
