@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -16,7 +15,7 @@ from slotwise.operators.quality import require_unique
 from slotwise.sources.files import TIME_FORMAT
 from slotwise.sources.lease import STALE_SECONDS, Lease
 from slotwise.sources.sinks import PARTITIONS, with_day_parts, write_partitions
-from slotwise.sources.staging import is_complete, move_folder, remove, run_folder, stage, subfolders
+from slotwise.sources.staging import file_system, is_complete, move_folder, remove, run_folder, stage, subfolders
 
 # Staged keys from which on they are hashed after a shuffle; fewer are left to Spark, which may broadcast them.
 HASH_BUILD_ROWS = 1_000_000
@@ -41,12 +40,10 @@ def read_target(spark: SparkSession, path: str, schema: StructType, file_format:
 
     The limit lets the optimizer know that it is empty and drop joins to it.
     """
-    try:
-        return spark.read.schema(schema).option("timestampNTZFormat", TIME_FORMAT).format(file_format).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    location, files = file_system(spark, path)
+    if not files.exists(location):
         return spark.createDataFrame([], schema).limit(0)
+    return spark.read.schema(schema).option("timestampNTZFormat", TIME_FORMAT).format(file_format).load(path)
 
 
 def upsert_table(
