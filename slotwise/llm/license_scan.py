@@ -126,6 +126,8 @@ TEMPLATES = {
 }
 #: Share of a template's distinct words that a block must contain.
 THRESHOLD = 0.9
+#: Words of a block for each word of the template, which leaves room for comment marks and inserted names.
+SPREAD = 1.25
 #: Distinct words of all templates at most, as they are part of the plan.
 MAX_VOCABULARY = 2000
 
@@ -141,11 +143,12 @@ def words_of(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Template:
-    """A template's distinct words, rarest first, and how many of them a block must share."""
+    """A template's distinct words, rarest first, how many of them a block must share, and a block's length in words."""
 
     label: str
     ranks: tuple[int, ...]
     overlap: int
+    length: int
 
     @property
     def prefix(self) -> tuple[int, ...]:
@@ -160,6 +163,10 @@ def vocabulary(templates: dict[str, str]) -> list[str]:
     return words
 
 
+def block_length(text: str) -> int:
+    return math.ceil(SPREAD * len(text.split()))
+
+
 def ordered(templates: dict[str, str], counts: dict[str, int], threshold: float) -> tuple[list[str], list[Template]]:
     """The vocabulary from the rarest word to the most frequent, and the templates by their ranks in it."""
     words = sorted(vocabulary(templates), key=lambda w: (counts.get(w, 0), w))
@@ -167,7 +174,7 @@ def ordered(templates: dict[str, str], counts: dict[str, int], threshold: float)
     out = []
     for label, text in templates.items():
         ranks = tuple(sorted(rank[w] for w in set(text.split())))
-        out.append(Template(label, ranks, max(1, math.ceil(threshold * len(ranks) - 1e-9))))
+        out.append(Template(label, ranks, max(1, math.ceil(threshold * len(ranks) - 1e-9)), block_length(text)))
     return words, out
 
 
@@ -210,33 +217,60 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
     )
 
 
+def pieces_of(words: Column, longest: int) -> Column:
+    """``words`` in pieces of three times ``longest`` that overlap by ``longest``, so that any
+    ``longest`` words in a row lie whole within a piece; a shorter text is one piece."""
+    last = F.greatest(F.size(words) - longest, F.lit(1)) - 1
+    return F.transform(F.sequence(F.lit(0), last, F.lit(2 * longest)), lambda at: F.slice(words, at + 1, 3 * longest))
+
+
+def fullest(places: Column, length: Column) -> Column:
+    """The most distinct words of ``places`` (at, word) within ``length`` words in a row. Such a
+    stretch can begin at a place, as moving it on to its first one loses none."""
+    inside = lambda p: F.filter(places, lambda q: (q["at"] >= p["at"]) & (q["at"] < p["at"] + length))
+    held = lambda p: F.size(F.array_distinct(F.transform(inside(p), lambda q: q["word"])))
+    return F.array_max(F.transform(places, held))
+
+
 def similar_blocks(docs: DataFrame, words: list[str], templates: list[Template]) -> DataFrame:
-    """(doc_id, text_hash, line, label, containment): the lines of ``docs`` that contain enough of a template.
+    """(doc_id, text_hash, label, containment): the templates that a block of a text contains enough of.
 
-    Words are ranked from rare to frequent over the whole corpus. A line is a
-    candidate of a template if it holds a word of the template's prefix (prefix
-    filter), has as many words as are needed (length filter), and if after the
-    shared word both have words enough left (positional filter); the
-    shared words are then counted. Texts without a prefix word are not cut into lines.
+    A block of a template is any stretch of ``Template.length`` words in a row,
+    whatever lines they stand in; containment is that of the best block.
+    Texts are cut into overlapping pieces of bounded length, so that every block
+    lies within one. Words are ranked from rare to frequent over the whole corpus. A
+    piece is a candidate of a template if it holds a word of the template's prefix (prefix
+    filter), has as many words as are needed (length filter), and if after the first
+    shared word both have words enough left (positional filter); the shared words
+    are then counted, and last those of the blocks. Texts without a prefix word are not cut.
     """
     rank = F.create_map(*(x for i, w in enumerate(words) for x in (F.lit(w), F.lit(i))))
     prefixes = sorted({words[r] for t in templates for r in t.prefix})
     least = min(t.overlap for t in templates)
+    longest = max(t.length for t in templates)
     some = docs.where(F.col("text").rlike("(?i)" + "|".join(map(re.escape, prefixes))))
-    lines = some.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "block"))
-    tokens = lines.select("doc_id", "text_hash", "line", F.array_distinct(words_of(F.col("block"))).alias("tokens"))
-    near = tokens.where(F.size("tokens") >= least)
+    worded = some.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
+    pieces = worded.select("doc_id", "text_hash", F.explode(pieces_of(F.col("words"), longest)).alias("piece"))
+    near = pieces.withColumn("tokens", F.array_distinct("piece")).where(F.size("tokens") >= least)
     near = near.where(F.arrays_overlap("tokens", F.array(*map(F.lit, prefixes))))
     known = F.array_intersect("tokens", F.array(*map(F.lit, words)))
-    ranked = near.select("doc_id", "text_hash", "line", F.array_sort(F.transform(known, lambda w: rank[w])).alias("ranks"))
+    ranked = near.select("doc_id", "text_hash", "piece", F.array_sort(F.transform(known, lambda w: rank[w])).alias("ranks"))
     shared = ranked.select("*", F.posexplode("ranks").alias("at", "rank"))
-    rows = [(t.label, r, i, t.overlap, list(t.ranks)) for t in templates for i, r in enumerate(t.prefix)]
-    prefix = docs.sparkSession.createDataFrame(rows, "label string, rank int, place int, overlap int, template array<int>")
+    rows = [
+        (t.label, r, i, t.overlap, t.length, list(t.ranks), [words[x] for x in t.ranks])
+        for t in templates
+        for i, r in enumerate(t.prefix)
+    ]
+    schema = "label string, rank int, place int, overlap int, length int, template array<int>, named array<string>"
+    prefix = docs.sparkSession.createDataFrame(rows, schema)
     pairs = shared.join(F.broadcast(prefix), "rank")  # as many rows as the prefixes have words
     pairs = pairs.where(1 + F.least(F.size("ranks") - 1 - F.col("at"), F.size("template") - 1 - F.col("place")) >= F.col("overlap"))
-    verified = pairs.withColumn("n", F.size(F.array_intersect("ranks", "template"))).where("n >= overlap")
-    found = verified.select("doc_id", "text_hash", "line", "label", (F.col("n") / F.size("template")).alias("containment"))
-    return found.distinct()
+    both = F.array_intersect("ranks", "template")
+    verified = pairs.where((F.size(both) >= F.col("overlap")) & (F.array_min(both) == F.col("rank")))  # once a pair
+    placed = F.transform("piece", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+    placed = F.filter(placed, lambda p: F.array_contains("named", p["word"]))
+    found = verified.withColumn("places", placed).withColumn("n", fullest(F.col("places"), F.col("length"))).where("n >= overlap")
+    return found.select("doc_id", "text_hash", "label", (F.col("n") / F.size("template")).alias("containment"))
 
 
 def scan(
@@ -249,8 +283,9 @@ def scan(
 
     n_base counts the places of all phrases, first_word and last_word are the
     first and last of their starts, null without any. ``labels`` adds those of
-    the templates that some line contains ``threshold`` of; score is the largest
-    share of a template in such a line, 0 without one. Null and empty texts have
+    the templates that some block contains ``threshold`` of; score is the largest
+    share of a template in such a block, 0 without one. A block is any stretch of
+    1.25 times the template's words, wherever its lines end. Null and empty texts have
     no words and no labels; null and repeated ids are rows like any other; an
     empty table gives an empty one. Other columns are not read.
     """

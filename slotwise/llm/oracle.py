@@ -106,11 +106,15 @@ def _licenses() -> str:
     phrases = ", ".join(
         f"({_quoted(label)}, {_quoted(phrase)}, {len(phrase.split())})" for phrase, label in license_scan.PHRASES.items()
     )
-    templates = ", ".join(f"({_quoted(label)}, {_quoted(text)})" for label, text in license_scan.TEMPLATES.items())
+    templates = ", ".join(
+        f"({_quoted(label)}, {_quoted(text)}, {license_scan.block_length(text)})"
+        for label, text in license_scan.TEMPLATES.items()
+    )
     return rf"""
 WITH phrases(label, phrase, n) AS (VALUES {phrases}),
 templates AS (
-  SELECT label, list_distinct(string_split(text, ' ')) AS t FROM (VALUES {templates}) AS v(label, text)),
+  SELECT label, list_distinct(string_split(text, ' ')) AS t, length
+  FROM (VALUES {templates}) AS v(label, text, length)),
 docs AS (SELECT row_number() OVER () AS row, doc_id, text, {_NORMAL_WORDS} AS w FROM documents),
 near AS (SELECT row, w, p.* FROM docs JOIN phrases p ON contains(array_to_string(w, ' '), phrase)),
 starts AS (SELECT row, label, phrase, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM near),
@@ -118,11 +122,14 @@ places AS (SELECT row, label, i - 1 AS pos FROM starts WHERE array_to_string(w[i
 based AS (
   SELECT row, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base
   FROM places GROUP BY row),
-lines AS (SELECT row, unnest(string_split(text, chr(10))) AS text FROM docs WHERE text IS NOT NULL),
-blocks AS (SELECT row, list_distinct({_NORMAL_WORDS}) AS b FROM lines),
+terms AS (SELECT label, unnest(t) AS word, len(t) AS size, length FROM templates),
+spots AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM docs),
+hits AS (SELECT row, at, terms.* FROM spots JOIN terms USING (word)),
 shares AS (
-  SELECT row, label, len(list_intersect(b, t)) / len(t) AS share, len(list_intersect(b, t)) AS n,
-    ceil({license_scan.THRESHOLD} * len(t) - 1e-9) AS least FROM blocks, templates),
+  SELECT a.row, a.label, count(DISTINCT b.word) AS n, count(DISTINCT b.word) / any_value(a.size) AS share,
+    ceil({license_scan.THRESHOLD} * any_value(a.size) - 1e-9) AS least
+  FROM hits a JOIN hits b ON a.row = b.row AND a.label = b.label AND b.at BETWEEN a.at AND a.at + a.length - 1
+  GROUP BY a.row, a.label, a.at),
 alike AS (
   SELECT row, list(DISTINCT label) AS more, max(share) AS score FROM shares WHERE n >= least GROUP BY row)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,

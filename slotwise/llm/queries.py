@@ -91,7 +91,7 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases of every document, and the labels of notices that a line contains."""
+    """License phrases of every document, and the labels of notices that a block of words contains."""
     found = license_scan.scan(_table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",

@@ -1,4 +1,6 @@
+import random
 import re
+import textwrap
 
 from llm_data import edge_docs, empty_docs, in_order, texts, tuples
 
@@ -32,13 +34,13 @@ def plain(rows, threshold=license_scan.THRESHOLD):
             starts += found
             base |= {label} if found else set()
         labels, score = set(base), 0.0
-        for line in (t or "").split("\n"):
-            block = set(words(line))
-            for label, template in license_scan.TEMPLATES.items():
-                share = len(block & set(template.split())) / len(set(template.split()))
-                if share >= threshold:
-                    labels.add(label)
-                    score = max(score, share)
+        for label, template in license_scan.TEMPLATES.items():
+            names, length = set(template.split()), license_scan.block_length(template)
+            starts_in = [k for k in range(len(w)) if w[k] in names]
+            share = max((len(names & set(w[k : k + length])) / len(names) for k in starts_in), default=0.0)
+            if share >= threshold:
+                labels.add(label)
+                score = max(score, share)
         out.append((i, len(w), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score))
     return in_order(out)
 
@@ -102,3 +104,56 @@ def test_notices_that_name_no_license(spark):
     found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert all(list(NOTICES)[r["doc_id"]] in r["labels"] and r["score"] == 1.0 for r in found)
     assert len(found) == len(NOTICES)
+
+
+def found_in(spark, rows):
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    return {r["doc_id"]: (r["labels"], r["score"]) for r in found.select("doc_id", "labels", "score").collect()}
+
+
+def test_every_template_at_any_width(spark):
+    rows, expected = [], {}
+    for label, text in license_scan.TEMPLATES.items():
+        for width in (20, 72, 10_000):
+            for start, lead in (("# ", "x1 " * 500), ("", "")):
+                lines = textwrap.wrap(text, width)
+                expected[len(rows)] = label
+                rows.append((len(rows), lead + "\n".join(start + line for line in lines) + "\n" + lead))
+    found = found_in(spark, rows)
+    assert all(label in found[i][0] and found[i][1] == 1.0 for i, label in expected.items())
+
+
+def test_scattered_words_are_no_block(spark):
+    notice = license_scan.TEMPLATES["mit-notice"].split()
+    far = ("filler " * 500).join(f"{w} " for w in notice)
+    near = " x1 ".join(notice)  # 9 words, where a block has 7
+    assert found_in(spark, [(1, far), (2, near), (3, " ".join(reversed(notice)) + " x1")]) == {
+        1: ([], 0.0),
+        2: ([], 0.0),
+        3: (["mit-notice"], 1.0),
+    }
+
+
+def test_a_block_across_pieces(spark):
+    """A notice that begins at any word of a long text lies whole within some piece."""
+    longest = max(map(license_scan.block_length, license_scan.TEMPLATES.values()))
+    notice = max(license_scan.TEMPLATES.values(), key=license_scan.block_length)
+    rows = [(i, "x1 " * i + notice + " x1" * (4 * longest)) for i in range(0, 5 * longest, 7)]
+    assert all(score == 1.0 for _, score in found_in(spark, rows).values())
+
+
+def test_random_words_of_templates(spark):
+    """Texts of the templates' words in random order, where blocks are near the threshold."""
+    r = random.Random(3)
+    rows = []
+    for i in range(120):
+        words_in = []
+        for _ in range(r.randrange(1, 12)):
+            part = r.choice(list(license_scan.TEMPLATES.values())).split()
+            part = [w for w in part if r.random() > 0.06]
+            words_in += part + ["x1"] * r.randrange(3)
+            if r.random() < 0.3:
+                r.shuffle(words_in)
+        rows.append((i, " ".join(words_in)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert tuples(license_scan.scan(docs), *COLUMNS) == plain(rows)
