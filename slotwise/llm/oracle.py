@@ -123,13 +123,13 @@ based AS (
   SELECT row, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base
   FROM places GROUP BY row),
 terms AS (SELECT label, unnest(t) AS word, len(t) AS size, length FROM templates),
-spots AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM docs),
-hits AS (SELECT row, at, terms.* FROM spots JOIN terms USING (word)),
+spots AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM docs),
+hits AS (SELECT row, pos, terms.* FROM spots JOIN terms USING (word)),
 shares AS (
   SELECT a.row, a.label, count(DISTINCT b.word) AS n, count(DISTINCT b.word) / any_value(a.size) AS share,
     ceil({license_scan.THRESHOLD} * any_value(a.size) - 1e-9) AS least
-  FROM hits a JOIN hits b ON a.row = b.row AND a.label = b.label AND b.at BETWEEN a.at AND a.at + a.length - 1
-  GROUP BY a.row, a.label, a.at),
+  FROM hits a JOIN hits b ON a.row = b.row AND a.label = b.label AND b.pos BETWEEN a.pos AND a.pos + a.length - 1
+  GROUP BY a.row, a.label, a.pos),
 alike AS (
   SELECT row, list(DISTINCT label) AS more, max(share) AS score FROM shares WHERE n >= least GROUP BY row)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
