@@ -106,6 +106,25 @@ FROM events""",
     "gap_expand": f"SELECT {{e}}, slot_ts, hour, {_round(*METRICS)} FROM expanded",
     "missing_slots": "SELECT g.{e}, g.slot_ts, g.hour FROM grid g ANTI JOIN readings r USING ({e}, slot_ts)",
     "hourly_baseline": f"SELECT {{e}}, hour, {_round(*MEANS, *STDDEVS)} FROM baseline",
+    "baseline_from_state": f"SELECT {{e}}, hour, {_round(*MEANS, *STDDEVS)} FROM baseline",
+    "moving_baseline": f"""
+, spans AS (
+  SELECT unnest(range(DATE '2024-01-01', DATE '2024-01-18', INTERVAL 4 DAY)) AS begin
+), inside AS (
+  SELECT s.begin, r.* FROM spans s
+  JOIN readings r ON r.slot_ts >= s.begin AND r.slot_ts < s.begin + INTERVAL 14 DAY
+), hours AS (
+  SELECT b.begin, b.{{e}}, CAST(h.hour AS INTEGER) AS hour
+  FROM (SELECT DISTINCT begin, {{e}} FROM inside) b CROSS JOIN range(24) AS h(hour)
+), windowed AS (
+  SELECT CAST(g.begin AS DATE) AS date, g.{{e}}, g.hour,
+         avg(v) AS v_mean, avg(mx) AS mx_mean, avg(n) AS n_mean,
+         stddev_samp(v) AS v_stddev, stddev_samp(mx) AS mx_stddev, stddev_samp(n) AS n_stddev
+  FROM hours g LEFT JOIN inside i ON i.begin = g.begin AND i.{{e}} = g.{{e}} AND hour(i.slot_ts) = g.hour
+  GROUP BY 1, 2, 3
+)
+SELECT date, {{e}}, hour, {_round(*MEANS, *STDDEVS)} FROM windowed""",
+    "device_history": f"SELECT {CLEANED} FROM cleaned WHERE {{e}} = (SELECT min({{e}}) FROM cleaned)",
     "impute_gaps": f"SELECT {CLEANED} FROM filled",
     "zscores": "SELECT {e}, hour, slot_ts, " + _round("zscore_v", "zscore_mx", "zscore_n") + " FROM scored",
     "mask_outliers": f"SELECT {CLEANED} FROM cleaned",
@@ -135,7 +154,7 @@ FROM events""",
 
 
 def all_oracles() -> dict[str, str]:
-    found = {"range_scan": RANGE_SCAN, "csv_scan": RANGE_SCAN, "hourly_slots": HOURLY_SLOTS}
+    found = {"range_scan": RANGE_SCAN, "csv_scan": RANGE_SCAN, "pruned_csv_scan": RANGE_SCAN, "hourly_slots": HOURLY_SLOTS}
     for name, tail in TAILS.items():
         found[name] = (STEPS + tail).format(e="event_type", minutes=60)
         found[f"{name}_by_user"] = (STEPS + tail).format(e="user_id", minutes=60)

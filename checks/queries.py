@@ -279,9 +279,57 @@ def stage_roundtrip(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return rounded(sources.stage(daily(spark, sf_dir, entity), sources.run_folder(spark, work_folder(spark)), "daily"))
 
 
+def pruned_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first day out of all events as CSV files in order of time, of which
+    only the files of that day are opened."""
+    folder = sources.run_folder(spark, work_folder(spark))
+    sources.write_csv(events(spark, sf_dir).repartitionByRange(30, "ts"), f"{folder}/events", MICROSECONDS)
+    scan = partial(sources.scan_csv, spark, schema=DataType.fromDDL(EVENTS), time_format=MICROSECONDS)
+    spec = event_series("user_id")
+    sources.update_extents(spark, f"{folder}/events/*.csv", scan, spec, f"{folder}/extents")
+    files = sources.files_of_period(sources.read_extents(spark, f"{folder}/extents"), FIRST_DAY, closed_end=True)
+    return sources.in_period(scan(files), spec, FIRST_DAY, closed_end=True)
+
+
+def baseline_state(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The state of all days, kept in a table that is extended twice."""
+    spec = series(entity)
+    path = f"{sources.run_folder(spark, work_folder(spark))}/state"
+    readings = readings_hourly(spark, sf_dir, entity)
+    for end in ("2024-01-12", "2024-01-31"):
+        op.update_state(readings, spec, Period.of("2024-01-01", end), path)
+    return op.read_state(spark, path, op.daily_state(readings, spec, PERIOD).schema, PERIOD)
+
+
+def baseline_from_state(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    profiles = op.state_profiles(baseline_state(spark, sf_dir, entity), series(entity))
+    return rounded(op.hourly_baseline(profiles, series(entity), PERIOD))
+
+
+def moving_baseline(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The baselines of spans of 14 days, one beginning every fourth day, with its first day as ``date``."""
+    spec = series(entity)
+    windows = op.moving_windows(baseline_state(spark, sf_dir, entity), PERIOD, 14, 4)
+    profiles = op.state_profiles(windows, spec, "_from")
+    by_window = SeriesSpec(entity=("first_day", entity), ts=spec.ts, metrics=spec.metrics)
+    found = op.hourly_baseline(profiles.withColumnRenamed("_from", "first_day"), by_window, PERIOD)
+    return rounded(found.withColumnRenamed("first_day", "date"))
+
+
+def device_history(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The cleaned rows of the smallest entity, looked up in a merged table laid out for it."""
+    folder = sources.run_folder(spark, work_folder(spark))
+    rows = sources.stage(cleaned(spark, sf_dir, entity), folder, "rows")
+    op.merge_staged(rows, f"{folder}/target", ["slot_ts", entity], "slot_ts", lookup=[entity])
+    table = op.read_target(spark, f"{folder}/target", sources.with_day_parts(rows, "slot_ts").schema)
+    wanted = table.agg(F.min(entity).alias("_wanted")).first()["_wanted"]
+    return rounded(table.where(F.col(entity) == F.lit(wanted)).select(*rows.columns))
+
+
 SINGLE: dict[str, Query] = {
     "range_scan": range_scan,
     "csv_scan": csv_scan,
+    "pruned_csv_scan": pruned_csv_scan,
     "hourly_slots": hourly_slots,
 }
 
@@ -299,6 +347,9 @@ PER_ENTITY: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "gap_expand": gap_expand,
     "missing_slots": missing_slots,
     "hourly_baseline": hourly_baseline,
+    "baseline_from_state": baseline_from_state,
+    "moving_baseline": moving_baseline,
+    "device_history": device_history,
     "impute_gaps": lambda *args: rounded(filled(*args)),
     "zscores": zscores,
     "mask_outliers": lambda *args: rounded(cleaned(*args)),

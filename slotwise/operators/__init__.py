@@ -18,6 +18,7 @@ from slotwise.operators.spine import (
     observed_period,
     slot_spine,
 )
+from slotwise.operators.state import daily_state, moving_windows, read_state, state_profiles, update_state
 from slotwise.operators.summary import anomalies, daily_summary
 from slotwise.operators.upsert import merge_staged, read_target, upsert, upsert_table
 
@@ -28,6 +29,7 @@ __all__ = [
     "RepeatedKeys",
     "anomalies",
     "audit",
+    "daily_state",
     "daily_summary",
     "distinct_entities",
     "entity_profiles",
@@ -42,12 +44,16 @@ __all__ = [
     "measured_profiles",
     "merge_staged",
     "missing_slots",
+    "moving_windows",
     "observed_period",
+    "read_state",
     "read_target",
     "repeated_keys",
     "require_complete",
     "require_unique",
     "slot_spine",
+    "state_profiles",
+    "update_state",
     "upsert",
     "upsert_table",
     "with_zscores",

@@ -76,13 +76,13 @@ def counted_profiles(
     rows = with_words(typed_readings(readings, spec, complete_keys=False), spec, period)
     corrupt = F.count(CORRUPT) if CORRUPT in rows.columns else F.lit(0).cast("bigint")
     several = words_per_hour(spec, period) > 1
-    parts = {_part(i): m for i, m in enumerate(spec.metrics)}
+    parts = {part(i): m for i, m in enumerate(spec.metrics)}
     by_word = rows.groupBy(*spec.entity, "_hour", "_word").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(spec.ts).alias("_timed"),
         corrupt.alias("_corrupt"),
         F.bit_or("_bit").alias("_bits"),
-        *[_partial(m, several).alias(name) for name, m in parts.items()],
+        *[partial(m, several).alias(name) for name, m in parts.items()],
     )
     if entities is not None:
         silent = entities.select(*spec.entity).where(f"not ({lacks_entity(spec)})")
@@ -96,11 +96,11 @@ def counted_profiles(
                 F.expr(WORDS).alias("_words"),
                 *[F.collect_list(name).alias(name) for name in parts],
             )
-            .withColumns({"_seen": dense("_words", spec, period)} | {name: _merged(name) for name in parts})
+            .withColumns({"_seen": dense("_words", spec, period)} | {name: merged(name) for name in parts})
         )
     else:  # each row is a whole hour
         by_hour = by_hour.withColumn("_seen", F.array("_bits"))
-    stats = ", ".join([f"_rows as {quoted('_n')}", *_finished(spec, several)])
+    stats = ", ".join([f"_rows as {quoted('_n')}", *finished(spec, several)])
     total = lambda value: F.expr(f"coalesce(sum({value}), 0L)")
     totals = {
         "_rows": total("_rows"),
@@ -266,11 +266,11 @@ def _with_hour(rows: DataFrame, spec: SeriesSpec, period: Period) -> DataFrame:
     return rows.withColumn("_slot", slot_of_time(spec, period)).withColumn("hour", hour).drop("_slot")
 
 
-def _part(i: int) -> str:
+def part(i: int) -> str:
     return f"_part{i}"
 
 
-def _partial(metric: str, several: bool) -> Column:
+def partial(metric: str, several: bool) -> Column:
     """Count, sum and squared deviations from the mean; least and largest value
     as well if ``several`` of these are to be put together."""
     x = F.col(quoted(metric))
@@ -279,8 +279,8 @@ def _partial(metric: str, several: bool) -> Column:
     return F.struct(F.count(x).alias("n"), F.sum(x).alias("s"), squares.alias("q"), *ends)
 
 
-def _merged(parts: str) -> Column:
-    """A list of ``_partial`` put together, by the update formula for parallel sums of squares."""
+def merged(parts: str) -> Column:
+    """A list of ``partial`` put together, by the update formula for parallel sums of squares."""
     both = (
         "named_struct('n', a.n + b.n, 's', a.s + b.s, "
         "'q', a.q + b.q + power(b.s / b.n - a.s / a.n, 2) * (a.n * (b.n / (a.n + b.n))), "
@@ -290,13 +290,13 @@ def _merged(parts: str) -> Column:
     return F.expr(f"aggregate(slice({parts}, 2, greatest(size({parts}) - 1, 0)), get({parts}, 0), {step})")
 
 
-def _finished(spec: SeriesSpec, several: bool) -> list[str]:
+def finished(spec: SeriesSpec, several: bool) -> list[str]:
     """Mean and sample deviation of each metric; that of equal values is 0, whatever their sums round to."""
     equal = "{p}.lo = {p}.hi" if several else "{p}.q = 0"
     mean = "if({p}.n > 0, {p}.s / {p}.n, null) as {c}"
     deviation = f"if({{p}}.n > 1, if({equal}, 0D, sqrt({{p}}.q / ({{p}}.n - 1))), null) as {{c}}"
     return [
-        form.format(p=_part(i), c=quoted(c))
+        form.format(p=part(i), c=quoted(c))
         for form, columns in ((mean, spec.mean_columns), (deviation, spec.stddev_columns))
         for i, c in enumerate(columns)
     ]

@@ -71,6 +71,7 @@ def merge_staged(
     file_format: str = "parquet",
     wait: float = 0.0,
     stale: float = STALE_SECONDS,
+    lookup: Sequence[str] = (),
 ) -> None:
     """Upsert staged rows into a table of files partitioned by year, month and
     day, which is made if there is none.
@@ -86,6 +87,9 @@ def merge_staged(
     are there. If the driver is lost, its lease is void after ``stale`` seconds,
     and the next merge starts by moving what was complete and removing what was
     not, so no row is lost.
+
+    The merged days are written in the order of ``lookup``, with Bloom filters on
+    these columns in Parquet files: a search for one key then reads little of a day.
     """
     if day_column not in keys:
         raise ValueError(f"{day_column} must be part of the key {tuple(keys)}")
@@ -104,7 +108,7 @@ def merge_staged(
         target = touched(read_target(spark, path, schema, file_format), new, found["first"], found["last"])
         folder = f"{beside}/{lease.name}"
         rows = upsert(target, new, keys, found["keys"] > HASH_BUILD_ROWS)
-        write_partitions(rows, folder, file_format, replace_days=False)
+        write_partitions(rows, folder, file_format, replace_days=False, lookup=lookup)
         finish_merge(spark, folder, path, lease)
 
 

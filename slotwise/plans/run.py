@@ -33,7 +33,8 @@ class Store(Protocol):
 
 @dataclass(frozen=True)
 class TableStore:
-    """Partitioned Parquet tables with one row per key; a rerun upserts."""
+    """Partitioned Parquet tables with one row per key; a rerun upserts. The cleaned
+    table is laid out for lookups by entity."""
 
     daily_path: str
     cleaned_path: str
@@ -44,7 +45,7 @@ class TableStore:
         return self.daily_path
 
     def write_cleaned(self, cleaned: DataFrame, spec: SeriesSpec) -> str:
-        merge_staged(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts, self.file_format)
+        merge_staged(cleaned, self.cleaned_path, [spec.ts, *spec.entity], spec.ts, self.file_format, lookup=spec.entity)
         return self.cleaned_path
 
 

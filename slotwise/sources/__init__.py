@@ -1,3 +1,4 @@
+from slotwise.sources.extents import files_of_period, read_extents, time_extents, update_extents
 from slotwise.sources.files import CORRUPT, in_period, reading_schema, scan_csv, scan_json, scan_parquet
 from slotwise.sources.lease import Lease, LeaseHeld, LeaseLost
 from slotwise.sources.sinks import (
@@ -18,7 +19,9 @@ __all__ = [
     "Lease",
     "LeaseHeld",
     "LeaseLost",
+    "files_of_period",
     "in_period",
+    "read_extents",
     "read_json",
     "reading_schema",
     "remove",
@@ -29,6 +32,8 @@ __all__ = [
     "shared_folder",
     "stage",
     "staging_name",
+    "time_extents",
+    "update_extents",
     "with_day_parts",
     "write_csv",
     "write_jdbc",
