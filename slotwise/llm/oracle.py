@@ -24,39 +24,63 @@ def _urls() -> str:
     lower = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     host = lower.format(r"regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)")
     path = r"regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
-    key = rf"CASE WHEN contains(url, '://') THEN {host} || regexp_extract(url, '^(?s:.*?)://[^/?#]*([^#]*)', 1) END"
-    value = r"""regexp_extract(tag, '(?is)[\s"''/]{0}\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)"""
-    trimmed = "trim(replace({0}, '&amp;', '&'), '\"'' ' || chr(9) || chr(10) || chr(12) || chr(13))"
-    attribute = lambda name: trimmed.format(value.format(name))
+    scheme = "lower(string_split(url, '://')[1])"
+    plain_host = f"""CASE {scheme} WHEN 'http' THEN regexp_replace({host}, ':(80)?$', '')
+      WHEN 'https' THEN regexp_replace({host}, ':(443)?$', '') ELSE {host} END"""
+    dot = "lower({0}) IN ('.', '%2e')"
+    dots = "lower({0}) IN ('..', '.%2e', '%2e.', '%2e%2e')"
+    last = f"string_split({path}, '/')[-1]"
+    kept = f"""list_reduce(list_prepend([''], list_transform(string_split({path}, '/')[2:], lambda x: [x])),
+      lambda a, x: CASE WHEN {dots.format("x[1]")} THEN a[1:greatest(len(a) - 1, 1)] WHEN {dot.format("x[1]")} THEN a
+        ELSE list_concat(a, x) END)"""
+    plain_path = f"""CASE WHEN {path} = '' THEN '/' WHEN regexp_matches({path}, {_quoted(url_filter.DOTS)})
+      THEN array_to_string({kept}, '/') || CASE WHEN {dot.format(last)} OR {dots.format(last)} THEN '/' ELSE '' END
+      ELSE {path} END"""
+    query = r"regexp_extract(url, '^(?s:.*?)://[^?#]*(\?[^#]*)', 1)"
+    key = f"CASE WHEN contains(url, '://') THEN {plain_host} || {plain_path} || {query} END"
+    value = r"""regexp_extract({1}, '(?is)[\s"''/]{0}\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)"""
+    trimmed = "trim({0}, '\"'' ' || chr(9) || chr(10) || chr(12) || chr(13))"
+    attribute = lambda name, tag="tag": trimmed.format(value.format(name, tag))
     moved = trimmed.format(rf"regexp_extract({attribute('content')}, '(?is)^\s*[0-9.]*\s*[;,]?\s*url\s*=(.*)$', 1)")
+    code = "CASE WHEN lower(r[3]) = 'x' THEN ('0x' || r[4:len(r) - 1])::BIGINT ELSE r[3:len(r) - 1]::BIGINT END"
+    decoded = """list_reduce(list_prepend({0}, list_filter(
+      list_distinct(regexp_extract_all({0}, '(?i)&#(?:x[0-9a-f]{{1,6}}|[0-9]{{1,7}});')),
+      lambda r: NOT regexp_matches(r, '^&(?:#0*38|#[xX]0*26);$'))),
+      lambda t, r: replace(t, r, CASE WHEN {1} BETWEEN 1 AND 55295 OR {1} BETWEEN 57344 AND 1114111
+        THEN chr(({1})::INT) ELSE chr(65533) END))""".replace("{1}", f"({code})")
+    for name, char in url_filter.NAMED.items():
+        decoded = f"replace({decoded}, '&{name};', {_quoted(char)})"
+    decoded = f"regexp_replace({decoded}, {_quoted(url_filter.AMPERSAND)}, '&', 'g')"
+    resolve = rf"""CASE
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '//') THEN string_split(base, '://')[1] || ':' || target
+    WHEN regexp_matches(target, '^([A-Za-z][A-Za-z0-9+.-]*:|#|$)') THEN NULL
+    WHEN starts_with(target, '/') THEN regexp_extract(base, '^(?s:.*?)://[^/?#]*') || target
+    WHEN starts_with(target, '?') THEN regexp_extract(base, '^(?s:.*?)://[^?#]*') || target
+    ELSE regexp_replace(regexp_extract(base, '^(?s:.*?)://[^/?#]*(?:[^?#]*/)?'), '/$', '') || '/' || target END"""
     return rf"""
 WITH RECURSIVE rules(verdict, rule, rule_host, rule_path) AS (VALUES {rules}),
-tags AS (
-  SELECT url, unnest(regexp_extract_all(regexp_replace(html,
-    '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+bare AS (
+  SELECT url, regexp_replace(html, {_quoted(url_filter.TEXT_ONLY)}, '', 'g') AS bare
   FROM pages WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|refresh')),
+tags AS (
+  SELECT url, regexp_extract(bare, {_quoted(url_filter.BASE)}) AS base_tag,
+    unnest(regexp_extract_all(bare, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM bare),
 links AS (
-  SELECT url, {attribute('href')} AS target FROM tags
+  SELECT url, {attribute('href', 'base_tag')} AS base, {attribute('href')} AS target FROM tags
   WHERE regexp_matches(tag, '(?i)^<link') AND regexp_matches({attribute('rel')}, '(?i)(^|\s)canonical(\s|$)')
   UNION ALL
-  SELECT url, {moved} FROM tags
+  SELECT url, {attribute('href', 'base_tag')}, {moved} FROM tags
   WHERE regexp_matches(tag, '(?i)^<meta') AND lower({attribute('http-equiv')}) = 'refresh'),
+decoded AS (SELECT url, {decoded.format('base')} AS base_href, {decoded.format('target')} AS target FROM links),
 based AS (
-  SELECT url AS base, target, regexp_extract(url, '^(?s:.*?)://[^/?#]*') AS origin,
-    regexp_extract(url, '^(?s:.*?)://[^/?#]*((?:[^?#]*/)?)', 1) AS folder FROM links),
-resolved AS (
-  SELECT base, CASE
-    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
-    WHEN starts_with(target, '//') THEN string_split(base, '://')[1] || ':' || target
-    WHEN regexp_matches(target, '^([A-Za-z][A-Za-z0-9+.-]*:|#|$)') THEN NULL
-    WHEN starts_with(target, '/') THEN origin || target
-    WHEN starts_with(target, '?') THEN regexp_extract(base, '^(?s:.*?)://[^?#]*') || target
-    ELSE origin || folder || CASE WHEN ends_with(origin || folder, '/') THEN '' ELSE '/' END || target END AS url
-  FROM based),
+  SELECT url, target, CASE WHEN base_href = '' THEN url ELSE coalesce(
+    (SELECT {resolve} FROM (SELECT base_href AS target, url AS base)), url) END AS base FROM decoded),
+resolved AS (SELECT url AS base, {resolve} AS url FROM based),
 edges AS (
   SELECT (SELECT {key} FROM (SELECT base AS url)) AS a, {key} AS b FROM resolved),
 both_ways AS (
-  SELECT a, b FROM edges WHERE b IS NOT NULL UNION SELECT b, a FROM edges WHERE b IS NOT NULL),
+  SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
 nodes AS (
   SELECT a AS node, {host.replace('url', "'x://' || a")} AS host, {path.replace('url', "'x://' || a")} AS path
   FROM both_ways GROUP BY a),

@@ -1,7 +1,14 @@
 import random
 import re
+from urllib.parse import urljoin
+
+import duckdb
+import pytest
+from llm_data import in_order, tuples
+from pyspark.sql import functions as F
 
 from slotwise.llm import url_filter
+from slotwise.llm.oracle import llm_oracles
 
 URLS = [
     (1, "http://a.example.com/x", "<link rel=canonical href='https://b.foo.net/y'>"),
@@ -78,3 +85,59 @@ def test_empty_table_and_other_columns(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], schema)).count() == 0
     row = (1, "http://x.org/", "<link rel=canonical href=http://y.net/>", "h", "r", "n", "a", 1)
     assert url_filter.filter_urls(spark.createDataFrame([row, row], schema)).where("verdict = 'block'").count() == 2
+
+
+# Pages and whether they inherit a block.
+LINKED = [
+    ("http://a.org/x/y/p", "<link rel=canonical href='../../../b/./q'>", True),
+    ("http://a.org/b/q", "<link rel=canonical href='http://a.net:80'>", True),
+    ("https://a.org:443/c", "<link rel=canonical href='https://a.org/b/%2E%2e/b/q'>", True),
+    ("http://c.org", "<meta http-equiv=refresh content='0;url=//c.org/b'>", False),
+    ("http://d.org/one/", "<base href='http://a.net/z/'><link rel=canonical href='q'>", True),
+    ("http://d.org/two/", "<base target=_top><base href='/b/'><base href='http://a.net/'><link rel=canonical href='q'>", False),
+    ("http://e.org/1", "<link rel=canonical href='http://a&#46;net/1'>", True),
+    ("http://e.org/2", "<link rel=canonical href='http&colon;&sol;&#x2F;a&period;net/2'>", True),
+    ("http://e.org/3", "<link rel=canonical href='http://e.org/4?a=1&#38;amp;b=&#xFFFFFF;&#0;'>", True),
+    ("http://e.org/4?a=1&amp;b=\ufffd\ufffd", "<link rel=canonical href='//a.net/4'>", True),
+    ("http://e.org/5", "<link rel=canonical href='http://e.org/&#233;'>", True),
+    ("http://e.org/\u00e9", "<link rel=canonical href='//a.net'>", True),
+    ("http://f.org/1", "<textarea><link rel=canonical href='http://a.net/'></textarea>", False),
+    ("http://f.org/2", "<title><link rel=canonical href='http://a.net/'>", False),
+    ("http://f.org/3", "<title>x</title><!-- > --><TextArea >y</TEXTAREA ><link rel=canonical href='http://a.net/'>", True),
+    ("http://f.org/4", "<!-- <link rel=canonical href='http://a.net/'>", False),
+    ("http://m.com", "<link rel=canonical href='http://m.org/'>", True),
+    ("http://n.org/", "<link rel=canonical href='http://m.com/'><link rel=canonical href='http://a.net:8080/'>", True),
+    ("http://o.org:80/", "<link rel=canonical href='http://o.org'>", False),
+    ("https://o.org:80/", "<link rel=canonical href='http://a.net/'>", True),
+]
+
+
+def linked_pages(spark):
+    rows = [(i, url, html) for i, (url, html, _) in enumerate(LINKED)]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+def test_links_as_browsers_read_them(spark):
+    # m.org stands for n.org by way of m.com, so its page is blocked too
+    found = {r["page_id"]: r for r in url_filter.filter_urls(linked_pages(spark)).collect()}
+    for i, (url, _, inherited) in enumerate(LINKED):
+        expected = ("block" if inherited else "allow", inherited)
+        assert (found[i]["verdict"], found[i]["inherited"]) == expected, url
+
+
+def test_links_match_the_sql(spark):
+    both = linked_pages(spark).unionByName(spark.createDataFrame(URLS, "page_id bigint, url string, html string"))
+    columns = "page_id host path rule verdict inherited".split()
+    with duckdb.connect() as con:
+        con.register("pages", both.toPandas())
+        theirs = con.execute(f"SELECT {', '.join(columns)} FROM ({llm_oracles()['op1_url_filter']})").fetchall()
+    assert tuples(url_filter.filter_urls(both), *columns) == in_order(theirs)
+
+
+@pytest.mark.parametrize("target", "q ./q ../q ../../../q . .. ./ ../ a/../b/./c/.. /./x/../y ?z q/..?x=../y #f".split())
+def test_dot_segments_as_the_standard_library_joins_them(spark, target):
+    base = "http://h.org/a/b/c?d"
+    frame = spark.createDataFrame([(target, base)], "target string, base string")
+    found = frame.select(url_filter.url_key(url_filter._resolved(F.col("target"), F.col("base")))).first()[0]
+    joined = urljoin(base, target).partition("#")[0].removeprefix("http://")
+    assert found == (None if target.startswith("#") else joined)
