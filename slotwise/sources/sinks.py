@@ -6,13 +6,17 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from slotwise.functions import day_parts
 from slotwise.sources.files import TIME_FORMAT, scan_json
 
 PARTITIONS = ("year", "month", "day")
+# Days of a month that are dealt to tasks together: what an entity's rows have in common is then moved once, not once a day.
+DAYS_TOGETHER = 6
+# JSON repeats each column's name in each row. Spark reads files with and without compression.
+COMPRESSED_JSON = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def with_day_parts(df: DataFrame, day_column: str) -> DataFrame:
@@ -20,6 +24,11 @@ def with_day_parts(df: DataFrame, day_column: str) -> DataFrame:
     return df.withColumns(day_parts(day_column))
 
 
+def with_days_together(df: DataFrame) -> DataFrame:
+    """Add ``_days`` to a frame that has the partition columns: which of the month's groups of days a row is in."""
+    return df.withColumn("_days", F.expr(f"cast((day - 1) div {DAYS_TOGETHER} as int)"))
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -27,22 +36,26 @@ def write_partitions(
     time_format: str = TIME_FORMAT,
     replace_days: bool = True,
     lookup: Sequence[str] = (),
+    dealt: bool = False,
 ) -> None:
     """Write a frame that has the partition columns, replacing only the days
     it holds rows for, or else all there is.
 
     The rebalance gives each day few files and lets the adaptive planner split
-    a day that is too large for one task. Within a file rows are in the order of the columns
+    days that are too large for one task; it is left out for rows that are ``dealt`` by days already. A task gets
+    some days of a month together, so that shuffled rows of an entity lie side by side and compress well.
+    Within a file rows are in the order of the columns
     ``lookup``, and Parquet files get Bloom filters on these, so that a search
-    for a key reads few row groups and pages.
+    for a key reads few row groups and pages. JSON files are compressed.
     """
-    dealt = df.hint("rebalance", *PARTITIONS)
+    if not dealt:
+        df = with_days_together(df).hint("rebalance", *PARTITIONS[:2], "_days").drop("_days")
     if lookup:
-        dealt = dealt.sortWithinPartitions(*PARTITIONS, *lookup)
+        df = df.sortWithinPartitions(*PARTITIONS, *lookup)
     filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup} if file_format == "parquet" else {}
     (
-        dealt.write.mode("overwrite")
-        .options(**filters)
+        df.write.mode("overwrite")
+        .options(**filters, **(COMPRESSED_JSON if file_format == "json" else {}))
         .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
         .option("timestampNTZFormat", time_format)
         .partitionBy(*PARTITIONS)
@@ -52,7 +65,7 @@ def write_partitions(
 
 
 def write_json(df: DataFrame, path: str, day_column: str, time_format: str = TIME_FORMAT) -> None:
-    """JSON lines under ``year=/month=/day=`` folders. Days that the frame has rows
+    """Compressed JSON lines under ``year=/month=/day=`` folders. Days that the frame has rows
     for are replaced whole; ``merge_staged`` keeps their other rows."""
     write_partitions(with_day_parts(df, day_column), path, "json", time_format)
 

@@ -153,3 +153,14 @@ def test_jdbc_write_reaches_the_driver_class(spark):
     """No database is started for tests, so this ends at the missing driver."""
     with pytest.raises(Exception, match="no.such.Driver"):
         write_jdbc(daily(spark, (1, 1, 1.0)), TARGET, "load_table")
+
+
+def test_json_is_compressed_and_rows_of_several_days_are_dealt_together(spark, tmp_path):
+    path = tmp_path / "json"
+    days = "date_add(date'2024-01-01', cast(id % 6 as int)) as date"
+    df = spark.range(60).selectExpr(days, "cast(id as int) as id", "1.5D as a_long_name_of_a_metric")
+    write_json(df, str(path), "date")
+    found = [f.name for f in path.rglob("part-*")]
+    assert len(found) == 6 and all(name.endswith(".json.gz") for name in found)
+    assert len({name.split("-")[1] for name in found}) == 1  # one task had all six days
+    assert sorted(read_json(spark, str(path), df.schema).select(*df.columns).collect()) == sorted(df.collect())
