@@ -7,18 +7,21 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from slotwise.functions import quoted
 from slotwise.operators.quality import require_unique
 from slotwise.sources.files import TIME_FORMAT
 from slotwise.sources.lease import STALE_SECONDS, Lease
-from slotwise.sources.sinks import PARTITIONS, with_day_parts, write_partitions
+from slotwise.sources.sinks import PARTITIONS, with_day_parts, with_days_together, write_partitions
 from slotwise.sources.staging import file_system, is_complete, move_folder, remove, run_folder, stage, subfolders
 
-# Staged keys from which on they are hashed after a shuffle; fewer are left to Spark, which may broadcast them.
-HASH_BUILD_ROWS = 1_000_000
+# Staged rows up to which their keys are counted and joined, for which Spark may broadcast them; more meet the target in one shuffle.
+JOINED_ROWS = 1_000_000
+# Rows that one task is given in that shuffle; keys are unique, so no key is heavier than another.
+TASK_ROWS = 1_000_000
+REPEATED = "slotwise: repeated keys"
 
 
 def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str], hash_build: bool = False) -> DataFrame:
@@ -99,19 +102,83 @@ def merge_staged(
     with Lease(spark, beside, stale, wait) as lease:
         for left in subfolders(spark, beside):
             finish_merge(spark, left, path, lease)
-        found = key_span(staged, keys, day_column)
-        if found["copies"] is None:
-            return
-        if found["copies"] > 1:
-            require_unique(staged, keys)
         new = with_day_parts(staged, day_column)
+        found = day_span(new, day_column)
+        if not found["rows"]:
+            return
         target = touched(read_target(spark, path, schema, file_format), new, found["first"], found["last"])
         folder = f"{beside}/{lease.name}"
-        rows = upsert(target, new, keys, found["keys"] > HASH_BUILD_ROWS)
-        write_partitions(rows, folder, file_format, replace_days=False, lookup=lookup)
+        if found["rows"] <= JOINED_ROWS:
+            if key_span(staged, keys, day_column)["copies"] > 1:
+                require_unique(staged, keys)
+            write_partitions(upsert(target, new, keys), folder, file_format, replace_days=False, lookup=lookup)
+        else:
+            most = found["most"] + (rows_together(target).agg(F.max("_rows")).first()[0] or 0)
+            rows = met_in_one_shuffle(target, new, keys, day_column, most, found["groups"], lookup)
+            try:
+                write_partitions(rows, folder, file_format, replace_days=False, lookup=lookup, dealt=True)
+            except Exception as error:
+                if REPEATED in str(error):
+                    remove(spark, folder)
+                    require_unique(staged, keys)
+                raise
         finish_merge(spark, folder, path, lease)
 
 
+def rows_together(df: DataFrame) -> DataFrame:
+    """``_rows`` of each group of days that ``write_partitions`` deals together, of a frame with the partition columns."""
+    return with_days_together(df).groupBy(*PARTITIONS[:2], "_days").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def day_span(new: DataFrame, day_column: str) -> Row:
+    """Of rows with the partition columns: how many there are, the most in one group
+    of days, the groups, the first and the last day. No key is gathered for it."""
+    day = F.to_date(day_column)
+    dated = with_days_together(new).groupBy(*PARTITIONS[:2], "_days")
+    counted = dated.agg(F.count(F.lit(1)).alias("_rows"), F.min(day).alias("_first"), F.max(day).alias("_last"))
+    return counted.agg(
+        F.sum("_rows").alias("rows"),
+        F.max("_rows").alias("most"),
+        F.count(F.lit(1)).alias("groups"),
+        F.min("_first").alias("first"),
+        F.max("_last").alias("last"),
+    ).first()
+
+
+def met_in_one_shuffle(
+    target: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    day_column: str,
+    most: int,
+    groups: int,
+    lookup: Sequence[str] = (),
+) -> DataFrame:
+    """``upsert`` of frames with the partition columns, with one shuffle that also deals the rows for the write.
+
+    Rows meet by group of days and by a bucket of their key, as many buckets as
+    the ``most`` rows of one of the ``groups`` ask for, and there are tasks enough for all. The bucket looks at the time of day
+    instead of the time, so that an entity's rows of several days stay side by
+    side, which compresses them, and no entity fills a bucket alone. Repeated new keys fail the job.
+    Rows are sorted once, to find equal keys, in an order that suits the write as well, if ``lookup`` is part of the key.
+    """
+    buckets = -(-most // TASK_ROWS)
+    clock = [part(day_column) for part in (F.hour, F.minute, F.second)]
+    others = [k for k in keys if k != day_column]
+    both = target.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    both = with_days_together(both).withColumn("_bucket", F.pmod(F.hash(*clock, *map(quoted, others)), F.lit(buckets)))
+    by = [*PARTITIONS[:2], "_days", "_bucket"]
+    tasks = 2 * groups * buckets
+    session = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(tasks, *by) if tasks > session else both.repartition(*by)
+    order = dict.fromkeys([*PARTITIONS, *(quoted(c) for c in lookup if c in others), quoted(day_column), *map(quoted, others), *by])
+    copies = F.sum("_new").over(Window.partitionBy(*order))
+    marked = dealt.withColumn("_copies", copies)
+    repeated = F.raise_error(F.lit(REPEATED)).cast("boolean")
+    kept = F.when(F.col("_copies") > 1, repeated).otherwise((F.col("_new") == 1) | (F.col("_copies") == 0))
+    return marked.where(kept).select(*map(quoted, target.columns))
+
+
 def key_span(staged: DataFrame, keys: Sequence[str], day_column: str) -> Row:
     """In one pass over the keys of the staged rows: how many there are, the most
     copies of one, the first and the last day."""

@@ -272,3 +272,51 @@ def test_empty_parts_of_a_key_are_equal(spark, hash_build):
     staged = spark.createDataFrame([(date(2024, 1, 1), None, 2.0)], SCHEMA)
     found = upsert(target, staged, KEYS, hash_build).collect()
     assert sorted((r["id"] or 0, r["x"]) for r in found) == [(0, 2.0), (1, 1.0)]
+
+
+def events_of(spark, n, x):
+    """Rows of 40 days, with an empty part of a key among them."""
+    keyed = "if(id % 50 = 0, null, cast(id % 50 as int)) as id"
+    return spark.range(n).selectExpr("date_add(date'2024-01-01', cast(id div 50 as int)) as date", keyed, f"{x}D as x")
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "json"])
+@pytest.mark.parametrize("lookup", [(), ("id",)])
+def test_many_rows_meet_the_target_in_one_shuffle(spark, tmp_path, monkeypatch, file_format, lookup):
+    monkeypatch.setattr(upsert_module, "JOINED_ROWS", 10)
+    monkeypatch.setattr(upsert_module, "TASK_ROWS", 70)
+    path, written = str(tmp_path / "t"), []
+    write = upsert_module.write_partitions
+    monkeypatch.setattr(upsert_module, "write_partitions", lambda df, *a, **o: (written.append(df), write(df, *a, **o)))
+    merge_staged(events_of(spark, 2000, 1.0), path, KEYS, "date", file_format, lookup=lookup)
+    merge_staged(events_of(spark, 2000, 2.0).where("id % 2 = 0 or id is null"), path, KEYS, "date", file_format, lookup=lookup)
+    schema = with_day_parts(spark.createDataFrame([], SCHEMA), "date").schema
+    found = read_target(spark, path, schema, file_format).select("date", "id", "x").collect()
+    assert len(found) == 2000 == len({(r["date"], r["id"]) for r in found})
+    assert all(r["x"] == (2.0 if r["id"] is None or r["id"] % 2 == 0 else 1.0) for r in found)
+    for df in written:
+        plan = df.sortWithinPartitions("year", "month", "day", *lookup)._jdf.queryExecution().executedPlan().toString()
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+        assert sum("_bucket" in x for x in shuffles) == 1
+        assert all("_bucket" in x or "year" in x for x in shuffles)  # the other one lists the days
+        assert plan.count("Sort [") == 1 and "SortMergeJoin" not in plan
+
+
+def test_repeated_keys_among_many_rows_stop_the_upsert_before_the_target(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert_module, "JOINED_ROWS", 10)
+    path = tmp_path / "t"
+    rows_ = events_of(spark, 200, 1.0)
+    with pytest.raises(RepeatedKeys):
+        merge_staged(rows_.unionByName(rows_.where("id is null").limit(1)), str(path), KEYS, "date")
+    assert not path.exists() and not Path(merging_folder(str(path))).exists()
+
+
+def test_no_task_of_a_merge_holds_more_rows_than_it_is_given(spark, monkeypatch):
+    """One group of days, one time of day: buckets of the other keys part them."""
+    monkeypatch.setattr(upsert_module, "TASK_ROWS", 1000)
+    new = with_day_parts(spark.range(40_000).selectExpr("date'2024-01-01' as date", "cast(id as int) as id", "1.0D as x"), "date")
+    found = upsert_module.day_span(new, "date")
+    assert (found["rows"], found["most"], found["groups"]) == (40_000, 40_000, 1)
+    rows_ = upsert_module.met_in_one_shuffle(new.limit(0), new, KEYS, "date", found["most"], found["groups"])
+    counts = rows_.rdd.mapPartitions(lambda rs: [sum(1 for _ in rs)]).collect()
+    assert len(counts) == 80 and max(counts) < 8000 and sum(counts) == 40_000
