@@ -320,3 +320,21 @@ def test_no_task_of_a_merge_holds_more_rows_than_it_is_given(spark, monkeypatch)
     rows_ = upsert_module.met_in_one_shuffle(new.limit(0), new, KEYS, "date", found["most"], found["groups"])
     counts = rows_.rdd.mapPartitions(lambda rs: [sum(1 for _ in rs)]).collect()
     assert len(counts) == 80 and max(counts) < 8000 and sum(counts) == 40_000
+
+
+@pytest.mark.parametrize("name", ["upsert_cleaned_by_user", "upsert_daily", "json_merge_roundtrip_by_user"])
+def test_queries_that_merge_many_rows_match_their_sql(spark, monkeypatch, name):
+    merged_by_query(spark, monkeypatch, name)
+
+
+def merged_by_query(spark, monkeypatch, name):
+    """The query with every merge in one shuffle, in small tasks."""
+    from checks.oracle import all_oracles
+    from checks.queries import all_queries
+    from compare import assert_same
+
+    monkeypatch.setattr(upsert_module, "JOINED_ROWS", 0)
+    monkeypatch.setattr(upsert_module, "TASK_ROWS", 5000)
+    monkeypatch.setattr(upsert_module, "key_span", None)  # no keys are counted beside the shuffle
+    data = "/root/testdata/sf0.01"
+    assert assert_same(all_queries()[name](spark, data), all_oracles()[name], data) > 0
