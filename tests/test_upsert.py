@@ -338,3 +338,8 @@ def merged_by_query(spark, monkeypatch, name):
     monkeypatch.setattr(upsert_module, "key_span", None)  # no keys are counted beside the shuffle
     data = "/root/testdata/sf0.01"
     assert assert_same(all_queries()[name](spark, data), all_oracles()[name], data) > 0
+
+
+def test_a_lookup_in_a_table_merged_from_many_rows_matches_its_sql(spark, monkeypatch):
+    """The lookup's order is that of the one sort, and the uniqueness of keys needs no hash table of them."""
+    merged_by_query(spark, monkeypatch, "device_history_by_user")
