@@ -50,7 +50,7 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 @dataclass(frozen=True)
 class Common:
-    """Pieces that all tasks know, their ids one after the other, and how many each has."""
+    """Pieces that all tasks know (each once), their ids one after the other, and how many each has."""
 
     pieces: pa.StringArray
     ids: np.ndarray
@@ -202,18 +202,33 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def look_at(docs: DataFrame, tokenizer: str) -> tuple[Common, int]:
-    """The pieces of a few of the texts, whichever are read first, and how many bytes all texts have."""
+    """The pieces of about ``COMMON_ROWS`` of the texts, drawn at random, and how many bytes all texts have.
+
+    One pass finds the sizes and draws the texts, and one task encodes those. So the driver
+    holds neither texts nor a tokenizer, only the pieces and their ids.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.substring(text, 1, COMMON_CHARS).alias("text")).limit(COMMON_ROWS).collect()
-    encoder = PieceEncoder(tokenizer, END_ID)
-    texts = pa.array([r["text"] for r in rows], pa.string())
-    for a, b in _slices(pc.binary_length(texts).to_numpy()):
-        for _ in encoder.encode(texts.slice(a, b - a)):
-            pass
-    pieces = pa.array(encoder.known.keys(), pa.string())
-    counts = np.fromiter(map(len, encoder.known.values()), np.int64, len(pieces)) // 4
-    common = Common(pieces, np.frombuffer(b"".join(encoder.known.values()), np.int32), counts)
-    return common, docs.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+    drawn = F.when(F.rand(7) < COMMON_ROWS / max(docs.count(), 1), F.substring(text, 1, COMMON_CHARS))
+    looked = staged(docs.select(F.octet_length(text).cast("bigint").alias("size"), drawn.alias("text")))
+    some = looked.where("text is not null").select("text").repartition(1)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = PieceEncoder(tokenizer, END_ID)
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in _slices(pc.binary_length(texts).to_numpy()):
+                for _ in encoder.encode(texts.slice(a, b - a)):
+                    pass
+        known = encoder.known.values()
+        offsets = np.cumsum([0, *map(len, known)]) // 4
+        ids = pa.ListArray.from_arrays(offsets.astype(np.int32), np.frombuffer(b"".join(known), np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(encoder.known.keys(), pa.string()), ids], ["piece", "ids"])
+
+    found = some.mapInArrow(learn, "piece string, ids array<int>").toArrow()
+    ids = found.column("ids").combine_chunks()
+    counts = ids.value_lengths().to_numpy().astype(np.int64)
+    common = Common(found.column("piece").combine_chunks(), ids.flatten().to_numpy(), counts)
+    return common, looked.agg(F.sum("size")).first()[0] or 0
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, common: Common | None = None) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -44,6 +45,30 @@ def test_common_pieces_change_nothing(spark, plain):
     assert encoded(tokens.PieceEncoder(PATH, 0, common), some) == [plain(x) for x in some]
 
 
+def test_the_driver_encodes_nothing(spark, plain, monkeypatch):
+    driver = os.getpid()
+
+    class Refused:
+        @staticmethod
+        def from_file(path):
+            assert os.getpid() != driver
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(tokens, "Tokenizer", Refused)
+    common, _ = tokens.look_at(edge_docs(spark), PATH)
+    check(spark, texts(), tokens.tokenize(edge_docs(spark), PATH), plain)
+    pieces, ends = common.pieces.to_pylist(), np.cumsum(common.counts)
+    assert len(set(pieces)) == len(pieces) > 100 and ends[-1] == len(common.ids)
+    for piece, n, end in zip(pieces, common.counts.tolist(), ends.tolist(), strict=True):
+        assert common.ids[end - n : end].tolist() == plain(piece)[:-1]
+
+
+def test_the_pieces_are_those_of_a_bounded_draw(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "COMMON_ROWS", 20)
+    docs = spark.range(0, 2000, 1, 4).selectExpr("id as doc_id", "'w' || repeat('x', cast(id as int)) as text")
+    assert 0 < len(tokens.look_at(docs, PATH)[0].pieces) < 60
+
+
 def check(spark, rows, found, plain):
     expected = [(d, len(plain(t)), zlib.crc32(np.array(plain(t), "<u4").tobytes())) for d, t in rows]
     got = found.collect()
